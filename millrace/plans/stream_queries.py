@@ -1 +1,220 @@
+"""The streaming operators, run over the test tables as streams until all input is processed.
 
+Each must return what its batch twin returns.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from millrace.operators.enrich import lookup_join
+from millrace.operators.latest import latest_per_key
+from millrace.plans.catalog import query, table
+from millrace.plans.data import EVENT_TYPES, FLAGS, LINE_FIELDS, LINE_VERSION, ORDER_FIELDS, SQL_KEY
+from millrace.plans.gate_queries import SQL_CHUNKS, SQL_PROGRESS
+from millrace.plans.join_queries import LINE_OUT, SQL_ENRICHED
+from millrace.plans.store_queries import SQL_LINES
+from millrace.plans.data import SQL_VERSION
+from millrace.session import shared_dir
+from millrace.sinks.store import Store
+from millrace.sources.streams import union_sources
+from millrace.streaming.batching import chunk_stream
+from millrace.streaming.enrich import enrich_stream
+from millrace.streaming.gate import count_gate_stream, expiring_gate_stream, gate_stream, running_count_stream
+from millrace.streaming.jobs import run_available, start_index
+
+
+def stream(spark, sf_dir, name):
+    """A test table as a stream of its files."""
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet*")
+
+
+def arriving_in_steps(df, label, steps=4):
+    """A table as a stream of ``steps`` micro-batches."""
+    path = shared_dir(df.sparkSession, label)
+    df.repartition(steps).write.parquet(path)
+    reader = df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", "1")
+    return reader.parquet(path)
+
+
+def _acks(events):
+    return events.select(
+        F.concat_ws("|", F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM-dd")).alias("key"),
+        F.col("event_type").alias("source"),
+        F.col("ts").cast("timestamp").alias("commit_ts"),
+        F.col("event_id").alias("seq"),
+    )
+
+
+def _plain_time(df):
+    """Back to timestamps without a zone, as the tables have them."""
+    return df.select(
+        *[F.col(n).cast("timestamp_ntz").alias(n) if t == "timestamp" else F.col(n) for n, t in df.dtypes]
+    )
+
+
+@query(
+    f"""
+    SELECT key, last_first_seen AS completed_ts, last_source AS completed_by
+    FROM ({SQL_PROGRESS}) WHERE n_sources = 5
+    """
+)
+def stream_gate_distinct(spark, sf_dir):
+    events = arriving_in_steps(table(spark, sf_dir, "events"), "events")
+    # The time and source that completed a key depend on arrivals seen by then, so this stream
+    # has each key's acknowledgements in one step.
+    done = run_available(gate_stream(_acks(events), EVENT_TYPES), "gate", mode="update")
+    return _plain_time(done.select("key", "completed_ts", "completed_by"))
+
+
+@query(f"SELECT {SQL_KEY} AS key, COUNT(*) AS running FROM events GROUP BY 1")
+def stream_running_count(spark, sf_dir):
+    events = arriving_in_steps(table(spark, sf_dir, "events"), "events")
+    counts = run_available(running_count_stream(_acks(events)), "counts", mode="update")
+    return latest_per_key(counts, ["key"], ["batch_id"], ["running"])
+
+
+@query(
+    f"""
+    SELECT {SQL_KEY} AS key, event_type AS source, ts AS commit_ts, event_id AS seq FROM events
+    QUALIFY row_number() OVER (PARTITION BY {SQL_KEY} ORDER BY ts, event_id) = 4
+    """
+)
+def stream_gate_count(spark, sf_dir):
+    done = run_available(count_gate_stream(_acks(stream(spark, sf_dir, "events")), 4), "count-gate")
+    return _plain_time(done.drop("batch_id"))
+
+
+@query(
+    f"""
+    SELECT p.key, CASE WHEN n_sources = 5 THEN 'complete' ELSE 'expired' END AS status,
+           5 - n_sources AS n_missing
+    FROM ({SQL_PROGRESS}) p
+    WHERE n_sources = 5
+       OR epoch_ms(first_ts) + 2 * 86400000 <= (SELECT epoch_ms(MAX(ts)) FROM events)
+    """
+)
+def stream_gate_expired(spark, sf_dir):
+    gated = expiring_gate_stream(_acks(stream(spark, sf_dir, "events")), EVENT_TYPES, "2 days")
+    done = run_available(gated, "expiring-gate")
+    n = F.when(F.col("missing") == "", 0).otherwise(F.size(F.split("missing", ",")))
+    return done.select("key", "status", n.cast("bigint").alias("n_missing"))
+
+
+def _message(df, key, version, fields):
+    """Parts as messages; the version is text that sorts like the version columns."""
+    return df.select(
+        F.col(key).cast("string").alias("key"), version.alias("version"), F.to_json(F.struct(*fields)).alias("value")
+    )
+
+
+@query(SQL_ENRICHED)
+def stream_enrich_nway(spark, sf_dir):
+    orders, lines = stream(spark, sf_dir, "orders"), stream(spark, sf_dir, "lineitem")
+    line_version = F.format_string(
+        "%s|%02d|%015d|%015d|%08.2f",
+        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"),
+        *[F.col(c) for c in LINE_VERSION[1:]],
+    )
+    messages = union_sources(
+        {
+            "billing": _message(orders, "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd"), ORDER_FIELDS),
+            **{
+                name: _message(lines.where(F.col("l_returnflag") == flag), "l_orderkey", line_version, LINE_FIELDS)
+                for name, flag in FLAGS.items()
+            },
+        }
+    )
+    sources = ["billing", *FLAGS]
+    done = run_available(enrich_stream(messages, sources), "enriched")
+    types = {**{c: t for c, t in orders.dtypes}, **{c: t for c, t in lines.dtypes}}
+
+    def ddl(fields):
+        return ", ".join(f"{f} {types[f]}" for f in fields)
+
+    parts = done.select(
+        F.col("key").cast("bigint").alias("key"),
+        F.from_json("billing", ddl(ORDER_FIELDS)).alias("billing"),
+        *[F.from_json(n, ddl(LINE_FIELDS)).alias(n) for n in FLAGS],
+    )
+    records = lookup_join(parts, table(spark, sf_dir, "customer"), "billing.o_custkey", "c_custkey", "customer")
+    return records.select(
+        "key",
+        "billing.o_custkey",
+        "billing.o_totalprice",
+        *[F.col(f"{n}.{c}").alias(f"{n}_{a}") for n in FLAGS for c, a in LINE_OUT.items()],
+        "customer.c_name",
+        "customer.c_mktsegment",
+    )
+
+
+@query(
+    SQL_CHUNKS.replace("event_type AS source,", "event_type AS source, event_id % 2 AS shard,")
+    .replace("PARTITION BY event_type,", "PARTITION BY event_type, event_id % 2,")
+    .replace("SELECT source, window_start,", "SELECT source, shard, window_start,")
+    .replace("GROUP BY source,", "GROUP BY source, shard,")
+    + " HAVING COUNT(*) = 50 OR window_start + INTERVAL '1 day' <= (SELECT date_trunc('milliseconds', MAX(ts)) FROM events)"
+)
+def stream_count_or_timeout(spark, sf_dir):
+    """Chunks per source and shard; those of the last, still open window appear once they are full."""
+    events = stream(spark, sf_dir, "events").select(
+        F.col("event_type").alias("source"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("event_id").alias("seq"),
+        F.col("props").alias("value"),
+    )
+    chunks = chunk_stream(events, shard=F.col("seq") % 2, rows=50, timeout="1 day", delay="0 seconds")
+    done = _plain_time(run_available(chunks, "chunks"))
+    return done.select(
+        "source",
+        F.col("shard").cast("bigint").alias("shard"),
+        "window_start",
+        "window_end",
+        "chunk",
+        F.col("n").cast("bigint").alias("n"),
+        "first_ts",
+        "last_ts",
+        "reason",
+        F.when(F.col("reason") == "count", F.col("last_ts")).otherwise(F.col("window_end")).alias("fire_ts"),
+    )
+
+
+@query(
+    f"""
+    SELECT source, l_orderkey, l_shipdate, l_linenumber, l_partkey, l_suppkey, l_quantity
+    FROM ({SQL_LINES}) WHERE l_orderkey IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY source, l_orderkey ORDER BY {SQL_VERSION} DESC) = 1
+    """
+)
+def stream_upsert_current(spark, sf_dir):
+    """Lines arrive in four micro-batches; the store keeps the newest of each key."""
+    lines = arriving_in_steps(
+        table(spark, sf_dir, "lineitem").select(
+            F.when(F.col("l_quantity") != 50, F.col("l_orderkey")).alias("l_orderkey"),
+            *LINE_VERSION,
+            F.col("l_linestatus").alias("source"),
+        ),
+        "lines",
+    )
+    store = Store(shared_dir(spark, "stream-store"), "l_orderkey", LINE_VERSION)
+    start_index(lines, store, f"{store.root}/checkpoint", once=True).awaitTermination()
+    return store.current(spark).drop("batch_id")
+
+
+@query(
+    """
+    SELECT 'billing' AS source, o_orderkey AS key, o_orderdate AS version FROM orders
+    UNION ALL
+    SELECT 'line' AS source, l_orderkey AS key, l_shipdate AS version FROM lineitem
+    """
+)
+def stream_union_sources(spark, sf_dir):
+    orders, lines = stream(spark, sf_dir, "orders"), stream(spark, sf_dir, "lineitem")
+    merged = union_sources(
+        {
+            "billing": orders.select(F.col("o_orderkey").alias("key"), F.col("o_orderdate").alias("version")),
+            "line": lines.select(F.col("l_orderkey").alias("key"), F.col("l_shipdate").alias("version")),
+        }
+    )
+    return run_available(merged, "union").drop("batch_id")
