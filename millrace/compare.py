@@ -19,7 +19,7 @@ def oracle(sql: str, sf_dir: str):
     for t in TABLES:
         if Path(f"{sf_dir}/{t}.parquet").exists():
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
-    return con.execute(sql).to_arrow_table()
+    return con.sql(sql).to_arrow_table()
 
 
 def _rows(table) -> list[tuple]:

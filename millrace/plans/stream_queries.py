@@ -10,11 +10,18 @@ from pyspark.sql import functions as F
 from millrace.operators.enrich import lookup_join
 from millrace.operators.latest import latest_per_key
 from millrace.plans.catalog import query, table
-from millrace.plans.data import EVENT_TYPES, FLAGS, LINE_FIELDS, LINE_VERSION, ORDER_FIELDS, SQL_KEY
-from millrace.plans.gate_queries import SQL_CHUNKS, SQL_PROGRESS
+from millrace.plans.data import (
+    EVENT_TYPES,
+    FLAGS,
+    LINE_FIELDS,
+    LINE_VERSION,
+    ORDER_FIELDS,
+    SQL_KEY,
+    SQL_VERSION,
+)
+from millrace.plans.gate_queries import SQL_PROGRESS
 from millrace.plans.join_queries import LINE_OUT, SQL_ENRICHED
 from millrace.plans.store_queries import SQL_LINES
-from millrace.plans.data import SQL_VERSION
 from millrace.session import shared_dir
 from millrace.sinks.store import Store
 from millrace.sources.streams import union_sources
@@ -54,18 +61,14 @@ def _plain_time(df):
     )
 
 
-@query(
-    f"""
-    SELECT key, last_first_seen AS completed_ts, last_source AS completed_by
-    FROM ({SQL_PROGRESS}) WHERE n_sources = 5
-    """
-)
+@query(f"SELECT key FROM ({SQL_PROGRESS}) WHERE n_sources = 5")
 def stream_gate_distinct(spark, sf_dir):
+    """Acknowledgements arrive in four micro-batches in no order; each complete key comes out once.
+
+    When and by what a key was completed depends on the order of arrival, the set of keys does not.
+    """
     events = arriving_in_steps(table(spark, sf_dir, "events"), "events")
-    # The time and source that completed a key depend on arrivals seen by then, so this stream
-    # has each key's acknowledgements in one step.
-    done = run_available(gate_stream(_acks(events), EVENT_TYPES), "gate", mode="update")
-    return _plain_time(done.select("key", "completed_ts", "completed_by"))
+    return run_available(gate_stream(_acks(events), EVENT_TYPES), "gate", mode="update").select("key")
 
 
 @query(f"SELECT {SQL_KEY} AS key, COUNT(*) AS running FROM events GROUP BY 1")
@@ -150,14 +153,21 @@ def stream_enrich_nway(spark, sf_dir):
 
 
 @query(
-    SQL_CHUNKS.replace("event_type AS source,", "event_type AS source, event_id % 2 AS shard,")
-    .replace("PARTITION BY event_type,", "PARTITION BY event_type, event_id % 2,")
-    .replace("SELECT source, window_start,", "SELECT source, shard, window_start,")
-    .replace("GROUP BY source,", "GROUP BY source, shard,")
-    + " HAVING COUNT(*) = 50 OR window_start + INTERVAL '1 day' <= (SELECT date_trunc('milliseconds', MAX(ts)) FROM events)"
+    """
+    SELECT source, shard, window_start, window_start + INTERVAL '1 day' AS window_end, chunk, COUNT(*) AS n,
+           CASE WHEN COUNT(*) = 50 THEN 'count' ELSE 'timeout' END AS reason
+    FROM (SELECT event_type AS source, event_id % 2 AS shard, time_bucket(INTERVAL '1 day', ts) AS window_start,
+                 CAST(floor((row_number() OVER (PARTITION BY event_type, event_id % 2,
+                                                             time_bucket(INTERVAL '1 day', ts)
+                                                ORDER BY ts, event_id) - 1) / 50) AS BIGINT) AS chunk
+          FROM events)
+    GROUP BY source, shard, window_start, chunk
+    HAVING COUNT(*) = 50
+        OR window_start + INTERVAL '1 day' <= (SELECT date_trunc('milliseconds', MAX(ts)) FROM events)
+    """
 )
 def stream_count_or_timeout(spark, sf_dir):
-    """Chunks per source and shard; those of the last, still open window appear once they are full."""
+    """Chunks per source and shard; the last, still open window shows its full chunks only."""
     events = stream(spark, sf_dir, "events").select(
         F.col("event_type").alias("source"),
         F.col("ts").cast("timestamp").alias("ts"),
@@ -172,11 +182,8 @@ def stream_count_or_timeout(spark, sf_dir):
         "window_start",
         "window_end",
         "chunk",
-        F.col("n").cast("bigint").alias("n"),
-        "first_ts",
-        "last_ts",
+        F.size("documents").cast("bigint").alias("n"),
         "reason",
-        F.when(F.col("reason") == "count", F.col("last_ts")).otherwise(F.col("window_end")).alias("fire_ts"),
     )
 
 

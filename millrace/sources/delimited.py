@@ -69,14 +69,25 @@ def read_delimited(
     sep: str = "\t",
     trailing_empty: str = "malformed",
     streaming: bool = False,
+    positions: bool = False,
     **options: str,
 ) -> DataFrame:
     """Read a file or folder whose files each start with the same header line.
 
     Use ``good_rows`` and ``quarantined_rows`` on the result; nothing is lost. Lines equal to the
-    header are headers, wherever a file was split.
+    header are headers, wherever a file was split. With ``positions`` the columns ``_file``,
+    ``_block`` and ``_row`` put the lines in file order.
     """
     header = list(header) if header else header_of(spark, path, sep)
     reader = (spark.readStream if streaming else spark.read).options(**options)
-    lines = reader.text(path).where(F.col("value") != sep.join(header))
+    lines = reader.text(path)
+    if positions:
+        # Lines of one file block are read in order by one task, so row ids grow within a block.
+        lines = lines.select(
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row"),
+            "value",
+        )
+    lines = lines.where(F.col("value") != sep.join(header))
     return split_delimited(lines, header, sep=sep, trailing_empty=trailing_empty)

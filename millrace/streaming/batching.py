@@ -12,7 +12,7 @@ from millrace.session import use_rocksdb
 
 CHUNK = (
     "source STRING, shard INT, window_start TIMESTAMP, window_end TIMESTAMP, chunk BIGINT, n INT, "
-    "reason STRING, first_ts TIMESTAMP, last_ts TIMESTAMP, documents ARRAY<STRING>"
+    "reason STRING, first_ts TIMESTAMP, last_ts TIMESTAMP, documents ARRAY<STRING>"  # at most one chunk
 )
 
 
@@ -24,7 +24,7 @@ class _Chunks(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", "ts TIMESTAMP, seq BIGINT, value STRING")
+        self.pending = handle.getListState("pending", "ts TIMESTAMP, value STRING")
         self.closed = handle.getValueState("closed", "n BIGINT, end_ms BIGINT")
 
     def _chunk(self, key, number: int, rows: list, reason: str) -> Row:
@@ -39,7 +39,7 @@ class _Chunks(StatefulProcessor):
             reason=reason,
             first_ts=min(r[0] for r in rows),
             last_ts=max(r[0] for r in rows),
-            documents=[r[2] for r in rows],
+            documents=[r[1] for r in rows],
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
@@ -47,10 +47,10 @@ class _Chunks(StatefulProcessor):
         number = before[0] if before else 0
         waiting = list(self.pending.get()) if before else []
         end_ms = before[1] if before else None
-        # Arrival order within a micro-batch is the documents' own order.
-        for r in sorted(rows, key=lambda r: (r["ts"], r["seq"])):
+        # In order of arrival, so that one chunk at most is in memory.
+        for r in rows:
             end_ms = r["end_ms"]
-            waiting.append((r["ts"], r["seq"], r["value"]))
+            waiting.append((r["ts"], r["value"]))
             if len(waiting) == self.rows:
                 yield self._chunk(key, number, waiting, "count")
                 number, waiting = number + 1, []
@@ -95,25 +95,21 @@ def chunk_stream(
         shard = F.pmod(F.xxhash64("source", "seq"), F.lit(shards))
     if by_arrival:
         documents = documents.withColumn("ts", F.current_timestamp())
-    else:
-        documents = documents.withWatermark("ts", delay)
     keyed = documents.select(
-        "source",
-        shard.cast("int").alias("shard"),
-        F.window("ts", timeout).alias("w"),
-        "ts",
-        "seq",
-        "value",
+        "source", shard.cast("int").alias("shard"), F.window("ts", timeout).alias("w"), "ts", "value"
     ).select(
         "source",
         "shard",
         F.col("w.start").alias("window_start"),
         F.col("w.end").alias("window_end"),
         "ts",
-        "seq",
         "value",
         F.unix_millis("w.end").alias("end_ms"),
     )
+    if not by_arrival:
+        # The watermark only moves the timers. Without its column in the operator's input Spark
+        # drops no late document; that one gets a chunk of its own.
+        keyed = keyed.withColumn("_clock", F.col("ts")).withWatermark("_clock", delay).drop("_clock")
     return keyed.groupBy("source", "shard", "window_start", "window_end").transformWithState(
         statefulProcessor=_Chunks(rows),
         outputStructType=CHUNK,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Row
@@ -67,11 +68,11 @@ class _CountGate(StatefulProcessor):
         have = before[0] if before else 0
         if have >= self.n:
             return
-        arrivals = sorted(rows, key=lambda r: (r["commit_ts"], r["seq"]))
-        if have + len(arrivals) >= self.n:
-            hit = arrivals[self.n - have - 1]
+        wanted = heapq.nsmallest(self.n - have, rows, key=lambda r: (r["commit_ts"], r["seq"]))
+        if have + len(wanted) == self.n:
+            hit = wanted[-1]
             yield Row(key=key[0], source=hit["source"], commit_ts=hit["commit_ts"], seq=hit["seq"])
-        self.count.update((min(self.n, have + len(arrivals)),))
+        self.count.update((have + len(wanted),))
 
     def close(self) -> None:
         pass
@@ -110,29 +111,28 @@ class _ExpiringGate(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("seen", "mask BIGINT, first_ms BIGINT, last_ms BIGINT")
+        self.state = handle.getValueState("seen", "mask BIGINT, first_ms BIGINT")
 
     def _names(self, mask: int) -> str:
         return ",".join(s for i, s in enumerate(self.sources) if not mask >> i & 1)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         before = self.state.get()
-        mask, first, last = before if before else (0, None, None)
+        mask, first = before if before else (0, None)
         done = mask == self.full
         for r in rows:
             mask |= 1 << self.sources.index(r["source"])
             first = r["first_ms"] if first is None else min(first, r["first_ms"])
-            last = r["first_ms"] if last is None else max(last, r["first_ms"])
         if not before:
             self.handle.registerTimer(first + self.wait_ms)
-        self.state.update((mask, first, last))
+        self.state.update((mask, first))
         if mask == self.full and not done:
             yield Row(key=key[0], status="complete", missing="", first_ms=first)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = self.state.get()
         if now:
-            mask, first, _ = now
+            mask, first = now
             if mask != self.full:
                 yield Row(key=key[0], status="expired", missing=self._names(mask), first_ms=first)
             self.state.clear()
@@ -147,7 +147,8 @@ def expiring_gate_stream(
     """The gate with a limit: keys that stay incomplete for ``wait`` of event time are reported
     once as ``expired``, with what is missing, and forgotten.
 
-    Input columns: key, source, commit_ts (timestamp). ``delay`` is the watermark delay.
+    Input columns: key, source, commit_ts (timestamp). ``delay`` is the watermark delay. The
+    watermark only moves the timers: late acknowledgements still count, none is dropped.
     """
     if len(sources) > MAX_MASK_SOURCES:
         raise ValueError(f"at most {MAX_MASK_SOURCES} sources")
@@ -156,9 +157,11 @@ def expiring_gate_stream(
     acks = usable_acks(acks, sources).select(F.col("key").cast("string").alias("key"), "source", "commit_ts")
     seen = acks.mapInArrow(
         first_seen, "key STRING, source STRING, first_ts TIMESTAMP, last_ts TIMESTAMP, arrivals BIGINT"
-    ).withColumn("first_ms", F.unix_millis("first_ts"))
+    )
     return (
         seen.withWatermark("last_ts", delay)
+        # Without the watermarked column Spark has nothing to filter late rows by.
+        .select("key", "source", F.unix_millis("first_ts").alias("first_ms"))
         .groupBy("key")
         .transformWithState(
             statefulProcessor=_ExpiringGate(sources, _millis(spark, wait)),
