@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from millrace.spec import SourceSpec
 
+_BROKEN = "_broken_text"
+_SEP = "\x01"
 
 def json_key(value: Column | str, key: str = "pcn") -> Column:
     """The key field of a JSON message; null when the text is not JSON or has no such field."""
@@ -67,28 +69,29 @@ def parse_typed(
     A field that cannot be read becomes null and its name goes to ``errors``. With ``strict`` one
     bad field makes the whole part null. Text that is not JSON gives a null part and ``["<json>"]``.
     """
-    raw = F.col("_raw")
-    typed = {f.name: typed_value(raw[f.name], f.dataType, spec.date_format) for f in spec.schema.fields}
-    bad = F.array_compact(
-        F.array(
-            *[
-                F.when(raw[f.name].isNotNull() & typed[f.name].isNull(), F.lit(f.name))
-                for f in spec.schema.fields
-            ]
-        )
+    names = [f.name for f in spec.schema.fields]
+    wire = spec.wire_schema.add(_BROKEN, T.StringType())
+    raw, typed = F.col("_raw"), F.col("_typed")
+    cells = [typed_value(raw[f.name], f.dataType, spec.date_format).alias(f.name) for f in spec.schema.fields]
+    unread = F.concat_ws(
+        _SEP, *[F.when(raw[n].isNotNull() & typed[n].isNull(), F.lit(n)) for n in names]
     )
-    part = F.struct(*[typed[f.name].alias(f.name) for f in spec.schema.fields])
-    # from_json turns broken text into an all-null struct, so ask the parser itself.
-    not_json = F.col(value).isNotNull() & F.get_json_object(value, "$").isNull()
-    bad = F.when(not_json, F.array(F.lit("<json>"))).otherwise(bad)
-    usable = F.col(value).isNotNull() & ~not_json
+    broken = F.col(value).isNotNull() & (raw.isNull() | raw[_BROKEN].isNotNull())
+    bad = (
+        F.when(broken, F.array(F.lit("<json>")))
+        .when(F.col("_unread") == "", F.array().cast("array<string>"))
+        .otherwise(F.split("_unread", _SEP))
+    )
+    usable = F.col(value).isNotNull() & ~broken
     if strict:
-        usable = usable & (F.size(F.col(errors)) == 0)
+        usable = usable & (F.col("_unread") == "")
+    # Each step is used more than once by the next, so Spark keeps them apart: one parse, one cast.
     return (
-        df.withColumn("_raw", F.from_json(value, spec.wire_schema))
-        .withColumn(errors, bad)
-        .withColumn(out, F.when(usable, part))
-        .drop("_raw")
+        df.withColumn("_raw", F.from_json(value, wire, {"columnNameOfCorruptRecord": _BROKEN}))
+        .withColumn("_typed", F.struct(*cells))
+        .withColumn("_unread", unread)
+        .withColumns({errors: bad, out: F.when(usable, typed)})
+        .drop("_raw", "_typed", "_unread")
     )
 
 

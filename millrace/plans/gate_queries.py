@@ -87,7 +87,7 @@ def running_count_query(spark, sf_dir):
 def running_count_split(spark, sf_dir):
     """Running count over few, very large groups; each is split over several tasks."""
     rows = acks(spark, sf_dir).select("source", "commit_ts", "seq")
-    return running_count(rows, key="source", max_group_rows=500)
+    return running_count(rows, key="source", max_group_rows=1500)
 
 
 @query(

@@ -222,4 +222,4 @@ def surrogate_keys_query(spark, sf_dir):
 @query(SQL_SURROGATE)
 def surrogate_keys_split(spark, sf_dir):
     """The same with every source treated as too large for one task."""
-    return _keyed(spark, sf_dir, max_group_rows=300)
+    return _keyed(spark, sf_dir, max_group_rows=1500)
