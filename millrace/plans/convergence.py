@@ -24,7 +24,7 @@ from millrace.sinks.store import Store
 from millrace.sources.delimited import BAD, LINE, good_rows, quarantined_rows, read_delimited
 from millrace.spec import Registry, RunConfig
 from millrace.streaming.enrich import enrich_stream
-from millrace.streaming.jobs import start_batches, start_index
+from millrace.streaming.jobs import start, start_index, write_batch
 
 POSITION = ["_file", "_block", "_row"]
 
@@ -150,8 +150,26 @@ def start_converging(
     config: RunConfig = RunConfig(),
     once: bool = False,
 ) -> StreamingQuery:
-    """Write one enriched JSON line per key, once all sources have committed a part for it."""
-    joined = enrich_stream(committed(spark, root), registry.names)
+    """Write one enriched JSON line per key to ``out/records``, once all sources have committed a
+    part for it. The records are first written to ``out/emitted`` with their keys; these keys go
+    back into the query, which then lets go of their parts."""
+    names = ["key", "value"]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names]).add("batch_id", T.LongType())
+    table = f"{out}/emitted"
+    # The folder must be there before it can be read as a stream.
+    spark.createDataFrame([], schema).write.mode("ignore").partitionBy("batch_id").parquet(table)
+    emitted = spark.readStream.schema(schema).option("ignoreMissingFiles", "true").parquet(table)
+    joined = enrich_stream(committed(spark, root), registry.names, emitted.select("key"))
     full = records(joined, registry, lookup, record_fields, config)
-    lines = full.select(F.to_json(F.struct(*full.columns)).alias("value"))
-    return start_batches(lines, out, checkpoint, fmt="text", once=once, interval=config.chunk_timeout)
+    lines = full.select(F.col(config.key).alias("key"), F.to_json(F.struct(*full.columns)).alias("value"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, table, batch_id)
+        # Read back rather than computed twice.
+        written = batch.sparkSession.read.schema(schema).parquet(table)
+        value = written.where(F.col("batch_id") == batch_id).select("value")
+        write_batch(value, f"{out}/records", batch_id, "text")
+
+    return start(
+        lines.writeStream.outputMode("update").foreachBatch(write), checkpoint, once, config.chunk_timeout
+    )

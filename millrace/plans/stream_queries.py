@@ -130,7 +130,7 @@ def stream_enrich_nway(spark, sf_dir):
         }
     )
     sources = ["billing", *FLAGS]
-    done = run_available(enrich_stream(messages, sources), "enriched")
+    done = run_available(enrich_stream(messages, sources), "enriched", mode="update")
     types = {**{c: t for c, t in orders.dtypes}, **{c: t for c, t in lines.dtypes}}
 
     def ddl(fields):

@@ -1,3 +1,7 @@
+import sys
+
+from pyspark import cloudpickle
+
 from millrace.streaming.batching import chunk_stream
 from millrace.streaming.enrich import enrich_stream
 from millrace.streaming.gate import count_gate_stream, expiring_gate_stream, gate_stream, running_count_stream
@@ -15,3 +19,6 @@ __all__ = [
     "start_batches",
     "start_index",
 ]
+
+# Stateful processors travel to the executors with the query, so these need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

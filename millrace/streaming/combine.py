@@ -57,17 +57,3 @@ def earliest(n: int) -> Callable[[Batches], Batches]:
                 yield from table.filter(pc.less(_run_ranks(table["key"]), n)).to_batches()
 
     return reduce
-
-
-def newest(batches: Batches) -> Batches:
-    """(key, source, version, value) to the newest version of each key and source."""
-    for batch in batches:
-        if batch.num_rows:
-            table = pa.Table.from_batches([batch]).append_column(
-                "_pair", pc.binary_join_element_wise(
-                    batch["key"].cast(pa.string()), batch["source"].cast(pa.string()), "\x1f"
-                )
-            )
-            # The value settles a tie of versions, so the result does not depend on arrival order.
-            table = table.sort_by([("_pair", "ascending"), ("version", "descending"), ("value", "descending")])
-            yield from table.filter(pc.equal(_run_ranks(table["_pair"]), 0)).drop_columns(["_pair"]).to_batches()

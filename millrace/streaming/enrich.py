@@ -1,83 +1,60 @@
-"""Gate and N-way join of streams in one stateful operator."""
+"""Gate and N-way join of streams in one streaming aggregate."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from millrace.session import use_rocksdb
-from millrace.streaming.combine import newest
 
-
-class _JoinParts(StatefulProcessor):
-    """Holds the newest part per source until the last one arrives, then emits all and lets go.
-
-    Of an emitted key only a mark stays, so parts are in state only while their key is open.
-    """
-
-    def __init__(self, sources: Sequence[str], schema: T.StructType):
-        self.sources = list(sources)
-        self.schema = schema
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("parts", self.schema)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        n = len(self.sources)
-        before = self.state.get()
-        if before and before[0]:
-            return
-        versions = list(before[1 : n + 1]) if before else [None] * n
-        values = list(before[n + 1 :]) if before else [None] * n
-        for r in rows:
-            i = self.sources.index(r["source"])
-            if versions[i] is None or (r["version"], r["value"]) > (versions[i], values[i]):
-                versions[i], values[i] = r["version"], r["value"]
-        if any(v is None for v in versions):
-            self.state.update((False, *versions, *values))
-            return
-        self.state.update((True, *[None] * (2 * n)))
-        yield Row(key=key[0], **{f"part_{i}": v for i, v in enumerate(values)})
-
-    def close(self) -> None:
-        pass
-
-
-def enrich_stream(messages: DataFrame, sources: Sequence[str]) -> DataFrame:
-    """Each complete key once, with the JSON text of its newest part from every source.
+def enrich_stream(
+    messages: DataFrame, sources: Sequence[str], emitted: DataFrame | None = None
+) -> DataFrame:
+    """Each complete key once, with the JSON text of its newest part from every source, in the
+    micro-batch in which the last missing part arrives (update mode).
 
     Input columns: key, source, version (any ordered type), value (JSON text). Output: key and one
     text column per source, ready for ``parse_typed`` and ``lookup_join``.
+
+    It runs in the JVM and combines before the shuffle, so a hot key sends one row per input task.
+    As in ``gate_stream``, a key is emitted in the batch that is the greatest of its sources' first
+    batches. ``emitted`` may be the stream of keys (column ``key``) that this query has written:
+    their parts are then replaced in the state by an empty mark that no later part outranks, and
+    the state holds parts of open keys only.
     """
-    use_rocksdb(messages.sparkSession)
-    usable = F.col("source").isin(*sources)
-    for c in ("key", "version", "value"):
-        usable = usable & F.col(c).isNotNull()
-    rows = messages.where(usable).select(
-        F.col("key").cast("string").alias("key"), "source", "version", "value"
-    )
-    version = rows.schema["version"].dataType
-    state = T.StructType(
-        [T.StructField("done", T.BooleanType())]
-        + [T.StructField(f"version_{i}", version) for i in range(len(sources))]
-        + [T.StructField(f"part_{i}", T.StringType()) for i in range(len(sources))]
-    )
-    out = T.StructType(
-        [T.StructField("key", T.StringType())]
-        + [T.StructField(f"part_{i}", T.StringType()) for i in range(len(sources))]
+    known = reduce(and_, [F.col(c).isNotNull() for c in ("key", "version", "value")])
+    rows = messages.where(F.col("source").isin(*sources) & known).select(
+        F.col("key").cast("string").alias("key"),
+        "source",
+        F.struct(F.lit(False).alias("closed"), F.col("version"), F.col("value")).alias("part"),
     )
-    joined = (
-        rows.mapInArrow(newest, rows.schema)
-        .groupBy("key")
-        .transformWithState(
-            statefulProcessor=_JoinParts(sources, state),
-            outputStructType=out,
-            outputMode="Append",
-            timeMode="None",
+    if emitted is not None:
+        rows = rows.unionByName(
+            emitted.select(
+                F.col("key").cast("string").alias("key"),
+                F.lit(None).cast("string").alias("source"),
+                F.struct(
+                    F.lit(True).alias("closed"),
+                    F.lit(None).cast(messages.schema["version"].dataType).alias("version"),
+                    F.lit(None).cast("string").alias("value"),
+                ).alias("part"),
+            )
         )
+    rows = rows.withColumn("_batch", F.current_timestamp())
+
+    parts, batches = [], []
+    for i, name in enumerate(sources):
+        mine = F.col("source") == name
+        parts.append(F.max(F.when(mine | F.col("source").isNull(), F.col("part"))).alias(f"_p{i}"))
+        batches.append(F.min(F.when(mine, F.col("_batch"))).alias(f"_b{i}"))
+    state = rows.groupBy("key").agg(*parts, *batches, F.max("_batch").alias("_now"))
+
+    names = [f"_b{i}" for i in range(len(sources))]
+    complete = reduce(and_, [F.col(b).isNotNull() for b in names])
+    done = F.greatest(*names) if len(names) > 1 else F.col(names[0])
+    return state.where(complete & (done == F.col("_now"))).select(
+        "key", *[F.col(f"_p{i}.value").alias(name) for i, name in enumerate(sources)]
     )
-    return joined.select("key", *[F.col(f"part_{i}").alias(s) for i, s in enumerate(sources)])

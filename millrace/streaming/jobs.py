@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.session import shared_dir
 from millrace.sinks.store import Store
@@ -25,6 +23,19 @@ LOG_SCHEMA = T.StructType(
 )
 
 
+def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
+    """Write a micro-batch to its own ``batch_id=`` folder. A replayed batch replaces itself, so
+    after a restart nothing is there twice."""
+    (
+        df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id")
+        .format(fmt)
+        .save(path)
+    )
+
+
 def start_batches(
     stream: DataFrame,
     path: str,
@@ -33,33 +44,26 @@ def start_batches(
     fmt: str = "parquet",
     once: bool = True,
     interval: str = "20 seconds",
-    prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> StreamingQuery:
-    """Write each micro-batch to its own ``batch_id=`` folder. A replayed batch replaces itself,
-    so after a restart nothing is there twice."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        (
-            prepare(batch)
-            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .format(fmt)
-            .save(path)
-        )
-
-    return _start(stream.writeStream.outputMode(mode).foreachBatch(write), checkpoint, once, interval)
+    """Write every micro-batch of a stream with ``write_batch``."""
+    writer = stream.writeStream.outputMode(mode)
+    return start(
+        writer.foreachBatch(lambda batch, batch_id: write_batch(batch, path, batch_id, fmt)),
+        checkpoint,
+        once,
+        interval,
+    )
 
 
 def start_index(
     messages: DataFrame, store: Store, checkpoint: str, once: bool = False, interval: str = "20 seconds"
 ) -> StreamingQuery:
     """Store a stream of documents and acknowledge each in the store's commit log."""
-    return _start(messages.writeStream.foreachBatch(store.write_batch), checkpoint, once, interval)
+    return start(messages.writeStream.foreachBatch(store.write_batch), checkpoint, once, interval)
 
 
-def _start(writer, checkpoint: str, once: bool, interval: str) -> StreamingQuery:
+def start(writer: DataStreamWriter, checkpoint: str, once: bool, interval: str) -> StreamingQuery:
+    """Run over what is there now and end, or for ever in intervals."""
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
 
@@ -78,13 +82,11 @@ def commit_acks(spark: SparkSession, store: Store, **options: str) -> DataFrame:
     )
 
 
-def run_available(
-    stream: DataFrame, label: str, mode: str = "append", schema: T.StructType | None = None
-) -> DataFrame:
+def run_available(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
     """Process all there is, then return what was written (in fresh folders of the shared dir)."""
     spark = stream.sparkSession
     out = shared_dir(spark, label)
     query = start_batches(stream, out, f"{out}-checkpoint", mode)
     query.awaitTermination()
-    schema = schema or stream.schema
-    return spark.read.schema(schema.add("batch_id", T.LongType())).parquet(out)
+    written = T.StructType([*stream.schema.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(written).parquet(out)

@@ -62,12 +62,12 @@ def _converge(spark, tmp_path):
         health_registry(),
         _lookup(spark, tmp_path),
         RECORD_FIELDS,
-        str(tmp_path / "records"),
+        str(tmp_path / "enriched"),
         str(tmp_path / "cp-converge"),
         once=True,
     )
     query.awaitTermination()
-    return [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "records")).collect()]
+    return [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "enriched/records")).collect()]
 
 
 def test_files_to_records(spark, published):

@@ -101,7 +101,7 @@ def test_enrich_stream_joins_newest_parts(spark, folder):
     feed.add([("k", "a", 1, "a1"), ("k", "a", 3, "a3"), ("j", "b", 1, "jb"), (None, "a", 1, "x")])
     feed.add([("k", "a", 2, "a2"), ("k", "zz", 9, "?"), ("i", "a", 1, "ia"), ("i", "b", 1, "ib")])
     feed.add([("k", "b", 1, "b1"), ("i", "a", 5, "after")])
-    done = run_available(enrich_stream(feed.stream(), ["a", "b"]), "enriched")
+    done = run_available(enrich_stream(feed.stream(), ["a", "b"]), "enriched", "update")
     assert sorted((r["key"], r["a"], r["b"]) for r in done.collect()) == [("i", "ia", "ib"), ("k", "a3", "b1")]
 
 
@@ -113,10 +113,32 @@ def test_hot_key_is_combined_before_the_shuffle(spark, folder):
         "id AS version", "CAST(id AS STRING) AS value",
     ).write.parquet(path)
     stream = spark.readStream.schema(schema).parquet(path)
-    done = run_available(enrich_stream(stream, ["a", "b"]), "hot")
+    done = run_available(enrich_stream(stream, ["a", "b"]), "hot", "update")
     assert [(r["key"], r["a"], r["b"]) for r in done.collect()] == [("hot", "29994", "29997")]
 
 
+def test_parts_of_emitted_keys_leave_the_state(spark, folder):
+    schema = "key STRING, source STRING, version BIGINT, value STRING"
+    feed, out, cp = Feed(spark, folder("parts"), schema), folder("out"), folder("cp")
+    spark.createDataFrame([], "key STRING, batch_id BIGINT").write.partitionBy("batch_id").parquet(out)
+
+    def run():
+        emitted = spark.readStream.schema("key STRING, batch_id BIGINT").parquet(out).select("key")
+        stream = enrich_stream(feed.stream(), ["a", "b"], emitted)
+        start_batches(stream, out, cp, mode="update").awaitTermination()
+        return sorted((r["key"], r["a"], r["b"]) for r in spark.read.parquet(out).collect())
+
+    feed.add([("k", "a", 1, "a1"), ("k", "b", 1, "b1"), ("j", "a", 1, "ja")])
+    assert run() == [("k", "a1", "b1")]
+    feed.add([("k", "a", 7, "again"), ("i", "a", 1, "ia")])
+    assert run() == [("k", "a1", "b1")]
+    state = {r["key"]["key"]: r["value"] for r in spark.read.format("statestore").load(cp).collect()}
+    held = {k: [p["value"] for p in v if hasattr(p, "closed") and p is not None] for k, v in state.items()}
+    assert held == {"k": [None, None], "j": ["ja"], "i": ["ia"]}
+    feed.add([("j", "b", 1, "jb")])
+    assert run() == [("j", "ja", "jb"), ("k", "a1", "b1")]
+
+
 def test_chunks_lose_no_document(spark, folder):
     feed = Feed(spark, folder("docs"), "source STRING, ts TIMESTAMP, seq BIGINT, value STRING")
 
