@@ -129,7 +129,13 @@ def lookup_join(
     one = latest_per_key(lookup, [lookup_key], version)
     right = one.select(F.col(lookup_key).alias("_lookup_key"), F.struct(*lookup.columns).alias(out))
     return join_unique(
-        df.withColumn("_on", F.col(on)), right, {"_on": "_lookup_key"}, "left", max_group_rows, **limits
+        df.withColumn("_on", F.col(on)),
+        right,
+        {"_on": "_lookup_key"},
+        "left",
+        max_group_rows,
+        bound=lookup,
+        **limits,
     ).drop("_on", "_lookup_key")
 
 

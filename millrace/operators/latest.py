@@ -45,5 +45,6 @@ def lookup_by_keys(
     wanted_key: str | None = None,
 ) -> DataFrame:
     """Current documents for a set of keys, in one join instead of one query per key."""
-    keys = wanted.select(F.col(wanted_key or key).alias("_wanted")).where("_wanted IS NOT NULL").distinct()
-    return join_unique(latest_per_key(docs, [key], version), keys, {key: "_wanted"}, "left_semi")
+    named = wanted.select(F.col(wanted_key or key).alias("_wanted")).where("_wanted IS NOT NULL")
+    current = latest_per_key(docs, [key], version)
+    return join_unique(current, named.distinct(), {key: "_wanted"}, "left_semi", bound=named)

@@ -33,7 +33,7 @@ class HotGroups:
         self.groups = list(groups)
         self.count = count
         self.rows = rows
-        self.keys = F.broadcast(keys) if count <= BROADCAST_ROWS else keys
+        self.keys = F.broadcast(keys) if fits_broadcast(keys) else keys
 
     def condition(self, df: DataFrame) -> Column:
         return same_values(df, self.keys, {g: f"_hot_{g}" for g in self.groups})
@@ -115,7 +115,8 @@ def _position_by_ranges(
         .withColumn("_shift", F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1)
         .drop("_first", "_n")
     )
-    if slices + hot.count <= BROADCAST_ROWS:
+    runs = materialize(runs, "runs")
+    if fits_broadcast(runs):
         runs = F.broadcast(runs)
     same = same_values(stored, runs, {g: f"_run_{g}" for g in groups})
     return (
@@ -128,7 +129,9 @@ def _position_by_ranges(
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure a table, rows and bytes, in one aggregate pass."""
+    """Measure a table: its rows, and if those are few enough its bytes."""
+    if df.count() > max_rows:
+        return False
 
     def width(f: T.StructField) -> Column:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
@@ -138,8 +141,7 @@ def fits_broadcast(
         return F.lit(8)
 
     row = sum((width(f) for f in df.schema.fields), F.lit(16)).cast("bigint")
-    size = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()
-    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
+    return (df.agg(F.sum(row)).first()[0] or 0) <= max_bytes
 
 
 def join_unique(
@@ -150,24 +152,23 @@ def join_unique(
     max_group_rows: int = MAX_GROUP_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Join to a table that has one row per key; ``on`` maps left to right column names.
 
     A right side of proven small size is broadcast. Otherwise left rows of hot keys join against
     the broadcast right rows of just those keys, and all other rows take the shuffle join.
     ``how`` is left, inner, left_semi or left_anti. Left and right column names must differ.
+    ``bound`` may be a table, cheaper to measure, that is at least as large as the right side.
     """
 
     def condition(a: DataFrame, b: DataFrame) -> Column:
         return reduce(and_, [a[x] == b[y] for x, y in on.items()])
 
-    if left.isStreaming:
-        small = fits_broadcast(right, broadcast_rows, broadcast_bytes)
+    small = fits_broadcast(right if bound is None else bound, broadcast_rows, broadcast_bytes)
+    if small or left.isStreaming:
         other = F.broadcast(right) if small else right
         return left.join(other, condition(left, other), how)
-    if fits_broadcast(right, broadcast_rows, broadcast_bytes):
-        other = F.broadcast(right)
-        return left.join(other, condition(left, other), how)
     hot = hot_groups(left, list(on), max_group_rows)
     if hot is None:
         return left.join(right, condition(left, right), how)
@@ -175,7 +176,7 @@ def join_unique(
     hot_right = right.join(
         hot.keys, reduce(and_, [right[y] == hot.keys[x] for x, y in renamed.items()]), "left_semi"
     )
-    if hot.count <= broadcast_rows and fits_broadcast(hot_right, broadcast_rows, broadcast_bytes):
+    if fits_broadcast(hot_right):
         hot_right = F.broadcast(hot_right)
     hot_left = left.join(hot.keys, hot.condition(left), "left_semi")
     cold_left = left.join(hot.keys, hot.condition(left), "left_anti")

@@ -20,9 +20,10 @@ from millrace.spec import SourceSpec
     SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
            CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS c_acctbal, c_mktsegment
     FROM customer
-    """
+    """,
+    name="read_delimited",
 )
-def read_delimited_customers(spark, sf_dir):
+def read_delimited_query(spark, sf_dir):
     path = shared_dir(spark, "customers-tsv")
     customers = table(spark, sf_dir, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(18,2)"))
     customers.write.options(header=True, sep="\t", quote="", emptyValue="", nullValue="").csv(path)

@@ -9,6 +9,7 @@ from millrace.plans.data import LINE_VERSION, SQL_VERSION
 from millrace.session import shared_dir
 from millrace.sinks.lookup import load_lookup
 from millrace.sinks.store import Store, write_status_counts
+from millrace.sinks.text import topic_messages, write_json_text
 
 BATCH_FLAGS = ["A", "N", "R"]
 # A line of fifty pieces has lost its key.
@@ -74,3 +75,27 @@ def lookup_load(spark, sf_dir):
     customers = table(spark, sf_dir, "customer")
     # Loaded twice over: the second copy must not show.
     return load_lookup(customers.unionAll(customers), shared_dir(spark, "lookup"), "c_custkey")
+
+
+SQL_ORDER_JSON = """
+    '{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '","o_orderpriority":"'
+    || o_orderpriority || '"}'
+"""
+
+
+def _order_cards(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+
+
+@query(f"SELECT {SQL_ORDER_JSON} AS value FROM orders")
+def json_text_sink(spark, sf_dir):
+    path = shared_dir(spark, "json")
+    write_json_text(_order_cards(spark, sf_dir), path)
+    return spark.read.text(path)
+
+
+@query(f"SELECT CAST(NULL AS VARCHAR) AS key, {SQL_ORDER_JSON} AS value FROM orders", name="topic_messages")
+def topic_messages_query(spark, sf_dir):
+    """What a topic would be sent; there is no broker here."""
+    orders = _order_cards(spark, sf_dir)
+    return topic_messages(orders.select(F.to_json(F.struct(*orders.columns)).alias("value")))

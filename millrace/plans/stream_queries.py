@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.operators.batching import tumbling_window
 from millrace.operators.enrich import lookup_join
 from millrace.operators.latest import latest_per_key
 from millrace.plans.catalog import query, table
@@ -20,7 +21,7 @@ from millrace.plans.data import (
     SQL_VERSION,
 )
 from millrace.plans.gate_queries import SQL_PROGRESS
-from millrace.plans.join_queries import LINE_OUT, SQL_ENRICHED
+from millrace.plans.join_queries import LINE_OUT, SQL_ENRICHED, SQL_ORDER_CUSTOMER
 from millrace.plans.store_queries import SQL_LINES
 from millrace.session import shared_dir
 from millrace.sinks.store import Store
@@ -225,3 +226,30 @@ def stream_union_sources(spark, sf_dir):
         }
     )
     return run_available(merged, "union").drop("batch_id")
+
+
+@query(SQL_ORDER_CUSTOMER)
+def stream_lookup_join(spark, sf_dir):
+    """Orders as a stream, customers as a static lookup."""
+    found = lookup_join(
+        stream(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"), "o_custkey", "c_custkey", "customer"
+    )
+    joined = found.select("o_orderkey", "o_custkey", "o_totalprice", "customer.c_name", "customer.c_acctbal")
+    return run_available(joined, "lookup").drop("batch_id")
+
+
+@query(
+    """
+    SELECT time_bucket(INTERVAL '20 seconds', ts) AS window_start,
+           time_bucket(INTERVAL '20 seconds', ts) + INTERVAL '20 seconds' AS window_end,
+           event_type, COUNT(*) AS n, MIN(ts) AS first_ts, MAX(ts) AS last_ts
+    FROM events GROUP BY ALL
+    """
+)
+def stream_tumbling_window(spark, sf_dir):
+    """Windows counted over four micro-batches; the last update of each window stands."""
+    events = arriving_in_steps(table(spark, sf_dir, "events"), "events")
+    windows = tumbling_window(events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "20 seconds", ["event_type"])
+    updates = run_available(windows, "windows", mode="update")
+    keys = ["window_start", "window_end", "event_type"]
+    return _plain_time(latest_per_key(updates, keys, ["batch_id"], ["n", "first_ts", "last_ts"]))

@@ -2,7 +2,7 @@
 
 Layout below the root::
 
-    data/status=ok|failed/source=.../batch_id=.../   every document as it was written
+    data/batch_id=.../status=ok|failed/source=.../   every document as it was written
     log/batch_id=.../                                 one row per written document
 
 Batches are only ever appended or replaced as a whole, so writing the same batch again (after a
@@ -13,12 +13,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.latest import latest_per_key
 
+FOLDERS = {"batch_id": T.LongType(), "status": T.StringType(), "source": T.StringType()}
+
 
 class Store:
     """``fields`` are the columns of a document besides its source."""
@@ -58,14 +61,19 @@ class Store:
             .withColumn("batch_id", batch)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("status", "source", "batch_id")
+            .partitionBy(*FOLDERS)
             .parquet(self.data_path)
         )
-        # Read back: a document is acknowledged only once a reader can see it.
+        # Read back this batch's folder: a document is acknowledged only once a reader can see it.
+        try:
+            stored = self._read(spark, f"{self.data_path}/batch_id={batch_id}")
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return  # an empty batch writes nothing
+            raise
         commit_ts = committed if committed is not None else F.current_timestamp()
         (
-            self._read(spark)
-            .where(F.col("batch_id") == batch)
+            stored
             .select(
                 "batch_id",
                 "source",
@@ -81,12 +89,12 @@ class Store:
             .parquet(self.log_path)
         )
 
-    def _read(self, spark: SparkSession) -> DataFrame:
+    def _read(self, spark: SparkSession, path: str | None = None) -> DataFrame:
         # Folder names are text; do not let "007" be read as a number.
-        folders = {"status": T.StringType(), "source": T.StringType(), "batch_id": T.LongType()}
-        found = spark.read.parquet(self.data_path).schema
-        schema = T.StructType([T.StructField(f.name, folders.get(f.name, f.dataType)) for f in found])
-        return spark.read.schema(schema).parquet(self.data_path)
+        reader = spark.read.option("basePath", self.data_path)
+        found = reader.parquet(path or self.data_path).schema
+        schema = T.StructType([T.StructField(f.name, FOLDERS.get(f.name, f.dataType)) for f in found])
+        return reader.schema(schema).parquet(path or self.data_path)
 
     def documents(self, spark: SparkSession, source: str | None = None) -> DataFrame:
         """Every stored version; the source filter prunes folders."""
@@ -107,14 +115,19 @@ class Store:
     def log(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.log_path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
-    def compact(self, spark: SparkSession, root: str) -> "Store":
-        """Write the current documents as a new, smaller store; switch readers to it afterwards."""
+    def compact(self, spark: SparkSession, root: str, upto: int) -> "Store":
+        """Write the current documents of all batches up to ``upto`` as one batch of a new store.
+
+        Meanwhile later batches may be written here; copy or replay them, then switch readers.
+        """
         target = Store(root, self.key, self.version)
+        documents = self.documents(spark).where(F.col("batch_id") <= upto)
         (
-            self.current(spark)
+            latest_per_key(documents, ["source", self.key], [*self.version, "batch_id"])
+            .withColumn("batch_id", F.lit(upto).cast("bigint"))
             .withColumn("error", F.lit(None).cast("string"))
             .withColumn("status", F.lit("ok"))
-            .write.partitionBy("status", "source", "batch_id")
+            .write.partitionBy(*FOLDERS)
             .parquet(target.data_path)
         )
         return target

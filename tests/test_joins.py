@@ -84,6 +84,7 @@ def test_hot_groups_and_size_check(spark):
     assert fits_broadcast(df, max_rows=100) and not fits_broadcast(df, max_rows=99)
     assert not fits_broadcast(df, max_bytes=1000)
     assert fits_broadcast(df.limit(0), max_bytes=0)
+    assert not fits_broadcast(spark.range(3).selectExpr("repeat('x', 1000) AS s"), max_bytes=2000)
 
 
 def test_lookup_by_keys_returns_one_document_per_key(spark):

@@ -52,7 +52,7 @@ def test_compaction_keeps_the_current_state(spark, folder):
     s = store(folder)
     for b in range(4):
         s.write_batch(spark.createDataFrame([("a", "k", b, str(b)), ("a", f"k{b}", b, "x")], DOC), b)
-    small = s.compact(spark, folder("compact"))
+    small = s.compact(spark, folder("compact"), 3)
     want = sorted(map(tuple, s.current(spark).select("source", "pcn", "v", "x").collect()))
     assert sorted(map(tuple, small.current(spark).select("source", "pcn", "v", "x").collect())) == want
     assert small.documents(spark).count() == 5
@@ -60,6 +60,21 @@ def test_compaction_keeps_the_current_state(spark, folder):
     assert small.current(spark).where("pcn = 'k'").first()["x"] == "nine"
 
 
+def test_compaction_stops_at_a_batch(spark, folder):
+    s = store(folder)
+    for b in range(3):
+        s.write_batch(spark.createDataFrame([("a", "k", b, str(b))], DOC), b)
+    assert s.compact(spark, folder("compact"), 1).current(spark).first()["x"] == "1"
+
+
+def test_empty_batch(spark, folder):
+    s = store(folder)
+    s.write_batch(spark.createDataFrame([], DOC), 0)
+    s.write_batch(spark.createDataFrame([("a", "k", 1, "x")], DOC), 1)
+    s.write_batch(spark.createDataFrame([], DOC), 2)
+    assert s.log(spark).count() == 1
+
+
 def test_lookup_reload_does_not_duplicate(spark, folder):
     path = folder("lookup")
     dim = spark.createDataFrame([("p", "a"), ("p", "b"), ("q", None)], "patientID STRING, n STRING")

@@ -1,9 +1,11 @@
 """Streams over several micro-batches, with repeats, lateness and restarts."""
 
+import time
 from datetime import datetime, timedelta
 from itertools import permutations
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from millrace.operators.gate import gate_distinct
@@ -159,6 +161,27 @@ def test_chunks_lose_no_document(spark, folder):
     assert len(documents) == len(set(documents)) == 136  # the last window is still open
 
 
+def test_chunks_by_time_of_arrival(spark, folder):
+    feed = Feed(spark, folder("docs"), "source STRING, ts TIMESTAMP, seq BIGINT, value STRING")
+    feed.add([("s", T0, i, str(i)) for i in range(70)])
+    out = folder("out")
+    chunks = chunk_stream(feed.stream(), shards=1, rows=50, timeout="5 seconds")
+    query = start_batches(chunks, out, folder("cp"), once=False, interval="1 second")
+    try:
+        deadline = time.time() + 90
+        rows = []
+        while time.time() < deadline and sum(r["n"] for r in rows) < 70:
+            time.sleep(2)
+            assert query.exception() is None
+            try:
+                rows = spark.read.parquet(out).collect()
+            except AnalysisException:
+                pass  # nothing written yet
+    finally:
+        query.stop()
+    assert sorted((r["n"], r["reason"]) for r in rows) == [(20, "timeout"), (50, "count")]
+
+
 def test_index_then_gate_over_the_commit_log(spark, folder):
     schema = "source STRING, pcn STRING, v INT, x STRING"
     feed, store = Feed(spark, folder("docs"), schema), Store(folder("store"), "pcn", ["v"])
