@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.jsonio import drop_nested_key
@@ -19,22 +19,49 @@ from millrace.session import materialize
 
 @dataclass
 class Part:
-    """Rows of one source: where the key is, what orders its versions, which fields a record gets."""
+    """Rows of one source: where the key is, what orders its versions, which fields a record gets.
+
+    Sources kept in one table are told apart by ``where``; pass the same ``df`` object for them and
+    the table is scanned once for all.
+    """
 
     name: str
     df: DataFrame
     key: str
     version: Sequence[str]
     fields: Sequence[str] = field(default_factory=list)
+    where: Column | None = None
 
     def __post_init__(self):
         self.fields = list(self.fields) or [c for c in self.df.columns if c != self.key]
 
-    def acks(self) -> DataFrame:
-        """The part's arrivals, as input for the gate."""
-        return self.df.select(
-            F.col(self.key).alias("key"), F.lit(self.name).alias("source"), F.col(self.version[0]).alias("commit_ts")
+    @property
+    def mine(self) -> Column:
+        usable = F.col(self.key).isNotNull() & F.col(self.version[0]).isNotNull()
+        return usable if self.where is None else usable & self.where
+
+
+def _by_table(parts: Sequence[Part]) -> list[list[Part]]:
+    tables: dict[tuple, list[Part]] = {}
+    for p in parts:
+        tables.setdefault((id(p.df), p.key), []).append(p)
+    return list(tables.values())
+
+
+def part_acks(parts: Sequence[Part]) -> DataFrame:
+    """The arrivals of all parts as input for the gate: key, source, commit_ts."""
+    slices = []
+    for shared in _by_table(parts):
+        hits = F.array_compact(
+            F.array(
+                *[
+                    F.when(p.mine, F.struct(F.lit(p.name).alias("source"), F.col(p.version[0]).alias("commit_ts")))
+                    for p in shared
+                ]
+            )
         )
+        slices.append(shared[0].df.select(F.col(shared[0].key).alias("key"), F.inline(hits)))
+    return reduce(lambda a, b: a.unionByName(b), slices)
 
 
 def enrich_nway(
@@ -59,10 +86,13 @@ def enrich_nway(
         parts = _until_completion(parts, max_group_rows)
     names = [p.name for p in parts]
     slices = [
-        p.df.where(F.col(p.version[0]).isNotNull() & F.col(p.key).isNotNull()).select(
-            F.col(p.key).alias(key), newest_struct(p.version, p.fields).alias(f"_{p.name}")
+        shared[0]
+        .df.where(reduce(or_, [p.mine for p in shared]))
+        .select(
+            F.col(shared[0].key).alias(key),
+            *[F.when(p.mine, newest_struct(p.version, p.fields)).alias(f"_{p.name}") for p in shared],
         )
-        for p in parts
+        for shared in _by_table(parts)
     ]
     found = [F.max(f"_{n}").alias(f"_{n}") for n in names]
     if gate is None:
@@ -92,23 +122,18 @@ def enrich_nway(
 
 
 def _until_completion(parts: Sequence[Part], max_group_rows: int) -> list[Part]:
-    acks = reduce(lambda a, b: a.unionByName(b), [p.acks() for p in parts])
-    done = gate_distinct(acks, [p.name for p in parts]).select(
+    done = gate_distinct(part_acks(parts), [p.name for p in parts]).select(
         F.col("key").alias("_done_key"), F.col("completed_ts").alias("_done_ts")
     )
     done = materialize(done, "complete")
-    return [
-        Part(
-            p.name,
-            join_unique(p.df, done, {p.key: "_done_key"}, "inner", max_group_rows)
-            .where(F.col(p.version[0]) <= F.col("_done_ts"))
-            .drop("_done_key", "_done_ts"),
-            p.key,
-            p.version,
-            p.fields,
-        )
-        for p in parts
-    ]
+    early = []
+    for shared in _by_table(parts):
+        df = join_unique(shared[0].df, done, {shared[0].key: "_done_key"}, "inner", max_group_rows)
+        for p in shared:
+            in_time = F.col(p.version[0]) <= F.col("_done_ts")
+            early.append(replace(p, df=df, where=in_time if p.where is None else in_time & p.where))
+    order = [p.name for p in parts]
+    return sorted(early, key=lambda p: order.index(p.name))
 
 
 def lookup_join(

@@ -24,7 +24,10 @@ def take_rows(
     """The first ``n`` rows of each source in file order. Malformed rows use up the budget too,
     so take rows before dropping those."""
     if source is None:
-        return df.orderBy(*order).limit(n)
+        if n <= _PRE_LIMIT:
+            return df.orderBy(*order).limit(n)
+        whole = df.withColumn("_all", F.lit(0))
+        return take_rows(whole, n, order, "_all", max_group_rows).drop("_all")
     if n > _PRE_LIMIT:
         numbered = ordered_position(df, [source], order, "_rank", max_group_rows)
     else:

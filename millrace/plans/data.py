@@ -31,7 +31,7 @@ def parts(spark: SparkSession, sf_dir: str) -> list[Part]:
     return [
         Part("billing", orders, "o_orderkey", ["o_orderdate"], ORDER_FIELDS),
         *[
-            Part(name, lines.where(F.col("l_returnflag") == flag), "l_orderkey", LINE_VERSION, LINE_FIELDS)
+            Part(name, lines, "l_orderkey", LINE_VERSION, LINE_FIELDS, F.col("l_returnflag") == flag)
             for name, flag in FLAGS.items()
         ],
     ]

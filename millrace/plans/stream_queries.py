@@ -50,16 +50,25 @@ def _acks(events):
     return events.select(
         F.concat_ws("|", F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM-dd")).alias("key"),
         F.col("event_type").alias("source"),
-        F.col("ts").cast("timestamp").alias("commit_ts"),
+        _instant("ts").alias("commit_ts"),
         F.col("event_id").alias("seq"),
     )
 
 
+def _instant(column):
+    """Table times carry no zone; as points in time they are UTC, whatever the session's zone."""
+    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(column))
+    return local.cast("timestamp").alias(column)
+
+
 def _plain_time(df):
-    """Back to timestamps without a zone, as the tables have them."""
-    return df.select(
-        *[F.col(n).cast("timestamp_ntz").alias(n) if t == "timestamp" else F.col(n) for n, t in df.dtypes]
-    )
+    """Back to times without a zone, as the tables have them."""
+
+    def utc(name):
+        local = F.col(name).cast("timestamp_ntz")
+        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local).alias(name)
+
+    return df.select(*[utc(n) if t == "timestamp" else F.col(n) for n, t in df.dtypes])
 
 
 @query(f"SELECT key FROM ({SQL_PROGRESS}) WHERE n_sources = 5")
@@ -106,10 +115,13 @@ def stream_gate_expired(spark, sf_dir):
     return done.select("key", "status", n.cast("bigint").alias("n_missing"))
 
 
-def _message(df, key, version, fields):
+def _message(df, key, version, fields, source):
     """Parts as messages; the version is text that sorts like the version columns."""
     return df.select(
-        F.col(key).cast("string").alias("key"), version.alias("version"), F.to_json(F.struct(*fields)).alias("value")
+        F.col(key).cast("string").alias("key"),
+        source.alias("source"),
+        version.alias("version"),
+        F.to_json(F.struct(*fields)).alias("value"),
     )
 
 
@@ -121,15 +133,9 @@ def stream_enrich_nway(spark, sf_dir):
         F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"),
         *[F.col(c) for c in LINE_VERSION[1:]],
     )
-    messages = union_sources(
-        {
-            "billing": _message(orders, "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd"), ORDER_FIELDS),
-            **{
-                name: _message(lines.where(F.col("l_returnflag") == flag), "l_orderkey", line_version, LINE_FIELDS)
-                for name, flag in FLAGS.items()
-            },
-        }
-    )
+    bills = _message(orders, "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd"), ORDER_FIELDS, F.lit("billing"))
+    flag = F.concat(F.lit("flag_"), F.lower("l_returnflag"))
+    messages = bills.unionByName(_message(lines, "l_orderkey", line_version, LINE_FIELDS, flag))
     sources = ["billing", *FLAGS]
     done = run_available(enrich_stream(messages, sources), "enriched", mode="update")
     types = {**{c: t for c, t in orders.dtypes}, **{c: t for c, t in lines.dtypes}}
@@ -171,7 +177,7 @@ def stream_count_or_timeout(spark, sf_dir):
     """Chunks per source and shard; the last, still open window shows its full chunks only."""
     events = stream(spark, sf_dir, "events").select(
         F.col("event_type").alias("source"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        _instant("ts"),
         F.col("event_id").alias("seq"),
         F.col("props").alias("value"),
     )
@@ -249,7 +255,7 @@ def stream_lookup_join(spark, sf_dir):
 def stream_tumbling_window(spark, sf_dir):
     """Windows counted over four micro-batches; the last update of each window stands."""
     events = arriving_in_steps(table(spark, sf_dir, "events"), "events")
-    windows = tumbling_window(events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "20 seconds", ["event_type"])
+    windows = tumbling_window(events.withColumn("ts", _instant("ts")), "ts", "20 seconds", ["event_type"])
     updates = run_available(windows, "windows", mode="update")
     keys = ["window_start", "window_end", "event_type"]
     return _plain_time(latest_per_key(updates, keys, ["batch_id"], ["n", "first_ts", "last_ts"]))

@@ -69,6 +69,9 @@ def test_file_order_over_blocks(spark, tmp_path):
         assert sorted(int(r["n"]) for r in first.collect()) == list(range(50))
         many = take_rows(lines, 1500, ["_file", "_block", "_row"], max_group_rows=400)
         assert sorted(int(r["n"]) for r in many.collect()) == list(range(1500))
+        for n, limit in ((20, 400), (1500, 400), (1500, 10_000)):
+            whole = take_rows(lines, n, ["_file", "_block", "_row"], source=None, max_group_rows=limit)
+            assert sorted(int(r["n"]) for r in whole.collect()) == list(range(n))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 

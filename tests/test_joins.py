@@ -39,6 +39,17 @@ def test_as_of_completion_ignores_later_versions(spark):
     assert enrich_nway([a, b], as_of="completion").first()["a"]["x"] == "a1"
 
 
+def test_sources_in_one_table(spark):
+    df = spark.createDataFrame(
+        [("k", 1, "xa", "a"), ("k", 2, "xb", "b"), ("k", 9, "late", "a"), ("j", 1, "y", "a"), ("k", 1, "z", "zz")],
+        "pcn STRING, v INT, x STRING, s STRING",
+    )
+    both = [Part(n, df, "pcn", ["v"], ["x"], F.col("s") == n) for n in "ab"]
+    for as_of, a in (("latest", "late"), ("completion", "xa")):
+        rows = enrich_nway(both, as_of=as_of).collect()
+        assert [(r["key"], r["a"]["x"], r["b"]["x"]) for r in rows] == [("k", a, "xb")]
+
+
 def test_lookup_miss_and_duplicate(spark):
     df = spark.createDataFrame([(1, "p"), (2, "q"), (3, None)], "id INT, pid STRING")
     dim = spark.createDataFrame([("p", 1, "old"), ("p", 2, "new"), ("z", 1, "z")], "patientID STRING, v INT, n STRING")

@@ -50,7 +50,12 @@ def test_small_lookup_is_broadcast(spark):
 def test_columns_and_filters_reach_the_scan(spark):
     text = plan(enrich_nway(parts(spark, SF)))
     assert "l_tax" not in text and "l_discount" not in text
-    assert "EqualTo(l_returnflag,A)" in text
+    assert "Or(" in text and "EqualTo(l_returnflag,A)" in text
+
+
+def test_a_shared_table_is_scanned_once(spark):
+    text = plan(enrich_nway(parts(spark, SF)))
+    assert len(re.findall(r"^\(\d+\) Scan parquet", text, re.M)) == 2
 
 
 SINGLE = {"probe_cost"}  # one row over all keys, already combined
