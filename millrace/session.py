@@ -34,7 +34,7 @@ def shared_dir(spark: SparkSession, label: str) -> str:
 
     Only a local master may fall back to a folder of this machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
