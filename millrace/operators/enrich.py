@@ -128,7 +128,7 @@ def _until_completion(parts: Sequence[Part], max_group_rows: int) -> list[Part]:
     done = materialize(done, "complete")
     early = []
     for shared in _by_table(parts):
-        df = join_unique(shared[0].df, done, {shared[0].key: "_done_key"}, "inner", max_group_rows)
+        df = join_unique(shared[0].df, done, {shared[0].key: "_done_key"}, "inner", max_group_rows, stored=True)
         for p in shared:
             in_time = F.col(p.version[0]) <= F.col("_done_ts")
             early.append(replace(p, df=df, where=in_time if p.where is None else in_time & p.where))
@@ -143,12 +143,12 @@ def lookup_join(
     lookup_key: str,
     out: str,
     version: Sequence[str] = (),
-    max_group_rows: int = MAX_GROUP_ROWS,
-    **limits: int,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
+    **limits,
 ) -> DataFrame:
     """Add the matching lookup row as struct ``out``; null where there is none.
 
-    ``on`` may be a path such as ``billing_cost.patientID``. Repeated lookup keys are resolved to
+    Limits are those of ``join_unique``. ``on`` may be a path such as ``billing_cost.patientID``. Repeated lookup keys are resolved to
     one row: the newest by ``version``, or the greatest by value when there is no version.
     """
     one = latest_per_key(lookup, [lookup_key], version)

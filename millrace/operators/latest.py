@@ -46,5 +46,7 @@ def lookup_by_keys(
 ) -> DataFrame:
     """Current documents for a set of keys, in one join instead of one query per key."""
     named = wanted.select(F.col(wanted_key or key).alias("_wanted")).where("_wanted IS NOT NULL")
-    current = latest_per_key(docs, [key], version)
-    return join_unique(current, named.distinct(), {key: "_wanted"}, "left_semi", bound=named)
+    current = latest_per_key(docs, [key], version)  # one row per key: nothing is hot
+    return join_unique(
+        current, named.distinct(), {key: "_wanted"}, "left_semi", max_group_rows=None, bound=named
+    )

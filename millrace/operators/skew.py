@@ -149,10 +149,11 @@ def join_unique(
     right: DataFrame,
     on: dict[str, str],
     how: str = "left",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
     bound: DataFrame | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Join to a table that has one row per key; ``on`` maps left to right column names.
 
@@ -160,6 +161,8 @@ def join_unique(
     the broadcast right rows of just those keys, and all other rows take the shuffle join.
     ``how`` is left, inner, left_semi or left_anti. Left and right column names must differ.
     ``bound`` may be a table, cheaper to measure, that is at least as large as the right side.
+    The split reads the left side three times; unless it is ``stored`` as a table already it is
+    written first. ``max_group_rows=None`` says that no left key can be hot.
     """
 
     def condition(a: DataFrame, b: DataFrame) -> Column:
@@ -169,6 +172,9 @@ def join_unique(
     if small or left.isStreaming:
         other = F.broadcast(right) if small else right
         return left.join(other, condition(left, other), how)
+    if max_group_rows is None:
+        return left.join(right, condition(left, right), how)
+    left = left if stored else materialize(left, "left")
     hot = hot_groups(left, list(on), max_group_rows)
     if hot is None:
         return left.join(right, condition(left, right), how)

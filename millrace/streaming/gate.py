@@ -23,7 +23,8 @@ def gate_stream(
     first time of each source it keeps the micro-batch in which that source was first seen. A key
     is complete in the greatest of these; it is emitted when that is the batch now running, which
     for a touched key is the greatest batch time in its state. Batch times come from the query's
-    log, so a replayed batch emits the same keys.
+    log, so a replayed batch emits the same keys. Should the clock be set back between batches, a
+    key touched again may come out twice, but none is lost.
     """
     acks = usable_acks(acks, sources, key, ts).withColumn("_batch", F.current_timestamp())
     firsts, seen = [], []

@@ -1,6 +1,8 @@
 from datetime import datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.functions.jsonio import part_json
@@ -125,3 +127,32 @@ def test_version_columns_of_several_types(spark):
         "pcn STRING, ts TIMESTAMP, n INT, x STRING",
     )
     assert latest_per_key(df, ["pcn"], ["ts", "n"]).select(F.max("x")).first()[0] == "c"
+
+
+ROW = st.tuples(st.sampled_from("ijk"), st.sampled_from("ab"), st.integers(0, 5), st.sampled_from("xyz"))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(ROW, min_size=1, max_size=20), st.randoms())
+def test_enrichment_does_not_depend_on_order(spark, rows, random):
+    newest = {}
+    for k, s, v, x in rows:
+        newest[k, s] = max(newest.get((k, s), (v, x)), (v, x))
+    wanted = sorted(
+        (k, newest[k, "a"][1], newest[k, "b"][1]) for k in "ijk" if (k, "a") in newest and (k, "b") in newest
+    )
+    random.shuffle(rows)
+    df = spark.createDataFrame(rows, "pcn STRING, s STRING, v INT, x STRING").repartition(3)
+    both = [Part(n, df, "pcn", ["v"], ["x"], F.col("s") == n) for n in "ab"]
+    assert sorted((r["key"], r["a"]["x"], r["b"]["x"]) for r in enrich_nway(both).collect()) == wanted
+
+
+def test_a_large_lookup_after_an_aggregate(spark):
+    df = spark.range(300).selectExpr("CAST(id AS STRING) AS pcn", "1 AS v", "IF(id % 3 = 0, 'p0', concat('p', id)) AS pid")
+    records = enrich_nway([Part("billing", df, "pcn", ["v"], ["pid"])])
+    dim = spark.range(200).selectExpr("concat('p', id) AS patientID", "id AS n")
+    limits = {"max_group_rows": 50, "broadcast_rows": 0}
+    split = lookup_join(records, dim, "billing.pid", "patientID", "patient", **limits)
+    plain = lookup_join(records, dim, "billing.pid", "patientID", "patient")
+    assert sorted(map(repr, split.collect())) == sorted(map(repr, plain.collect()))
+    assert split.where("patient.n = 0").count() == 100

@@ -5,14 +5,14 @@ from datetime import datetime, timedelta
 from itertools import permutations
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from millrace.operators.gate import gate_distinct
 from millrace.streaming.batching import chunk_stream
 from millrace.streaming.enrich import enrich_stream
 from millrace.streaming.gate import count_gate_stream, expiring_gate_stream, gate_stream
-from millrace.streaming.jobs import commit_acks, run_available, start_batches, start_index
+from millrace.streaming.jobs import commit_acks, run_available, start, start_batches, start_index
 from millrace.sinks.store import Store
 
 T0 = datetime(2024, 1, 1)
@@ -199,3 +199,40 @@ def test_same_batch_written_again_is_there_once(spark, folder):
     for _ in range(2):  # two queries that both run batch 0: as after a crash before the commit
         start_batches(feed.stream(), out, folder("cp")).awaitTermination()
     assert spark.read.parquet(out).count() == 2
+
+
+def test_a_crash_between_data_and_log_loses_and_repeats_nothing(spark, folder):
+    schema = "source STRING, pcn STRING, v INT, x STRING"
+
+    class Fragile(Store):
+        crash = True
+
+        def _read(self, spark, path=None):
+            if self.crash:
+                raise RuntimeError("lost between the data and the log")
+            return super()._read(spark, path)
+
+    feed, store, cp = Feed(spark, folder("docs"), schema), Fragile(folder("store"), "pcn", ["v"]), folder("cp")
+    feed.add([("a", "k", 1, "x"), ("b", "k", 1, "y")])
+    with pytest.raises(StreamingQueryException):
+        start_index(feed.stream(), store, cp, once=True).awaitTermination()
+    store.crash = False
+    feed.add([("a", "j", 1, "x")])
+    start_index(feed.stream(), store, cp, once=True).awaitTermination()
+    assert store.documents(spark).count() == 3
+    assert sorted((r["source"], r["key"]) for r in store.log(spark).collect()) == [("a", "j"), ("a", "k"), ("b", "k")]
+
+
+def test_a_crash_in_the_sink_does_not_lose_a_completed_key(spark, folder):
+    feed, out, cp = Feed(spark, folder("acks"), ACK), folder("out"), folder("cp")
+    feed.add(acks("k:a k:b j:a"))
+    broken = gate_stream(feed.stream(), ["a", "b"]).writeStream.outputMode("update")
+
+    def fail(batch, batch_id):
+        raise RuntimeError("sink down")
+
+    with pytest.raises(StreamingQueryException):
+        start(broken.foreachBatch(fail), cp, True, "1 second").awaitTermination()
+    feed.add(acks("j:b k:a", 10))
+    start_batches(gate_stream(feed.stream(), ["a", "b"]), out, cp, mode="update").awaitTermination()
+    assert sorted(r["key"] for r in spark.read.parquet(out).collect()) == ["j", "k"]
