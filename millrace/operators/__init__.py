@@ -1,5 +1,5 @@
 from millrace.operators.batching import assign_chunks, chunk_summary, session_counts, tumbling_window
-from millrace.operators.enrich import Part, assemble, enrich_nway, lookup_join
+from millrace.operators.enrich import Part, assemble, enrich_nway, lookup_join, part_acks, rejected_rows
 from millrace.operators.gate import gate_count, gate_distinct, incomplete_keys, probe_cost, running_count
 from millrace.operators.ingest import ingest_counts, surrogate_keys, take_rows
 from millrace.operators.latest import latest_per_key, lookup_by_keys
@@ -17,7 +17,9 @@ __all__ = [
     "latest_per_key",
     "lookup_by_keys",
     "lookup_join",
+    "part_acks",
     "probe_cost",
+    "rejected_rows",
     "running_count",
     "session_counts",
     "surrogate_keys",

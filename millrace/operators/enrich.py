@@ -41,6 +41,15 @@ class Part:
         return usable if self.where is None else usable & self.where
 
 
+def rejected_rows(part: Part) -> DataFrame:
+    """Rows of a source that no record can use, with the reason."""
+    reason = F.when(F.col(part.key).isNull(), "missing key").when(
+        F.col(part.version[0]).isNull(), "missing version"
+    )
+    own = part.df if part.where is None else part.df.where(part.where)
+    return own.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
 def _by_table(parts: Sequence[Part]) -> list[list[Part]]:
     tables: dict[tuple, list[Part]] = {}
     for p in parts:
@@ -148,8 +157,9 @@ def lookup_join(
 ) -> DataFrame:
     """Add the matching lookup row as struct ``out``; null where there is none.
 
-    Limits are those of ``join_unique``. ``on`` may be a path such as ``billing_cost.patientID``. Repeated lookup keys are resolved to
-    one row: the newest by ``version``, or the greatest by value when there is no version.
+    ``on`` may be a path such as ``billing_cost.patientID``. Repeated lookup keys are resolved to
+    one row: the newest by ``version``, or the greatest by value when there is no version. Limits
+    are those of ``join_unique``.
     """
     one = latest_per_key(lookup, [lookup_key], version)
     right = one.select(F.col(lookup_key).alias("_lookup_key"), F.struct(*lookup.columns).alias(out))

@@ -36,8 +36,8 @@ def gate_distinct_query(spark, sf_dir):
     JOIN (SELECT k.key, string_agg(t.event_type, ',' ORDER BY t.event_type) AS missing
           FROM (SELECT DISTINCT {SQL_KEY} AS key FROM events) k
           CROSS JOIN (SELECT DISTINCT event_type FROM events) t
-          WHERE NOT EXISTS (SELECT 1 FROM events e WHERE {SQL_KEY.replace('user_id', 'e.user_id').replace('(ts,', '(e.ts,')} = k.key
-                            AND e.event_type = t.event_type)
+          WHERE NOT EXISTS (SELECT 1 FROM (SELECT {SQL_KEY} AS key, event_type FROM events) e
+                            WHERE e.key = k.key AND e.event_type = t.event_type)
           GROUP BY k.key) m ON m.key = p.key
     WHERE n_sources < 5
     """,

@@ -9,7 +9,7 @@ from millrace.plans.data import LINE_VERSION, SQL_VERSION
 from millrace.session import shared_dir
 from millrace.sinks.lookup import load_lookup
 from millrace.sinks.store import Store, write_status_counts
-from millrace.sinks.text import topic_messages, write_json_text
+from millrace.sinks.text import ack_messages, topic_messages, write_json_text
 
 BATCH_FLAGS = ["A", "N", "R"]
 # A line of fifty pieces has lost its key.
@@ -70,6 +70,17 @@ def write_status(spark, sf_dir):
     return write_status_counts(_stored_lines(spark, sf_dir).log(spark))
 
 
+@query(
+    f"""
+    SELECT source || '_committed' AS topic, CAST(NULL AS VARCHAR) AS key, CAST(l_orderkey AS VARCHAR) AS value
+    FROM ({SQL_LINES}) WHERE l_orderkey IS NOT NULL
+    """,
+    name="ack_messages",
+)
+def ack_messages_query(spark, sf_dir):
+    return ack_messages(_stored_lines(spark, sf_dir).log(spark))
+
+
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def lookup_load(spark, sf_dir):
     customers = table(spark, sf_dir, "customer")

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.spec import RunConfig
+
 
 def union_sources(parts: Mapping[str, DataFrame], source: str = "source") -> DataFrame:
     """One stream of rows from several, each row tagged with the source it came from."""
@@ -45,6 +47,19 @@ def read_topics(
     )
 
 
+def topic_acks(messages: DataFrame, config: RunConfig = RunConfig()) -> DataFrame:
+    """Messages of ``<source>_committed`` topics as acknowledgements; the source is kept."""
+    name = F.col("source")
+    bare = F.left(name, F.length(name) - len(config.commit_suffix))
+    source = F.when(name.endswith(config.commit_suffix), bare)
+    return messages.select(
+        F.col("value").alias("key"),
+        F.coalesce(source, name).alias("source"),
+        F.col("arrived").alias("commit_ts"),
+        F.col("offset").alias("seq"),
+    )
+
+
 def read_file_streams(
     spark: SparkSession,
     folders: Mapping[str, str],

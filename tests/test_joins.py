@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.functions.jsonio import part_json
-from millrace.operators.enrich import Part, assemble, enrich_nway, lookup_join
+from millrace.operators.enrich import Part, assemble, enrich_nway, lookup_join, rejected_rows
 from millrace.operators.latest import latest_per_key, lookup_by_keys
 from millrace.operators.skew import fits_broadcast, hot_groups, join_unique, ordered_position
 
@@ -34,6 +34,14 @@ def test_absent_part_is_null_and_named(spark):
     assert [r["key"] for r in enrich_nway([a, b]).collect()] == ["j"]
 
 
+def test_unusable_rows_are_kept_apart(spark):
+    a = part(spark, "a", [("k", 1, "x"), (None, 1, "y"), ("k", None, "z")])
+    assert sorted((r["x"], r["reason"]) for r in rejected_rows(a).collect()) == [
+        ("y", "missing key"),
+        ("z", "missing version"),
+    ]
+
+
 def test_as_of_completion_ignores_later_versions(spark):
     a = part(spark, "a", [("k", 1, "a1"), ("k", 9, "a9")])
     b = part(spark, "b", [("k", 5, "b5")])

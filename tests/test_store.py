@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from millrace.operators.batching import assign_chunks, chunk_summary
 from millrace.sinks.lookup import load_lookup
 from millrace.sinks.store import Store, write_status_counts
-from millrace.sinks.text import topic_messages, write_json_text, write_topic
-from millrace.sources.streams import read_topics
+from millrace.sinks.text import ack_messages, topic_messages, write_json_text, write_topic
+from millrace.sources.streams import read_topics, topic_acks
 
 DOC = "source STRING, pcn STRING, v INT, x STRING"
 
@@ -106,6 +106,18 @@ def test_topic_shapes(spark):
         write_topic(stream, "broker:9092", "t")
 
 
+def test_acks_by_topic_and_back(spark, folder):
+    s = store(folder)
+    s.write_batch(spark.createDataFrame([("billing", "k", 1, "x"), ("billing", None, 1, "x")], DOC), 0)
+    out = ack_messages(s.log(spark))
+    assert [tuple(r) for r in out.collect()] == [("billing_committed", None, "k")]
+    received = out.select(
+        "value", F.col("topic").alias("source"), F.current_timestamp().alias("arrived"), F.lit(5).alias("offset")
+    )
+    acks = topic_acks(received.unionByName(received.withColumn("source", F.lit("other"))))
+    assert sorted((r["key"], r["source"], r["seq"]) for r in acks.collect()) == [("k", "billing", 5), ("k", "other", 5)]
+
+
 def _docs(spark, n, second=0):
     ts = datetime(2024, 1, 1, 0, 0, second)
     return spark.range(n).select(F.lit("s").alias("source"), F.lit(ts).alias("ts"), F.col("id"))

@@ -24,5 +24,6 @@ if __name__ == "__main__":
         except Exception as e:  # report and go on with the next query
             problem, rows = f"{type(e).__name__}: {str(e)[:600]}", -1
         bad += problem is not None
-        print(f"{'ok ' if problem is None else 'BAD'} {name:32s} {rows:8d} rows {time.time() - start:6.2f}s {problem or ''}", flush=True)
+        verdict = "ok " if problem is None else "BAD"
+        print(f"{verdict} {name:32s} {rows:8d} rows {time.time() - start:6.2f}s {problem or ''}", flush=True)
     sys.exit(1 if bad else 0)
