@@ -116,3 +116,25 @@ def test_row_budget(spark, tmp_path):
     values = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "out/messages")).collect()]
     assert sorted(v["a"] for v in values) == ["1", "2"]
     assert all(0 <= int(v["pcn"]) < 3 for v in values)
+
+
+def test_the_same_by_command(spark, tmp_path):
+    from millrace.__main__ import main
+
+    (tmp_path / "b.txt").write_text("patientID\ttotalCost\n" + "\n".join(f"p{i}\t{i}" for i in range(5)))
+    (tmp_path / "t.txt").write_text("icd\ttreatmentDesc\tvisitDate\n" + "\n".join(f"i{i}\td\t2014/12/3{i % 2}" for i in range(5)))
+    header = "patientID\tpatientname\tage\tstreetAddress\tcity\temail\tnumber\n"
+    (tmp_path / "p.txt").write_text(header + "\n".join(f"p{i}\tn{i}\t{i}\ts\tc\te\t1" for i in range(5)))
+    at = lambda name: str(tmp_path / name)
+    main(["lookup", "--file", at("p.txt"), "--schema", "patient_info", "--key", "patientID", "--out", at("lookup")])
+    main(["publish", "--source", f"billing_cost={at('b.txt')}", "--source", f"care={at('t.txt')}", "--out", at("out")])
+    main(["index", "--messages", at("out"), "--store", at("store"), "--checkpoint", at("cp1"), "--once"])
+    main(
+        ["converge", "--store", at("store"), "--lookup", at("lookup"), "--out", at("enriched"), "--checkpoint", at("cp2")]
+        + ["--registry", "billing_cost|billing_cost~care|treatment", "--date-format", "yyyy/MM/dd", "--once"]
+    )
+    found = [json.loads(r["value"]) for r in spark.read.text(at("enriched/records")).collect()]
+    assert sorted(r["pcn"] for r in found) == ["0", "1", "2", "3", "4"]
+    for r in found:
+        assert r["patientInfo"]["patientname"][1:] == r["billingCost"]["patientID"][1:]
+        assert r["care"]["visitDate"].startswith("2014-12-3")
