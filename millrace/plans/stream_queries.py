@@ -23,7 +23,7 @@ from millrace.plans.data import (
 from millrace.plans.gate_queries import SQL_PROGRESS
 from millrace.plans.join_queries import LINE_OUT, SQL_ENRICHED, SQL_ORDER_CUSTOMER
 from millrace.plans.store_queries import SQL_LINES
-from millrace.session import shared_dir
+from millrace.session import shared_dir, stream_session
 from millrace.sinks.store import Store
 from millrace.sources.streams import union_sources
 from millrace.streaming.batching import chunk_stream
@@ -32,6 +32,16 @@ from millrace.streaming.gate import count_gate_stream, expiring_gate_stream, gat
 from millrace.streaming.jobs import run_available, start_index
 
 
+ROWS_PER_STATE_PARTITION = 1_000_000
+
+
+def streaming(spark, sf_dir, *names):
+    """A session whose state partitions suit the size of the tables that will be streamed."""
+    rows = sum(table(spark, sf_dir, n).count() for n in names)  # from the file footers
+    cores = spark.sparkContext.defaultParallelism
+    return stream_session(spark, max(cores, rows // ROWS_PER_STATE_PARTITION + 1))
+
+
 def stream(spark, sf_dir, name):
     """A test table as a stream of its files."""
     schema = table(spark, sf_dir, name).schema
@@ -77,12 +87,14 @@ def stream_gate_distinct(spark, sf_dir):
 
     When and by what a key was completed depends on the order of arrival, the set of keys does not.
     """
+    spark = streaming(spark, sf_dir, "events")
     events = arriving_in_steps(table(spark, sf_dir, "events"), "events")
     return run_available(gate_stream(_acks(events), EVENT_TYPES), "gate", mode="update").select("key")
 
 
 @query(f"SELECT {SQL_KEY} AS key, COUNT(*) AS running FROM events GROUP BY 1")
 def stream_running_count(spark, sf_dir):
+    spark = streaming(spark, sf_dir, "events")
     events = arriving_in_steps(table(spark, sf_dir, "events"), "events")
     counts = run_available(running_count_stream(_acks(events)), "counts", mode="update")
     return latest_per_key(counts, ["key"], ["batch_id"], ["running"])
@@ -95,6 +107,7 @@ def stream_running_count(spark, sf_dir):
     """
 )
 def stream_gate_count(spark, sf_dir):
+    spark = streaming(spark, sf_dir, "events")
     done = run_available(count_gate_stream(_acks(stream(spark, sf_dir, "events")), 4), "count-gate")
     return _plain_time(done.drop("batch_id"))
 
@@ -109,6 +122,7 @@ def stream_gate_count(spark, sf_dir):
     """
 )
 def stream_gate_expired(spark, sf_dir):
+    spark = streaming(spark, sf_dir, "events")
     gated = expiring_gate_stream(_acks(stream(spark, sf_dir, "events")), EVENT_TYPES, "2 days")
     done = run_available(gated, "expiring-gate")
     n = F.when(F.col("missing") == "", 0).otherwise(F.size(F.split("missing", ",")))
@@ -127,6 +141,7 @@ def _message(df, key, version, fields, source):
 
 @query(SQL_ENRICHED)
 def stream_enrich_nway(spark, sf_dir):
+    spark = streaming(spark, sf_dir, "orders", "lineitem")
     orders, lines = stream(spark, sf_dir, "orders"), stream(spark, sf_dir, "lineitem")
     line_version = F.format_string(
         "%s|%02d|%015d|%015d|%08.2f",
@@ -175,6 +190,7 @@ def stream_enrich_nway(spark, sf_dir):
 )
 def stream_count_or_timeout(spark, sf_dir):
     """Chunks per source and shard; the last, still open window shows its full chunks only."""
+    spark = streaming(spark, sf_dir, "events")
     events = stream(spark, sf_dir, "events").select(
         F.col("event_type").alias("source"),
         _instant("ts"),
@@ -203,6 +219,7 @@ def stream_count_or_timeout(spark, sf_dir):
 )
 def stream_upsert_current(spark, sf_dir):
     """Lines arrive in four micro-batches; the store keeps the newest of each key."""
+    spark = streaming(spark, sf_dir, "lineitem")
     lines = arriving_in_steps(
         table(spark, sf_dir, "lineitem").select(
             F.when(F.col("l_quantity") != 50, F.col("l_orderkey")).alias("l_orderkey"),
@@ -224,6 +241,7 @@ def stream_upsert_current(spark, sf_dir):
     """
 )
 def stream_union_sources(spark, sf_dir):
+    spark = streaming(spark, sf_dir, "orders", "lineitem")
     orders, lines = stream(spark, sf_dir, "orders"), stream(spark, sf_dir, "lineitem")
     merged = union_sources(
         {
@@ -237,6 +255,7 @@ def stream_union_sources(spark, sf_dir):
 @query(SQL_ORDER_CUSTOMER)
 def stream_lookup_join(spark, sf_dir):
     """Orders as a stream, customers as a static lookup."""
+    spark = streaming(spark, sf_dir, "orders")
     found = lookup_join(
         stream(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"), "o_custkey", "c_custkey", "customer"
     )
@@ -254,6 +273,7 @@ def stream_lookup_join(spark, sf_dir):
 )
 def stream_tumbling_window(spark, sf_dir):
     """Windows counted over four micro-batches; the last update of each window stands."""
+    spark = streaming(spark, sf_dir, "events")
     events = arriving_in_steps(table(spark, sf_dir, "events"), "events")
     windows = tumbling_window(events.withColumn("ts", _instant("ts")), "ts", "20 seconds", ["event_type"])
     updates = run_available(windows, "windows", mode="update")

@@ -38,8 +38,8 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
+        base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -53,3 +53,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 def use_rocksdb(spark: SparkSession) -> None:
     """``transformWithState`` needs the RocksDB provider."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
+def stream_session(spark: SparkSession, state_partitions: int) -> SparkSession:
+    """A session of its own for streaming queries, on the same cluster.
+
+    A stateful query keeps the number of state partitions it was first started with, so that number
+    is chosen for the stream's size and not taken over from the batch queries of the session.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    use_rocksdb(session)
+    return session
