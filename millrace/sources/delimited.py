@@ -78,6 +78,8 @@ def read_delimited(
     header are headers, wherever a file was split. With ``positions`` the columns ``_file``,
     ``_block`` and ``_row`` put the lines in file order.
     """
+    if streaming and positions:
+        raise ValueError("a stream of lines has no file order")
     header = list(header) if header else header_of(spark, path, sep)
     reader = (spark.readStream if streaming else spark.read).options(**options)
     lines = reader.text(path)

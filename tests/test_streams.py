@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from millrace.operators.gate import gate_distinct
+from millrace.operators.ingest import ingest_counts
+from millrace.sources import read_delimited, read_file_streams
 from millrace.streaming.batching import chunk_stream
 from millrace.streaming.enrich import enrich_stream
 from millrace.streaming.gate import count_gate_stream, expiring_gate_stream, gate_stream
@@ -236,3 +238,27 @@ def test_a_crash_in_the_sink_does_not_lose_a_completed_key(spark, folder):
     feed.add(acks("j:b k:a", 10))
     start_batches(gate_stream(feed.stream(), ["a", "b"]), out, cp, mode="update").awaitTermination()
     assert sorted(r["key"] for r in spark.read.parquet(out).collect()) == ["j", "k"]
+
+
+def test_delimited_files_as_a_stream(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "0.txt").write_text("k\tv\n1\tx\n2\n3\ty\tz")
+    (tmp_path / "in" / "1.txt").write_text("k\tv\n4\tx\n5\t")
+    lines = read_delimited(spark, str(tmp_path / "in"), ["k", "v"], streaming=True, maxFilesPerTrigger="1")
+    rows = run_available(lines, "lines").collect()
+    assert sorted(r["k"] for r in rows if not r["_bad"]) == ["1", "3", "4"]
+    assert sorted(r["_line"] for r in rows if r["_bad"]) == ["2", "5\t"]
+    counts = run_available(ingest_counts(lines.withColumn("source", F.lit("s"))), "counts", "update")
+    last = counts.orderBy(F.desc("batch_id")).first()
+    assert (last["good"], last["malformed"]) == (3, 2)
+    with pytest.raises(ValueError):
+        read_delimited(spark, str(tmp_path / "in"), ["k", "v"], streaming=True, positions=True)
+
+
+def test_folders_as_one_stream(spark, folder):
+    schema = spark.range(1).schema
+    folders = {name: folder(name) for name in ("a", "b")}
+    for i, path in enumerate(folders.values()):
+        spark.range(i, i + 2).write.parquet(path)
+    rows = run_available(read_file_streams(spark, folders, schema), "union").collect()
+    assert sorted((r["source"], r["id"]) for r in rows) == [("a", 0), ("a", 1), ("b", 1), ("b", 2)]
