@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -29,10 +29,11 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 class HotGroups:
     """Groups above the row limit: at most ``rows / max_group_rows`` of them."""
 
-    def __init__(self, keys: DataFrame, groups: Sequence[str], count: int, rows: int):
+    def __init__(self, keys: DataFrame, groups: Sequence[str], count: int, rows: int, total: int):
         self.groups = list(groups)
         self.count = count
         self.rows = rows
+        self.everything = rows == total
         self.keys = F.broadcast(keys) if fits_broadcast(keys) else keys
 
     def condition(self, df: DataFrame) -> Column:
@@ -48,16 +49,18 @@ def hot_groups(
     df: DataFrame, groups: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS
 ) -> HotGroups | None:
     """Find the large groups in one column-pruned pass; counts are combined before the shuffle."""
+    seen = Observation()
     sizes = (
         df.groupBy(*[F.col(g).alias(f"_hot_{g}") for g in groups])
         .agg(F.count(F.lit(1)).alias("_rows"))
+        .observe(seen, F.sum("_rows").alias("total"))
         .where(F.col("_rows") > max_group_rows)
     )
     sizes = materialize(sizes, "hot")
     found = sizes.agg(F.count(F.lit(1)).alias("n"), F.sum("_rows").alias("rows")).first()
     if not found["n"]:
         return None
-    return HotGroups(sizes.drop("_rows"), groups, found["n"], found["rows"])
+    return HotGroups(sizes.drop("_rows"), groups, found["n"], found["rows"], seen.get["total"])
 
 
 def ordered_position(
@@ -80,6 +83,8 @@ def ordered_position(
     hot = hot_groups(df, groups, max_group_rows)
     if hot is None:
         return plain(df)
+    if hot.everything:
+        return _position_by_ranges(df, hot, order, name, max_group_rows)
     same = hot.condition(df)
     few = plain(df.join(hot.keys, same, "left_anti"))
     many = _position_by_ranges(df.join(hot.keys, same, "left_semi"), hot, order, name, max_group_rows)

@@ -101,7 +101,8 @@ def test_hot_groups_and_size_check(spark):
     df = spark.range(100).selectExpr("id", "IF(id < 60, 0, id) AS k")
     assert hot_groups(df, ["k"], 60) is None
     hot = hot_groups(df, ["k"], 59)
-    assert (hot.count, hot.rows) == (1, 60)
+    assert (hot.count, hot.rows, hot.everything) == (1, 60, False)
+    assert hot_groups(df.where("k = 0"), ["k"], 59).everything
     assert fits_broadcast(df, max_rows=100) and not fits_broadcast(df, max_rows=99)
     assert not fits_broadcast(df, max_bytes=1000)
     assert fits_broadcast(df.limit(0), max_bytes=0)
