@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, packing, quality, token_counts
+from millrace.llm import mixing, packing, quality, sharding, token_counts, topk, warc
 from millrace.llm.registry import query
 from millrace.plans.catalog import table
 
 SEQUENCE_TOKENS = 1024
 END_ID = 2
 TOKEN_LIMIT = 2048
+SHARD_BYTES = 64 << 20
 
 
 @query()
@@ -75,3 +76,137 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+WARC_SQL = """
+WITH page AS (
+  SELECT page_id, url, html, md5(html) AS digest, strlen(html) AS n_bytes,
+         regexp_replace(regexp_replace(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '#.*$', '') AS rest FROM pages
+), parts AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^[^/?]*')), '^www[0-9]*[.]', ''), ':(80|443)$', '') AS host,
+         regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+         list_sort(list_filter(string_split(regexp_extract(rest, '^[^?]*[?](.*)$', 1), '&'),
+           lambda p: p <> '' AND NOT list_contains([TRACKING], lower(split_part(p, '=', 1))))) AS params
+  FROM page
+), canon AS (
+  SELECT *, host || path || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS canonical FROM parts
+), response AS (
+  SELECT 2 * page_id AS record_id, canonical AS url, 100 * page_id AS captured_at, digest, n_bytes, page_id,
+         '"' || substr(digest, 1, 16) || '"' AS etag FROM canon
+), revisit AS (
+  SELECT 2 * page_id + 1 AS record_id, canonical AS url, 100 * page_id + 50 AS captured_at, page_id,
+         CASE page_id % 4 WHEN 0 THEN 'W/"' || substr(digest, 1, 16) || '"' WHEN 2 THEN '"other"' END AS etag,
+         CASE page_id % 4 WHEN 1 THEN 'day ' || page_id END AS modified FROM canon
+), found AS (
+  SELECT revisit.*, max_by({'r': response.record_id, 'd': response.digest, 'n': response.n_bytes, 'e': response.etag, 'p': response.page_id},
+                           {'a': response.captured_at, 'r': response.record_id}) AS old
+  FROM revisit LEFT JOIN response ON response.url = revisit.url AND response.captured_at < revisit.captured_at
+  GROUP BY ALL
+), judged AS (
+  SELECT *, CASE WHEN old IS NULL THEN 'no_earlier_response'
+                 WHEN etag IS NOT NULL THEN CASE WHEN replace(etag, 'W/', '') = old.e THEN 'resolved' ELSE 'validator_mismatch' END
+                 WHEN modified IS NOT NULL THEN CASE WHEN modified = 'day ' || old.p THEN 'resolved' ELSE 'validator_mismatch' END
+                 ELSE 'no_validator' END AS outcome
+  FROM found
+)
+SELECT record_id, url, captured_at, 'full' AS outcome, record_id AS response_id, digest AS payload_digest, CAST(n_bytes AS BIGINT) AS payload_bytes,
+       etag, 'd' || captured_at AS date, 'text/html' AS content_type, CAST(n_bytes AS VARCHAR) AS content_length
+FROM response
+UNION ALL
+SELECT record_id, url, captured_at, outcome, CASE WHEN outcome = 'resolved' THEN old.r END, CASE WHEN outcome = 'resolved' THEN old.d END,
+       CAST(CASE WHEN outcome = 'resolved' THEN old.n END AS BIGINT),
+       CASE WHEN outcome = 'resolved' THEN coalesce(etag, old.e) ELSE etag END, 'd' || captured_at,
+       CASE WHEN outcome = 'resolved' THEN 'text/html' END,
+       CASE WHEN outcome = 'resolved' THEN CAST(old.n AS VARCHAR) ELSE '0' END
+FROM judged
+""".replace("TRACKING", ", ".join(f"'{t}'" for t in warc.TRACKING))
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """Each page as a full response and, half a step later, as a revisit: by turns with the right tag, the right
+    date, another tag, or no validator."""
+    tag = F.substring(F.md5("html"), 1, 16)
+    turn, day = F.col("page_id") % 4, F.concat(F.lit("day "), F.col("page_id"))
+
+    def headers(**values: Column) -> Column:
+        return F.map_from_arrays(F.array(*[F.lit(k.replace("_", "-")) for k in values]), F.array(*values.values()))
+
+    quoted = F.concat(F.lit('"'), tag, F.lit('"'))
+    responses = pages.select(
+        (2 * F.col("page_id")).alias("record_id"),
+        F.lit("response").alias("kind"),
+        "url",
+        (100 * F.col("page_id")).alias("captured_at"),
+        F.lit(200).alias("status"),
+        headers(
+            ETag=quoted, Last_Modified=day, Content_Type=F.lit("text/html"), Date=F.concat(F.lit("d"), 100 * F.col("page_id")),
+            Content_Length=F.octet_length("html").cast("string"),
+        ).alias("headers"),
+        F.col("html").alias("payload"),
+    )
+    revisits = pages.select(
+        (2 * F.col("page_id") + 1).alias("record_id"),
+        F.lit("revisit").alias("kind"),
+        "url",
+        (100 * F.col("page_id") + 50).alias("captured_at"),
+        F.lit(304).alias("status"),
+        headers(
+            etag=F.when(turn == 0, F.concat(F.lit("W/"), quoted)).when(turn == 2, F.lit('"other"')),
+            last_modified=F.when(turn == 1, day),
+            date=F.concat(F.lit("d"), 100 * F.col("page_id") + 50),
+            content_length=F.lit("0"),
+        ).alias("headers"),
+        F.lit(None).cast("string").alias("payload"),
+    )
+    return responses.unionByName(revisits)
+
+
+@query(WARC_SQL)
+def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved = warc.resolve_revisits(captures(table(spark, sf_dir, "pages")))
+    names = ["etag", "date", "content-type", "content-length"]
+    return resolved.select(
+        "record_id", "url", "captured_at", "outcome", "response_id", "payload_digest", "payload_bytes",
+        *[F.col("headers")[n].alias(n.replace("-", "_")) for n in names],
+    )
+
+
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
+@query(TOPK_SQL)
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5, scale=256)
+
+
+def shard_sql(limit: int) -> str:
+    return f"""
+WITH k AS (
+  SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS b,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS h
+  FROM documents
+), n AS (
+  SELECT d, h >> (60 - d) AS p, sum(b) AS b, count(*) AS n, sum(b) <= {limit} OR min(h) = max(h) AS closed
+  FROM (SELECT h, b, unnest(range(0, 61)) AS d FROM k) GROUP BY ALL
+), s AS (
+  SELECT n.* FROM n LEFT JOIN n m ON m.d = n.d - 1 AND m.p = n.p >> 1 WHERE n.closed AND NOT coalesce(m.closed, false)
+)
+SELECT doc_id, k.b AS n_bytes, CASE WHEN s.d = 0 THEN '' ELSE lpad(CAST(bin(s.p) AS VARCHAR), CAST(s.d AS INTEGER), '0') END AS shard,
+       CAST(s.d AS INTEGER) AS depth, CAST(s.b AS BIGINT) AS shard_bytes, s.n AS shard_docs, s.b > {limit} AS oversized
+FROM k JOIN s ON s.p = k.h >> (60 - s.d)
+"""
+
+
+@query(shard_sql(SHARD_BYTES))
+def op7_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), SHARD_BYTES)
