@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, packing, quality, sharding, token_counts, topk, warc
+from millrace.llm import html_text, mixing, packing, quality, sharding, simhash, token_counts, topk, warc
 from millrace.llm.registry import query
 from millrace.plans.catalog import table
 
@@ -210,3 +210,17 @@ FROM k JOIN s ON s.p = k.h >> (60 - s.d)
 @query(shard_sql(SHARD_BYTES))
 def op7_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
+SHINGLE_WORDS = 3
+SIMHASH_BITS = 2
+
+
+@query()
+def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"), SHINGLE_WORDS, SIMHASH_BITS)
+
+
+@query()
+def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
