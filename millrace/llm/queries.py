@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import html_text, mixing, packing, quality, sharding, simhash, token_counts, topk, warc
+from millrace.llm import html_text, mixing, packing, quality, sharding, simhash, suffix_dedup, token_counts, topk, warc
 from millrace.llm.registry import query
 from millrace.plans.catalog import table
 
@@ -224,3 +224,12 @@ def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+REPEAT_BYTES = 50
+
+
+@query()
+def op2_run_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marks = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), REPEAT_BYTES)
+    return marks.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
