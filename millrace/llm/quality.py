@@ -76,20 +76,21 @@ def _chain(hashes: Column, n: Column, step: int) -> Column:
     return F.zip_with(F.slice(hashes, 1, rest), F.slice(hashes, step + 1, rest), lambda a, b: F.xxhash64(a, b))
 
 
-def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_stop_words, n_repeat_words.
+def measures(docs: DataFrame, carry: list[str], text_col: str = "text") -> DataFrame:
+    """The columns in ``carry`` as _0, _1, ... and n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_stop_words, n_repeat_words.
 
     Windows that occur twice are found by hash and then compared as text, so hashes that collide do
     not count. Texts without equal hashes, nearly all, skip the sorting.
     """
     text, n = F.col("_t"), F.col("n_words").cast("int")
     blank = F.translate(text, SPACES, "")
-    df = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
+    own = [f"_{i}" for i in range(len(carry))]
+    df = docs.select(*[docs[c].alias(o) for c, o in zip(carry, own)], F.coalesce(docs[text_col], F.lit("")).alias("_t"))
     df = df.withColumn("_w", words(text)).withColumn(
         "_l", F.filter(F.split(text, "\n"), lambda x: F.length(F.btrim(x, F.lit(SPACES))) > 0)
     )
     df = df.select(
-        "_id",
+        *own,
         "_w",
         F.size("_w").cast("bigint").alias("n_words"),
         F.length(blank).cast("bigint").alias("word_chars"),
@@ -124,7 +125,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         lambda a, b: F.least(b - a, F.lit(WINDOW)),
     )
     repeat = F.when(m > 0, F.aggregate(gaps, F.lit(WINDOW), lambda acc, x: acc + x)).otherwise(0)
-    return df.withColumn("n_repeat_words", repeat.cast("bigint")).drop("_p").withColumnRenamed("_id", id_col)
+    return df.withColumn("n_repeat_words", repeat.cast("bigint")).drop("_p")
 
 
 def compile_rules(rules: list[Rule]) -> dict[str, Column]:
@@ -132,17 +133,10 @@ def compile_rules(rules: list[Rule]) -> dict[str, Column]:
     return {f"passes_{r.name}": r.passes() for r in rules}
 
 
-def apply_rules(
-    docs: DataFrame, rules: list[Rule] = RULES, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """The measures, ``passes_*`` per rule, ``base_failed`` and ``kept``.
-
-    ``base_failed``: fewer than 20 words, or over 30 % of the words in repeated windows.
-    """
+def _judged(docs: DataFrame, rules: list[Rule], carry: list[str], text_col: str) -> DataFrame:
     compiled = compile_rules(rules)
-    df = measures(docs, id_col, text_col)
     base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return df.select(
+    return measures(docs, carry, text_col).select(
         "*",
         *[c.alias(name) for name, c in compiled.items()],
         base.alias("base_failed"),
@@ -150,11 +144,21 @@ def apply_rules(
     )
 
 
-def kept_documents(docs: DataFrame, rules: list[Rule] = RULES, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass, with their columns as they are.
+def apply_rules(
+    docs: DataFrame, rules: list[Rule] = RULES, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """id, the measures, ``passes_*`` per rule, ``base_failed`` and ``kept``.
 
-    The row rides along as one struct in the place of the id, so no column can clash and no join is needed.
+    ``base_failed``: fewer than 20 words, or over 30 % of the words in repeated windows.
     """
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].alias("text"))
-    kept = apply_rules(rows, rules, id_col="row", text_col="text").where("kept")
-    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    return _judged(docs, rules, [id_col], text_col).withColumnRenamed("_0", id_col)
+
+
+def kept_documents(docs: DataFrame, rules: list[Rule] = RULES, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that pass, with their columns as they are. They ride along, so no join is needed."""
+    judged = _judged(docs, rules, docs.columns, text_col)
+    own = [f"_{i}" for i in range(len(docs.columns))]
+    # The row number, always >= 0, keeps the filter above the measures; below them, each would be worked out many times.
+    judged = judged.select(*own, "kept", F.monotonically_increasing_id().alias("_number"))
+    kept = judged.where(F.col("kept") & (F.col("_number") >= 0))
+    return kept.select(*[F.col(o).alias(c) for o, c in zip(own, docs.columns)])
