@@ -27,7 +27,7 @@ from millrace.llm.words import word_count
 from millrace.session import materialize
 
 # Documents in a lane: what one task sorts.
-LANE_DOCS = 4096
+LANE_DOCS = 1024
 # Cells of the line of cumulated targets, to find the source under a drawn point by equality.
 CELLS = 4096
 ROUNDS = 24
@@ -235,20 +235,22 @@ def mixed_documents(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", t
     A document whose blocks are all taken once stays as it is; one that is taken twice comes twice. Words
     keep the white space after them. The other columns of ``docs`` are kept as they are.
     """
-    row = F.struct(*[docs[c] for c in docs.columns])
-    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), docs[source_col].alias("source"), row.alias("row"))
-    placed, sources = layout(rows, mix, "id", "text", "source", "row")
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    # Only numbers go through the sorting; the rows themselves wait in a table and are joined once.
+    rows = materialize(docs.select(row, F.monotonically_increasing_id().alias("number")), "rows")
+    field = F.col("row").getField
+    slim = rows.select(field(id_col).alias("id"), field(text_col).alias("text"), field(source_col).alias("source"), "number")
+    placed, sources = layout(slim, mix, "id", "text", "source", "number")
     placed = materialize(placed, "placed")
     used = block_uses(mixture(sources, mix))
-    parts = spans(placed.drop("row"), mix).join(used, ["rank", "block"]).where("low < high")
+    parts = spans(placed, mix).join(used, ["rank", "block"]).where("low < high")
     use = parts.withColumn("use", F.explode(F.sequence(F.lit(1), F.col("uses"))))
-    cuts = use.groupBy("rank", "start", "use").agg(F.array_sort(F.collect_list(F.struct("low", "high"))).alias("cuts"))
-    full = placed.where("size > 0").join(cuts, ["rank", "start"])
-    pieces = F.regexp_extract_all(F.col(f"row.{text_col}"), F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+    cuts = use.groupBy(F.col("row").alias("number"), "size", "use").agg(F.array_sort(F.collect_list(F.struct("low", "high"))).alias("cuts"))
+    full = rows.join(cuts, "number")
+    text = field(text_col)
     whole = F.aggregate("cuts", F.lit(0).cast("bigint"), lambda n, c: n + c["high"] - c["low"]) == F.col("size")
-    full = full.withColumn("_pieces", F.when(~whole, pieces))
-    text = F.when(whole, F.col(f"row.{text_col}")).otherwise(
-        F.array_join(F.flatten(F.transform("cuts", lambda c: F.slice("_pieces", (c["low"] + 1).cast("int"), (c["high"] - c["low"]).cast("int")))), "")
-    )
-    full = full.withColumn("_text", text)
-    return full.select(*[F.col("_text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
+    # Each word with the white space after it. Made once per row, so it is needed in two places.
+    full = full.withColumn("_pieces", F.when(~whole, F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))))
+    part = F.transform("cuts", lambda c: F.slice("_pieces", (c["low"] + 1).cast("int"), (c["high"] - c["low"]).cast("int")))
+    full = full.withColumn("_text", F.when(F.col("_pieces").isNull(), text).otherwise(F.array_join(F.flatten(part), "")))
+    return full.select(*[F.col("_text").alias(c) if c == text_col else field(c).alias(c) for c in docs.columns])
