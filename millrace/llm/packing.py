@@ -16,8 +16,10 @@ the text column are read.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -40,6 +42,10 @@ CUT = re.compile(r"(?<=\S)(?= \S)")
 LETTERS = leading_run(" ?")
 
 
+def little_endian(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class MeetingSpaces(Exception):
     """White space that touches other white space."""
 
@@ -63,12 +69,12 @@ class UnitEncoder(dict):
         self.newline = self.ids("\n")
 
     def ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return little_endian(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def merge(self, run: str) -> bytes:
         found = self.letters.get(run)
         if found is None:
-            found = np.array([t.id for t in self.tokenizer.model.tokenize(spell(run))], dtype="<u4").tobytes()
+            found = little_endian([t.id for t in self.tokenizer.model.tokenize(spell(run))])
             if len(self.letters) >= MEMORY_UNITS:
                 self.letters.clear()
             self.letters[run] = found
@@ -116,6 +122,12 @@ class UnitEncoder(dict):
             return b"".join(map(self.unit, CUT.split(text)))
 
 
+@lru_cache(maxsize=1)
+def unit_encoder(path: str) -> UnitEncoder:
+    """One per Python worker, which keeps its memory from task to task."""
+    return UnitEncoder(path)
+
+
 def tokenize(
     docs: DataFrame, tokenizer: str, end_id: int, length: int, id_col: str = "doc_id", text_col: str = "text",
     with_ids: bool = False,
@@ -131,7 +143,7 @@ def tokenize(
     schema = pa.schema(fields)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = UnitEncoder(tokenizer)
+        encoder = unit_encoder(tokenizer)
         for batch in batches:
             columns = [[] for _ in fields]
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
