@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -96,6 +97,12 @@ class WholeTokenCounter(dict):
         return sum(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
+@lru_cache(maxsize=1)
+def whole_token_counter(path: str, proved: frozenset[str]) -> WholeTokenCounter:
+    """One per Python worker, which keeps its memory from task to task."""
+    return WholeTokenCounter(path, proved)
+
+
 def count_tokens(
     docs: DataFrame, tokenizer: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -107,7 +114,7 @@ def count_tokens(
 
     @F.pandas_udf("bigint")
     def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        counter = WholeTokenCounter(tokenizer, proved.value)
+        counter = whole_token_counter(tokenizer, proved.value)
         for texts in batches:
             yield pd.Series([counter.count(t) for t in texts], dtype="int64")
 
