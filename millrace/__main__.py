@@ -37,12 +37,15 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     sub = command("publish", "out")
     sub.add_argument("--source", action="append", required=True, help="name=path")
     sub.add_argument("--rows", type=int)
+    sub.add_argument("--key-column", help="the files' own key column; without it keys are made up")
     for sub in (command("index", "store", "checkpoint"), command("converge", "store", "lookup", "out", "checkpoint")):
         sub.add_argument("--once", action="store_true", help="process what is there and end")
         sub.add_argument("--interval", default=RunConfig().chunk_timeout)
         sub.add_argument("--messages")
         sub.add_argument("--servers")
-        sub.add_argument("--topics")
+        sub.add_argument("--topics", help="topic,topic or topic=source,topic=source")
+        sub.add_argument("--lookup-source", default=RunConfig().lookup_source)
+        sub.add_argument("--lookup-key", default=RunConfig().lookup_key)
         sub.add_argument("--registry", help="source|schema~source|schema")
     return parser.parse_args(argv)
 
@@ -55,18 +58,22 @@ def main(argv: list[str] | None = None) -> None:
         typed = [typed_value(F.col(f.name), f.dataType, args.date_format).alias(f.name) for f in SCHEMAS[args.schema]]
         load_lookup(rows.select(*typed), args.out, args.key)
     elif args.command == "publish":
-        publish(spark, dict(s.split("=", 1) for s in args.source), args.out, args.rows).show(truncate=False)
+        files = dict(s.split("=", 1) for s in args.source)
+        publish(spark, files, args.out, args.rows, key=args.key_column).show(truncate=False)
     elif args.command == "index":
         if args.messages:
             messages = message_files(spark, args.messages)
         else:
-            messages = read_topics(spark, args.servers, args.topics.split(","))
+            topics = dict((t.split("=", 1) * 2)[:2] for t in args.topics.split(","))
+            messages = read_topics(spark, args.servers, list(topics), sources=topics)
         config = RunConfig().override(chunk_timeout=args.interval)
         start_indexing(messages, args.store, args.checkpoint, config, args.once).awaitTermination()
     else:
         options = {"date_format": args.date_format}
         registry = Registry.parse(args.registry, SCHEMAS, **options) if args.registry else health_registry(**options)
-        config = RunConfig().override(chunk_timeout=args.interval)
+        config = RunConfig().override(
+            chunk_timeout=args.interval, lookup_source=args.lookup_source, lookup_key=args.lookup_key
+        )
         fields = {s: RECORD_FIELDS.get(s, s) for s in ["patient_info", *registry.names]}
         lookup = spark.read.parquet(args.lookup)
         start_converging(

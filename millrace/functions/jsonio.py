@@ -12,6 +12,8 @@ from millrace.spec import SourceSpec
 
 _BROKEN = "_broken_text"
 _SEP = "\x01"
+DATES = (T.TimestampType, T.TimestampNTZType, T.DateType)
+
 
 def json_key(value: Column | str, key: str = "pcn") -> Column:
     """The key field of a JSON message; null when the text is not JSON or has no such field."""
@@ -30,7 +32,7 @@ def rows_to_json(
 
     Nulls are written as empty text, the form a delimited file gives them.
     """
-    members = [F.coalesce(F.col(f).cast("string"), F.lit("")).alias(f) for f in fields]
+    members = [F.coalesce(F.col(f"`{f}`").cast("string"), F.lit("")).alias(f) for f in fields]
     if key is not None:
         members.insert(0, key.cast("string").alias(key_name))
     return df.select(*keep, F.to_json(F.struct(*members)).alias(out))
@@ -38,10 +40,10 @@ def rows_to_json(
 
 def _whole_number(text: Column, dtype: T.DataType) -> Column:
     """Whole numbers, also when written with a zero fraction ("67.0")."""
-    number = text.try_cast("double")
-    return F.coalesce(
-        text.try_cast(dtype), F.when(number == F.floor(number), number.try_cast(dtype))
-    )
+    plain = F.regexp_replace(text, r"^([^.eE]*)\.0*$", "$1")
+    # Numbers with an exponent are rare and go through a decimal, which is exact as well.
+    number = F.when(text.rlike("[eE]"), text.try_cast("decimal(38,10)"))
+    return F.coalesce(plain.try_cast(dtype), F.when(number == F.floor(number), number.try_cast(dtype)))
 
 
 def typed_value(text: Column, dtype: T.DataType, date_format: str) -> Column:
@@ -119,6 +121,15 @@ def drop_nested_key(df: DataFrame, key: str = "pcn") -> DataFrame:
     )
 
 
+def dated_text(part: Column, spec: SourceSpec) -> Column:
+    """The part with its dates written in the format of the source."""
+    fields = [
+        (F.date_format(part[f.name], spec.date_format) if isinstance(f.dataType, DATES) else part[f.name]).alias(f.name)
+        for f in spec.schema.fields
+    ]
+    return F.when(part.isNotNull(), F.struct(*fields))
+
+
 def part_json(df: DataFrame, columns: Sequence[str] | None = None, options: dict | None = None) -> Column:
     """The record as JSON text; null members are left out."""
     return F.to_json(F.struct(*(columns or df.columns)), options or {})

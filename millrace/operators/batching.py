@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from millrace.operators.skew import MAX_GROUP_ROWS, ordered_position
@@ -78,7 +79,10 @@ def session_counts(df: DataFrame, ts: str, gap_seconds: int, groups: Sequence[st
     its rows.
     """
     gap = gap_seconds * 1_000_000
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    # Times without a zone are counted as they stand, so no clock change of the session's zone moves them.
+    zoneless = isinstance(df.schema[ts].dataType, T.TimestampNTZType)
+    epoch = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{}`)"
+    micros = F.expr(epoch.format(ts)) if zoneless else F.unix_micros(F.col(ts).cast("timestamp"))
     buckets = df.groupBy(*groups, (micros - F.pmod(micros, F.lit(gap))).alias("_bucket")).agg(
         F.count(F.lit(1)).alias("_n"),
         F.min(ts).alias("_first"),

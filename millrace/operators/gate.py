@@ -88,16 +88,18 @@ def source_progress(
 def _progress_many_sources(acks: DataFrame, sources: Sequence[str], key: str, ts: str) -> DataFrame:
     """More sources than mask bits: first time per (key, source), then one row per key."""
     firsts = acks.groupBy(key, "source").agg(F.min(ts).alias("_t"), F.count(F.lit(1)).alias("_n"))
+    # Sources rank as declared, as they do in the mask.
+    firsts = firsts.withColumn("_rank", F.array_position(F.array(*[F.lit(s) for s in sources]), F.col("source")))
     complete = F.col("_sources") == len(sources)
     return (
         firsts.groupBy(key)
         .agg(
             F.sum("_n").alias("arrivals"),
             F.count(F.lit(1)).alias("_sources"),
-            F.array_sort(F.collect_list("source")).alias("seen"),  # at most one entry per source
+            F.array_sort(F.collect_list(F.struct("_rank", "source")))["source"].alias("seen"),  # one entry per source
             F.min("_t").alias("first_ts"),
             F.max("_t").alias("_last"),
-            F.max_by("source", F.struct("_t", "source")).alias("_by"),
+            F.max_by("source", F.struct("_t", -F.col("_rank"))).alias("_by"),
         )
         .select(
             key,

@@ -44,9 +44,11 @@ def lookup_by_keys(
     version: Sequence[str],
     wanted_key: str | None = None,
 ) -> DataFrame:
-    """Current documents for a set of keys, in one join instead of one query per key."""
+    """Current documents for a set of keys, in one join instead of one query per key.
+
+    Documents of other keys are left out before the newest of each key is looked for.
+    """
     named = wanted.select(F.col(wanted_key or key).alias("_wanted")).where("_wanted IS NOT NULL")
-    current = latest_per_key(docs, [key], version)  # one row per key: nothing is hot
-    return join_unique(
-        current, named.distinct(), {key: "_wanted"}, "left_semi", max_group_rows=None, bound=named
-    )
+    # A key with many documents is split by adaptive execution, which may cut the left side of a semi-join.
+    found = join_unique(docs, named.distinct(), {key: "_wanted"}, "left_semi", max_group_rows=None, bound=named)
+    return latest_per_key(found, [key], version)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.functions.jsonio import json_key, parse_typed, rows_to_json
+from millrace.functions.jsonio import dated_text, json_key, parse_typed, rows_to_json
 from millrace.operators.enrich import assemble, lookup_join
 from millrace.operators.ingest import ingest_counts, surrogate_keys, take_rows
 from millrace.session import materialize
@@ -24,7 +24,7 @@ from millrace.sinks.store import Store
 from millrace.sources.delimited import BAD, LINE, good_rows, quarantined_rows, read_delimited
 from millrace.spec import Registry, RunConfig
 from millrace.streaming.enrich import enrich_stream
-from millrace.streaming.jobs import start, start_index, write_batch
+from millrace.streaming.jobs import make_folder, start, start_index, write_batch
 
 POSITION = ["_file", "_block", "_row"]
 
@@ -36,12 +36,14 @@ def publish(
     rows: int | None = None,
     config: RunConfig = RunConfig(),
     seed: str = "42",
+    key: str | None = None,
 ) -> DataFrame:
     """Turn each source's file into messages below ``out/messages/source=...`` and its malformed
     lines into ``out/malformed/source=...``. Returns the counts per source.
 
     Each source gets dense keys in its own random order, so the sources are mutually out of order.
-    ``rows`` limits the data lines per source; malformed lines use up that budget.
+    ``rows`` limits the data lines per source; malformed lines use up that budget. With ``key`` the files
+    have keys of their own, in the column of that name, and none are made up.
     """
     counts = []
     for source, path in files.items():
@@ -49,8 +51,18 @@ def publish(
         fields = [c for c in lines.columns if c not in (*POSITION, BAD, LINE, "source")]
         if rows is not None:
             lines = take_rows(lines, rows, POSITION)
-        keyed = materialize(surrogate_keys(lines, POSITION, name=config.key, seed=seed), "keyed")
-        messages = rows_to_json(good_rows(keyed), fields, key=F.col(config.key), key_name=config.key)
+        if key is not None:
+            if key not in fields:
+                raise ValueError(f"{path} has no column {key}")
+            keyed = materialize(lines, "keyed")
+            members = [f for f in fields if f != key]
+        elif config.key in fields:
+            raise ValueError(f"{path} has a column {config.key}: give key={config.key!r} to use it")
+        else:
+            keyed = materialize(surrogate_keys(lines, POSITION, name=config.key, seed=seed), "keyed")
+            members = fields
+        own = F.col(f"`{key or config.key}`")
+        messages = rows_to_json(good_rows(keyed), members, key=own, key_name=config.key)
         messages.write.mode("overwrite").text(f"{out}/messages/source={source}")
         quarantined_rows(keyed).write.mode("overwrite").text(f"{out}/malformed/source={source}")
         counts.append(ingest_counts(keyed))
@@ -107,10 +119,11 @@ def start_indexing(
 
 def committed(spark: SparkSession, root: str, **options: str) -> DataFrame:
     """Stored documents as a stream. What can be read here has been committed."""
+    make_folder(spark, document_store(root).data_path)
     names = ["key", "version", "value", "status", "source"]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     return (
-        spark.readStream.schema(schema.add("batch_id", T.LongType()))
+        spark.readStream.schema(schema.add("job", T.StringType()).add("batch_id", T.LongType()))
         .option("ignoreMissingFiles", "true")
         .options(**options)
         .parquet(document_store(root).data_path)
@@ -127,8 +140,12 @@ def records(
     config: RunConfig = RunConfig(),
     lookup_name: str = "patient_info",
     strict: bool = False,
+    text_dates: bool = False,
 ) -> DataFrame:
-    """Joined JSON parts to typed, nested records with their lookup."""
+    """Joined JSON parts to typed, nested records with their lookup.
+
+    With ``text_dates`` the dates of a part are text in the format of its source, as they came.
+    """
     typed = joined
     for spec in registry:
         typed = parse_typed(typed, spec, spec.name, out="_part", errors="_bad_fields", strict=strict)
@@ -136,6 +153,9 @@ def records(
     found = lookup_join(
         typed, lookup, f"{config.lookup_source}.{config.lookup_key}", config.lookup_key, lookup_name
     )
+    if text_dates:
+        for spec in registry:
+            found = found.withColumn(spec.name, dated_text(F.col(spec.name), spec))
     return assemble(found, "key", record_fields, key_name=config.key)
 
 
@@ -160,14 +180,14 @@ def start_converging(
     spark.createDataFrame([], schema).write.mode("ignore").partitionBy("batch_id").parquet(table)
     emitted = spark.readStream.schema(schema).option("ignoreMissingFiles", "true").parquet(table)
     joined = enrich_stream(committed(spark, root), registry.names, emitted.select("key"))
-    full = records(joined, registry, lookup, record_fields, config)
+    full = records(joined, registry, lookup, record_fields, config, text_dates=True)
     lines = full.select(F.col(config.key).alias("key"), F.to_json(F.struct(*full.columns)).alias("value"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, table, batch_id)
-        # Read back rather than computed twice.
-        written = batch.sparkSession.read.schema(schema).parquet(table)
-        value = written.where(F.col("batch_id") == batch_id).select("value")
+        # Read back rather than computed twice; only this batch's folder is listed.
+        folder = f"{table}/batch_id={batch_id}"
+        value = batch.sparkSession.read.schema("key STRING, value STRING").parquet(folder).select("value")
         write_batch(value, f"{out}/records", batch_id, "text")
 
     return start(

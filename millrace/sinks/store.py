@@ -2,11 +2,13 @@
 
 Layout below the root::
 
-    data/batch_id=.../status=ok|failed/source=.../   every document as it was written
-    log/batch_id=.../                                 one row per written document
+    data/job=.../batch_id=.../status=ok|failed/source=.../   every document as it was written
+    log/job=.../batch_id=.../                                 one row per written document
 
-Batches are only ever appended or replaced as a whole, so writing the same batch again (after a
-restart) leaves the store as it was. The current state is the newest version per key.
+Each job that writes has a name and numbers its own batches, so jobs do not meet. Batches are only ever
+appended or replaced as a whole, so writing the same batch again (after a restart) leaves the store as it
+was. The current state is the newest version per key. Documents may have columns named like the
+store's own; they are kept under another name and come back under theirs.
 """
 
 from __future__ import annotations
@@ -20,7 +22,10 @@ from pyspark.sql import types as T
 
 from millrace.operators.latest import latest_per_key
 
-FOLDERS = {"batch_id": T.LongType(), "status": T.StringType(), "source": T.StringType()}
+FOLDERS = {"job": T.StringType(), "batch_id": T.LongType(), "status": T.StringType(), "source": T.StringType()}
+# Names the store uses itself; a document's own columns of that name are stored with the prefix.
+RESERVED = ("job", "batch_id", "status", "error")
+OWN = "_document_"
 
 
 class Store:
@@ -42,94 +47,95 @@ class Store:
     def fault(self) -> Column:
         """Why a document cannot be stored; null when it can."""
         return (
-            F.when(F.col("source").isNull(), "missing source")
+            F.when(F.col("source").isNull() | (F.col("source") == ""), "missing source")
             .when(F.col(self.key).isNull(), "missing key")
             .when(F.col(self.version[0]).isNull(), "missing version")
         )
 
-    def write_batch(self, docs: DataFrame, batch_id: int, committed: Column | None = None) -> None:
+    def batch_path(self, kind: str, job: str, batch_id: int) -> str:
+        return f"{self.root}/{kind}/job={job}/batch_id={batch_id}"
+
+    def write_batch(self, docs: DataFrame, batch_id: int, committed: Column | None = None, job: str = "main") -> None:
         """Store a batch, then acknowledge what can be read back. Usable in ``foreachBatch``.
 
         ``docs`` has the columns of a document and ``source``. Nothing is dropped: documents that
-        cannot be stored are kept under ``status=failed`` and logged with the reason.
+        cannot be stored are kept under ``status=failed`` and logged with the reason. All that ``job``
+        wrote under this number before is replaced.
         """
         spark = docs.sparkSession
-        batch = F.lit(batch_id).cast("bigint")
-        (
-            docs.withColumn("error", self.fault())
-            .withColumn("status", F.when(F.col("error").isNull(), "ok").otherwise("failed"))
-            .withColumn("batch_id", batch)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*FOLDERS)
-            .parquet(self.data_path)
+        path = self.batch_path("data", job, batch_id)
+        named = docs.withColumnsRenamed({c: OWN + c for c in RESERVED})
+        marked = named.withColumn("error", self.fault()).withColumn(
+            "status", F.when(F.col("error").isNull(), "ok").otherwise("failed")
         )
+        marked.write.mode("overwrite").partitionBy("status", "source").parquet(path)
         # Read back this batch's folder: a document is acknowledged only once a reader can see it.
         try:
-            stored = self._read(spark, f"{self.data_path}/batch_id={batch_id}")
+            stored = self._read(spark, path)
         except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return  # an empty batch writes nothing
-            raise
+            if e.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+                raise
+            stored = marked.limit(0)  # an empty batch has no files
         commit_ts = committed if committed is not None else F.current_timestamp()
-        (
-            stored
-            .select(
-                "batch_id",
-                "source",
-                F.col(self.key).alias("key"),
-                "status",
-                "error",
-                commit_ts.alias("commit_ts"),
-                F.monotonically_increasing_id().alias("seq"),
-            )
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(self.log_path)
-        )
+        stored.select(
+            "source",
+            F.col(self.key).alias("key"),
+            "status",
+            "error",
+            commit_ts.alias("commit_ts"),
+            F.monotonically_increasing_id().alias("seq"),
+        ).write.mode("overwrite").parquet(self.batch_path("log", job, batch_id))
 
     def _read(self, spark: SparkSession, path: str | None = None) -> DataFrame:
-        # Folder names are text; do not let "007" be read as a number.
+        # Folder names are text; do not let "007" be read as a number. Later batches may have more columns.
         reader = spark.read.option("basePath", self.data_path)
-        found = reader.parquet(path or self.data_path).schema
+        found = reader.option("mergeSchema", "true").parquet(path or self.data_path).schema
         schema = T.StructType([T.StructField(f.name, FOLDERS.get(f.name, f.dataType)) for f in found])
         return reader.schema(schema).parquet(path or self.data_path)
 
+    def _stored(self, spark: SparkSession, status: str, source: str | None = None) -> DataFrame:
+        docs = self._read(spark).where(F.col("status") == status)
+        return docs if source is None else docs.where(F.col("source") == source)
+
+    @staticmethod
+    def _restored(docs: DataFrame) -> DataFrame:
+        """The document's own columns under their names."""
+        own = [c for c in docs.columns if c.startswith(OWN)]
+        return docs.drop(*[c.removeprefix(OWN) for c in own]).withColumnsRenamed({c: c.removeprefix(OWN) for c in own})
+
     def documents(self, spark: SparkSession, source: str | None = None) -> DataFrame:
         """Every stored version; the source filter prunes folders."""
-        docs = self._read(spark).where(F.col("status") == "ok")
-        if source is not None:
-            docs = docs.where(F.col("source") == source)
-        return docs.drop("status", "error")
+        return self._restored(self._stored(spark, "ok", source).drop("status", "error", "job"))
 
     def rejected(self, spark: SparkSession) -> DataFrame:
-        return self._read(spark).where(F.col("status") == "failed").drop("status")
+        """Documents that could not be stored; ``error`` says why."""
+        return self._restored(self._stored(spark, "failed").drop("status", "job"))
+
+    def _latest(self, docs: DataFrame) -> DataFrame:
+        return latest_per_key(docs, ["source", self.key], [*self.version, "batch_id"])
 
     def current(self, spark: SparkSession, source: str | None = None) -> DataFrame:
         """One document per (source, key): the newest version, the later batch on a tie."""
-        return latest_per_key(
-            self.documents(spark, source), ["source", self.key], [*self.version, "batch_id"]
-        )
+        return self._restored(self._latest(self._stored(spark, "ok", source).drop("status", "error", "job")))
 
     def log(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.log_path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+        found = spark.read.option("mergeSchema", "true").parquet(self.log_path)
+        return found.withColumn("batch_id", F.col("batch_id").cast("bigint")).withColumn("job", F.col("job").cast("string"))
 
     def compact(self, spark: SparkSession, root: str, upto: int) -> "Store":
-        """Write the current documents of all batches up to ``upto`` as one batch of a new store.
+        """Write the current documents of all batches up to ``upto`` as one batch of a new store, with the
+        refused documents and the log of those batches.
 
         Meanwhile later batches may be written here; copy or replay them, then switch readers.
         """
         target = Store(root, self.key, self.version)
-        documents = self.documents(spark).where(F.col("batch_id") <= upto)
-        (
-            latest_per_key(documents, ["source", self.key], [*self.version, "batch_id"])
-            .withColumn("batch_id", F.lit(upto).cast("bigint"))
-            .withColumn("error", F.lit(None).cast("string"))
-            .withColumn("status", F.lit("ok"))
-            .write.partitionBy(*FOLDERS)
-            .parquet(target.data_path)
-        )
+        early = F.col("batch_id") <= upto
+        latest = self._latest(self._stored(spark, "ok").where(early).drop("status", "error", "job"))
+        latest = latest.withColumn("error", F.lit(None).cast("string")).withColumn("status", F.lit("ok"))
+        refused = self._stored(spark, "failed").where(early).drop("job")
+        kept = latest.unionByName(refused).withColumn("job", F.lit("compacted")).withColumn("batch_id", F.lit(upto).cast("bigint"))
+        kept.write.partitionBy(*FOLDERS).parquet(target.data_path)
+        self.log(spark).where(early).write.partitionBy("job", "batch_id").parquet(target.log_path)
         return target
 
 

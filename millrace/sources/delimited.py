@@ -28,12 +28,13 @@ def split_delimited(
     if trailing_empty not in ("malformed", "null"):
         raise ValueError("trailing_empty is 'malformed' or 'null'")
     line = F.col(value)
-    counted = F.rtrim(line, F.lit(sep)) if trailing_empty == "malformed" else line
-    separators = F.length(counted) - F.length(F.replace(counted, F.lit(sep), F.lit("")))
-    # A line of separators alone has no column at all; an empty line has one empty column.
-    nothing = (F.length(counted) == 0) & (F.length(line) > 0)
-    columns = F.when(nothing, 0).otherwise(separators / len(sep) + 1)
     cells = F.split(line, re.escape(sep))
+    # A line of separators alone has no column at all; an empty line has one empty column.
+    if trailing_empty == "malformed":
+        filled = F.transform(cells, lambda cell, i: F.when(cell != "", i + 1).otherwise(0))
+        columns = F.when(F.length(line) == 0, 1).otherwise(F.array_max(filled))
+    else:
+        columns = F.size(cells)
     kept = [c for c in lines.columns if c != value]
 
     def cell(i: int, name: str):
@@ -74,22 +75,29 @@ def read_delimited(
 ) -> DataFrame:
     """Read a file or folder whose files each start with the same header line.
 
-    Use ``good_rows`` and ``quarantined_rows`` on the result; nothing is lost. Lines equal to the
-    header are headers, wherever a file was split. With ``positions`` the columns ``_file``,
-    ``_block`` and ``_row`` put the lines in file order.
+    Use ``good_rows`` and ``quarantined_rows`` on the result; nothing is lost. Only the first line of a
+    file can be its header; a later line equal to it is data. A stream has no line numbers, so there
+    all lines equal to the header are taken for headers. With ``positions`` the columns ``_file``, ``_block`` and
+    ``_row`` put the lines in file order.
     """
     if streaming and positions:
         raise ValueError("a stream of lines has no file order")
     header = list(header) if header else header_of(spark, path, sep)
     reader = (spark.readStream if streaming else spark.read).options(**options)
     lines = reader.text(path)
-    if positions:
-        # Lines of one file block are read in order by one task, so row ids grow within a block.
-        lines = lines.select(
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_row"),
-            "value",
-        )
-    lines = lines.where(F.col("value") != sep.join(header))
+    title = F.lit(sep.join(header))
+    if streaming:
+        return split_delimited(lines.where(F.col("value") != title), header, sep=sep, trailing_empty=trailing_empty)
+    # Lines of one file block are read in order by one task, so row ids grow within a block.
+    lines = lines.select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+        "value",
+    )
+    # One row per file: its first line, if that is the header.
+    first = lines.where(F.col("_block") == 0).groupBy("_file").agg(F.min_by("value", "_row").alias("_first"), F.min("_row").alias("_at"))
+    first = first.where(F.col("_first") == title).select(F.col("_file").alias("_in"), "_at")
+    lines = lines.join(first, (F.col("_file") == F.col("_in")) & (F.col("_row") == F.col("_at")), "left_anti")
+    lines = lines if positions else lines.select("value")
     return split_delimited(lines, header, sep=sep, trailing_empty=trailing_empty)

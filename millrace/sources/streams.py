@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,15 +18,25 @@ def union_sources(parts: Mapping[str, DataFrame], source: str = "source") -> Dat
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
+def source_of(topic: Column, sources: Mapping[str, str]) -> Column:
+    """The source that a topic stands for."""
+    name = topic
+    for key, source in sources.items():
+        name = F.when(topic == key, F.lit(source)).otherwise(name)
+    return name
+
+
 def read_topics(
     spark: SparkSession,
     servers: str,
     topics: Sequence[str] | None = None,
     pattern: str | None = None,
     streaming: bool = True,
+    sources: Mapping[str, str] | None = None,
     **options: str,
 ) -> DataFrame:
-    """Subscribe to topics from the earliest offset; the value is UTF-8 text, the topic is the source."""
+    """Subscribe to topics from the earliest offset; the value is UTF-8 text. ``sources`` names the source of
+    each topic; a topic that it does not name is its own source."""
     if (topics is None) == (pattern is None):
         raise ValueError("give either topics or a pattern")
     subscription = ("subscribe", ",".join(topics)) if topics else ("subscribePattern", pattern)
@@ -39,7 +49,7 @@ def read_topics(
         .load()
         .select(
             F.col("value").cast("string").alias("value"),
-            F.col("topic").alias("source"),
+            source_of(F.col("topic"), sources or {}).alias("source"),
             F.col("timestamp").alias("arrived"),
             F.col("partition"),
             F.col("offset"),

@@ -55,6 +55,8 @@ def enrich_stream(
     names = [f"_b{i}" for i in range(len(sources))]
     complete = reduce(and_, [F.col(b).isNotNull() for b in names])
     done = F.greatest(*names) if len(names) > 1 else F.col(names[0])
-    return state.where(complete & (done == F.col("_now"))).select(
+    # A key whose parts have been let go is out already, whatever the clock says now.
+    still_open = reduce(and_, [~F.col(f"_p{i}.closed") for i in range(len(sources))])
+    return state.where(complete & still_open & (done == F.col("_now"))).select(
         "key", *[F.col(f"_p{i}.value").alias(name) for i, name in enumerate(sources)]
     )

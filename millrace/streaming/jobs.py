@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,22 +20,16 @@ LOG_SCHEMA = T.StructType(
         T.StructField("error", T.StringType()),
         T.StructField("commit_ts", T.TimestampType()),
         T.StructField("seq", T.LongType()),
+        T.StructField("job", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
-    """Write a micro-batch to its own ``batch_id=`` folder. A replayed batch replaces itself, so
+    """Write a micro-batch to its own ``batch_id=`` folder. A replayed batch replaces itself as a whole, so
     after a restart nothing is there twice."""
-    (
-        df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .format(fmt)
-        .save(path)
-    )
+    df.drop("batch_id").write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
 
 
 def start_batches(
@@ -58,8 +54,16 @@ def start_batches(
 def start_index(
     messages: DataFrame, store: Store, checkpoint: str, once: bool = False, interval: str = "20 seconds"
 ) -> StreamingQuery:
-    """Store a stream of documents and acknowledge each in the store's commit log."""
-    return start(messages.writeStream.foreachBatch(store.write_batch), checkpoint, once, interval)
+    """Store a stream of documents and acknowledge each in the store's commit log.
+
+    The checkpoint names the job: several jobs may write to one store at the same time.
+    """
+    job = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store.write_batch(batch, batch_id, job=job)
+
+    return start(messages.writeStream.foreachBatch(write), checkpoint, once, interval)
 
 
 def start(writer: DataStreamWriter, checkpoint: str, once: bool, interval: str) -> StreamingQuery:
@@ -69,19 +73,27 @@ def start(writer: DataStreamWriter, checkpoint: str, once: bool, interval: str)
 
 
 def commit_acks(spark: SparkSession, store: Store, **options: str) -> DataFrame:
-    """The commit log as a stream of acknowledgements, for the gate.
+    """The commit log as a stream of acknowledgements, for the gate. It may start before the first batch.
 
     A rewritten batch replaces its files: those gone are skipped, the new ones are read, and the
     gate does not mind repeats.
     """
+    make_folder(spark, store.log_path)
     return (
         spark.readStream.schema(LOG_SCHEMA)
         .option("ignoreMissingFiles", "true")
         .options(**options)
         .parquet(store.log_path)
+        .drop("job")
     )
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """A folder must be there before it can be read as a stream."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+
+
 def run_available(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
     """Process all there is, then return what was written (in fresh folders of the shared dir)."""
     spark = stream.sparkSession

@@ -106,3 +106,19 @@ def test_running_count_with_a_hot_key(spark, limit):
         wanted[seq] = seen[key]
     got = {r["seq"]: r["running"] for r in running_count(df, max_group_rows=limit).collect()}
     assert got == wanted
+
+
+def test_many_sources_follow_the_same_rules(spark, monkeypatch):
+    """Ties in time, and names that are not declared in order."""
+    from datetime import datetime
+
+    from millrace.operators import gate
+
+    sources = ["zeta", "alpha", "mid"]
+    at = [datetime(2024, 1, 1, 0, 0, s) for s in range(3)]
+    rows = [("k", "alpha", at[1], 1), ("k", "zeta", at[1], 2), ("k", "mid", at[0], 3), ("j", "alpha", at[2], 4), ("j", "zeta", at[2], 5)]
+    acks = spark.createDataFrame(rows, "key STRING, source STRING, commit_ts TIMESTAMP, seq INT")
+    few = sorted(map(tuple, gate.source_progress(acks, sources).collect()))
+    monkeypatch.setattr(gate, "MAX_MASK_SOURCES", 2)
+    assert sorted(map(tuple, gate.source_progress(acks, sources).collect())) == few
+    assert {r[0]: (r[2], r[5]) for r in few} == {"k": (sources, "zeta"), "j": (["zeta", "alpha"], None)}

@@ -164,3 +164,32 @@ def test_registry_text_and_config():
     config = RunConfig().override(chunk_rows=10, cluster="c")
     assert config.chunk_rows == 10 and config.extra == {"cluster": "c"}
     assert config.commit_topic("billing") == "billing_committed"
+
+
+def test_a_line_like_the_header_is_data(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name in ("x", "y"):
+        (tmp_path / "in" / name).write_text("a\tb\n1\t2\na\tb\n3\t4\n")
+    rows = good_rows(read_delimited(spark, str(tmp_path / "in"))).collect()
+    assert sorted(map(tuple, rows)) == [("1", "2")] * 2 + [("3", "4")] * 2 + [("a", "b")] * 2
+
+
+def test_separators_of_two_characters_and_dotted_names(spark):
+    lines = spark.createDataFrame([("a:::",), ("a::b",), ("a::",)], "value STRING")
+    split = split_delimited(lines, ["x.y", "z"], sep="::")
+    assert sorted(map(tuple, good_rows(split).collect())) == [("a", ":"), ("a", "b")]
+    from millrace.functions.jsonio import rows_to_json
+
+    assert rows_to_json(good_rows(split), ["x.y"]).first()["value"] == '{"x.y":"a"}'
+
+
+def test_large_whole_numbers_stay_exact(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from millrace.functions.jsonio import typed_value
+
+    texts = ["9007199254740993.0", "9223372036854775808.0", "67.0", "67.5", "1e3", "-5.", "x", "1.0.0"]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    got = {r["t"]: r["n"] for r in df.select("t", typed_value(F.col("t"), T.LongType(), "").alias("n")).collect()}
+    assert got == dict(zip(texts, [9007199254740993, None, 67, None, 1000, -5, None, None]))

@@ -83,3 +83,25 @@ def test_sizes_are_checked_before_a_broadcast(spark):
         assert "BroadcastHashJoin" not in plan(join_unique(left, right, {"k": "rk"}, broadcast_rows=10))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lookup_filters_before_it_aggregates(spark):
+    from millrace.operators.latest import lookup_by_keys
+
+    lines = table(spark, SF, "lineitem")
+    wanted = table(spark, SF, "orders").limit(50).select(F.col("o_orderkey").alias("l_orderkey"))
+    text = lookup_by_keys(lines, wanted, "l_orderkey", LINE_VERSION)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Aggregate [l_orderkey") < text.index("Join LeftSemi")
+
+
+def test_sessions_do_not_follow_the_zone(spark):
+    from millrace.operators.batching import session_counts
+
+    times = spark.sql("SELECT 'g' AS g, TIMESTAMP_NTZ'2024-03-10 01:30:00' AS ts UNION ALL SELECT 'g', TIMESTAMP_NTZ'2024-03-10 03:30:00'")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            assert session_counts(times, "ts", 90 * 60, ["g"]).count() == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -135,3 +135,37 @@ def test_window_border_splits_a_chunk(spark):
     rows = chunk_summary(both, "ts", ["ts", "id"]).collect()
     assert sorted((r["n"], r["reason"]) for r in rows) == [(30, "timeout"), (30, "timeout")]
     assert assign_chunks(both, "ts", ["ts", "id"]).where("chunk <> 0").count() == 0
+
+
+def test_jobs_do_not_meet(spark, folder):
+    s = store(folder)
+    s.write_batch(spark.createDataFrame([("a", "k1", 1, "x")], DOC), 0, job="one")
+    s.write_batch(spark.createDataFrame([("b", "k2", 1, "y")], DOC), 0, job="two")
+    assert sorted(r["pcn"] for r in s.current(spark).collect()) == ["k1", "k2"]
+    assert sorted((r["job"], r["key"]) for r in s.log(spark).collect()) == [("one", "k1"), ("two", "k2")]
+
+
+def test_a_batch_is_replaced_as_a_whole(spark, folder):
+    s = store(folder)
+    s.write_batch(spark.createDataFrame([("a", "k1", 1, "x"), ("b", "k2", 1, "y"), ("b", None, 1, "z")], DOC), 0)
+    s.write_batch(spark.createDataFrame([("a", "k1", 1, "x")], DOC), 0)
+    assert s.documents(spark).count() == 1 and s.rejected(spark).count() == 0 and s.log(spark).count() == 1
+
+
+def test_documents_keep_their_columns(spark, folder):
+    s = store(folder)
+    own = "source STRING, pcn STRING, v INT, status STRING, error STRING, batch_id STRING, job STRING"
+    s.write_batch(spark.createDataFrame([("a", "k", 1, "PAID", "none", "b7", "j"), ("", "l", 1, "OPEN", None, None, None)], own), 0)
+    s.write_batch(spark.createDataFrame([("a", "m", 1, "later")], "source STRING, pcn STRING, v INT, extra STRING"), 1)
+    rows = {r["pcn"]: r for r in s.current(spark).collect()}
+    assert (rows["k"]["status"], rows["k"]["error"], rows["k"]["batch_id"], rows["k"]["job"]) == ("PAID", "none", "b7", "j")
+    assert rows["m"]["extra"] == "later" and rows["m"]["status"] is None
+    assert s.rejected(spark).first()["status"] == "OPEN"
+    assert {(r["key"], r["error"]) for r in s.log(spark).collect()} == {("k", None), ("l", "missing source"), ("m", None)}
+
+
+def test_compaction_keeps_refused_documents_and_the_log(spark, folder):
+    s = store(folder)
+    s.write_batch(spark.createDataFrame([("a", "k", 1, "x"), ("a", None, 1, "lost")], DOC), 0)
+    small = s.compact(spark, folder("compact"), 0)
+    assert small.rejected(spark).first()["x"] == "lost" and small.log(spark).count() == 2
