@@ -75,9 +75,8 @@ def main(argv: list[str] | None = None) -> None:
             chunk_timeout=args.interval, lookup_source=args.lookup_source, lookup_key=args.lookup_key
         )
         fields = {s: RECORD_FIELDS.get(s, s) for s in ["patient_info", *registry.names]}
-        lookup = spark.read.parquet(args.lookup)
         start_converging(
-            spark, args.store, registry, lookup, fields, args.out, args.checkpoint, config, args.once
+            spark, args.store, registry, args.lookup, fields, args.out, args.checkpoint, config, args.once
         ).awaitTermination()
 
 

@@ -20,6 +20,7 @@ from millrace.functions.jsonio import dated_text, json_key, parse_typed, rows_to
 from millrace.operators.enrich import assemble, lookup_join
 from millrace.operators.ingest import ingest_counts, surrogate_keys, take_rows
 from millrace.session import materialize
+from millrace.sinks.lookup import read_lookup
 from millrace.sinks.store import Store
 from millrace.sources.delimited import BAD, LINE, good_rows, quarantined_rows, read_delimited
 from millrace.spec import Registry, RunConfig
@@ -163,7 +164,7 @@ def start_converging(
     spark: SparkSession,
     root: str,
     registry: Registry,
-    lookup: DataFrame,
+    lookup: DataFrame | str,
     record_fields: Mapping[str, str],
     out: str,
     checkpoint: str,
@@ -171,7 +172,8 @@ def start_converging(
     once: bool = False,
 ) -> StreamingQuery:
     """Write one enriched JSON line per key to ``out/records``, once all sources have committed a
-    part for it. The records are first written to ``out/emitted`` with their keys; these keys go
+    part for it. ``lookup`` is a table, or the path of a loaded one: then every micro-batch joins the version
+    that is newest when it begins. The records are first written to ``out/emitted`` with their keys; these keys go
     back into the query, which then lets go of their parts."""
     names = ["key", "value"]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names]).add("batch_id", T.LongType())
@@ -180,16 +182,17 @@ def start_converging(
     spark.createDataFrame([], schema).write.mode("ignore").partitionBy("batch_id").parquet(table)
     emitted = spark.readStream.schema(schema).option("ignoreMissingFiles", "true").parquet(table)
     joined = enrich_stream(committed(spark, root), registry.names, emitted.select("key"))
-    full = records(joined, registry, lookup, record_fields, config, text_dates=True)
-    lines = full.select(F.col(config.key).alias("key"), F.to_json(F.struct(*full.columns)).alias("value"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, table, batch_id)
+        patients = read_lookup(batch.sparkSession, lookup) if isinstance(lookup, str) else lookup
+        full = records(batch, registry, patients, record_fields, config, text_dates=True)
+        lines = full.select(F.col(config.key).alias("key"), F.to_json(F.struct(*full.columns)).alias("value"))
+        write_batch(lines, table, batch_id)
         # Read back rather than computed twice; only this batch's folder is listed.
         folder = f"{table}/batch_id={batch_id}"
         value = batch.sparkSession.read.schema("key STRING, value STRING").parquet(folder).select("value")
         write_batch(value, f"{out}/records", batch_id, "text")
 
     return start(
-        lines.writeStream.outputMode("update").foreachBatch(write), checkpoint, once, config.chunk_timeout
+        joined.writeStream.outputMode("update").foreachBatch(write), checkpoint, once, config.chunk_timeout
     )

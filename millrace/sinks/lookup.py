@@ -1,15 +1,47 @@
-"""Loading lookup tables."""
+"""Loading lookup tables, also while streams read them.
+
+Layout: ``<path>/version=<n>/``, one folder per load. Readers take the newest that is complete, so a reload
+neither takes files away from a running batch nor leaves a moment without a table.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from millrace.operators.latest import latest_per_key
 
+# A batch that has begun may still read the version before the newest.
+KEPT_VERSIONS = 3
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions, oldest first."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return []
+    folders = [s.getPath() for s in files.listStatus(root) if s.isDirectory() and s.getPath().getName().startswith("version=")]
+    done = [f for f in folders if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS"))]
+    return sorted(int(f.getName().removeprefix("version=")) for f in done)
+
 
 def load_lookup(df: DataFrame, path: str, key: str, version: Sequence[str] = ()) -> DataFrame:
     """Replace the stored lookup table with one row per key; loading twice does not duplicate."""
-    latest_per_key(df, [key], version).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark, path = df.sparkSession, path.rstrip("/")
+    known = _versions(spark, path)
+    latest_per_key(df, [key], version).write.mode("overwrite").parquet(f"{path}/version={max(known, default=0) + 1}")
+    for old in known[: max(0, len(known) + 1 - KEPT_VERSIONS)]:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version={old}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return read_lookup(spark, path)
+
+
+def read_lookup(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version. Streams call this in every micro-batch."""
+    path = path.rstrip("/")
+    known = _versions(spark, path)
+    if not known:
+        raise FileNotFoundError(f"no lookup table has been loaded to {path}")
+    return spark.read.parquet(f"{path}/version={known[-1]}")

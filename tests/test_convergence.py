@@ -160,3 +160,31 @@ def test_files_with_keys_of_their_own(spark, tmp_path):
     assert sorted(r["pcn"] for r in lines) == ["P-900", "P-901"] and set(lines[0]) == {"pcn", "patientID", "totalCost"}
     with pytest.raises(ValueError, match="no column"):
         publish(spark, {"billing": str(tmp_path / "b.txt")}, str(tmp_path / "out"), key="id")
+
+
+def test_a_reloaded_lookup_shows_in_the_next_batch(spark, published):
+    tmp_path, _ = published
+    path, out, store = str(tmp_path / "names"), str(tmp_path / "out"), str(tmp_path / "store")
+    spec = "patientID STRING, patientname STRING"
+
+    def converge():
+        query = start_converging(
+            spark, store, health_registry(), path, RECORD_FIELDS, str(tmp_path / "enriched"), str(tmp_path / "cp"), once=True
+        )
+        query.awaitTermination()
+        found = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "enriched/records")).collect()]
+        return {r["pcn"]: r["patientInfo"]["patientname"] for r in found if "patientInfo" in r}
+
+    load_lookup(spark.createDataFrame([(str(i), "old") for i in range(5)], spec), path, "patientID")
+    start_indexing(message_files(spark, out), store, str(tmp_path / "cp-index"), once=True).awaitTermination()
+    first = converge()
+    assert set(first.values()) == {"old"}
+    for name in ("new", "newer"):
+        table = load_lookup(spark.createDataFrame([(str(i), name) for i in range(5)], spec), path, "patientID")
+    assert table.count() == 5
+    more = [json.dumps({f.name: "1" for f in health_registry()[s].schema.fields} | {"pcn": "later"}) for s in FILES]
+    for source, line in zip(FILES, more):
+        spark.createDataFrame([(line,)], "value STRING").write.mode("append").text(f"{out}/messages/source={source}")
+    start_indexing(message_files(spark, out), store, str(tmp_path / "cp-index"), once=True).awaitTermination()
+    second = converge()
+    assert second == first | {"later": "newer"}
