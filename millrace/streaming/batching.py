@@ -17,15 +17,19 @@ CHUNK = (
 
 
 class _Chunks(StatefulProcessor):
-    """Collects documents of one (source, shard, window); never holds a full chunk in state."""
+    """Collects documents of one (source, shard, window); never holds a full chunk in state.
 
-    def __init__(self, rows: int):
+    The number of the next chunk outlives the window by ``memory_ms``, so late documents get chunks of their own.
+    """
+
+    def __init__(self, rows: int, memory_ms: int):
         self.rows = rows
+        self.memory_ms = memory_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.pending = handle.getListState("pending", "ts TIMESTAMP, value STRING")
-        self.closed = handle.getValueState("closed", "n BIGINT, end_ms BIGINT")
+        self.closed = handle.getValueState("closed", "n BIGINT, end_ms BIGINT, fired BOOLEAN")
 
     def _chunk(self, key, number: int, rows: list, reason: str) -> Row:
         source, shard, start, end = key
@@ -54,9 +58,10 @@ class _Chunks(StatefulProcessor):
             if len(waiting) == self.rows:
                 yield self._chunk(key, number, waiting, "count")
                 number, waiting = number + 1, []
-        if before is None:
+        # A window that has passed fires once more for its late documents.
+        if before is None or before[2]:
             self.handle.registerTimer(end_ms)
-        self.closed.update((number, end_ms))
+        self.closed.update((number, end_ms, False))
         if waiting:
             self.pending.put(waiting)
         else:
@@ -64,11 +69,19 @@ class _Chunks(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         before = self.closed.get()
-        waiting = list(self.pending.get()) if before else []
+        if not before:
+            return
+        number, end_ms, _ = before
+        waiting = list(self.pending.get())
         if waiting:
-            yield self._chunk(key, before[0], waiting, "timeout")
+            yield self._chunk(key, number, waiting, "timeout")
+            number += 1
         self.pending.clear()
-        self.closed.clear()
+        if expiredTimerInfo.getExpiryTimeInMs() >= end_ms + self.memory_ms:
+            self.closed.clear()
+        else:
+            self.closed.update((number, end_ms, True))
+            self.handle.registerTimer(end_ms + self.memory_ms)
 
     def close(self) -> None:
         pass
@@ -81,13 +94,15 @@ def chunk_stream(
     rows: int = 50,
     timeout: str = "20 seconds",
     delay: str | None = None,
+    memory_seconds: int = 7 * 86_400,
 ) -> DataFrame:
     """Chunks of at most ``rows`` documents per source, closed early when their window ends.
 
     Input columns: source, ts (timestamp), seq (bigint, identifies a document of its source), value.
     Each source is spread over ``shards`` by its documents, not by key, so neither a hot key nor a
     hot source lands in one task. With ``delay`` windows follow event time under that watermark
-    delay; without, they follow the time of arrival.
+    delay; without, they follow the time of arrival. The numbers of a window's chunks do not repeat
+    for documents up to ``memory_seconds`` late.
     """
     use_rocksdb(documents.sparkSession)
     by_arrival = delay is None
@@ -111,7 +126,7 @@ def chunk_stream(
         # drops no late document; that one gets a chunk of its own.
         keyed = keyed.withColumn("_clock", F.col("ts")).withWatermark("_clock", delay).drop("_clock")
     return keyed.groupBy("source", "shard", "window_start", "window_end").transformWithState(
-        statefulProcessor=_Chunks(rows),
+        statefulProcessor=_Chunks(rows, 1000 * memory_seconds),
         outputStructType=CHUNK,
         outputMode="Append",
         timeMode="ProcessingTime" if by_arrival else "EventTime",

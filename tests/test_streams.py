@@ -161,6 +161,8 @@ def test_chunks_lose_no_document(spark, folder):
     ]
     documents = [d for r in rows for d in r["documents"]]
     assert len(documents) == len(set(documents)) == 136  # the last window is still open
+    numbers = [(r["window_start"], r["chunk"]) for r in rows]
+    assert len(numbers) == len(set(numbers))  # the late documents have a chunk of their own
 
 
 def test_chunks_by_time_of_arrival(spark, folder):
