@@ -38,9 +38,9 @@ LEFT_OUT = """
 aside button dialog fieldset footer form head iframe input menu nav noscript object script select style svg template textarea title
 """.split()
 LEFT_OUT_WORDS = """
-ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus
-footer gdpr menu modal nav navbar navigation newsletter notice notification overlay pager pagination popup promo promoted promotion
-related replies reply share sharing sidebar signup skyscraper social sponsor sponsored subscribe toolbar widget
+ad adblock adbox ads advert advertisement advertising adverts alert announcement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus
+footer gdpr login menu modal nav navbar navigation newsletter notice notification overlay pager pagination popup promo promoted promotion
+recommended related replies reply share sharing sidebar signup skyscraper social sponsor sponsored subscribe toolbar widget
 """.split()
 LEFT_OUT_ROLES = "alert banner complementary contentinfo dialog form menu menubar navigation search".split()
 HEADER_WORDS = "header masthead topbar".split()
