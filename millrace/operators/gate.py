@@ -6,9 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from millrace.operators.skew import MAX_GROUP_ROWS, ordered_position
+from millrace.operators.skew import MAX_GROUP_ROWS, first_rows, ordered_position
 
 MAX_MASK_SOURCES = 63
 
@@ -154,16 +153,8 @@ def gate_count(
     order: Sequence[str] = ("commit_ts", "seq"),
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """The arrival that brings a key's count to ``n``; sources are not told apart.
-
-    Spark keeps only the first ``n`` arrivals per key in each input task before it shuffles.
-    """
-    if n > 1000:
-        numbered = ordered_position(acks, [key], list(order), "_n", max_group_rows)
-    else:
-        window = Window.partitionBy(key).orderBy(*order)
-        numbered = acks.withColumn("_n", F.row_number().over(window))
-    return numbered.where(F.col("_n") == n).drop("_n")
+    """The arrival that brings a key's count to ``n``; sources are not told apart."""
+    return first_rows(acks, [key], order, n, "_n", max_group_rows).where(F.col("_n") == n).drop("_n")
 
 
 def probe_cost(

@@ -6,12 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from millrace.operators.skew import MAX_GROUP_ROWS, ordered_position
-
-# Above this Spark no longer limits ranks before the shuffle (windowGroupLimitThreshold).
-_PRE_LIMIT = 1000
+from millrace.operators.skew import MAX_GROUP_ROWS, first_rows, ordered_position
 
 
 def take_rows(
@@ -24,17 +20,9 @@ def take_rows(
     """The first ``n`` rows of each source in file order. Malformed rows use up the budget too,
     so take rows before dropping those."""
     if source is None:
-        if n <= _PRE_LIMIT:
-            return df.orderBy(*order).limit(n)
         whole = df.withColumn("_all", F.lit(0))
         return take_rows(whole, n, order, "_all", max_group_rows).drop("_all")
-    if n > _PRE_LIMIT:
-        numbered = ordered_position(df, [source], order, "_rank", max_group_rows)
-    else:
-        # Spark keeps the best n rows per source in every input task, so little is shuffled.
-        window = Window.partitionBy(source).orderBy(*order)
-        numbered = df.withColumn("_rank", F.row_number().over(window))
-    return numbered.where(F.col("_rank") <= n).drop("_rank")
+    return first_rows(df, [source], order, n, "_rank", max_group_rows).drop("_rank")
 
 
 def surrogate_keys(

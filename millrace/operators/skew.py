@@ -21,6 +21,9 @@ from millrace.session import materialize
 
 # A group of this many rows is still a comfortable sort for one task.
 MAX_GROUP_ROWS = 4_000_000
+# Input tasks that a very large table is read by, and pieces a group is cut in.
+MAX_TASKS = 100_000
+MAX_SALTS = 1_000
 # Upper bounds for what is sent to every executor; both are measured before a broadcast.
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
@@ -91,6 +94,29 @@ def ordered_position(
     return few.unionByName(many)
 
 
+def first_rows(
+    df: DataFrame, groups: Sequence[str], order: Sequence[str], n: int, name: str, max_group_rows: int = MAX_GROUP_ROWS
+) -> DataFrame:
+    """The first ``n`` rows of each group, numbered in column ``name``.
+
+    Spark keeps ``n`` rows per group in each input task before it shuffles (for large ``n`` it does not). Where
+    the tasks together could still send one group more than ``max_group_rows`` rows, groups are cut in salted
+    pieces first, so that neither step has a task with more rows of a group than that.
+    """
+
+    def cut(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        window = Window.partitionBy(*keys).orderBy(*order)
+        return rows.withColumn(name, F.row_number().over(window)).where(F.col(name) <= n)
+
+    if n * MAX_TASKS <= max_group_rows:
+        return cut(df, groups)
+    if n > max_group_rows // 2:
+        return ordered_position(df, groups, order, name, max_group_rows).where(F.col(name) <= n)
+    salts = min(MAX_SALTS, max_group_rows // n)
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    return cut(cut(salted, [*groups, "_salt"]).drop("_salt", name), groups)
+
+
 def _position_by_ranges(
     df: DataFrame, hot: HotGroups, order: Sequence[str], name: str, max_group_rows: int
 ) -> DataFrame:
