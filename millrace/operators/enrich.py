@@ -79,6 +79,7 @@ def enrich_nway(
     as_of: str = "latest",
     key: str = "key",
     max_group_rows: int = MAX_GROUP_ROWS,
+    stored: bool = False,
 ) -> DataFrame:
     """One record per complete key: the key and one struct per source, its newest version.
 
@@ -87,12 +88,13 @@ def enrich_nway(
 
     ``gate`` may give the complete keys (column ``key``); a part that cannot be found then stays
     null and is named in ``missing_parts``. Without it, keys present in all parts are complete.
-    ``as_of="completion"`` ignores versions later than the moment the key became complete.
+    ``as_of="completion"`` ignores versions later than the moment the key became complete; ``stored`` then says
+    that the parts are tables, cheap to read several times.
     """
     if as_of not in ("latest", "completion"):
         raise ValueError("as_of is 'latest' or 'completion'")
     if as_of == "completion":
-        parts = _until_completion(parts, max_group_rows)
+        parts = _until_completion(parts, max_group_rows, stored)
     names = [p.name for p in parts]
     slices = [
         shared[0]
@@ -130,14 +132,14 @@ def enrich_nway(
     )
 
 
-def _until_completion(parts: Sequence[Part], max_group_rows: int) -> list[Part]:
+def _until_completion(parts: Sequence[Part], max_group_rows: int, stored: bool) -> list[Part]:
     done = gate_distinct(part_acks(parts), [p.name for p in parts]).select(
         F.col("key").alias("_done_key"), F.col("completed_ts").alias("_done_ts")
     )
     done = materialize(done, "complete")
     early = []
     for shared in _by_table(parts):
-        df = join_unique(shared[0].df, done, {shared[0].key: "_done_key"}, "inner", max_group_rows, stored=True)
+        df = join_unique(shared[0].df, done, {shared[0].key: "_done_key"}, "inner", max_group_rows, stored=stored)
         for p in shared:
             in_time = F.col(p.version[0]) <= F.col("_done_ts")
             early.append(replace(p, df=df, where=in_time if p.where is None else in_time & p.where))
@@ -153,15 +155,16 @@ def lookup_join(
     out: str,
     version: Sequence[str] = (),
     max_group_rows: int | None = MAX_GROUP_ROWS,
+    unique: bool = False,
     **limits,
 ) -> DataFrame:
     """Add the matching lookup row as struct ``out``; null where there is none.
 
     ``on`` may be a path such as ``billing_cost.patientID``. Repeated lookup keys are resolved to
-    one row: the newest by ``version``, or the greatest by value when there is no version. Limits
-    are those of ``join_unique``.
+    one row: the newest by ``version``, or the greatest by value when there is no version;
+    ``unique`` says that there are none, as in a table of ``load_lookup``. Limits are those of ``join_unique``.
     """
-    one = latest_per_key(lookup, [lookup_key], version)
+    one = lookup if unique else latest_per_key(lookup, [lookup_key], version)
     right = one.select(F.col(lookup_key).alias("_lookup_key"), F.struct(*lookup.columns).alias(out))
     return join_unique(
         df.withColumn("_on", F.col(on)),

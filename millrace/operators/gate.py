@@ -12,12 +12,16 @@ from millrace.operators.skew import MAX_GROUP_ROWS, first_rows, ordered_position
 MAX_MASK_SOURCES = 63
 
 
-def usable_acks(acks: DataFrame, sources: Sequence[str], key: str = "key", ts: str = "commit_ts") -> DataFrame:
-    """Acknowledgements that count: known source, key and time present, write not failed."""
+def usable(acks: DataFrame, sources: Sequence[str], key: str = "key", ts: str = "commit_ts") -> Column:
+    """Whether an acknowledgement counts: known source, key and time present, write not failed."""
     ok = F.col("source").isin(*sources) & F.col(key).isNotNull() & F.col(ts).isNotNull()
     if "status" in acks.columns:
         ok = ok & (F.col("status") == "ok")
-    return acks.where(ok)
+    return ok
+
+
+def usable_acks(acks: DataFrame, sources: Sequence[str], key: str = "key", ts: str = "commit_ts") -> DataFrame:
+    return acks.where(usable(acks, sources, key, ts))
 
 
 def rejected_acks(acks: DataFrame, sources: Sequence[str], key: str = "key", ts: str = "commit_ts") -> DataFrame:

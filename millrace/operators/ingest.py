@@ -32,13 +32,15 @@ def surrogate_keys(
     name: str = "pcn",
     seed: str = "42",
     max_group_rows: int = MAX_GROUP_ROWS,
+    mix: int | None = None,
 ) -> DataFrame:
     """Dense keys 0..n-1 per source, given in a random but repeatable order.
 
     The order is that of a seeded hash of the natural key, so sources come out mutually shuffled
-    and a rerun gives the same keys.
+    and a rerun gives the same keys. With ``mix`` only the first so many columns of the natural key are hashed,
+    the others settle ties.
     """
-    mixed = F.md5(F.concat_ws("|", F.lit(seed), F.col(source), *[F.col(c).cast("string") for c in natural]))
+    mixed = F.md5(F.concat_ws("|", F.lit(seed), F.col(source), *[F.col(c).cast("string") for c in natural[:mix]]))
     numbered = ordered_position(
         df.withColumn("_mix", mixed), [source], ["_mix", *natural], name, max_group_rows
     )

@@ -9,7 +9,7 @@ Three jobs that run apart and may stop and restart at any time::
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.functions.jsonio import dated_text, json_key, parse_typed, rows_to_json
 from millrace.operators.enrich import assemble, lookup_join
 from millrace.operators.ingest import ingest_counts, surrogate_keys, take_rows
-from millrace.session import materialize
+from millrace.operators.skew import ordered_position
+from millrace.session import materialize, use_rocksdb
 from millrace.sinks.lookup import read_lookup
 from millrace.sinks.store import Store
 from millrace.sources.delimited import BAD, LINE, good_rows, quarantined_rows, read_delimited
@@ -60,7 +61,10 @@ def publish(
         elif config.key in fields:
             raise ValueError(f"{path} has a column {config.key}: give key={config.key!r} to use it")
         else:
-            keyed = materialize(surrogate_keys(lines, POSITION, name=config.key, seed=seed), "keyed")
+            # Numbered by line, so keys depend neither on how files are split nor on the folder they are in.
+            lines = ordered_position(materialize(lines, "lines"), ["_file"], ["_block", "_row"], "_number")
+            lines = lines.withColumn("_name", F.element_at(F.split("_file", "/"), -1))
+            keyed = materialize(surrogate_keys(lines, ["_name", "_number", "_file"], name=config.key, seed=seed, mix=2), "keyed")
             members = fields
         own = F.col(f"`{key or config.key}`")
         messages = rows_to_json(good_rows(keyed), members, key=own, key_name=config.key)
@@ -74,11 +78,7 @@ def publish(
 
 
 def message_files(spark: SparkSession, out: str, **options: str) -> DataFrame:
-    """Published messages as a stream: source, value, arrived, offset.
-
-    Files know no order finer than a block; of two messages for one key in the same block the
-    greater text counts as the newer.
-    """
+    """Published messages as a stream: source, value, arrived, offset (where the file block begins)."""
     schema = T.StructType([T.StructField("value", T.StringType()), T.StructField("source", T.StringType())])
     return (
         spark.readStream.schema(schema)
@@ -94,17 +94,21 @@ def message_files(spark: SparkSession, out: str, **options: str) -> DataFrame:
 
 
 def documents(messages: DataFrame, config: RunConfig = RunConfig()) -> DataFrame:
-    """Messages with their key and a version that sorts by arrival; works for topics and files."""
+    """Messages with their key and a version that sorts by arrival; works for topics and files.
+
+    Lines of one file block are read in order by one task, so row ids settle what the offset leaves open.
+    """
+    order = [F.unix_micros("arrived"), F.col("offset"), F.monotonically_increasing_id()]
     return messages.select(
         "source",
         json_key(F.col("value"), config.key).alias("key"),
-        F.format_string("%020d-%020d", F.unix_micros("arrived"), F.col("offset")).alias("version"),
+        F.format_string("%020d-%020d-%020d", *order).alias("version"),
         "value",
     )
 
 
-def document_store(root: str) -> Store:
-    return Store(root, "key", ["version"])
+def document_store(root: str, sources: Sequence[str] | None = None) -> Store:
+    return Store(root, "key", ["version"], sources)
 
 
 def start_indexing(
@@ -113,9 +117,15 @@ def start_indexing(
     checkpoint: str,
     config: RunConfig = RunConfig(),
     once: bool = False,
+    sources: Sequence[str] | None = None,
 ) -> StreamingQuery:
-    """Store messages and acknowledge them; messages without a readable key are kept as failed."""
-    return start_index(documents(messages, config), document_store(root), checkpoint, once, config.chunk_timeout)
+    """Store messages and acknowledge them. Messages without a readable key are kept as failed, and those of
+    other sources than ``sources``, if these are given."""
+    store = document_store(root, sources)
+    # Lines can be numbered within a micro-batch only, not on the stream.
+    return start_index(
+        messages, store, checkpoint, once, config.chunk_timeout, lambda batch: documents(batch, config)
+    )
 
 
 def committed(spark: SparkSession, root: str, **options: str) -> DataFrame:
@@ -142,6 +152,7 @@ def records(
     lookup_name: str = "patient_info",
     strict: bool = False,
     text_dates: bool = False,
+    unique_lookup: bool = False,
 ) -> DataFrame:
     """Joined JSON parts to typed, nested records with their lookup.
 
@@ -152,7 +163,12 @@ def records(
         typed = parse_typed(typed, spec, spec.name, out="_part", errors="_bad_fields", strict=strict)
         typed = typed.drop(spec.name, "_bad_fields").withColumnRenamed("_part", spec.name)
     found = lookup_join(
-        typed, lookup, f"{config.lookup_source}.{config.lookup_key}", config.lookup_key, lookup_name
+        typed,
+        lookup,
+        f"{config.lookup_source}.{config.lookup_key}",
+        config.lookup_key,
+        lookup_name,
+        unique=unique_lookup,
     )
     if text_dates:
         for spec in registry:
@@ -178,14 +194,16 @@ def start_converging(
     names = ["key", "value"]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names]).add("batch_id", T.LongType())
     table = f"{out}/emitted"
+    use_rocksdb(spark)
     # The folder must be there before it can be read as a stream.
     spark.createDataFrame([], schema).write.mode("ignore").partitionBy("batch_id").parquet(table)
     emitted = spark.readStream.schema(schema).option("ignoreMissingFiles", "true").parquet(table)
     joined = enrich_stream(committed(spark, root), registry.names, emitted.select("key"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        patients = read_lookup(batch.sparkSession, lookup) if isinstance(lookup, str) else lookup
-        full = records(batch, registry, patients, record_fields, config, text_dates=True)
+        loaded = isinstance(lookup, str)
+        patients = read_lookup(batch.sparkSession, lookup) if loaded else lookup
+        full = records(batch, registry, patients, record_fields, config, text_dates=True, unique_lookup=loaded)
         lines = full.select(F.col(config.key).alias("key"), F.to_json(F.struct(*full.columns)).alias("value"))
         write_batch(lines, table, batch_id)
         # Read back rather than computed twice; only this batch's folder is listed.

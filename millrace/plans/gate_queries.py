@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators.batching import chunk_summary, session_counts, tumbling_window
-from millrace.operators.gate import gate_count, gate_distinct, incomplete_keys, probe_cost, running_count
+from millrace.operators.gate import (
+    gate_count,
+    gate_distinct,
+    incomplete_keys,
+    probe_cost,
+    rejected_acks,
+    running_count,
+)
 from millrace.plans.catalog import query, table
 from millrace.plans.data import EVENT_TYPES, SQL_KEY, acks
 
@@ -29,6 +36,26 @@ def gate_distinct_query(spark, sf_dir):
     return gate_distinct(acks(spark, sf_dir), EVENT_TYPES)
 
 
+@query(
+    """
+    SELECT seq, reason
+    FROM (SELECT event_id AS seq, CASE WHEN user_id % 10 = 0 THEN 'missing key'
+                                       WHEN event_type = 'view' THEN 'unknown source' END AS reason FROM events)
+    WHERE reason IS NOT NULL
+    """,
+    name="rejected_acks",
+)
+def rejected_acks_query(spark, sf_dir):
+    """Every tenth user has lost the key, and views are not expected."""
+    damaged = table(spark, sf_dir, "events").select(
+        F.when(F.col("user_id") % 10 != 0, F.col("user_id")).alias("key"),
+        F.col("event_type").alias("source"),
+        F.col("ts").alias("commit_ts"),
+        F.col("event_id").alias("seq"),
+    )
+    return rejected_acks(damaged, [t for t in EVENT_TYPES if t != "view"]).select("seq", "reason")
+
+
 @query(
     f"""
     SELECT p.key, arrivals, first_ts, missing, 5 - n_sources AS n_missing

@@ -71,7 +71,7 @@ def enrich_nway_query(spark, sf_dir):
     """
 )
 def enrich_as_of_completion(spark, sf_dir):
-    records = enrich_nway(parts(spark, sf_dir), as_of="completion")
+    records = enrich_nway(parts(spark, sf_dir), as_of="completion", stored=True)
     return records.select("key", "billing.o_custkey", "billing.o_totalprice", *_flag_columns())
 
 

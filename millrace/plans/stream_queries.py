@@ -29,7 +29,7 @@ from millrace.sources.streams import union_sources
 from millrace.streaming.batching import chunk_stream
 from millrace.streaming.enrich import enrich_stream
 from millrace.streaming.gate import count_gate_stream, expiring_gate_stream, gate_stream, running_count_stream
-from millrace.streaming.jobs import run_available, start_index
+from millrace.streaming.jobs import commit_acks, run_available, start_index
 
 
 ROWS_PER_STATE_PARTITION = 1_000_000
@@ -42,20 +42,41 @@ def streaming(spark, sf_dir, *names):
     return stream_session(spark, max(cores, rows // ROWS_PER_STATE_PARTITION + 1))
 
 
-def stream(spark, sf_dir, name):
-    """A test table as a stream of its files."""
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet*")
-
-
 def arriving_in_steps(df, label, steps=4):
-    """A table as a stream of ``steps`` micro-batches."""
+    """A table as a stream of ``steps`` micro-batches, in no order."""
     path = shared_dir(df.sparkSession, label)
     df.repartition(steps).write.parquet(path)
     reader = df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", "1")
     return reader.parquet(path)
 
 
+def arriving_in_order(df, label, time, late_hours=0, end=False, steps=4):
+    """A table as a stream of ``steps`` micro-batches by time; a row in twenty comes ``late_hours`` late.
+
+    With ``end`` a last row follows that has nothing but a time far beyond all others: the end of the input.
+    """
+    late = F.when(F.col("seq") % 20 == 0, late_hours * 3_600_000_000).otherwise(0)
+    placed = df.withColumn("_arrives", F.unix_micros(time) + late)
+    borders = placed.approxQuantile("_arrives", [i / steps for i in range(1, steps)], 0.01)
+    step = sum(((F.col("_arrives") > b).cast("int") for b in borders), F.lit(0))
+    pieces = [placed.where(step == i).drop("_arrives") for i in range(steps)]
+    if end:
+        last = df.agg((F.max(time) + F.expr("INTERVAL 30 DAYS")).alias(time))
+        nulls = {f.name: F.lit(None).cast(f.dataType) for f in df.schema if f.name != time}
+        pieces.append(last.withColumns(nulls).select(df.columns))
+    return arriving_one_by_one(pieces, label, df.count())
+
+
+def arriving_one_by_one(pieces, label, rows):
+    """Tables of one schema, ``rows`` in all, as a stream with one micro-batch for each."""
+    spark, schema = pieces[0].sparkSession, pieces[0].schema
+    path = shared_dir(spark, label)
+    files = max(1, rows // (len(pieces) * ROWS_PER_STATE_PARTITION))
+    for piece in pieces:
+        piece.repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files)).parquet(path)
+
+
 def _acks(events):
     return events.select(
         F.concat_ws("|", F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM-dd")).alias("key"),
@@ -81,15 +102,26 @@ def _plain_time(df):
     return df.select(*[utc(n) if t == "timestamp" else F.col(n) for n, t in df.dtypes])
 
 
-@query(f"SELECT key FROM ({SQL_PROGRESS}) WHERE n_sources = 5")
+@query(
+    f"""
+    SELECT key, last_first_seen AS completed_ts, last_source AS completed_by
+    FROM ({SQL_PROGRESS}) WHERE n_sources = 5
+    """
+)
 def stream_gate_distinct(spark, sf_dir):
-    """Acknowledgements arrive in four micro-batches in no order; each complete key comes out once.
+    """Acknowledgements arrive in four micro-batches by time; each complete key comes out once."""
+    spark = streaming(spark, sf_dir, "events")
+    events = arriving_in_order(_acks(table(spark, sf_dir, "events")), "events", "commit_ts")
+    done = run_available(gate_stream(events, EVENT_TYPES), "gate", mode="update")
+    return _plain_time(done.select("key", "completed_ts", "completed_by"))
 
-    When and by what a key was completed depends on the order of arrival, the set of keys does not.
-    """
+
+@query(f"SELECT key FROM ({SQL_PROGRESS}) WHERE n_sources = 5")
+def stream_gate_any_order(spark, sf_dir):
+    """The same in no order: when and by what a key is completed depends on it, the set of keys does not."""
     spark = streaming(spark, sf_dir, "events")
-    events = arriving_in_steps(table(spark, sf_dir, "events"), "events")
-    return run_available(gate_stream(_acks(events), EVENT_TYPES), "gate", mode="update").select("key")
+    events = arriving_in_steps(_acks(table(spark, sf_dir, "events")), "events")
+    return run_available(gate_stream(events, EVENT_TYPES), "gate", mode="update").select("key")
 
 
 @query(f"SELECT {SQL_KEY} AS key, COUNT(*) AS running FROM events GROUP BY 1")
@@ -108,7 +140,8 @@ def stream_running_count(spark, sf_dir):
 )
 def stream_gate_count(spark, sf_dir):
     spark = streaming(spark, sf_dir, "events")
-    done = run_available(count_gate_stream(_acks(stream(spark, sf_dir, "events")), 4), "count-gate")
+    events = arriving_in_order(_acks(table(spark, sf_dir, "events")), "events", "commit_ts")
+    done = run_available(count_gate_stream(events, 4), "count-gate")
     return _plain_time(done.drop("batch_id"))
 
 
@@ -117,13 +150,13 @@ def stream_gate_count(spark, sf_dir):
     SELECT p.key, CASE WHEN n_sources = 5 THEN 'complete' ELSE 'expired' END AS status,
            5 - n_sources AS n_missing
     FROM ({SQL_PROGRESS}) p
-    WHERE n_sources = 5
-       OR epoch_ms(first_ts) + 2 * 86400000 <= (SELECT epoch_ms(MAX(ts)) FROM events)
     """
 )
 def stream_gate_expired(spark, sf_dir):
+    """Rows up to six hours late; the end of the input lets all open keys expire."""
     spark = streaming(spark, sf_dir, "events")
-    gated = expiring_gate_stream(_acks(stream(spark, sf_dir, "events")), EVENT_TYPES, "2 days")
+    events = arriving_in_order(_acks(table(spark, sf_dir, "events")), "events", "commit_ts", late_hours=6, end=True)
+    gated = expiring_gate_stream(events, EVENT_TYPES, "2 days", delay="6 hours")
     done = run_available(gated, "expiring-gate")
     n = F.when(F.col("missing") == "", 0).otherwise(F.size(F.split("missing", ",")))
     return done.select("key", "status", n.cast("bigint").alias("n_missing"))
@@ -141,8 +174,12 @@ def _message(df, key, version, fields, source):
 
 @query(SQL_ENRICHED)
 def stream_enrich_nway(spark, sf_dir):
+    """Lines arrive in three micro-batches, older versions after newer ones; orders complete the keys in two more.
+
+    A record has what is newest when its key is complete, hence the orders come last.
+    """
     spark = streaming(spark, sf_dir, "orders", "lineitem")
-    orders, lines = stream(spark, sf_dir, "orders"), stream(spark, sf_dir, "lineitem")
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     line_version = F.format_string(
         "%s|%02d|%015d|%015d|%08.2f",
         F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"),
@@ -150,7 +187,10 @@ def stream_enrich_nway(spark, sf_dir):
     )
     bills = _message(orders, "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd"), ORDER_FIELDS, F.lit("billing"))
     flag = F.concat(F.lit("flag_"), F.lower("l_returnflag"))
-    messages = bills.unionByName(_message(lines, "l_orderkey", line_version, LINE_FIELDS, flag))
+    items = _message(lines, "l_orderkey", line_version, LINE_FIELDS, flag)
+    pieces = [items.where(F.pmod(F.xxhash64("version"), F.lit(3)) == i) for i in range(3)]
+    pieces += [bills.where(F.pmod(F.xxhash64("key"), F.lit(2)) == i) for i in range(2)]
+    messages = arriving_one_by_one(pieces, "messages", orders.count() + lines.count())
     sources = ["billing", *FLAGS]
     done = run_available(enrich_stream(messages, sources), "enriched", mode="update")
     types = {**{c: t for c, t in orders.dtypes}, **{c: t for c, t in lines.dtypes}}
@@ -184,20 +224,19 @@ def stream_enrich_nway(spark, sf_dir):
                                                 ORDER BY ts, event_id) - 1) / 50) AS BIGINT) AS chunk
           FROM events)
     GROUP BY source, shard, window_start, chunk
-    HAVING COUNT(*) = 50
-        OR window_start + INTERVAL '1 day' <= (SELECT date_trunc('milliseconds', MAX(ts)) FROM events)
     """
 )
 def stream_count_or_timeout(spark, sf_dir):
-    """Chunks per source and shard; the last, still open window shows its full chunks only."""
+    """Chunks per source and shard, of rows up to six hours late; the end of the input closes the last window."""
     spark = streaming(spark, sf_dir, "events")
-    events = stream(spark, sf_dir, "events").select(
+    rows = table(spark, sf_dir, "events").select(
         F.col("event_type").alias("source"),
         _instant("ts"),
         F.col("event_id").alias("seq"),
         F.col("props").alias("value"),
     )
-    chunks = chunk_stream(events, shard=F.col("seq") % 2, rows=50, timeout="1 day", delay="0 seconds")
+    events = arriving_in_order(rows, "events", "ts", late_hours=6, end=True)
+    chunks = chunk_stream(events, shard=F.col("seq") % 2, rows=50, timeout="1 day", delay="6 hours")
     done = _plain_time(run_available(chunks, "chunks"))
     return done.select(
         "source",
@@ -210,16 +249,8 @@ def stream_count_or_timeout(spark, sf_dir):
     )
 
 
-@query(
-    f"""
-    SELECT source, l_orderkey, l_shipdate, l_linenumber, l_partkey, l_suppkey, l_quantity
-    FROM ({SQL_LINES}) WHERE l_orderkey IS NOT NULL
-    QUALIFY row_number() OVER (PARTITION BY source, l_orderkey ORDER BY {SQL_VERSION} DESC) = 1
-    """
-)
-def stream_upsert_current(spark, sf_dir):
-    """Lines arrive in four micro-batches; the store keeps the newest of each key."""
-    spark = streaming(spark, sf_dir, "lineitem")
+def _indexed_lines(spark, sf_dir):
+    """Lines that arrive in four micro-batches, put into a store."""
     lines = arriving_in_steps(
         table(spark, sf_dir, "lineitem").select(
             F.when(F.col("l_quantity") != 50, F.col("l_orderkey")).alias("l_orderkey"),
@@ -230,9 +261,49 @@ def stream_upsert_current(spark, sf_dir):
     )
     store = Store(shared_dir(spark, "stream-store"), "l_orderkey", LINE_VERSION)
     start_index(lines, store, f"{store.root}/checkpoint", once=True).awaitTermination()
+    return store
+
+
+@query(
+    f"""
+    SELECT source, l_orderkey, l_shipdate, l_linenumber, l_partkey, l_suppkey, l_quantity
+    FROM ({SQL_LINES}) WHERE l_orderkey IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY source, l_orderkey ORDER BY {SQL_VERSION} DESC) = 1
+    """
+)
+def stream_upsert_current(spark, sf_dir):
+    """Lines arrive in four micro-batches; the store keeps the newest of each key."""
+    store = _indexed_lines(streaming(spark, sf_dir, "lineitem"), sf_dir)
     return store.current(spark).drop("batch_id")
 
 
+@query(
+    f"""
+    SELECT source, l_orderkey AS key, CASE WHEN l_orderkey IS NULL THEN 'failed' ELSE 'ok' END AS status,
+           CASE WHEN l_orderkey IS NULL THEN 'missing key' END AS error
+    FROM ({SQL_LINES})
+    """
+)
+def stream_commit_log(spark, sf_dir):
+    """One row per document, written by a stream."""
+    store = _indexed_lines(streaming(spark, sf_dir, "lineitem"), sf_dir)
+    return store.log(spark).select("source", "key", "status", "error")
+
+
+@query(
+    f"""
+    SELECT l_orderkey AS key FROM ({SQL_LINES}) WHERE l_orderkey IS NOT NULL
+    GROUP BY l_orderkey HAVING COUNT(DISTINCT source) = 2
+    """
+)
+def stream_commit_gate(spark, sf_dir):
+    """The gate fed by the commit log: orders of which lines of both states have been committed."""
+    spark = streaming(spark, sf_dir, "lineitem")
+    store = _indexed_lines(spark, sf_dir)
+    done = run_available(gate_stream(commit_acks(spark, store, "bigint"), ["O", "F"]), "commit-gate", mode="update")
+    return done.select("key")
+
+
 @query(
     """
     SELECT 'billing' AS source, o_orderkey AS key, o_orderdate AS version FROM orders
@@ -242,7 +313,8 @@ def stream_upsert_current(spark, sf_dir):
 )
 def stream_union_sources(spark, sf_dir):
     spark = streaming(spark, sf_dir, "orders", "lineitem")
-    orders, lines = stream(spark, sf_dir, "orders"), stream(spark, sf_dir, "lineitem")
+    orders = arriving_in_steps(table(spark, sf_dir, "orders"), "orders")
+    lines = arriving_in_steps(table(spark, sf_dir, "lineitem"), "lines")
     merged = union_sources(
         {
             "billing": orders.select(F.col("o_orderkey").alias("key"), F.col("o_orderdate").alias("version")),
@@ -257,7 +329,11 @@ def stream_lookup_join(spark, sf_dir):
     """Orders as a stream, customers as a static lookup."""
     spark = streaming(spark, sf_dir, "orders")
     found = lookup_join(
-        stream(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"), "o_custkey", "c_custkey", "customer"
+        arriving_in_steps(table(spark, sf_dir, "orders"), "orders"),
+        table(spark, sf_dir, "customer"),
+        "o_custkey",
+        "c_custkey",
+        "customer",
     )
     joined = found.select("o_orderkey", "o_custkey", "o_totalprice", "customer.c_name", "customer.c_acctbal")
     return run_available(joined, "lookup").drop("batch_id")

@@ -102,7 +102,8 @@ def chunk_stream(
     Each source is spread over ``shards`` by its documents, not by key, so neither a hot key nor a
     hot source lands in one task. With ``delay`` windows follow event time under that watermark
     delay; without, they follow the time of arrival. The numbers of a window's chunks do not repeat
-    for documents up to ``memory_seconds`` late.
+    for documents up to ``memory_seconds`` late. A row with a time but no source moves the clock and does
+    nothing else: one far in the future ends the input and closes every window.
     """
     use_rocksdb(documents.sparkSession)
     by_arrival = delay is None
@@ -124,7 +125,11 @@ def chunk_stream(
     if not by_arrival:
         # The watermark only moves the timers. Without its column in the operator's input Spark
         # drops no late document; that one gets a chunk of its own.
-        keyed = keyed.withColumn("_clock", F.col("ts")).withWatermark("_clock", delay).drop("_clock")
+        keyed = keyed.withColumn("_clock", F.col("ts")).withWatermark("_clock", delay)
+        # The condition names the clock, so Spark does not move it below the watermark.
+        keyed = keyed.where(F.col("source").isNotNull() | F.col("_clock").isNull()).drop("_clock")
+    else:
+        keyed = keyed.where(F.col("source").isNotNull())
     return keyed.groupBy("source", "shard", "window_start", "window_end").transformWithState(
         statefulProcessor=_Chunks(rows, 1000 * memory_seconds),
         outputStructType=CHUNK,

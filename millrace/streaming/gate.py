@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from millrace.operators.gate import MAX_MASK_SOURCES, usable_acks
+from millrace.operators.gate import usable, usable_acks
 from millrace.session import use_rocksdb
 from millrace.streaming.combine import earliest, first_seen
 
@@ -101,71 +101,84 @@ def count_gate_stream(acks: DataFrame, n: int) -> DataFrame:
 class _ExpiringGate(StatefulProcessor):
     """Waits for all sources, but not beyond ``wait_ms`` after the first arrival of the key.
 
-    A completed key keeps a mark until its timer so that redeliveries stay silent; then all of its
-    state goes.
+    A completed or expired key stays known for another ``memory_ms``, so that redeliveries stay silent and a
+    key that completes late is reported; then all of its state goes.
     """
 
-    def __init__(self, sources: Sequence[str], wait_ms: int):
+    def __init__(self, sources: Sequence[str], wait_ms: int, memory_ms: int):
         self.sources = list(sources)
-        self.full = (1 << len(sources)) - 1
         self.wait_ms = wait_ms
+        self.memory_ms = memory_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("seen", "mask BIGINT, first_ms BIGINT")
-
-    def _names(self, mask: int) -> str:
-        return ",".join(s for i, s in enumerate(self.sources) if not mask >> i & 1)
+        self.state = handle.getValueState("seen", "seen ARRAY<INT>, first_ms BIGINT, end_ms BIGINT, expired BOOLEAN")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         before = self.state.get()
-        mask, first = before if before else (0, None)
-        done = mask == self.full
+        seen, first, end, expired = before if before else ((), None, None, False)
+        seen = set(seen)
+        done = len(seen) == len(self.sources)
         for r in rows:
-            mask |= 1 << self.sources.index(r["source"])
+            seen.add(self.sources.index(r["source"]))
             first = r["first_ms"] if first is None else min(first, r["first_ms"])
         if not before:
-            self.handle.registerTimer(first + self.wait_ms)
-        self.state.update((mask, first))
-        if mask == self.full and not done:
+            end = first + self.wait_ms
+            self.handle.registerTimer(end)
+        self.state.update((sorted(seen), first, end, expired))
+        if len(seen) == len(self.sources) and not done:
             yield Row(key=key[0], status="complete", missing="", first_ms=first)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = self.state.get()
-        if now:
-            mask, first = now
-            if mask != self.full:
-                yield Row(key=key[0], status="expired", missing=self._names(mask), first_ms=first)
+        if not now:
+            return
+        seen, first, end, expired = now
+        missing = [s for i, s in enumerate(self.sources) if i not in set(seen)]
+        if missing and not expired:
+            yield Row(key=key[0], status="expired", missing=",".join(missing), first_ms=first)
+        if expiredTimerInfo.getExpiryTimeInMs() >= end + self.memory_ms:
             self.state.clear()
+        else:
+            self.state.update((seen, first, end, True))
+            self.handle.registerTimer(end + self.memory_ms)
 
     def close(self) -> None:
         pass
 
 
 def expiring_gate_stream(
-    acks: DataFrame, sources: Sequence[str], wait: str = "2 days", delay: str = "0 seconds"
+    acks: DataFrame,
+    sources: Sequence[str],
+    wait: str = "2 days",
+    delay: str = "0 seconds",
+    memory: str = "7 days",
 ) -> DataFrame:
     """The gate with a limit: keys that stay incomplete for ``wait`` of event time are reported
-    once as ``expired``, with what is missing, and forgotten.
+    once as ``expired``, with what is missing.
 
     Input columns: key, source, commit_ts (timestamp). ``delay`` is the watermark delay. The
-    watermark only moves the timers: late acknowledgements still count, none is dropped.
+    watermark only moves the timers: late acknowledgements still count, none is dropped. For ``memory``
+    beyond the wait a key is remembered: repeats stay silent, and one that completes after all is reported
+    ``complete``. Acknowledgements redelivered still later open the key anew. A row with a time but neither
+    key nor source moves the clock and does nothing else: one far in the future ends the input.
     """
-    if len(sources) > MAX_MASK_SOURCES:
-        raise ValueError(f"at most {MAX_MASK_SOURCES} sources")
     spark = acks.sparkSession
     use_rocksdb(spark)
-    acks = usable_acks(acks, sources).select(F.col("key").cast("string").alias("key"), "source", "commit_ts")
-    seen = acks.mapInArrow(
+    tick = F.col("key").isNull() & F.col("source").isNull() & F.col("commit_ts").isNotNull()
+    rows = acks.where(tick | usable(acks, sources))
+    seen = rows.select(F.col("key").cast("string").alias("key"), "source", "commit_ts").mapInArrow(
         first_seen, "key STRING, source STRING, first_ts TIMESTAMP, last_ts TIMESTAMP, arrivals BIGINT"
     )
     return (
         seen.withWatermark("last_ts", delay)
+        # The condition names the time, so Spark does not move it below the watermark.
+        .where(F.col("key").isNotNull() | F.col("last_ts").isNull())
         # Without the watermarked column Spark has nothing to filter late rows by.
         .select("key", "source", F.unix_millis("first_ts").alias("first_ms"))
         .groupBy("key")
         .transformWithState(
-            statefulProcessor=_ExpiringGate(sources, _millis(spark, wait)),
+            statefulProcessor=_ExpiringGate(sources, _millis(spark, wait), _millis(spark, memory)),
             outputStructType="key STRING, status STRING, missing STRING, first_ms BIGINT",
             outputMode="Append",
             timeMode="EventTime",

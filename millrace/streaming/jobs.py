@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,18 +13,11 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from millrace.session import shared_dir
 from millrace.sinks.store import Store
 
-LOG_SCHEMA = T.StructType(
-    [
-        T.StructField("source", T.StringType()),
-        T.StructField("key", T.StringType()),
-        T.StructField("status", T.StringType()),
-        T.StructField("error", T.StringType()),
-        T.StructField("commit_ts", T.TimestampType()),
-        T.StructField("seq", T.LongType()),
-        T.StructField("job", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
-    ]
-)
+def log_schema(key_type: str) -> str:
+    return (
+        f"source STRING, key {key_type}, status STRING, error STRING, commit_ts TIMESTAMP, seq BIGINT, "
+        "job STRING, batch_id BIGINT"
+    )
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
@@ -52,16 +46,22 @@ def start_batches(
 
 
 def start_index(
-    messages: DataFrame, store: Store, checkpoint: str, once: bool = False, interval: str = "20 seconds"
+    messages: DataFrame,
+    store: Store,
+    checkpoint: str,
+    once: bool = False,
+    interval: str = "20 seconds",
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Store a stream of documents and acknowledge each in the store's commit log.
+    """Store a stream of documents and acknowledge each in the store's commit log. ``prepare`` makes documents of
+    each micro-batch.
 
     The checkpoint names the job: several jobs may write to one store at the same time.
     """
     job = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store.write_batch(batch, batch_id, job=job)
+        store.write_batch(batch if prepare is None else prepare(batch), batch_id, job=job)
 
     return start(messages.writeStream.foreachBatch(write), checkpoint, once, interval)
 
@@ -72,15 +72,16 @@ def start(writer: DataStreamWriter, checkpoint: str, once: bool, interval: str)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
 
 
-def commit_acks(spark: SparkSession, store: Store, **options: str) -> DataFrame:
-    """The commit log as a stream of acknowledgements, for the gate. It may start before the first batch.
+def commit_acks(spark: SparkSession, store: Store, key_type: str = "string", **options: str) -> DataFrame:
+    """The commit log as a stream of acknowledgements, for the gate. It may start before the first batch, so the
+    type of the store's keys has to be said.
 
     A rewritten batch replaces its files: those gone are skipped, the new ones are read, and the
     gate does not mind repeats.
     """
     make_folder(spark, store.log_path)
     return (
-        spark.readStream.schema(LOG_SCHEMA)
+        spark.readStream.schema(log_schema(key_type))
         .option("ignoreMissingFiles", "true")
         .options(**options)
         .parquet(store.log_path)

@@ -193,3 +193,13 @@ def test_large_whole_numbers_stay_exact(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t STRING")
     got = {r["t"]: r["n"] for r in df.select("t", typed_value(F.col("t"), T.LongType(), "").alias("n")).collect()}
     assert got == dict(zip(texts, [9007199254740993, None, 67, None, 1000, -5, None, None]))
+
+
+@pytest.mark.parametrize("limit", [10**9, 5_000, 700, 100])
+def test_first_rows_at_any_limit(spark, limit):
+    """The plain plan, salted pieces, and numbering over ranges give the same rows."""
+    df = spark.range(3000).select(F.when(F.col("id") % 3 != 0, F.lit("hot")).otherwise(F.lit("small")).alias("source"), "id")
+    got = take_rows(df, 60, ["id"], max_group_rows=limit).collect()
+    ids = {s: sorted(r["id"] for r in got if r["source"] == s) for s in ("hot", "small")}
+    assert ids["small"] == list(range(0, 180, 3)) and ids["hot"] == [i for i in range(90) if i % 3]
+    assert len(got) == 120

@@ -264,3 +264,37 @@ def test_folders_as_one_stream(spark, folder):
         spark.range(i, i + 2).write.parquet(path)
     rows = run_available(read_file_streams(spark, folders, schema), "union").collect()
     assert sorted((r["source"], r["id"]) for r in rows) == [("a", 0), ("a", 1), ("b", 1), ("b", 2)]
+
+
+def test_redelivery_after_the_wait_stays_silent(spark, folder):
+    feed = Feed(spark, folder("acks"), ACK)
+    hour = 3600
+    feed.add(acks("k:a k:b j:a"))
+    feed.add(acks("z:a", 3 * hour))  # beyond the wait of k and j
+    feed.add(acks("z:a", 4 * hour))
+    feed.add(acks("k:a k:b", 5 * hour))  # redelivered
+    feed.add(acks("j:b", 5 * hour))  # completes after all
+    gated = expiring_gate_stream(feed.stream(), ["a", "b"], wait="2 hours", memory="1 day")
+    rows = [(r["key"], r["status"], r["missing"]) for r in run_available(gated, "expiring").collect()]
+    expected = [("j", "complete", ""), ("j", "expired", "b"), ("k", "complete", ""), ("z", "expired", "b")]
+    assert sorted(rows) == expected
+
+
+def test_many_sources_and_the_end_of_input(spark, folder):
+    feed, names = Feed(spark, folder("acks"), ACK), [f"s{i}" for i in range(70)]
+    feed.add(acks(" ".join(f"k:{n}" for n in names[:40])))
+    feed.add(acks(" ".join([*(f"k:{n}" for n in names[40:]), "j:s0", "i:zz"]), 100))
+    feed.add([(None, None, T0 + timedelta(days=9), None)])
+    rows = run_available(expiring_gate_stream(feed.stream(), names, "2 hours"), "expiring").collect()
+    found = {r["key"]: (r["status"], r["missing"]) for r in rows}
+    assert found == {"k": ("complete", ""), "j": ("expired", ",".join(names[1:]))}
+    assert len(rows) == 2
+
+
+def test_the_end_of_input_closes_the_last_chunk(spark, folder):
+    feed = Feed(spark, folder("docs"), "source STRING, ts TIMESTAMP, seq BIGINT, value STRING")
+    feed.add([("s", T0, i, str(i)) for i in range(7)])
+    feed.add([(None, T0 + timedelta(days=1), None, None)])
+    chunks = chunk_stream(feed.stream(), shards=1, rows=5, timeout="20 seconds", delay="0 seconds")
+    rows = run_available(chunks, "chunks").collect()
+    assert sorted((r["source"], r["n"], r["reason"]) for r in rows) == [("s", 2, "timeout"), ("s", 5, "count")]
