@@ -67,7 +67,8 @@ def main(argv: list[str] | None = None) -> None:
             topics = dict((t.split("=", 1) * 2)[:2] for t in args.topics.split(","))
             messages = read_topics(spark, args.servers, list(topics), sources=topics)
         config = RunConfig().override(chunk_timeout=args.interval)
-        start_indexing(messages, args.store, args.checkpoint, config, args.once).awaitTermination()
+        sources = Registry.parse(args.registry, SCHEMAS).names if args.registry else None
+        start_indexing(messages, args.store, args.checkpoint, config, args.once, sources).awaitTermination()
     else:
         options = {"date_format": args.date_format}
         registry = Registry.parse(args.registry, SCHEMAS, **options) if args.registry else health_registry(**options)

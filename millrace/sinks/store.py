@@ -29,12 +29,13 @@ OWN = "_document_"
 
 
 class Store:
-    """``fields`` are the columns of a document besides its source."""
+    """Documents of other sources than ``sources`` are refused, if these are given."""
 
-    def __init__(self, root: str, key: str, version: Sequence[str]):
+    def __init__(self, root: str, key: str, version: Sequence[str], sources: Sequence[str] | None = None):
         self.root = root.rstrip("/")
         self.key = key
         self.version = list(version)
+        self.sources = None if sources is None else list(sources)
 
     @property
     def data_path(self) -> str:
@@ -46,11 +47,12 @@ class Store:
 
     def fault(self) -> Column:
         """Why a document cannot be stored; null when it can."""
-        return (
+        fault = (
             F.when(F.col("source").isNull() | (F.col("source") == ""), "missing source")
             .when(F.col(self.key).isNull(), "missing key")
             .when(F.col(self.version[0]).isNull(), "missing version")
         )
+        return fault if self.sources is None else fault.when(~F.col("source").isin(*self.sources), "unknown source")
 
     def batch_path(self, kind: str, job: str, batch_id: int) -> str:
         return f"{self.root}/{kind}/job={job}/batch_id={batch_id}"
@@ -128,7 +130,7 @@ class Store:
 
         Meanwhile later batches may be written here; copy or replay them, then switch readers.
         """
-        target = Store(root, self.key, self.version)
+        target = Store(root, self.key, self.version, self.sources)
         early = F.col("batch_id") <= upto
         latest = self._latest(self._stored(spark, "ok").where(early).drop("status", "error", "job"))
         latest = latest.withColumn("error", F.lit(None).cast("string")).withColumn("status", F.lit("ok"))

@@ -188,3 +188,32 @@ def test_a_reloaded_lookup_shows_in_the_next_batch(spark, published):
     start_indexing(message_files(spark, out), store, str(tmp_path / "cp-index"), once=True).awaitTermination()
     second = converge()
     assert second == first | {"later": "newer"}
+
+
+def test_made_up_keys_do_not_depend_on_splits_or_folders(spark, tmp_path):
+    text = "\n".join(["x\ty", *[f"{i % 7}\tsame" for i in range(400)]])
+    keys = []
+    for label, split in (("one", "128m"), ("two", "300")):
+        (tmp_path / label).mkdir()
+        (tmp_path / label / "in.txt").write_text(text)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            publish(spark, {"s": str(tmp_path / label / "in.txt")}, str(tmp_path / label / "out"))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        keys.append(sorted(r["value"] for r in spark.read.text(str(tmp_path / label / "out/messages")).collect()))
+    assert keys[0] == keys[1] and len(set(keys[0])) == 400
+
+
+def test_the_later_line_of_a_file_wins_and_unknown_sources_are_refused(spark, tmp_path):
+    for source, cost in (("billing_cost", (9, 10)), ("other", (1, 2))):
+        folder = tmp_path / "out" / "messages" / f"source={source}"
+        folder.mkdir(parents=True)
+        lines = [json.dumps({"pcn": "k", "totalCost": str(c)}) for c in cost]
+        (folder / "part-0.txt").write_text("\n".join(lines))
+    root = str(tmp_path / "store")
+    start_indexing(
+        message_files(spark, str(tmp_path / "out")), root, str(tmp_path / "cp"), once=True, sources=["billing_cost"]
+    ).awaitTermination()
+    assert [json.loads(r["value"])["totalCost"] for r in document_store(root).current(spark).collect()] == ["10"]
+    assert {(r["source"], r["error"]) for r in document_store(root).rejected(spark).collect()} == {("other", "unknown source")}
