@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.batching import assign_chunks, chunk_summary
+from millrace.operators.batching import assign_chunks, chunk_summary, session_counts
 from millrace.sinks.lookup import load_lookup
 from millrace.sinks.store import Store, write_status_counts
 from millrace.sinks.text import ack_messages, topic_messages, write_json_text, write_topic
@@ -169,3 +169,19 @@ def test_compaction_keeps_refused_documents_and_the_log(spark, folder):
     s.write_batch(spark.createDataFrame([("a", "k", 1, "x"), ("a", None, 1, "lost")], DOC), 0)
     small = s.compact(spark, folder("compact"), 0)
     assert small.rejected(spark).first()["x"] == "lost" and small.log(spark).count() == 2
+
+
+@pytest.mark.parametrize("limit", [15, 120])
+def test_sessions_of_long_groups(spark, limit):
+    """Sorting in ranges finds the sessions that one sorted group has."""
+    rows = spark.range(600).select(
+        F.when(F.col("id") % 3 != 0, F.lit("hot")).when(F.col("id") % 2 == 0, F.lit("b")).alias("g"),
+        F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(9000))).alias("ts"),
+    )
+    for groups in (["g"], []):
+        whole = session_counts(rows, "ts", 20, groups)
+        split = session_counts(rows, "ts", 20, groups, max_group_rows=limit)
+        assert split.columns == whole.columns
+        found = sorted(map(tuple, split.collect()), key=str)
+        assert found == sorted(map(tuple, whole.collect()), key=str)
+        assert sum(r[-1] for r in found) == 600
