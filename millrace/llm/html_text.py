@@ -56,7 +56,8 @@ TOKEN = re.compile(
     r"""(?P<rest>(?:[^>"'=]++|=\s*+(?>"[^"]*+"|'[^']*+')|[="'])*+)(?:>|\Z)""",
     re.S,
 )
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I | re.S)
+# One attribute after the other, each with its whole value.
+ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?""", re.S)
 WORDS = re.compile(r"[a-z]+")
 DIGITS = re.compile(r"\d+")
 DECAY = (1.0, 0.8, 0.6, 0.45, 0.3, 0.2)
@@ -72,7 +73,7 @@ class Element:
     def __init__(self, tag: str, parent: Element | None, rest: str = ""):
         self.tag, self.parent = tag, parent
         classes, names, role, hidden = "", "", "", False
-        if rest and "=" in rest or "hidden" in rest:
+        if rest:
             for name, value in ATTRIBUTE.findall(rest):
                 name, value = name.lower(), value.strip("\"'")
                 if name == "class":

@@ -296,6 +296,22 @@ def test_page_text(source, text):
     assert page.extract(None) == text
 
 
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<article><p>a <a href='/hidden-gems'>word</a> b</p></article>", "a word b"),
+        ("<article><p title='hidden costs'>a</p><p>b</p></article>", "a\n\nb"),
+        ("<article><section data-url='/hidden/1'><p>a</p></section><p data-state=hidden>b</p></article>", "a\n\nb"),
+        ("<div data-hidden='false' data-role='menu'><p>a</p></div>", "a"),
+        ("<div data-id='comment-7'><article><p>a</p></article></div>", "a"),
+        ("<article><p>a</p><p hidden>no</p><p HIDDEN>no</p><p aria-hidden='true'>no</p><p class=x hidden=''>no</p></article>", "a"),
+        ("<article><p>some text</p><div id = 'comments'>no</div><div title='x' role=menu>no</div><p style='display: none'>no</p></article>", "some text"),
+    ],
+)
+def test_attributes_by_their_full_names(source, text):
+    assert Page(source).extract(None) == text
+
+
 def test_hosts_agree_on_a_path(spark):
     """A page whose advert is longer than its article follows the other pages of its host."""
     from millrace.llm.html_text import extract_pages
