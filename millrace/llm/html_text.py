@@ -4,7 +4,8 @@ On every page each container element gets a score: the text of its blocks, weigh
 by the share of links, and up for elements that say they hold the article. The page votes for the
 generalised path (tags and classes, digits folded) of its best container; votes are counted per host in Spark, and
 every page is extracted again with the path that won on its host. A page that lacks that path uses its own
-best container. Menus, forms, notices and the like are left out wherever they stand.
+best container. Menus, forms, notices and the like are left out wherever they stand. By their class or id alone, elements
+are left out only if a whole name says so, and not if the article or most of the page's unlinked text is in them.
 
 Blocks come in page order, white space inside a block becomes one space, character references are decoded
 once, and blocks are joined by an empty line. Nothing is cut. A null or empty page has empty text. Unclosed and
@@ -15,6 +16,7 @@ more text, then to the first in order of path. An empty table gives no rows. Onl
 
 from __future__ import annotations
 
+import functools
 import html as entities
 import re
 from collections.abc import Iterator
@@ -44,6 +46,10 @@ recommended related replies reply share sharing sidebar signup skyscraper social
 """.split()
 LEFT_OUT_ROLES = "alert banner complementary contentinfo dialog form menu menubar navigation search".split()
 HEADER_WORDS = "header masthead topbar".split()
+# Words that may stand beside those above in one class or id; any other word makes it a name of something else.
+PLACE_WORDS = """
+area bar block box bottom buttons center container global inner item items left links list outer page right section site top wrap wrapper
+""".split()
 ARTICLE_WORDS = "article body content entry main post story text".split()
 # A start tag closes these open elements first, up to the nearest element of the second list.
 CLOSES = {
@@ -59,16 +65,31 @@ TOKEN = re.compile(
 # One attribute after the other, each with its whole value.
 ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?""", re.S)
 WORDS = re.compile(r"[a-z]+")
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 DIGITS = re.compile(r"\d+")
 DECAY = (1.0, 0.8, 0.6, 0.45, 0.3, 0.2)
 _RAW, _VOID, _INLINE, _CONTAINERS = map(frozenset, (RAW, VOID, INLINE, CONTAINERS))
 _OUT, _OUT_WORDS, _OUT_ROLES = map(frozenset, (LEFT_OUT, LEFT_OUT_WORDS, LEFT_OUT_ROLES))
-_HEADER_WORDS, _ARTICLE_WORDS = frozenset(HEADER_WORDS), frozenset(ARTICLE_WORDS)
+_HEADER_WORDS, _PLACE_WORDS, _ARTICLE_WORDS = map(frozenset, (HEADER_WORDS, PLACE_WORDS, ARTICLE_WORDS))
 _CLOSES = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in CLOSES.items()}
 
 
+@functools.lru_cache(1 << 16)
+def names_any(tokens: str, wanted: frozenset) -> bool:
+    """Whether a class or id consists of the wanted words, with words of place at most."""
+    for token in tokens.split():
+        words = WORDS.findall(CAMEL.sub(" ", token).lower())
+        if not wanted.isdisjoint(words) and all(w in wanted or w in _PLACE_WORDS for w in words):
+            return True
+    return False
+
+
 class Element:
-    __slots__ = ("tag", "parent", "path", "out", "bonus", "container", "score", "inside")
+    """``suspect`` elements are left out by a word of theirs, unless the page's text is in them."""
+
+    __slots__ = (
+        "tag", "parent", "path", "out", "bonus", "container", "score", "inside", "in_article", "suspect", "suspected", "size", "holds",
+    )
 
     def __init__(self, tag: str, parent: Element | None, rest: str = ""):
         self.tag, self.parent = tag, parent
@@ -86,14 +107,19 @@ class Element:
                     hidden = True
                 elif name == "style" and "display:none" in value.replace(" ", "").lower():
                     hidden = True
-        words = frozenset(WORDS.findall(f"{classes} {names}".lower())) if classes or names else frozenset()
+        tokens = f"{classes} {names}"
+        words = frozenset(WORDS.findall(tokens.lower())) if classes or names else frozenset()
         self.inside = tag in ("article", "main") or parent is not None and parent.inside
-        header = not self.inside and (tag == "header" or bool(words & _HEADER_WORDS))
-        whole = tag in ("html", "body", "article", "main")
+        self.in_article = tag == "article" or parent is not None and parent.in_article
         self.out = (
-            parent is not None and parent.out or hidden or tag in _OUT or role in _OUT_ROLES or header
-            or bool(words & _OUT_WORDS) and not (whole and tag != "article")
+            parent is not None and parent.out or hidden or tag in _OUT or role in _OUT_ROLES or not self.inside and tag == "header"
+        )
+        self.suspect = bool(words) and (
+            tag != "main" and names_any(tokens, _OUT_WORDS) or not self.inside and names_any(tokens, _HEADER_WORDS)
         )
+        self.suspected = self.suspect or parent is not None and parent.suspected
+        # The length of the unlinked text in it, and whether it is or contains an article.
+        self.size, self.holds = 0, tag in ("article", "main")
         self.container = tag in _CONTAINERS
         self.bonus = {"article": 3.0, "main": 2.0}.get(tag, 1.5 if words & _ARTICLE_WORDS and tag != "body" else 1.0)
         self.score = 0.0
@@ -106,29 +132,65 @@ class Page:
 
     def __init__(self, source: str):
         self.blocks: list[tuple[Element, str]] = []
-        self.elements: list[Element] = []
         self.root = Element("body", None)
-        self.elements.append(self.root)
+        self.all = [self.root]
         self.stack = [self.root]
-        self.text: list[str] = []
-        self.linked = self.links = 0
+        # What the parser finds: blocks of pieces, each with its element and whether it is linked.
+        self.found: list[tuple[Element, list[tuple[str, Element, bool]]]] = []
+        self.text: list[tuple[str, Element, bool]] = []
+        self.links = 0
         self.parse(source)
         self.flush()
+        self.leave_out()
+        self.elements = [e for e in self.all if e.container and not e.out]
+        for top, pieces in self.found:
+            self.weigh(top, pieces)
 
     def flush(self) -> None:
         if self.text:
-            block = " ".join(entities.unescape("".join(self.text)).split())
-            if block:
-                top = self.stack[-1]
-                self.blocks.append((top, block))
-                share = min(1.0, self.linked / max(1, len(block)))
-                worth, steps, element = len(block) * (1 - share), 0, top
-                while element is not None:
-                    if element.container:
-                        element.score += worth * DECAY[min(steps, len(DECAY) - 1)]
-                        steps += 1
-                    element = element.parent
-            self.text, self.linked = [], 0
+            self.found.append((self.stack[-1], self.text))
+            self.text = []
+
+    def leave_out(self) -> None:
+        """Suspects go, but for those around the article or most of the unlinked text; all stay if nothing else would be left."""
+        if not any(e.suspect for e in self.all):
+            return
+        # Unlinked text that no word of a class puts in doubt: in articles, and in articles or main.
+        clear = clear_main = 0
+        for e in self.all:
+            if e.inside and not e.suspected:
+                clear_main += e.size
+                clear += e.size if e.in_article else 0
+        for e in reversed(self.all[1:]):
+            e.parent.size += e.size
+            e.parent.holds |= e.holds
+        total = left = self.root.size
+        going = set()
+        for e in self.all[1:]:
+            if e.parent in going:
+                going.add(e)
+            elif e.suspect and not e.out:
+                around = e.holds and not e.parent.in_article and e.size > clear
+                most = 2 * e.size > total and (e.parent.inside or not clear_main)
+                if not around and not most:
+                    going.add(e)
+                    left -= e.size
+        if left > 0 or not total:
+            for e in going:
+                e.out = True
+
+    def weigh(self, top: Element, pieces: list[tuple[str, Element, bool]]) -> None:
+        block = " ".join(entities.unescape("".join([text for text, owner, _ in pieces if not owner.out])).split())
+        if block:
+            self.blocks.append((top, block))
+            linked = sum([len(text) for text, owner, link in pieces if link and not owner.out])
+            share = min(1.0, linked / max(1, len(block)))
+            worth, steps, element = len(block) * (1 - share), 0, top
+            while element is not None:
+                if element.container:
+                    element.score += worth * DECAY[min(steps, len(DECAY) - 1)]
+                    steps += 1
+                element = element.parent
 
     def parse(self, source: str) -> None:
         position = 0
@@ -136,9 +198,10 @@ class Page:
             found = TOKEN.search(source, position)
             stop = found.start() if found else len(source)
             if stop > position and not self.stack[-1].out:
-                self.text.append(source[position:stop])
-                if self.links:
-                    self.linked += stop - position
+                text, top = source[position:stop], self.stack[-1]
+                self.text.append((text, top, self.links > 0))
+                if not self.links:
+                    top.size += len(text.strip())
             if found is None:
                 return
             position = found.end()
@@ -161,7 +224,7 @@ class Page:
             return
         if tag in _VOID:
             if tag == "br":
-                self.text.append(" ")
+                self.text.append((" ", self.root, False))
             elif tag not in _INLINE:
                 self.flush()
             return
@@ -169,10 +232,12 @@ class Page:
             self.links += tag == "a" and not self.stack[-1].out
             if "=" in rest and tag == "span" or "hidden" in rest:
                 element = Element(tag, self.stack[-1], rest)
-                if element.out and not rest.endswith("/"):
+                if (element.out or element.suspected) and not rest.endswith("/"):
                     self.stack.append(element)
-            elif self.stack[-1].out and self.stack[-1].tag == tag:
+                    self.all.append(element)
+            elif (self.stack[-1].out or self.stack[-1].suspected) and self.stack[-1].tag == tag:
                 self.stack.append(Element(tag, self.stack[-1]))
+                self.all.append(self.stack[-1])
             return
         self.flush()
         self.links = 0
@@ -187,8 +252,7 @@ class Page:
                     del self.stack[i:]
         element = Element(tag, self.stack[-1], rest)
         self.stack.append(element)
-        if element.container and not element.out:
-            self.elements.append(element)
+        self.all.append(element)
 
     def close(self, tag: str) -> None:
         if tag in _INLINE:

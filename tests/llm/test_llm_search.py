@@ -312,6 +312,35 @@ def test_attributes_by_their_full_names(source, text):
     assert Page(source).extract(None) == text
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        "div class='layout has-sidebar'", "div class='content-sidebar-wrap'", "div id='page' class='no-sidebar menu-closed'",
+        "article class='post comments-open'", "div class='has-header'", "div class=widget", "div id=comments class='share'", "section class='promo'",
+    ],
+)
+@pytest.mark.parametrize("inner", ["<article><p>one two</p></article>", "<p>one two</p>", "<div><p>one</p><p>two</p></div>"])
+def test_wrappers_with_words_of_notices_pass(wrapper, inner):
+    end = wrapper.split()[0]
+    source = f"<body><{wrapper}>{inner}<div class='ad'>x</div></{end}><div class='site-footer'>y</div></body>"
+    assert Page(source).extract(None).split() == ["one", "two"]
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<article><p>a</p><section class='social-history'><p>b</p></section><div class='related-work'>c</div></article>", "a\n\nb\n\nc"),
+        ("<article><p>a b c</p><div class='comment-list'><article class='comment'>no</article></div></article>", "a b c"),
+        ("<article><p>a b <span class='ad'>no <span>no</span></span> c</p></article>", "a b c"),
+        ("<div><p><span class='banner'>all of <b>the</b> text</span></p></div>", "all of the text"),
+        ("<div><div class='widget'>one</div><div class='widget'>two</div></div>", "one\n\ntwo"),
+        ("<div class='site-header'><p>no</p></div><div class='shareButtons'>no</div><div><p>the text</p></div>", "the text"),
+    ],
+)
+def test_class_words_are_judged_whole(source, text):
+    assert Page(source).extract(None) == text
+
+
 def test_hosts_agree_on_a_path(spark):
     """A page whose advert is longer than its article follows the other pages of its host."""
     from millrace.llm.html_text import extract_pages
