@@ -1,8 +1,9 @@
 """Main text of web pages by consensus of their host.
 
 On every page each container element gets a score: the text of its blocks, weighted down with distance and
-by the share of links, and up for elements that say they hold the article. The page votes for the
-generalised path (tags and classes, digits folded) of its best container; votes are counted per host in Spark, and
+by the share of links, and up for elements that say they hold the article. From the best container the page climbs to the
+parent as long as that mostly adds unlinked text beside it (title, first paragraphs, sections), and votes for the
+generalised path (tags and classes, digits folded) of where it ends; votes are counted per host in Spark, and
 every page is extracted again with the path that won on its host. A page that lacks that path uses its own
 best container. Menus, forms, notices and the like are left out wherever they stand. By their class or id alone, elements
 are left out only if a whole name says so, and not if the article or most of the page's unlinked text is in them.
@@ -35,7 +36,9 @@ INLINE = """
 a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike
 strong sub sup time tt u var wbr
 """.split()
-CONTAINERS = "article body blockquote center div main section table tbody td".split()
+CONTAINERS = "article body center div main section table tbody td".split()
+# Text in one of these beside the chosen container is not taken to go on with it.
+APART = "article center div main".split()
 LEFT_OUT = """
 aside button dialog fieldset footer form head iframe input menu nav noscript object script select style svg template textarea title
 """.split()
@@ -71,6 +74,7 @@ DECAY = (1.0, 0.8, 0.6, 0.45, 0.3, 0.2)
 _RAW, _VOID, _INLINE, _CONTAINERS = map(frozenset, (RAW, VOID, INLINE, CONTAINERS))
 _OUT, _OUT_WORDS, _OUT_ROLES = map(frozenset, (LEFT_OUT, LEFT_OUT_WORDS, LEFT_OUT_ROLES))
 _HEADER_WORDS, _PLACE_WORDS, _ARTICLE_WORDS = map(frozenset, (HEADER_WORDS, PLACE_WORDS, ARTICLE_WORDS))
+_APART = frozenset(APART)
 _CLOSES = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in CLOSES.items()}
 
 
@@ -89,6 +93,7 @@ class Element:
 
     __slots__ = (
         "tag", "parent", "path", "out", "bonus", "container", "score", "inside", "in_article", "suspect", "suspected", "size", "holds",
+        "low", "high",
     )
 
     def __init__(self, tag: str, parent: Element | None, rest: str = ""):
@@ -120,9 +125,12 @@ class Element:
         self.suspected = self.suspect or parent is not None and parent.suspected
         # The length of the unlinked text in it, and whether it is or contains an article.
         self.size, self.holds = 0, tag in ("article", "main")
-        self.container = tag in _CONTAINERS
+        # A cell holds the text only where tables lay out the page.
+        self.container = tag in _CONTAINERS and not (tag == "td" and self.inside)
         self.bonus = {"article": 3.0, "main": 2.0}.get(tag, 1.5 if words & _ARTICLE_WORDS and tag != "body" else 1.0)
         self.score = 0.0
+        # Its blocks are those from low up to high.
+        self.low = self.high = 0
         own = ".".join([tag, *sorted(DIGITS.sub("0", c) for c in classes.split())])
         self.path = own if parent is None or not parent.path else f"{parent.path}>{own}"
 
@@ -132,6 +140,7 @@ class Page:
 
     def __init__(self, source: str):
         self.blocks: list[tuple[Element, str]] = []
+        self.unlinked: list[float] = []
         self.root = Element("body", None)
         self.all = [self.root]
         self.stack = [self.root]
@@ -182,11 +191,16 @@ class Page:
     def weigh(self, top: Element, pieces: list[tuple[str, Element, bool]]) -> None:
         block = " ".join(entities.unescape("".join([text for text, owner, _ in pieces if not owner.out])).split())
         if block:
-            self.blocks.append((top, block))
             linked = sum([len(text) for text, owner, link in pieces if link and not owner.out])
             share = min(1.0, linked / max(1, len(block)))
             worth, steps, element = len(block) * (1 - share), 0, top
+            place = len(self.blocks)
+            self.blocks.append((top, block))
+            self.unlinked.append(worth)
             while element is not None:
+                if element.high == 0:
+                    element.low = place
+                element.high = place + 1
                 if element.container:
                     element.score += worth * DECAY[min(steps, len(DECAY) - 1)]
                     steps += 1
@@ -271,19 +285,56 @@ class Page:
         """The container with the highest score, the outermost of equals."""
         return max(self.elements, key=lambda e: e.score * e.bonus)
 
-    def below(self, chosen: set[int]) -> list[str]:
-        texts = []
-        for element, block in self.blocks:
-            while element is not None and id(element) not in chosen:
+    def whole(self, chosen: list[Element]) -> list[Element]:
+        """Climbs from the chosen containers as long as that adds, for the most part, text that goes on with theirs."""
+        at = chosen[0].parent
+        if any(e.parent is not at for e in chosen):
+            return chosen
+        # Beyond main nothing belongs to the text, nor what stands beside an article at the top of the page.
+        article = any(e.inside for e in chosen)
+        while at is not None and chosen[0].tag != "main" and not (article and at is self.root):
+            article |= at.inside
+            added = at.high - at.low - sum(e.high - e.low for e in chosen)
+            if added:
+                if not self.goes_on(chosen, at):
+                    break
+                chosen = [at]
+            elif at.tag in ("article", "main"):
+                chosen = [at]
+            at = at.parent
+        return chosen
+
+    def goes_on(self, chosen: list[Element], at: Element) -> bool:
+        """Whether more than half of what ``at`` adds is unlinked and stands beside the chosen, not in containers of
+        its own. What lies between a heading and the text counts wherever it stands."""
+        first, spans = min(e.low for e in chosen), [range(e.low, e.high) for e in chosen]
+        size = good = 0.0
+        titled = False
+        for place in range(at.low, at.high):
+            if any(place in span for span in spans):
+                continue
+            element, block = self.blocks[place]
+            apart = heading = False
+            while element is not at:
+                heading |= element.tag in ("h1", "h2")
+                apart |= element.tag in _APART and element.bonus == 1.0 or element.tag in ("article", "main")
                 element = element.parent
-            if element is not None:
-                texts.append(block)
-        return texts
+            titled |= heading and self.unlinked[place] > 0
+            size += len(block)
+            if not apart or titled and place < first or at.bonus > 1.0:
+                good += self.unlinked[place]
+        return 2 * good > size
+
+    def best(self) -> list[Element]:
+        """The whole text around the container with the highest score, the outermost of equals."""
+        return self.whole([max(self.elements, key=lambda e: e.score * e.bonus)])
+
+    def below(self, chosen: list[Element]) -> list[str]:
+        return [block for e in chosen for _, block in self.blocks[e.low : e.high]]
 
     def extract(self, path: str | None) -> str:
-        chosen = {id(e) for e in self.elements if e.path == path} if path else set()
-        texts = self.below(chosen) if chosen else []
-        return "\n\n".join(texts or self.below({id(self.best())}))
+        chosen = [e for e in self.elements if e.path == path and e.high] if path else []
+        return "\n\n".join(self.below(self.whole(chosen) if chosen else self.best()))
 
 
 def host(url: Column) -> Column:
@@ -299,8 +350,8 @@ def page_votes(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
         rows = []
         for source in sources:
             page = Page(source)
-            best = page.best()
-            rows.append((best.path, int(best.score)))
+            best = page.best()[0]
+            rows.append((best.path, int(sum(page.unlinked[best.low : best.high]))))
         return pd.DataFrame(rows, columns=["path", "n"])
 
     votes = pages.select(host(F.col(url_col)).alias("host"), vote(F.coalesce(F.col(html_col), F.lit(""))).alias("v"))

@@ -341,6 +341,37 @@ def test_class_words_are_judged_whole(source, text):
     assert Page(source).extract(None) == text
 
 
+LONG = " ".join(["long"] * 40)
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<div class='post'><h1>T</h1><p>lead</p><div class='entry'>{}</div></div>", "T\n\nlead\n\n{}"),
+        ("<body><h1>T</h1><p>lead</p><div>{}</div></body>", "T\n\nlead\n\n{}"),
+        ("<div><div><h1>T</h1></div><div><p>lead</p></div><div><div>{}</div></div></div>", "T\n\nlead\n\n{}"),
+        ("<div class=post><p>a</p><section>{}</section><section><p>b</p></section></div>", "a\n\n{}\n\nb"),
+        ("<article><p>a</p><table><tr><td>{}<td>b</table><p>c</p><a href=x>links of it</a></article>", "a\n\n{}\n\nb\n\nc\n\nlinks of it"),
+        ("<div><p>a</p><blockquote><p>{}</p></blockquote><p>b <a href=x>links links</a></p></div>", "a\n\n{}\n\nb links links"),
+        ("<table><tr><td><a href=x>menu and more menu</a><td><h1>T</h1>{}</table>", "T\n\n{}"),
+        ("<div class=post><h1>T</h1><article>{}</article></div><p>Copyright</p>", "T\n\n{}"),
+        ("<body><p>x</p><article><div><p>a</p><div>{}</div></div></article><p>Copyright</p></body>", "a\n\n{}"),
+        ("<body><div class=text><p>{}</p></div><div class=b><p>apart</p></div></body>", "{}"),
+    ],
+)
+def test_text_beside_the_body_is_kept(source, text):
+    assert Page(source.format(LONG)).extract(None) == text.format(LONG)
+
+
+def test_hosts_vote_for_the_whole_text(spark):
+    from millrace.llm.html_text import extract_pages
+
+    page = "<div class='post'>{}<div class='entry'><p>{}</p></div></div><div class='b'>apart</div>"
+    rows = [(i, "http://a.example", page.format("<h1>T</h1><p>lead</p>" if i < 2 else "", LONG)) for i in range(5)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert {r.page_id: r.text for r in extract_pages(df).collect()} == {i: f"T\n\nlead\n\n{LONG}" if i < 2 else LONG for i in range(5)}
+
+
 def test_hosts_agree_on_a_path(spark):
     """A page whose advert is longer than its article follows the other pages of its host."""
     from millrace.llm.html_text import extract_pages
