@@ -89,6 +89,46 @@ def test_repeats_keep_whole_characters_and_rows(spark):
     assert suffix_dedup.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_a_common_line_is_dealt_over_the_buckets(spark):
+    """One line of 40 bytes in every document, each time with other neighbours, fills no part of a bucket."""
+    import pyarrow as pa
+
+    rng = random.Random(7)
+    line = "This is the line that all of them share."
+    docs = [(i, "".join(rng.choices("abcdefgh", k=40)) + line + "".join(rng.choices("abcdefgh", k=40))) for i in range(3000)]
+    docs += [(3000 + i, docs[i][1]) for i in range(0, 3000, 100)] + [(5000, line), (5001, docs[5][1][20:100])]
+    bucket_bytes, buckets = 20_000, 20
+    schema = pa.schema([("_id", pa.int64()), ("_text", pa.binary())])
+    rows = []
+    for number in range(0, len(docs), 1000):
+        some = docs[number : number + 1000]
+        table = pa.table([[d for d, _ in some], [t.encode() for _, t in some]], schema=schema)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, schema) as writer:
+            writer.write_table(table)
+        rows.append((number, sink.getvalue().to_pybytes()))
+    blocks = pa.table([[n for n, _ in rows], [d for _, d in rows]], names=["block", "data"])
+    tags = pa.Table.from_batches(suffix_dedup._anchor_rows(50, buckets)(iter(blocks.to_batches())))
+    judge = suffix_dedup._shared_anchors(50, suffix_dedup.HOT_BLOCKS, bucket_bytes)
+    answers = pa.concat_tables(judge(tags.filter(pa.compute.equal(tags["bucket"], b))) for b in set(tags["bucket"].to_pylist()))
+    held = Counter()
+    for number, _ in rows:
+        of = [t.filter(pa.compute.equal(t["block"], number)) for t in (blocks, answers)]
+        for r in suffix_dedup._segment_rows(50, buckets)(*of).to_pylist():
+            for size, part in zip(np.frombuffer(r["sizes"], np.uint16).tolist(), r["parts"]):
+                held[r["bucket"], part] += size
+    assert sum(held.values()) > 3000 * 60 and max(held.values()) < 2 * bucket_bytes
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    marks = suffix_dedup.remove_repeats(df, bucket_bytes=bucket_bytes).select("id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert Counter(tuple(r) for r in marks.collect()) == removed_by_hand(docs)
+
+
+def test_copies_do_not_make_an_anchor_hot():
+    block = suffix_dedup.Block([b"0123456789 abcdefghij klmnopqrst uvwxyz 0123456789 and so on"] * 500, 50)
+    hashes, _, _, place = block.anchors(3)
+    assert block.loads(place, len(hashes)).tolist() == [0] * len(hashes)
+
+
 def test_run_index_finds_every_context():
     rng = random.Random(1)
     pieces = list({"".join(rng.choices("abc", k=rng.randint(8, 20))).encode() for _ in range(200)})
