@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +66,29 @@ def header_of(spark: SparkSession, path: str, sep: str = "\t") -> list[str]:
     return first["value"].split(sep)
 
 
+def _without_header(title: str) -> Callable:
+    """Drops the first line of each file if it is the header. Lines of one file block come in order to one task, so
+    a line is the first of its file if its block starts at 0 and the line before is of another block."""
+
+    def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
+            file, block, value = batch.columns
+            new = np.ones(n, dtype=bool)
+            new[0] = (file[0].as_py(), block[0].as_py()) != last
+            for column in (file, block):
+                same = pc.equal(column.slice(1), column.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+                new[1:] = ~same if column is file else new[1:] | ~same
+            header = new & pc.equal(block, 0).to_numpy(zero_copy_only=False) & pc.equal(value, title).to_numpy(zero_copy_only=False)
+            last = (file[n - 1].as_py(), block[n - 1].as_py())
+            yield pa.RecordBatch.from_arrays([value.filter(pa.array(~header))], names=["value"])
+
+    return drop
+
+
 def read_delimited(
     spark: SparkSession,
     path: str,
@@ -76,8 +102,7 @@ def read_delimited(
     """Read a file or folder whose files each start with the same header line.
 
     Use ``good_rows`` and ``quarantined_rows`` on the result; nothing is lost. Only the first line of a
-    file can be its header; a later line equal to it is data. A stream has no line numbers, so there
-    all lines equal to the header are taken for headers. With ``positions`` the columns ``_file``, ``_block`` and
+    file can be its header; a later line equal to it is data, on streams as in tables. With ``positions`` the columns ``_file``, ``_block`` and
     ``_row`` put the lines in file order.
     """
     if streaming and positions:
@@ -87,7 +112,9 @@ def read_delimited(
     lines = reader.text(path)
     title = F.lit(sep.join(header))
     if streaming:
-        return split_delimited(lines.where(F.col("value") != title), header, sep=sep, trailing_empty=trailing_empty)
+        placed = lines.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), "value")
+        lines = placed.mapInArrow(_without_header(sep.join(header)), "value string")
+        return split_delimited(lines, header, sep=sep, trailing_empty=trailing_empty)
     # Lines of one file block are read in order by one task, so row ids grow within a block.
     lines = lines.select(
         F.col("_metadata.file_path").alias("_file"),

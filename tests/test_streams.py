@@ -257,6 +257,18 @@ def test_delimited_files_as_a_stream(spark, tmp_path):
         read_delimited(spark, str(tmp_path / "in"), ["k", "v"], streaming=True, positions=True)
 
 
+def test_a_line_like_the_header_is_data_on_streams(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name in "xyz":
+        (tmp_path / "in" / name).write_text("a\tb\n1\t2\na\tb\n3\t4\n" * 3)
+    (tmp_path / "in" / "no_header").write_text("5\t6\na\tb\n")
+    for options in ({}, {"maxFilesPerTrigger": "1"}):
+        lines = read_delimited(spark, str(tmp_path / "in"), ["a", "b"], streaming=True, **options)
+        rows = run_available(lines, f"like_header_{len(options)}").collect()
+        got = sorted((r["a"], r["b"]) for r in rows if not r["_bad"])
+        assert got == [("1", "2")] * 9 + [("3", "4")] * 9 + [("5", "6")] + [("a", "b")] * 16
+
+
 def test_folders_as_one_stream(spark, folder):
     schema = spark.range(1).schema
     folders = {name: folder(name) for name in ("a", "b")}
