@@ -4,16 +4,19 @@ import hashlib
 import html
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 import xxhash
 from conftest import SF
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from millrace.llm import QUERIES, simhash, suffix_dedup, topk, warc
+from millrace.llm import QUERIES, mixing, simhash, suffix_dedup, topk, warc
 from millrace.llm.html_text import Page
 from millrace.llm.queries import QUALITY_SQL
 
@@ -473,6 +476,80 @@ def test_pipeline_stage_by_stage(spark):
     assert max(filled.values()) <= 1024 and len(filled) <= -(-sum(filled.values()) // 1024) * 1.02
 
 
+def kept_by_hand(docs, length=50):
+    """What is left of each text if a character goes with all its bytes; documents left without a word go."""
+    first, out = {}, {}
+    for doc_id, text in docs:
+        data = text.encode()
+        for i in range(len(data) - length + 1):
+            first[data[i : i + length]] = min(doc_id, first.get(data[i : i + length], LAST))
+    for doc_id, text in docs:
+        data = text.encode()
+        gone = bytearray(len(data))
+        for i in range(len(data) - length + 1):
+            if first[data[i : i + length]] < doc_id:
+                gone[i : i + length] = b"\1" * length
+        left, at = [], 0
+        for letter in text:
+            size = len(letter.encode())
+            if not all(gone[at : at + size]):
+                left.append(letter)
+            at += size
+        left = "".join(left)
+        if not any(gone) or re.search(r"[^\x20\x09-\x0D]", left):
+            out[doc_id] = left
+    return out
+
+
+def test_pipeline_stages_by_hand(spark):
+    """Stage 3 by its texts and the documents it drops, stage 4 by its words, stage 5 with the tokenizer itself."""
+    docs, after = spark.read.parquet(f"{SF}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        if name == "suffix_array_dedup":
+            # Parts of a document that stage 2 has kept, under ids of their own, so that stage 3 has one to drop.
+            long = docs.orderBy("doc_id").first().text
+            parts = spark.createDataFrame([(10**9, long[100:400]), (10**9 + 1, long[:200] + " and more of it")], "doc_id bigint, text string")
+            docs = docs.unionByName(parts, allowMissingColumns=True).cache()
+            after["before"] = docs.collect()
+        docs = stage(spark, docs, SF).cache()
+        after[name] = docs
+    third = after["suffix_array_dedup"].collect()
+    assert len({r.doc_id for r in after["before"]}) == len(after["before"])
+    expected = kept_by_hand([(r.doc_id, r.text) for r in after["before"]])
+    assert {r.doc_id: r.text for r in third} == expected and len(third) == len(expected) < len(after["before"])
+    assert any(r.text != expected.get(r.doc_id, r.text) for r in after["before"])
+
+    word = re.compile(r"[^\x20\x09-\x0D]+")
+    taken = {r.doc_id: r.taken for r in mixing.taken(after["suffix_array_dedup"]).collect()}
+    words = {}
+    fourth = after["mixing_sources"].collect()
+    for r in fourth:
+        words.setdefault(r.doc_id, Counter()).update(word.findall(r.text))
+    assert {d: sum(c.values()) for d, c in words.items()} == {d: n for d, n in taken.items() if n}
+    for doc_id, used in words.items():
+        own = Counter(word.findall(expected[doc_id]))
+        assert all(n <= 2 * own[w] for w, n in used.items())
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = Counter()
+    for r in fourth:
+        ids = np.array([*tokenizer.encode(r.text, add_special_tokens=False).ids, 2], dtype="<u4")
+        starts = [0, *range(len(ids) % 1024 or 1024, len(ids), 1024)]
+        for piece, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)])):
+            pieces[r.doc_id, piece, a, b - a, zlib.crc32(ids[a:b].tobytes())] += 1
+    last = after["best_fit_packing"].collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in last) == pieces
+    places = {}
+    for r in last:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for of in places.values():
+        end = 0
+        for offset, size in sorted(of):
+            assert offset == end
+            end += size
+        assert end <= 1024
+
+
 def test_pipeline_of_odd_and_empty_tables(spark):
     text = "the cat of the house and a dog was on it for this with from that are in to be by as is " * 2
     rows = [(1, text, "en", None, 5), (1, text, "en", None, 5), (None, text.upper(), None, "a", None), (2, None, "x", "a", 1), (3, "", None, None, 0)]
