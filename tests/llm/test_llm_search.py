@@ -264,6 +264,53 @@ def test_revisits(spark):
     assert warc.resolve_revisits(df.limit(0)).count() == 0
 
 
+REVISITS_SQL = """
+SELECT v.record_id, CASE WHEN r.record_id IS NULL THEN 'no_earlier_response' WHEN v.etag IS NULL THEN 'no_validator'
+         WHEN v.etag = r.etag THEN 'resolved' ELSE 'validator_mismatch' END AS outcome,
+       CASE WHEN v.etag = r.etag THEN r.record_id END AS response_id
+FROM (SELECT * FROM records WHERE kind = 'revisit') v
+ASOF LEFT JOIN (
+  SELECT url, captured_at, max(record_id) AS record_id, arg_max({'e': etag}, record_id).e AS etag FROM records WHERE kind = 'response' GROUP BY ALL
+) r ON v.url = r.url AND v.captured_at > r.captured_at
+"""
+
+
+@pytest.mark.parametrize("slice_rows", [300, 16_384])
+def test_revisits_of_urls_with_many_responses(spark, tmp_path, slice_rows):
+    """URLs of the pages with responses and revisits before, between and long after them; one holds a third of all."""
+    import duckdb
+
+    # Host and first part of the path, as the operator's canonical form has them.
+    place = F.regexp_extract(F.lower("url"), r"^[a-z]+://(?:www[0-9]*\.)?([^/?#:]+(?:/[^/?#]+)?)", 1)
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", F.concat(F.lit("http://"), place).alias("u"))
+    step = pages.crossJoin(spark.range(60)).select("u", (F.col("page_id") * 60 + F.col("id")).alias("record_id"))
+    draw = [F.pmod(F.xxhash64("record_id", F.lit(i)), F.lit(n)) for i, n in enumerate((3, 5, 4000, 3))]
+    records = step.select(
+        "record_id",
+        F.when(draw[0] == 0, "http://hot.example/a").otherwise(F.col("u")).alias("url"),
+        # Times before 100 have revisits only, and few responses come after 3000.
+        F.when((draw[2] >= 100) & (draw[1] == 0) & ((draw[2] < 3000) | (draw[3] == 0)), "response").otherwise("revisit").alias("kind"),
+        draw[2].alias("captured_at"),
+        F.when(draw[3] < 2, F.concat(F.lit('"'), draw[3].cast("string"), F.lit('"'))).alias("etag"),
+    )
+    path = str(tmp_path / "records")
+    records.write.parquet(path)
+    records = spark.read.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW records AS SELECT * FROM '{path}/*.parquet'")
+    expected = Counter(con.sql(REVISITS_SQL).fetchall())
+    response = F.col("kind") == "response"
+    tags = F.when(F.col("etag").isNotNull(), F.create_map(F.lit("ETag"), F.col("etag"))).otherwise(F.create_map().cast("map<string,string>"))
+    full = records.select(
+        "record_id", "kind", "url", "captured_at", F.when(response, 200).otherwise(304).alias("status"), tags.alias("headers"),
+        F.when(response, F.col("record_id").cast("string")).alias("payload"),
+    )
+    got = warc.resolve_revisits(full, slice_rows).where("outcome not in ('full')")
+    assert Counter(map(tuple, got.select("record_id", "outcome", "response_id").collect())) == expected
+    outcomes = Counter(o for _, o, _ in expected)
+    assert len(outcomes) == 4 and outcomes["resolved"] > 1000 and outcomes["no_earlier_response"] > 100
+
+
 # Search
 
 
