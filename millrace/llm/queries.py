@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import html_text, mixing, packing, quality, sharding, simhash, suffix_dedup, token_counts, topk, warc
+from millrace.llm import (
+    collocations, hard_negatives, html_text, language, mixing, packing, quality, sharding, simhash, suffix_dedup, token_counts, topk, warc,
+)
 from millrace.llm.registry import query
 from millrace.plans.catalog import table
 
@@ -233,3 +235,78 @@ REPEAT_BYTES = 50
 def op2_run_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), REPEAT_BYTES)
     return marks.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query()
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS same, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5
+"""
+
+
+@query(NEGATIVES_SQL)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", label), F.col("id") % 100 == 0)
+
+
+PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), spots AS (
+  SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, range(1, 6) AS sizes(k) WHERE len(w) >= k
+), grams AS (
+  SELECT lang, CAST(k AS INTEGER) AS k, array_to_string(w[i:i + k - 1], ' ') AS phrase, CAST(count(*) AS BIGINT) AS f FROM spots GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE k = 1 GROUP BY lang
+), frequent AS (
+  SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f FROM grams WHERE f >= 100
+), inner_spots AS (
+  SELECT lang, w, f, m, unnest(range(1, k - m + 2)) AS i FROM frequent, range(2, 5) AS sizes(m) WHERE m < k
+), covered AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(f) AS longer FROM inner_spots GROUP BY ALL
+), candidates AS (
+  SELECT c.lang, c.phrase, c.w, c.f AS a, totals.n FROM frequent c JOIN totals USING (lang) LEFT JOIN covered o USING (lang, phrase)
+  WHERE c.k > 1 AND (o.longer IS NULL OR 100 * o.longer < 100 * c.f)
+), cuts AS (
+  SELECT lang, phrase, w, a, n, unnest(range(1, len(w))) AS cut FROM candidates
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, c.n, cut,
+         CAST((CAST(1000 AS HUGEINT) * c.a * c.n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN frequent x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:cut], ' ')
+  JOIN frequent y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[cut + 1:], ' ')
+), best AS (
+  SELECT lang, phrase, a, n, b.l, b.r, b.score FROM (
+    SELECT lang, phrase, a, n, min_by({'l': l, 'r': r, 'score': score}, {'s': score, 'c': cut}) AS b FROM scored GROUP BY lang, phrase, a, n)
+)
+SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS BIGINT) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""
+
+
+@query(PHRASES_SQL)
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
