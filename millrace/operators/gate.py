@@ -24,8 +24,8 @@ def usable_acks(acks: DataFrame, sources: Sequence[str], key: str = "key", ts: s
     return acks.where(usable(acks, sources, key, ts))
 
 
-def rejected_acks(acks: DataFrame, sources: Sequence[str], key: str = "key", ts: str = "commit_ts") -> DataFrame:
-    """The others, with the reason."""
+def rejection(acks: DataFrame, sources: Sequence[str], key: str = "key", ts: str = "commit_ts") -> Column:
+    """Why an acknowledgement does not count; null if it does."""
     reason = (
         F.when(F.col(key).isNull(), "missing key")
         .when(F.col(ts).isNull(), "missing time")
@@ -33,7 +33,12 @@ def rejected_acks(acks: DataFrame, sources: Sequence[str], key: str = "key", ts:
     )
     if "status" in acks.columns:
         reason = reason.when(F.coalesce(F.col("status"), F.lit("")) != "ok", "write failed")
-    return acks.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    return reason
+
+
+def rejected_acks(acks: DataFrame, sources: Sequence[str], key: str = "key", ts: str = "commit_ts") -> DataFrame:
+    """Those that do not count, with the reason."""
+    return acks.withColumn("reason", rejection(acks, sources, key, ts)).where(F.col("reason").isNotNull())
 
 
 def source_bit(sources: Sequence[str], source: str = "source") -> Column:

@@ -25,8 +25,8 @@ from millrace.sinks.lookup import read_lookup
 from millrace.sinks.store import Store
 from millrace.sources.delimited import BAD, LINE, good_rows, quarantined_rows, read_delimited
 from millrace.spec import Registry, RunConfig
-from millrace.streaming.enrich import enrich_stream
-from millrace.streaming.jobs import make_folder, start, start_index, write_batch
+from millrace.streaming.enrich import start_enriching
+from millrace.streaming.jobs import start_index, write_batch
 
 POSITION = ["_file", "_block", "_row"]
 
@@ -118,28 +118,15 @@ def start_indexing(
     config: RunConfig = RunConfig(),
     once: bool = False,
     sources: Sequence[str] | None = None,
+    refresh_every: int = 10,
 ) -> StreamingQuery:
     """Store messages and acknowledge them. Messages without a readable key are kept as failed, and those of
-    other sources than ``sources``, if these are given."""
+    other sources than ``sources``, if these are given. Every ``refresh_every`` micro-batches the store's current documents are
+    brought up to date; 0 leaves that to another job."""
     store = document_store(root, sources)
     # Lines can be numbered within a micro-batch only, not on the stream.
     return start_index(
-        messages, store, checkpoint, once, config.chunk_timeout, lambda batch: documents(batch, config)
-    )
-
-
-def committed(spark: SparkSession, root: str, **options: str) -> DataFrame:
-    """Stored documents as a stream. What can be read here has been committed."""
-    make_folder(spark, document_store(root).data_path)
-    names = ["key", "version", "value", "status", "source"]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return (
-        spark.readStream.schema(schema.add("job", T.StringType()).add("batch_id", T.LongType()))
-        .option("ignoreMissingFiles", "true")
-        .options(**options)
-        .parquet(document_store(root).data_path)
-        .where(F.col("status") == "ok")
-        .select("key", "source", "version", "value")
+        messages, store, checkpoint, once, config.chunk_timeout, lambda batch: documents(batch, config), refresh_every=refresh_every
     )
 
 
@@ -186,31 +173,33 @@ def start_converging(
     checkpoint: str,
     config: RunConfig = RunConfig(),
     once: bool = False,
+    wait: str | None = None,
+    delay: str = "0 seconds",
+    memory: str = "7 days",
 ) -> StreamingQuery:
     """Write one enriched JSON line per key to ``out/records``, once all sources have committed a
-    part for it. ``lookup`` is a table, or the path of a loaded one: then every micro-batch joins the version
-    that is newest when it begins. The records are first written to ``out/emitted`` with their keys; these keys go
-    back into the query, which then lets go of their parts."""
-    names = ["key", "value"]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names]).add("batch_id", T.LongType())
-    table = f"{out}/emitted"
+    part for it: the commit log is the gate's input, and the parts are fetched from the store when a key is complete.
+    ``lookup`` is a table, or the path of a loaded one: then every micro-batch joins the version
+    that is newest when it begins. The records are first written to ``out/emitted`` with their keys.
+
+    The state holds no parts. With ``wait`` it holds no key for ever either: keys that stay incomplete for so long after their first
+    commit are reported in ``out/expired`` with what is missing (see ``start_enriching``).
+    """
     use_rocksdb(spark)
-    # The folder must be there before it can be read as a stream.
-    spark.createDataFrame([], schema).write.mode("ignore").partitionBy("batch_id").parquet(table)
-    emitted = spark.readStream.schema(schema).option("ignoreMissingFiles", "true").parquet(table)
-    joined = enrich_stream(committed(spark, root), registry.names, emitted.select("key"))
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(parts: DataFrame, batch_id: int) -> None:
+        joined = parts.select("key", *[F.col(n)["value"].alias(n) for n in registry.names])
         loaded = isinstance(lookup, str)
-        patients = read_lookup(batch.sparkSession, lookup) if loaded else lookup
-        full = records(batch, registry, patients, record_fields, config, text_dates=True, unique_lookup=loaded)
+        patients = read_lookup(spark, lookup) if loaded else lookup
+        full = records(joined, registry, patients, record_fields, config, text_dates=True, unique_lookup=loaded)
         lines = full.select(F.col(config.key).alias("key"), F.to_json(F.struct(*full.columns)).alias("value"))
+        table = f"{out}/emitted"
         write_batch(lines, table, batch_id)
         # Read back rather than computed twice; only this batch's folder is listed.
-        folder = f"{table}/batch_id={batch_id}"
-        value = batch.sparkSession.read.schema("key STRING, value STRING").parquet(folder).select("value")
+        value = spark.read.schema("key STRING, value STRING").parquet(f"{table}/batch_id={batch_id}").select("value")
         write_batch(value, f"{out}/records", batch_id, "text")
 
-    return start(
-        joined.writeStream.outputMode("update").foreachBatch(write), checkpoint, once, config.chunk_timeout
-    )
+    return start_enriching(
+        spark, document_store(root), registry.names, ["value"], out, checkpoint, write,
+        wait=wait, delay=delay, memory=memory, once=once, interval=config.chunk_timeout,
+    )

@@ -6,6 +6,7 @@ Each must return what its batch twin returns.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.batching import tumbling_window
 from millrace.operators.enrich import lookup_join
@@ -27,9 +28,9 @@ from millrace.session import shared_dir, stream_session
 from millrace.sinks.store import Store
 from millrace.sources.streams import union_sources
 from millrace.streaming.batching import chunk_stream
-from millrace.streaming.enrich import enrich_stream
+from millrace.streaming.enrich import expired_keys, start_enriching
 from millrace.streaming.gate import count_gate_stream, expiring_gate_stream, gate_stream, running_count_stream
-from millrace.streaming.jobs import commit_acks, run_available, start_index
+from millrace.streaming.jobs import commit_acks, run_available, start_index, write_batch
 
 
 ROWS_PER_STATE_PARTITION = 1_000_000
@@ -77,12 +78,13 @@ def arriving_one_by_one(pieces, label, rows):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files)).parquet(path)
 
 
-def _acks(events):
+def _acks(events, *more):
     return events.select(
         F.concat_ws("|", F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM-dd")).alias("key"),
         F.col("event_type").alias("source"),
         _instant("ts").alias("commit_ts"),
         F.col("event_id").alias("seq"),
+        *more,
     )
 
 
@@ -162,47 +164,46 @@ def stream_gate_expired(spark, sf_dir):
     return done.select("key", "status", n.cast("bigint").alias("n_missing"))
 
 
-def _message(df, key, version, fields, source):
-    """Parts as messages; the version is text that sorts like the version columns."""
-    return df.select(
-        F.col(key).cast("string").alias("key"),
-        source.alias("source"),
-        version.alias("version"),
-        F.to_json(F.struct(*fields)).alias("value"),
-    )
+def _enriched(spark, store, label, sources, fields, key_type, **options):
+    """Everything that is committed goes through the gate; returns what was joined and where expired keys are."""
+    out = shared_dir(spark, label)
+
+    def use(parts, batch_id):
+        write_batch(parts, f"{out}/joined", batch_id)
+
+    start_enriching(
+        spark, store, sources, fields, out, f"{out}-checkpoint", use, key_type=key_type, once=True, **options
+    ).awaitTermination()
+    return spark.read.option("mergeSchema", "true").parquet(f"{out}/joined").drop("batch_id"), out
 
 
 @query(SQL_ENRICHED)
 def stream_enrich_nway(spark, sf_dir):
-    """Lines arrive in three micro-batches, older versions after newer ones; orders complete the keys in two more.
-
-    A record has what is newest when its key is complete, hence the orders come last.
-    """
+    """Lines arrive in three micro-batches, older versions after newer ones; orders complete the keys in two more."""
     spark = streaming(spark, sf_dir, "orders", "lineitem")
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    line_version = F.format_string(
-        "%s|%02d|%015d|%015d|%08.2f",
-        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"),
-        *[F.col(c) for c in LINE_VERSION[1:]],
+    nothing = F.lit(None)
+    items = lines.select(
+        F.col("l_orderkey").alias("key"),
+        F.concat(F.lit("flag_"), F.lower("l_returnflag")).alias("source"),
+        F.struct(*LINE_VERSION).alias("version"),
+        F.struct(*LINE_FIELDS).alias("line"),
+        nothing.cast(T.StructType([orders.schema[f] for f in ORDER_FIELDS])).alias("bill"),
+    )
+    bills = orders.select(
+        F.col("o_orderkey").alias("key"),
+        F.lit("billing").alias("source"),
+        F.struct(F.col("o_orderdate").alias(LINE_VERSION[0]), *[nothing.cast(lines.schema[c].dataType).alias(c) for c in LINE_VERSION[1:]]).alias("version"),
+        nothing.cast(T.StructType([lines.schema[f] for f in LINE_FIELDS])).alias("line"),
+        F.struct(*ORDER_FIELDS).alias("bill"),
     )
-    bills = _message(orders, "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd"), ORDER_FIELDS, F.lit("billing"))
-    flag = F.concat(F.lit("flag_"), F.lower("l_returnflag"))
-    items = _message(lines, "l_orderkey", line_version, LINE_FIELDS, flag)
     pieces = [items.where(F.pmod(F.xxhash64("version"), F.lit(3)) == i) for i in range(3)]
     pieces += [bills.where(F.pmod(F.xxhash64("key"), F.lit(2)) == i) for i in range(2)]
     messages = arriving_one_by_one(pieces, "messages", orders.count() + lines.count())
-    sources = ["billing", *FLAGS]
-    done = run_available(enrich_stream(messages, sources), "enriched", mode="update")
-    types = {**{c: t for c, t in orders.dtypes}, **{c: t for c, t in lines.dtypes}}
-
-    def ddl(fields):
-        return ", ".join(f"{f} {types[f]}" for f in fields)
-
-    parts = done.select(
-        F.col("key").cast("bigint").alias("key"),
-        F.from_json("billing", ddl(ORDER_FIELDS)).alias("billing"),
-        *[F.from_json(n, ddl(LINE_FIELDS)).alias(n) for n in FLAGS],
-    )
+    store = Store(shared_dir(spark, "parts"), "key", ["version"])
+    start_index(messages, store, f"{store.root}/checkpoint", once=True).awaitTermination()
+    parts, _ = _enriched(spark, store, "enriched", ["billing", *FLAGS], ["line", "bill"], "bigint")
+    parts = parts.select("key", F.col("billing.bill").alias("billing"), *[F.col(n)["line"].alias(n) for n in FLAGS])
     records = lookup_join(parts, table(spark, sf_dir, "customer"), "billing.o_custkey", "c_custkey", "customer")
     return records.select(
         "key",
@@ -214,6 +215,40 @@ def stream_enrich_nway(spark, sf_dir):
     )
 
 
+@query(
+    f"""
+    SELECT p.key, CASE WHEN n_sources = 5 THEN 'complete' ELSE 'expired' END AS status, 5 - n_sources AS n_missing,
+           CASE WHEN n_sources = 5 THEN newest.click END AS click, CASE WHEN n_sources = 5 THEN newest.error END AS error,
+           CASE WHEN n_sources = 5 THEN newest.purchase END AS purchase
+    FROM ({SQL_PROGRESS}) p JOIN (
+        SELECT {SQL_KEY} AS key,
+               max_by(props, {{'a': ts, 'b': event_id}}) FILTER (WHERE event_type = 'click') AS click,
+               max_by(props, {{'a': ts, 'b': event_id}}) FILTER (WHERE event_type = 'error') AS error,
+               max_by(props, {{'a': ts, 'b': event_id}}) FILTER (WHERE event_type = 'purchase') AS purchase
+        FROM events GROUP BY 1) newest USING (key)
+    """
+)
+def stream_enrich_expired(spark, sf_dir):
+    """Events of a user and day as parts, up to six hours late, committed at their own time. Complete days are joined with their
+    stored parts; the end of the input lets the others expire, with what they miss."""
+    spark = streaming(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events")
+    rows = _acks(events, F.col("props").alias("value"))
+    arriving = arriving_in_order(rows, "events", "commit_ts", late_hours=6, end=True)
+    store = Store(shared_dir(spark, "parts"), "key", ["commit_ts", "seq"])
+    start_index(
+        arriving, store, f"{store.root}/checkpoint", once=True, committed=F.col("commit_ts"), refresh_every=2
+    ).awaitTermination()
+    parts, out = _enriched(spark, store, "enriched", EVENT_TYPES, ["value"], "string", wait="2 days", delay="6 hours")
+    done = parts.select(
+        "key", F.lit("complete").alias("status"), F.lit(0).cast("bigint").alias("n_missing"),
+        *[F.col(n)["value"].alias(n) for n in ("click", "error", "purchase")],
+    )
+    n = F.size(F.split("missing", ",")).cast("bigint").alias("n_missing")
+    lost = expired_keys(spark, out).select("key", F.lit("expired").alias("status"), n)
+    return done.unionByName(lost, allowMissingColumns=True)
+
+
 @query(
     """
     SELECT source, shard, window_start, window_start + INTERVAL '1 day' AS window_end, chunk, COUNT(*) AS n,

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame, Row
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -12,14 +13,18 @@ from millrace.session import use_rocksdb
 
 CHUNK = (
     "source STRING, shard INT, window_start TIMESTAMP, window_end TIMESTAMP, chunk BIGINT, n INT, "
-    "reason STRING, first_ts TIMESTAMP, last_ts TIMESTAMP, documents ARRAY<STRING>"  # at most one chunk
+    "reason STRING, first_us BIGINT, last_us BIGINT, documents ARRAY<STRING>"  # at most one chunk
 )
+# Documents of one source in one window that a shard is to take.
+SHARD_DOCUMENTS = 100_000
 
 
 class _Chunks(StatefulProcessor):
     """Collects documents of one (source, shard, window); never holds a full chunk in state.
 
-    The number of the next chunk outlives the window by ``memory_ms``, so late documents get chunks of their own.
+    Documents come and go as tables of an Arrow batch: waiting ones are appended to the state, and read from it only
+    when they fill a chunk. The number of the next chunk outlives the window by ``memory_ms``, so late documents get
+    chunks of their own.
     """
 
     def __init__(self, rows: int, memory_ms: int):
@@ -28,69 +33,84 @@ class _Chunks(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", "ts TIMESTAMP, value STRING")
-        self.closed = handle.getValueState("closed", "n BIGINT, end_ms BIGINT, fired BOOLEAN")
+        self.pending = handle.getListState("pending", "us BIGINT, value STRING")
+        self.closed = handle.getValueState("closed", "n BIGINT, waiting INT, end_ms BIGINT, fired BOOLEAN")
 
-    def _chunk(self, key, number: int, rows: list, reason: str) -> Row:
+    def _waiting(self) -> pd.DataFrame:
+        return pd.DataFrame(list(self.pending.get()), columns=["us", "value"])
+
+    def _chunks(self, key, number: int, documents: pd.DataFrame, reason: str) -> pd.DataFrame:
+        """The documents as chunks, in order of arrival."""
         source, shard, start, end = key
-        return Row(
-            source=source,
-            shard=shard,
-            window_start=start,
-            window_end=end,
-            chunk=number,
-            n=len(rows),
-            reason=reason,
-            first_ts=min(r[0] for r in rows),
-            last_ts=max(r[0] for r in rows),
-            documents=[r[1] for r in rows],
+        firsts = range(0, len(documents), self.rows)
+        us, values = documents["us"].to_numpy(), documents["value"].to_numpy()
+        parts = [slice(i, i + self.rows) for i in firsts]
+        return pd.DataFrame(
+            {
+                "source": source,
+                "shard": shard,
+                "window_start": start,
+                "window_end": end,
+                "chunk": [number + i for i in range(len(parts))],
+                "n": [len(values[p]) for p in parts],
+                "reason": reason,
+                "first_us": [int(us[p].min()) for p in parts],
+                "last_us": [int(us[p].max()) for p in parts],
+                "documents": [list(values[p]) for p in parts],
+            }
         )
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         before = self.closed.get()
-        number = before[0] if before else 0
-        waiting = list(self.pending.get()) if before else []
-        end_ms = before[1] if before else None
-        # In order of arrival, so that one chunk at most is in memory.
-        for r in rows:
-            end_ms = r["end_ms"]
-            waiting.append((r["ts"], r["value"]))
-            if len(waiting) == self.rows:
-                yield self._chunk(key, number, waiting, "count")
-                number, waiting = number + 1, []
+        number, held, end_ms, fired = before if before else (0, 0, None, False)
+        for batch in rows:
+            end_ms = int(batch["end_ms"].iloc[0])
+            documents = batch[["us", "value"]]
+            if held + len(documents) >= self.rows:
+                if held:
+                    documents = pd.concat([self._waiting(), documents], ignore_index=True)
+                    self.pending.clear()
+                whole = len(documents) // self.rows * self.rows
+                yield self._chunks(key, number, documents.iloc[:whole], "count")
+                number, held, documents = number + whole // self.rows, 0, documents.iloc[whole:]
+            if len(documents):
+                self.pending.appendList(list(documents.itertuples(index=False, name=None)))
+                held += len(documents)
         # A window that has passed fires once more for its late documents.
-        if before is None or before[2]:
+        if before is None or fired:
             self.handle.registerTimer(end_ms)
-        self.closed.update((number, end_ms, False))
-        if waiting:
-            self.pending.put(waiting)
-        else:
-            self.pending.clear()
+        self.closed.update((number, held, end_ms, False))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         before = self.closed.get()
         if not before:
             return
-        number, end_ms, _ = before
-        waiting = list(self.pending.get())
-        if waiting:
-            yield self._chunk(key, number, waiting, "timeout")
+        number, held, end_ms, _ = before
+        if held:
+            yield self._chunks(key, number, self._waiting(), "timeout")
+            self.pending.clear()
             number += 1
-        self.pending.clear()
         if expiredTimerInfo.getExpiryTimeInMs() >= end_ms + self.memory_ms:
             self.closed.clear()
         else:
-            self.closed.update((number, end_ms, True))
+            self.closed.update((number, 0, end_ms, True))
             self.handle.registerTimer(end_ms + self.memory_ms)
 
     def close(self) -> None:
         pass
 
 
+def measured_shards(history: DataFrame, timeout: str = "20 seconds", documents: int = SHARD_DOCUMENTS) -> dict[str, int]:
+    """How many shards each source needs, so that none takes more than about ``documents`` in one window: from the
+    source and the time (``ts``) of documents that came before. One row per source comes back."""
+    sizes = history.groupBy("source", F.window("ts", timeout)).count().groupBy("source").agg(F.max("count").alias("most"))
+    return {r["source"]: -(-r["most"] // documents) for r in sizes.where("source IS NOT NULL").collect()}
+
+
 def chunk_stream(
     documents: DataFrame,
     shard: Column | None = None,
-    shards: int = 8,
+    shards: int | Mapping[str, int] = 8,
     rows: int = 50,
     timeout: str = "20 seconds",
     delay: str | None = None,
@@ -100,7 +120,7 @@ def chunk_stream(
 
     Input columns: source, ts (timestamp), seq (bigint, identifies a document of its source), value.
     Each source is spread over ``shards`` by its documents, not by key, so neither a hot key nor a
-    hot source lands in one task. With ``delay`` windows follow event time under that watermark
+    hot source lands in one task; ``measured_shards`` gives a number for each source by its volume (others get 8). With ``delay`` windows follow event time under that watermark
     delay; without, they follow the time of arrival. The numbers of a window's chunks do not repeat
     for documents up to ``memory_seconds`` late. A row with a time but no source moves the clock and does
     nothing else: one far in the future ends the input and closes every window.
@@ -108,7 +128,10 @@ def chunk_stream(
     use_rocksdb(documents.sparkSession)
     by_arrival = delay is None
     if shard is None:
-        shard = F.pmod(F.xxhash64("source", "seq"), F.lit(shards))
+        number = F.lit(8 if isinstance(shards, Mapping) else shards)
+        for source, own in shards.items() if isinstance(shards, Mapping) else []:
+            number = F.when(F.col("source") == source, F.lit(max(1, own))).otherwise(number)
+        shard = F.pmod(F.xxhash64("source", "seq"), number)
     if by_arrival:
         documents = documents.withColumn("ts", F.current_timestamp())
     keyed = documents.select(
@@ -119,6 +142,7 @@ def chunk_stream(
         F.col("w.start").alias("window_start"),
         F.col("w.end").alias("window_end"),
         "ts",
+        F.unix_micros("ts").alias("us"),
         "value",
         F.unix_millis("w.end").alias("end_ms"),
     )
@@ -130,9 +154,11 @@ def chunk_stream(
         keyed = keyed.where(F.col("source").isNotNull() | F.col("_clock").isNull()).drop("_clock")
     else:
         keyed = keyed.where(F.col("source").isNotNull())
-    return keyed.groupBy("source", "shard", "window_start", "window_end").transformWithState(
+    chunks = keyed.drop("ts").groupBy("source", "shard", "window_start", "window_end").transformWithStateInPandas(
         statefulProcessor=_Chunks(rows, 1000 * memory_seconds),
         outputStructType=CHUNK,
         outputMode="Append",
         timeMode="ProcessingTime" if by_arrival else "EventTime",
     )
+    times = [F.timestamp_micros(f"{t}_us").alias(f"{t}_ts") for t in ("first", "last")]
+    return chunks.select("source", "shard", "window_start", "window_end", "chunk", "n", "reason", *times, "documents")

@@ -1,13 +1,74 @@
-"""Gate and N-way join of streams in one streaming aggregate."""
+"""Gate and N-way join of streams: with the parts in a store, or in one streaming aggregate."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from millrace.sinks.store import Store
+from millrace.streaming.gate import gate_stream
+from millrace.streaming.jobs import commit_acks, make_folder, start, write_batch
+
+
+def start_enriching(
+    spark: SparkSession,
+    store: Store,
+    sources: Sequence[str],
+    fields: Sequence[str],
+    out: str,
+    checkpoint: str,
+    use: Callable[[DataFrame, int], None],
+    key_type: str = "string",
+    wait: str | None = None,
+    delay: str = "0 seconds",
+    memory: str = "7 days",
+    once: bool = False,
+    interval: str = "20 seconds",
+    **options: str,
+) -> StreamingQuery:
+    """The gate over the commit log of ``store``, and the join of each micro-batch's completed keys with their stored parts.
+
+    The state holds keys and which sources have committed, never a part. Completed keys are written to
+    ``out/completed``, then ``use`` gets their parts as ``Store.parts`` gives them (``fields`` of the newest document of each source
+    at that moment) and the number of the micro-batch, if it completed any; only the buckets of these keys are read, and what was
+    stored since the store's last refresh. A replayed micro-batch calls it again.
+
+    With ``wait`` a key that stays incomplete for so long after its first commit goes to ``out/expired`` with what is missing, and
+    leaves the state ``memory`` after that; see ``expiring_gate_stream``. Rows of the log that cannot count (refused documents, other
+    sources) are counted per micro-batch under the name ``rejected`` in the query's progress.
+    """
+    acks = commit_acks(spark, store, key_type, **options)
+    gated = gate_stream(acks, sources, wait=wait, delay=delay, memory=memory)
+    for name in ("completed", "expired"):
+        make_folder(spark, f"{out}/{name}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # Written first: what is read back is the same however often it is read, and is planned adaptively.
+        folder = f"{out}/gated"
+        write_batch(batch, folder, batch_id)
+        found = spark.read.schema(batch.schema).parquet(f"{folder}/batch_id={batch_id}")
+        if wait is not None:
+            write_batch(found.where("status = 'expired'").drop("status"), f"{out}/expired", batch_id)
+            found = found.where("status = 'complete'")
+        keys = found.select(F.col("key").cast(key_type).alias("key"))
+        write_batch(keys, f"{out}/completed", batch_id)
+        done = spark.read.schema(keys.schema).parquet(f"{out}/completed/batch_id={batch_id}")
+        if not done.isEmpty():
+            use(store.parts(spark, done, sources, fields), batch_id)
+
+    mode = "update" if wait is None else "append"
+    return start(gated.writeStream.outputMode(mode).foreachBatch(write), checkpoint, once, interval)
+
+
+def expired_keys(spark: SparkSession, out: str) -> DataFrame:
+    """key, missing (names with commas), first_ts of the keys that ``start_enriching`` gave up."""
+    schema = "key STRING, missing STRING, first_ts TIMESTAMP, batch_id BIGINT"
+    return spark.read.schema(schema).parquet(f"{out}/expired").drop("batch_id")
 
 
 def enrich_stream(

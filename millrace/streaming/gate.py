@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Row
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from millrace.operators.gate import usable, usable_acks
+from millrace.operators.gate import rejection, usable, usable_acks
 from millrace.session import use_rocksdb
 from millrace.streaming.combine import earliest, first_seen
 
 
 def gate_stream(
-    acks: DataFrame, sources: Sequence[str], key: str = "key", ts: str = "commit_ts"
+    acks: DataFrame,
+    sources: Sequence[str],
+    key: str = "key",
+    ts: str = "commit_ts",
+    wait: str | None = None,
+    delay: str = "0 seconds",
+    memory: str = "7 days",
 ) -> DataFrame:
     """Each key once, in the micro-batch in which its last missing source arrives (update mode).
 
@@ -25,7 +31,14 @@ def gate_stream(
     for a touched key is the greatest batch time in its state. Batch times come from the query's
     log, so a replayed batch emits the same keys. Should the clock be set back between batches, a
     key touched again may come out twice, but none is lost.
+
+    Its state keeps every key for ever. With ``wait`` it is that of ``expiring_gate_stream`` instead, which lets keys go.
+    Acknowledgements that cannot count are counted per micro-batch, by reason, as ``rejected`` in the query's progress.
     """
+    acks = count_rejected(acks, sources, key, ts)
+    if wait is not None:
+        named = acks.withColumnsRenamed({key: "key", ts: "commit_ts"})
+        return expiring_gate_stream(named, sources, wait, delay, memory).withColumnRenamed("key", key)
     acks = usable_acks(acks, sources, key, ts).withColumn("_batch", F.current_timestamp())
     firsts, seen = [], []
     for i, name in enumerate(sources):
@@ -50,6 +63,13 @@ def gate_stream(
     )
 
 
+def count_rejected(acks: DataFrame, sources: Sequence[str], key: str = "key", ts: str = "commit_ts", name: str = "rejected") -> DataFrame:
+    """The same stream; the query's progress tells how many of a micro-batch's acknowledgements cannot count, by reason."""
+    reason = rejection(acks, sources, key, ts)
+    reasons = ["missing key", "missing time", "unknown source", "write failed"]
+    return acks.observe(name, *[F.count_if(reason == r).alias(r.replace(" ", "_")) for r in reasons])
+
+
 def running_count_stream(acks: DataFrame, key: str = "key") -> DataFrame:
     """Acknowledgements per key so far (update mode)."""
     return acks.groupBy(key).agg(F.count(F.lit(1)).alias("running"))
@@ -64,15 +84,17 @@ class _CountGate(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.count = handle.getValueState("count", "n INT")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         before = self.count.get()
         have = before[0] if before else 0
         if have >= self.n:
             return
-        wanted = heapq.nsmallest(self.n - have, rows, key=lambda r: (r["commit_ts"], r["seq"]))
+        wanted = None
+        for batch in rows:
+            both = batch if wanted is None else pd.concat([wanted, batch])
+            wanted = both.sort_values(["commit_ts", "seq"]).head(self.n - have)
         if have + len(wanted) == self.n:
-            hit = wanted[-1]
-            yield Row(key=key[0], source=hit["source"], commit_ts=hit["commit_ts"], seq=hit["seq"])
+            yield wanted.tail(1)[["key", "source", "commit_ts", "seq"]]
         self.count.update((have + len(wanted),))
 
     def close(self) -> None:
@@ -89,7 +111,7 @@ def count_gate_stream(acks: DataFrame, n: int) -> DataFrame:
     return (
         acks.mapInArrow(earliest(n), acks.schema)
         .groupBy("key")
-        .transformWithState(
+        .transformWithStateInPandas(
             statefulProcessor=_CountGate(n),
             outputStructType=acks.schema,
             outputMode="Update",
@@ -107,6 +129,7 @@ class _ExpiringGate(StatefulProcessor):
 
     def __init__(self, sources: Sequence[str], wait_ms: int, memory_ms: int):
         self.sources = list(sources)
+        self.places = {s: i for i, s in enumerate(self.sources)}
         self.wait_ms = wait_ms
         self.memory_ms = memory_ms
 
@@ -114,29 +137,33 @@ class _ExpiringGate(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("seen", "seen ARRAY<INT>, first_ms BIGINT, end_ms BIGINT, expired BOOLEAN")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def _report(self, key, status: str, missing: str, first: int) -> pd.DataFrame:
+        return pd.DataFrame({"key": [key[0]], "status": [status], "missing": [missing], "first_ms": [first]})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         before = self.state.get()
         seen, first, end, expired = before if before else ((), None, None, False)
         seen = set(seen)
         done = len(seen) == len(self.sources)
-        for r in rows:
-            seen.add(self.sources.index(r["source"]))
-            first = r["first_ms"] if first is None else min(first, r["first_ms"])
+        for batch in rows:
+            seen.update(self.places[s] for s in batch["source"].unique())
+            earliest_ms = int(batch["first_ms"].min())
+            first = earliest_ms if first is None else min(first, earliest_ms)
         if not before:
             end = first + self.wait_ms
             self.handle.registerTimer(end)
         self.state.update((sorted(seen), first, end, expired))
         if len(seen) == len(self.sources) and not done:
-            yield Row(key=key[0], status="complete", missing="", first_ms=first)
+            yield self._report(key, "complete", "", first)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = self.state.get()
         if not now:
             return
         seen, first, end, expired = now
         missing = [s for i, s in enumerate(self.sources) if i not in set(seen)]
         if missing and not expired:
-            yield Row(key=key[0], status="expired", missing=",".join(missing), first_ms=first)
+            yield self._report(key, "expired", ",".join(missing), first)
         if expiredTimerInfo.getExpiryTimeInMs() >= end + self.memory_ms:
             self.state.clear()
         else:
@@ -177,7 +204,7 @@ def expiring_gate_stream(
         # Without the watermarked column Spark has nothing to filter late rows by.
         .select("key", "source", F.unix_millis("first_ts").alias("first_ms"))
         .groupBy("key")
-        .transformWithState(
+        .transformWithStateInPandas(
             statefulProcessor=_ExpiringGate(sources, _millis(spark, wait), _millis(spark, memory)),
             outputStructType="key STRING, status STRING, missing STRING, first_ms BIGINT",
             outputMode="Append",

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.session import shared_dir
+from millrace.sinks.current import Files
 from millrace.sinks.store import Store
 
 def log_schema(key_type: str) -> str:
@@ -52,20 +54,36 @@ def start_index(
     once: bool = False,
     interval: str = "20 seconds",
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    committed: Column | None = None,
+    refresh_every: int = 0,
 ) -> StreamingQuery:
     """Store a stream of documents and acknowledge each in the store's commit log. ``prepare`` makes documents of
     each micro-batch.
 
-    The checkpoint names the job: several jobs may write to one store at the same time.
+    The checkpoint names the job: several jobs may write to one store at the same time. Documents are committed at
+    the time that the query's log gives their micro-batch, which a replay does not change, or at ``committed``, a column of theirs.
+    After every ``refresh_every`` batches the store's current documents are brought up to date; only one job of a store
+    may do that.
     """
+    spark = messages.sparkSession
     job = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store.write_batch(batch if prepare is None else prepare(batch), batch_id, job=job)
+        at = committed if committed is not None else batch_time(spark, checkpoint, batch_id)
+        store.write_batch(batch if prepare is None else prepare(batch), batch_id, at, job)
+        if refresh_every and (batch_id + 1) % refresh_every == 0:
+            store.refresh(spark)
 
     return start(messages.writeStream.foreachBatch(write), checkpoint, once, interval)
 
 
+def batch_time(spark: SparkSession, checkpoint: str, batch_id: int) -> Column:
+    """When a micro-batch was planned, by the query's own log; the same for a replay."""
+    log = Files(spark, checkpoint).read(f"{checkpoint.rstrip('/')}/offsets/{batch_id}")
+    millis = next(json.loads(line)["batchTimestampMs"] for line in log.splitlines() if "batchTimestampMs" in line)
+    return F.timestamp_millis(F.lit(millis))
+
+
 def start(writer: DataStreamWriter, checkpoint: str, once: bool, interval: str) -> StreamingQuery:
     """Run over what is there now and end, or for ever in intervals."""
     writer = writer.option("checkpointLocation", checkpoint)

@@ -1,0 +1,361 @@
+"""Current documents of a store, the join of stored parts with keys-only state, and lookups under reloads."""
+
+import random
+import re
+import shutil
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators.latest import latest_per_key
+from millrace.sinks.current import Files
+from millrace.sinks.lookup import load_lookup, read_lookup
+from millrace.sinks.store import PUSHED_KEYS, Store
+from millrace.streaming.batching import chunk_stream, measured_shards
+from millrace.streaming.enrich import expired_keys, start_enriching
+from millrace.streaming.gate import gate_stream
+from millrace.streaming.jobs import run_available, start_batches, start_index, write_batch
+from test_streams import ACK, Feed, acks
+
+T0 = datetime(2024, 1, 1)
+DOC = "source STRING, pcn STRING, v INT, x STRING"
+
+
+def batches(spark, number, rows=120):
+    rng = random.Random(number)
+    docs = [(rng.choice("ab"), f"k{rng.randint(0, 80)}", rng.randint(0, 50), f"{number}-{i}") for i in range(rows)]
+    return spark.createDataFrame([*docs, ("a", None, 1, "lost"), ("007", "k1", number, "seven")], DOC)
+
+
+def by_hand(store, spark):
+    docs = store._stored(spark, "ok").drop("status", "error", "job")
+    return sorted(map(tuple, latest_per_key(docs, ["source", "pcn"], ["v", "batch_id"]).select("source", "pcn", "v", "x").collect()))
+
+
+def current_rows(store, spark, source=None):
+    return sorted(map(tuple, store.current(spark, source).select("source", "pcn", "v", "x").collect()))
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def scanned_rows(df):
+    """Rows that the scans of a plan gave when it ran."""
+    df.collect()
+    todo, total = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        if name == "FileSourceScanExec":
+            total += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+@pytest.mark.parametrize("generations", [1, 3])
+def test_current_documents_are_those_of_the_whole_history(spark, folder, generations):
+    s = Store(folder("store"), "pcn", ["v"], buckets=8, generations=generations)
+    for n in range(7):
+        s.write_batch(batches(spark, n), n // 2, job="one" if n % 2 else "two")
+        if n in (1, 2, 5):
+            s.refresh(spark)
+        assert current_rows(s, spark) == by_hand(s, spark)
+        assert current_rows(s, spark, "b") == [r for r in by_hand(s, spark) if r[0] == "b"]
+    s.refresh(spark)
+    assert current_rows(s, spark) == by_hand(s, spark)
+    assert s.refresh(spark).number == 4  # nothing new
+    assert set(s.current(spark).columns) == set(s.documents(spark).columns)
+
+
+def test_buckets_without_news_are_read_as_they_are(spark, folder):
+    s = Store(folder("store"), "pcn", ["v"], buckets=8)
+    for n in range(3):
+        s.write_batch(batches(spark, n), n)
+    s.refresh(spark)
+    assert not re.search("Aggregate|Exchange|Sort", plan(s.current(spark)))
+    history = 3 * 122
+    assert s.current(spark).count() < history / 2
+    s.write_batch(spark.createDataFrame([("a", "k1", 99, "new")], DOC), 3)
+    current = s.current(spark)
+    assert current.where("x = 'new'").count() == 1
+    # One bucket of eight is merged; the news is read for its bucket and for the merge.
+    assert plan(current).count("bucket") and scanned_rows(s.current(spark)) <= current.count() + 2
+    assert current_rows(s, spark) == by_hand(s, spark)
+
+
+def test_a_refresh_that_dies_before_its_switch_changes_nothing(spark, folder, monkeypatch):
+    s = Store(folder("store"), "pcn", ["v"], buckets=4)
+    s.write_batch(batches(spark, 0), 0)
+    s.refresh(spark)
+    s.write_batch(batches(spark, 1), 1)
+    expected = by_hand(s, spark)
+    create = Files.create
+
+    def die(self, path, text):
+        if "/switch/" in path:
+            raise OSError("gone")
+        return create(self, path, text)
+
+    monkeypatch.setattr(Files, "create", die)
+    with pytest.raises(OSError):
+        s.refresh(spark)
+    monkeypatch.undo()
+    assert s.view.switch(spark).number == 1 and current_rows(s, spark) == expected
+    s.refresh(spark)
+    assert s.view.switch(spark).number == 2 and current_rows(s, spark) == expected
+    assert len(Files(spark, s.root).children(f"{s.root}/current/data")) == 3
+    s.prune(spark, 0)  # what the dead one left goes, too
+    assert len(Files(spark, s.root).children(f"{s.root}/current/data")) <= 2 and current_rows(s, spark) == expected
+
+
+def test_of_two_refreshes_one_gives_way(spark, folder, monkeypatch):
+    s = Store(folder("store"), "pcn", ["v"], buckets=4)
+    s.write_batch(batches(spark, 0), 0)
+    stale = s.view.switch(spark)
+    s.refresh(spark)
+    monkeypatch.setattr(s.view, "switch", lambda spark: stale)
+    with pytest.raises(RuntimeError, match="another refresh"):
+        s.refresh(spark)
+    monkeypatch.undo()
+    assert current_rows(s, spark) == by_hand(s, spark)
+    assert len(Files(spark, s.root).children(f"{s.root}/current/data")) == 1
+
+
+def test_batches_that_are_not_acknowledged_wait(spark, folder):
+    s = Store(folder("store"), "pcn", ["v"], buckets=4)
+    s.write_batch(batches(spark, 0), 0)
+    s.write_batch(batches(spark, 1), 1)
+    shutil.rmtree(s.batch_path("log", "main", 1))
+    assert s.refresh(spark).upto == {"main": 0}
+    s.write_batch(batches(spark, 1), 1)
+    assert s.refresh(spark).upto == {"main": 1} and current_rows(s, spark) == by_hand(s, spark)
+
+
+def test_pruning_serves_a_running_store(spark, folder):
+    s = Store(folder("store"), "pcn", ["v"], buckets=4)
+    for n in range(3):
+        s.write_batch(batches(spark, n), n)
+        s.refresh(spark)
+    s.write_batch(batches(spark, 3), 3)
+    expected, log, reader = by_hand(s, spark), s.log(spark).count(), s.current(spark)
+    s.prune(spark, 3600)
+    assert len(reader.collect()) == len(expected)  # it began before, and its files are there
+    assert s.documents(spark).count() == 4 * 121
+    s.prune(spark, 0)
+    assert s.documents(spark).count() == 121  # only the batch that came after the last refresh
+    assert current_rows(s, spark) == expected
+    assert s.rejected(spark).count() == 4 and s.log(spark).count() == log
+    s.write_batch(batches(spark, 4), 4)
+    s.refresh(spark)
+    assert len(current_rows(s, spark)) >= len(expected)
+
+
+@pytest.mark.parametrize("refreshed", [0, 2, 4])
+@pytest.mark.parametrize("number", [0, 1, 30, PUSHED_KEYS + 100])
+def test_fetching_by_key(spark, folder, refreshed, number):
+    s = Store(folder("store"), "pcn", ["v"], buckets=8)
+    for n in range(4):
+        s.write_batch(batches(spark, n, 400), n)
+        if n + 1 == refreshed:
+            s.refresh(spark)
+    keys = spark.createDataFrame([(f"k{i}",) for i in range(number)] + [(None,), ("nobody",), ("nobody",)], "wanted STRING")
+    got = sorted(map(tuple, s.fetch(spark, keys).select("source", "pcn", "v", "x").collect()))
+    assert got == [r for r in by_hand(s, spark) if r[1] in {f"k{i}" for i in range(number)}]
+    parts = s.parts(spark, keys, ["a", "b", "c"], ["x", "v"]).collect()
+    assert sorted((n, r["pcn"], r[n]["v"], r[n]["x"]) for r in parts for n in ("a", "b") if r[n]) == [r for r in got if r[0] in "ab"]
+    assert all(r["c"] is None for r in parts)
+
+
+def test_few_keys_leave_files_unread(spark, folder):
+    s = Store(folder("store"), "pcn", ["v"], buckets=8)
+    for n in range(6):
+        s.write_batch(spark.range(2000).select(F.lit("a").alias("source"), F.concat(F.lit("k"), F.col("id") * 6 + n).alias("pcn"), F.lit(1).alias("v"), F.lit("x").alias("x")), n)
+    keys = spark.createDataFrame([("k601",), ("k7",)], "key STRING")
+    # Both keys lie within the range of every file; its Bloom filter tells that they are not in it.
+    assert s.fetch(spark, keys).count() == 2
+    assert scanned_rows(s.fetch(spark, keys)) <= 2 * 2000 < 6 * 2000
+    s.refresh(spark)
+    assert scanned_rows(s.fetch(spark, keys)) <= 2 * 12000 / 8 * 1.2
+
+
+def test_rows_of_a_batch_are_in_order_of_the_key(spark, folder):
+    s = Store(folder("store"), "pcn", ["v"], buckets=2)
+    s.write_batch(batches(spark, 0).coalesce(1), 0)
+    s.refresh(spark)
+    for path in (f"{s.batch_path('data', 'main', 0)}/status=ok/source=a", f"{s.root}/current/data/*/bucket=1"):
+        for file in spark.read.parquet(path).inputFiles():
+            rows = [(r["source"] if "source" in r else "a", r["pcn"]) for r in spark.read.parquet(file).collect()]
+            assert rows == sorted(rows) and len(rows) > 3
+
+
+def test_columns_are_remembered(spark, folder):
+    s = Store(folder("store"), "pcn", ["v"])
+    s.write_batch(batches(spark, 0), 0)
+    shutil.rmtree(f"{s.root}/schema")  # as a store that was begun without notes
+    s.write_batch(batches(spark, 1).withColumn("more", F.lit(5)), 1)
+    assert "more" in s.documents(spark).columns and s.documents(spark).where("x IS NOT NULL").count() == 2 * 121
+    own = spark.createDataFrame([("a", "z", 1, "x", 7, "g")], DOC + ", bucket INT, gen STRING")
+    s.write_batch(own, 2)
+    s.refresh(spark)
+    row = s.current(spark).where("pcn = 'z'").first()
+    assert (row["bucket"], row["gen"], row["more"]) == (7, "g", None)
+
+
+def test_a_replayed_batch_keeps_its_time(spark, folder):
+    feed, cp = Feed(spark, folder("docs"), DOC), folder("cp")
+    s = Store(folder("store"), "pcn", ["v"])
+    feed.add([("a", "k", 1, "x")])
+    start_index(feed.stream(), s, cp, once=True).awaitTermination()
+    before = s.log(spark).first()["commit_ts"]
+    for name in ("0", ".0.crc"):
+        Files(spark, cp).delete(f"{cp}/commits/{name}")
+    start_index(feed.stream(), s, cp, once=True).awaitTermination()
+    assert [r["commit_ts"] for r in s.log(spark).collect()] == [before]
+
+
+# Parts in the store, keys in the state
+
+
+def enriched(spark, s, out, cp, **options):
+    def use(parts, batch_id):
+        write_batch(parts, f"{out}/joined", batch_id)
+
+    query = start_enriching(spark, s, ["a", "b"], ["x"], out, cp, use, once=True, **options)
+    query.awaitTermination()
+    return query
+
+
+def joined(spark, out):
+    return sorted((r["pcn"], r["a"]["x"], r["b"]["x"]) for r in spark.read.parquet(f"{out}/joined").collect())
+
+
+def test_the_state_of_the_join_holds_no_part(spark, folder):
+    feed, cp, out = Feed(spark, folder("docs"), DOC), folder("cp"), folder("out")
+    s = Store(folder("store"), "pcn", ["v"])
+
+    def run():
+        start_index(feed.stream(), s, f"{cp}-index", once=True, refresh_every=2).awaitTermination()
+        return enriched(spark, s, out, cp)
+
+    feed.add([("a", "k", 1, "payload-a1"), ("b", "k", 1, "payload-b1"), ("a", "j", 1, "payload-ja"), ("a", None, 1, "lost")])
+    feed.add([("a", "k", 3, "payload-a3"), ("z", "j", 1, "of no source")])
+    query = run()
+    assert joined(spark, out) == [("k", "payload-a3", "payload-b1")]
+    rejected = [p.observedMetrics["rejected"].asDict() for p in query.recentProgress if p.observedMetrics]
+    assert sum(r["missing_key"] for r in rejected) == 1 and sum(r["unknown_source"] for r in rejected) == 1
+    feed.add([("a", "k", 9, "payload-late"), ("a", "i", 1, "payload-ia")])
+    feed.add([("b", "j", 1, "payload-jb")])
+    run()
+    assert joined(spark, out) == [("j", "payload-ja", "payload-jb"), ("k", "payload-a3", "payload-b1")]
+    state = spark.read.format("statestore").load(cp).collect()
+    assert sorted(r["key"]["key"] for r in state) == ["i", "j", "k"]
+    assert "payload" not in str(state)
+    run()
+    assert len(joined(spark, out)) == 2
+
+
+def test_waiting_keys_expire_and_leave_the_state(spark, folder):
+    feed, cp, out = Feed(spark, folder("docs"), "source STRING, pcn STRING, v TIMESTAMP, x STRING"), folder("cp"), folder("out")
+    s = Store(folder("store"), "pcn", ["v"])
+
+    def docs(text, hour):
+        return [(p.split(":")[1], p.split(":")[0], T0 + timedelta(hours=hour), p) for p in text.split()]
+
+    def run():
+        start_index(feed.stream(), s, f"{cp}-index", once=True, committed=F.col("v")).awaitTermination()
+        query = enriched(spark, s, out, cp, wait="2 hours", memory="3 hours", maxFilesPerTrigger="1")
+        return [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+
+    feed.add(docs("k:a j:a i:a h:b", 0))
+    feed.add(docs("k:b", 1))
+    run()
+    assert joined(spark, out) == [("k", "k:a", "k:b")]
+    feed.add(docs("y:a", 4))
+    feed.add(docs("j:b", 4))  # after its time, but before that has been noticed
+    sizes = run()
+    feed.add(docs("w:a", 30))
+    feed.add(docs("v:a", 31))
+    sizes += run()
+    lost = {(r["key"], r["missing"]) for r in expired_keys(spark, out).collect()}
+    assert {("i", "b"), ("h", "a"), ("y", "b")} <= lost and not {k for k, _ in lost} & {"k", "v", "j"}
+    assert joined(spark, out) == [("j", "j:a", "j:b"), ("k", "k:a", "k:b")]
+    assert max(sizes) >= 6 and sizes[-1] <= max(sizes) / 2
+
+
+def test_gate_stream_with_a_wait(spark, folder):
+    feed = Feed(spark, folder("acks"), ACK)
+    hour = 3600
+    feed.add(acks("k:a j:a"))
+    feed.add(acks("k:b", 60))
+    feed.add(acks("z:a", 5 * hour))
+    feed.add(acks("y:a", 6 * hour))
+    done = run_available(gate_stream(feed.stream(), ["a", "b"], wait="2 hours"), "gate")
+    assert sorted((r["key"], r["status"], r["missing"]) for r in done.collect()) == [("j", "expired", "b"), ("k", "complete", "")]
+
+
+def test_rejected_acknowledgements_are_counted(spark, folder):
+    feed = Feed(spark, folder("acks"), ACK)
+    feed.add([("k", "a", T0, 1), (None, "a", T0, 2), ("k", "zz", T0, 3), ("k", None, T0, 4), ("k", "b", None, 5)])
+    query = start_batches(gate_stream(feed.stream(), ["a", "b"]), folder("out"), folder("cp"), mode="update")
+    query.awaitTermination()
+    seen = [p.observedMetrics["rejected"].asDict() for p in query.recentProgress if p.observedMetrics]
+    assert seen[0] == {"missing_key": 1, "missing_time": 1, "unknown_source": 2, "write_failed": 0}
+
+
+# Chunks
+
+
+def test_a_hot_source_spreads_by_its_volume(spark, folder):
+    schema = "source STRING, ts TIMESTAMP, seq BIGINT, value STRING"
+    rows = [("hot" if i % 3 else "b", T0 + timedelta(seconds=i % 15), i, str(i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, schema)
+    shards = measured_shards(df, "20 seconds", 100)
+    assert shards == {"hot": 20, "b": 10}
+    feed = Feed(spark, folder("docs"), schema)
+    for i in range(3):
+        feed.add(rows[i::3])
+    feed.add([(None, T0 + timedelta(days=1), None, None)])
+    chunks = run_available(chunk_stream(feed.stream(), shards=shards, rows=10, delay="0 seconds"), "chunks").collect()
+    assert len({r["shard"] for r in chunks if r["source"] == "hot"}) == 20
+    assert sorted(int(d) for r in chunks for d in r["documents"]) == list(range(3000))
+    assert all(r["n"] == len(r["documents"]) <= 10 and (r["n"] == 10) == (r["reason"] == "count") for r in chunks)
+    numbers = [(r["source"], r["shard"], r["window_start"], r["chunk"]) for r in chunks]
+    assert len(set(numbers)) == len(numbers)
+
+
+# Lookups
+
+
+def test_a_slow_reader_outlives_reloads(spark, folder):
+    path = folder("lookup")
+    load_lookup(spark.createDataFrame([("p", 0)], "id STRING, n INT"), path, "id")
+    slow = read_lookup(spark, path)
+    for n in range(1, 11):
+        table = load_lookup(spark.createDataFrame([("p", n)], "id STRING, n INT"), path, "id")
+    assert [tuple(r) for r in slow.collect()] == [("p", 0)]
+    assert [tuple(r) for r in table.collect()] == [("p", 10)]
+    load_lookup(spark.createDataFrame([("p", 11)], "id STRING, n INT"), path, "id", kept_seconds=0)
+    assert len(Files(spark, path).children(path)) == 1 and read_lookup(spark, path).first()["n"] == 11
+
+
+def test_two_loaders_do_not_overwrite_each_other(spark, folder):
+    path = folder("lookup")
+
+    def load(n):
+        rows = [(f"p{i}", n) for i in range(200)]
+        return load_lookup(spark.createDataFrame(rows, "id STRING, n INT"), path, "id").count()
+
+    with ThreadPoolExecutor(4) as pool:
+        assert list(pool.map(load, range(4))) == [200] * 4
+    found = read_lookup(spark, path).collect()
+    assert len(found) == 200 and len({r["n"] for r in found}) == 1
+    assert len(Files(spark, path).children(path)) == 4
