@@ -1,0 +1,274 @@
+"""Language identification, hard negatives and collocations against brute force and held-out rows."""
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from conftest import SF
+from pyspark.sql import functions as F
+
+from millrace.llm import QUERIES, collocations, hard_negatives, language
+
+# Collocations
+
+
+def phrases_by_hand(rows, min_count, max_words, top, share=100, scale=1000):
+    counts, totals = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for size in range(1, max_words + 1):
+                counts[lang].update(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+    out = []
+    for lang, f in counts.items():
+        frequent = {p: a for p, a in f.items() if len(p) > 1 and a >= min_count}
+        longest = Counter()
+        for p, a in frequent.items():
+            for size in range(2, len(p)):
+                for i in range(len(p) - size + 1):
+                    longest[p[i : i + size]] = max(longest[p[i : i + size]], a)
+        lines = []
+        for p, a in frequent.items():
+            if p in longest and 100 * longest[p] >= share * a:
+                continue
+            cuts = [(scale * a * totals[lang] // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p))]
+            score, k = min(cuts)
+            lines.append((score, a, " ".join(p), f[p[:k]], f[p[k:]]))
+        lines.sort(key=lambda x: (-x[0], -x[1], x[2].encode()))
+        out += [(lang, i + 1, p, a, l, r, totals[lang], s) for i, (s, a, p, l, r) in enumerate(lines[:top])]
+    return Counter(out)
+
+
+def phrase_rows():
+    rng = random.Random(13)
+    words = ["the", "The", "of", "naïve", "日本", "x\x00y", "b", "c", "d\x1ce", "É", "é", "new", "york", "city"]
+    rows = [(None, None), ("en", None), ("en", ""), ("en", " \t.,;\n"), (None, "a b a b a b a b"), ("zh tw", "p q r s t " * 9)]
+    rows += [("en", "new york city hall " * 40), ("en", "new york city hall " * 40), ("", "new\tyork. city! hall " * 9)]
+    for _ in range(80):
+        lang = rng.choice(["en", "en", "en", "zh tw", None, "und"])
+        rows.append((lang, "".join(rng.choice(words) + rng.choice([" ", " ", " ", "  ", "\t", ". ", ",", "\r\n", "\x0b"]) for _ in range(rng.randint(1, 60)))))
+    rows.append(("hot", " ".join(rng.choice(words) for _ in range(5000))))
+    return rows
+
+
+@pytest.mark.parametrize(
+    "limits", [{}, {"slice_ids": 5, "tile": 4, "buffer": 50}, {"slice_ids": 1000, "tile": 8, "buffer": 200, "share": 60, "max_words": 3}]
+)
+def test_collocations(spark, limits):
+    rows = phrase_rows()
+    df = spark.createDataFrame(rows, "lang string, text string")
+    df = df.repartition(5).select("*", *[F.lit("x").alias(c) for c in ("word", "f", "id", "ids", "n", "phrase", "first", "words")])
+    got = collocations.collocations(df, min_count=3, top=40, **limits)
+    expected = phrases_by_hand(rows, 3, limits.get("max_words", 5), 40, limits.get("share", 100))
+    assert Counter(tuple(r) for r in got.collect()) == expected
+    assert len({lang for lang, *_ in expected}) > 4 and max(i for _, i, *_ in expected) == 40
+
+
+def test_collocations_of_nothing(spark):
+    df = spark.createDataFrame([("en", "a b c"), (None, None)], "lang string, text string")
+    assert collocations.collocations(df).count() == 0
+    assert collocations.collocations(df.limit(0), min_count=1).count() == 0
+    assert collocations.collocations(df, min_count=1).where("phrase = 'a b c'").count() == 1
+
+
+def test_tiles_are_counted_either_way():
+    rng = np.random.default_rng(1)
+    first, second = rng.zipf(1.3, 20_000) % 300, rng.zipf(1.3, 20_000) % 500
+    expected = Counter(zip(first.tolist(), second.tolist()))
+    for tile in (1, 7, 16, 64, 1024):
+        got = collocations.count_tiles(first, second, tile)
+        assert {(a, b): n for a, b, n in zip(*(c.tolist() for c in got))} == expected
+
+
+def test_words_are_ranked_alike_in_one_sort_and_in_ranges(spark):
+    rng = random.Random(3)
+    counts = spark.createDataFrame([(str(i), rng.randint(1, 40)) for i in range(500)], "word string, f bigint")
+    by_hand = [(-r["f"], r["word"]) for r in counts.collect()]
+    for most in (1000, 60):
+        got = collocations.ranked(counts, ["word"], "ranks", most).orderBy("id").collect()
+        assert [r["id"] for r in got] == list(range(500))
+        assert [(-r["f"], r["word"]) for r in got] == sorted(by_hand)
+
+
+# Hard negatives
+
+
+def negatives_by_hand(rows, k=5, m=5, low=80):
+    whole = []
+    for number, (vec_id, vector, label) in enumerate(rows):
+        if vec_id is not None and label is not None and vector is not None and all(x is not None and np.isfinite(x) for x in vector):
+            whole.append((number, vec_id, [int(np.floor(256 * float(x))) for x in vector], label))
+    out = []
+    for number, vec_id, q, label in whole:
+        if vec_id % 100:
+            continue
+        near = [(sum(a * b for a, b in zip(q, c)), i, n, l) for n, i, c, l in whole if n != number and len(c) == len(q)]
+        same = sorted((-s, i, n) for s, i, n, l in near if l == label)[:k]
+        for s, positive, _ in same:
+            fits = sorted((-t, i, n) for t, i, n, l in near if l != label and low * -s <= 100 * t <= 100 * -s)[:m]
+            out += [(vec_id, positive, r + 1, i, -s, -t) for r, (t, i, _) in enumerate(fits)]
+    return Counter(out)
+
+
+def labelled_vectors():
+    rng = random.Random(8)
+    rows = [(i, [float(rng.randint(-2, 2)) / 4 for _ in range(4)], rng.choice([0, 0, 0, 1, 2, 3])) for i in range(400)]
+    rows += [(i, [0.5, 0.5, 0.5, 0.5], i % 2) for i in range(400, 480)]
+    rows += [(500, None, 1), (600, [1.0, None, 0.0, 0.0], 1), (700, [1.0, float("nan"), 0.0, 0.0], 1), (800, [0.5] * 4, None)]
+    rows += [(900, [float("inf"), 0.0, 0.0, 0.0], 1), (None, [0.1] * 4, 1), (100, [0.25] * 4, 0), (100, [0.25] * 4, 7), (1000, [0.0] * 4, 0)]
+    rows += [(1100, [1.0, 2.0], 1), (1101, [1.0, 1.9], 1), (1102, [1.0, 1.8], 2), (1200, [], 1), (1201, [], 1), (1202, [], 4), (1300, [0.3] * 4, 99)]
+    return rows
+
+
+@pytest.mark.parametrize("sizes", [{}, {"shard_rows": 30, "tile_rows": 2, "first_step": 1}, {"positives": 2, "negatives": 9, "low_percent": 100}])
+def test_hard_negatives(spark, sizes):
+    rows = labelled_vectors()
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").repartition(7)
+    df = df.select("*", *[F.lit("x").alias(c) for c in ("row", "id", "dim", "v", "lane", "n")])
+    got = hard_negatives.hard_negatives(df, F.col("id") % 100 == 0, **sizes)
+    expected = negatives_by_hand(rows, sizes.get("positives", 5), sizes.get("negatives", 5), sizes.get("low_percent", 80))
+    assert Counter(tuple(r) for r in got.collect()) == expected
+    assert len(expected) > 20
+    assert hard_negatives.hard_negatives(df.limit(0), F.col("id") % 100 == 0).count() == 0
+
+
+def test_hard_negatives_of_large_components(spark):
+    rows = [(i, [float(1 << (20 + i % 5)), -float(i)], i % 2) for i in range(40)] + [(100, [3e6, 1.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = hard_negatives.hard_negatives(df, F.col("id") % 100 == 0)
+    assert Counter(tuple(r) for r in got.collect()) == negatives_by_hand(rows)
+
+
+def test_threshold_leaves_the_rest_of_the_lists_unread():
+    rng = np.random.default_rng(4)
+    n, dim = 4000, 6
+    v = rng.integers(-50, 50, (n, dim))
+    v[:20] = rng.integers(200, 250, (20, dim))
+    lists = np.argsort(v, axis=0, kind="stable").T.astype("<u2")
+    ids = np.arange(n)
+    shard = hard_negatives.Shard(dim, n, np.zeros(n, "<i8").tobytes(), ids.astype("<i8").tobytes(), ids.astype("<i8").tobytes(), v.astype("<i2").tobytes(), lists.tobytes())
+    anchor = np.array([3, 1, 4, 1, 5, 9])
+    (found,), depth = shard.threshold_search(anchor, np.ones(n, bool), [None], [None], 5)
+    scores = v @ anchor
+    assert found[0].tolist() == sorted(scores.tolist())[:-6:-1]
+    assert depth < n / 10
+    # A window in which nothing can be: its lower border ends the search.
+    (none,), depth = shard.threshold_search(anchor, np.ones(n, bool), [10**6], [10**7], 5)
+    assert not len(none[0]) and depth == hard_negatives.FIRST_STEP
+
+
+def test_the_number_of_shards_follows_the_rows(spark):
+    rows = [(i, [float(i % 7), 1.0], i % 3) for i in range(900)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    for parts in (1, 40):
+        vectors = hard_negatives.whole_vectors(df.repartition(parts), 256, "vec_id", "embedding", "label")
+        sizes = [r["n"] for r in hard_negatives.packed(vectors, 300, True).collect()]
+        assert sum(sizes) == 900 and max(sizes) <= 300 and len(sizes) <= 6
+
+
+# Languages
+
+
+def test_languages_of_held_out_documents(spark):
+    truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = QUERIES["op11_language_id"](spark, SF).collect()
+    assert {r["doc_id"] for r in rows} == set(truth) and len(rows) == len(truth)
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+        assert 0 <= r["score"] <= 1 and r["lang_pred"] in set(truth.values())
+    unseen = [r for r in rows if r["held_out"]]
+    right = [r["lang_pred"] == truth[r["doc_id"]] for r in unseen]
+    assert len(unseen) > 200 and sum(right) >= 0.98 * len(right)
+    assert abs(np.mean([r["score"] for r in unseen]) - np.mean(right)) < 0.05
+
+
+def subwords_by_hand(text):
+    folded = "".join(c if c.isalpha() else " " for c in text.casefold())
+    found = Counter()
+    for word in folded.split():
+        framed = f" {word} "
+        for n in range(1, language.MAX_GRAM + 1):
+            grams = [framed[i : i + n] for i in range(len(framed) - n + 1)]
+            found.update(g for g in grams if g != " ")
+    return found
+
+
+@pytest.mark.parametrize("piece", [1 << 19, 7])
+def test_subwords_are_those_of_whole_texts(monkeypatch, piece):
+    monkeypatch.setattr(language, "PIECE", piece)
+    texts = ["Ab cde", "", None, "x", "  Élan-vital!! 日本語 ß x1y ", "1234 .,", "a" * 50 + " " + "b c " * 20]
+    got = defaultdict(Counter)
+    for codes, docs, begin in language._pieces(texts):
+        for bucket, doc in language.subwords(codes, docs, begin):
+            for b, d in zip(bucket.tolist(), doc.tolist()):
+                got[d][b] += 1
+
+    def bucket_of(gram):
+        codes = np.array([0 if c == " " else ord(c) for c in gram], np.uint32)
+        return int(language._buckets(codes, len(gram), language.BUCKETS)[0])
+
+    for i, text in enumerate(texts):
+        expected = Counter()
+        for gram, n in subwords_by_hand(text or "").items():
+            expected[bucket_of(gram)] += n
+        assert got[i] == expected, text
+
+
+def small_model():
+    texts = ["the cat and the dog", "of the house and this", "der Hund und die Katze", "das Haus und der Garten"]
+    answers = np.array([0, 0, 1, 1])
+    return language.train([language.bucket_weights(t) for t in texts], answers, ["en", "xx"])
+
+
+def test_predictions_depend_on_the_text_alone():
+    model = small_model()
+    texts = ["the dog", None, "der Garten", "", "123 !", "und die " * 3000, "the", "日本"]
+    names, score, rejected = model.predict(texts)
+    assert names[:5] == ["en", "und", "xx", "und", "und"] and names[5] == "xx"
+    assert [s for n, s in zip(names, score) if n == "und"] == [0, 0, 0]
+    assert rejected[1] and rejected[3] and rejected[4]
+    for i, t in enumerate(texts):
+        alone = model.predict([t])
+        assert alone[0] == [names[i]] and alone[1][0] == pytest.approx(score[i], abs=1e-12)
+
+
+def test_calibration_rejects_what_is_often_wrong():
+    rng = np.random.default_rng(2)
+    n, buckets = 4000, 64
+    strength = rng.uniform(0, 3, n)
+    answers = rng.integers(0, 2, n)
+    right = rng.random(n) < 1 / (1 + np.exp(-2 * strength))
+    side = np.where(right, answers, 1 - answers)
+    # Bucket 0 speaks for one answer, bucket 1 for the other, bucket 2 for none; the table is three times too sure.
+    table = np.zeros((buckets, 2))
+    table[0], table[1] = (9, -9), (-9, 9)
+    samples = [(np.array([s, 2]), np.array([w / 3, 1 - w / 3])) for s, w in zip(side, strength)]
+    model = language.Model(["a", "b"], table, np.zeros(2))
+    language.calibrate(model, samples, answers, 0.02)
+    assert 2 < model.temperature < 4.5
+    logits = np.array([w @ table[at] for at, w in samples])
+    p = language.softmax(logits / model.temperature)
+    score, wrong = p.max(axis=1), p.argmax(axis=1) != answers
+    assert wrong[score >= model.least].mean() <= 0.02 < wrong.mean()
+    assert abs(score.mean() - (~wrong).mean()) < 0.03
+
+
+def test_languages_of_odd_tables(spark):
+    schema = "doc_id bigint, text string, lang string, score string, rejected string, pick string, buckets string"
+    rows = [(i, "the cat and the dog", "en", "x", "x", "x", "x") for i in range(40)] + [(i, "der Hund und die Katze", "xx", "", "", "", "") for i in range(40, 80)]
+    rows += [(None, "the dog", "en", "", "", "", ""), (90, None, "en", "", "", "", ""), (91, "", None, "", "", "", ""), (92, "der Hund", None, "", "", "", "")]
+    df = spark.createDataFrame(rows, schema)
+    got = language.identify(df)
+    assert got.columns == ["doc_id", "held_out", "lang_pred", "score", "rejected"]
+    answers = Counter((r["doc_id"], r["lang_pred"]) for r in got.collect())
+    expected = [(r[0], "und" if not r[1] else "en" if "dog" in r[1] else "xx") for r in rows]
+    assert answers == Counter(expected)
+    assert language.identify(df.limit(0)).count() == 0
+    nothing = language.identify(df.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert {r["lang_pred"] for r in nothing} == {"und"} and {r["score"] for r in nothing} == {0.0}
