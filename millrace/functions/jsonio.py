@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +45,10 @@ def _whole_number(text: Column, dtype: T.DataType) -> Column:
     plain = F.regexp_replace(text, r"^([^.eE]*)\.0*$", "$1")
     # Numbers with an exponent are rare and go through a decimal, which is exact as well.
     number = F.when(text.rlike("[eE]"), text.try_cast("decimal(38,10)"))
-    return F.coalesce(plain.try_cast(dtype), F.when(number == F.floor(number), number.try_cast(dtype)))
+    whole = F.coalesce(plain.try_cast(dtype), F.when(number == F.floor(number), number.try_cast(dtype)))
+    # Most numbers have neither; looking for three characters is cheaper than the expressions above.
+    odd = reduce(or_, [F.contains(text, F.lit(c)) for c in ".eE"])
+    return F.when(odd, whole).otherwise(text.try_cast(dtype))
 
 
 def typed_value(text: Column, dtype: T.DataType, date_format: str) -> Column:

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from millrace.operators.skew import MAX_GROUP_ROWS, first_rows, ordered_position
 
-MAX_MASK_SOURCES = 63
-
 
 def usable(acks: DataFrame, sources: Sequence[str], key: str = "key", ts: str = "commit_ts") -> Column:
     """Whether an acknowledgement counts: known source, key and time present, write not failed."""
@@ -41,11 +39,19 @@ def rejected_acks(acks: DataFrame, sources: Sequence[str], key: str = "key", ts:
     return acks.withColumn("reason", rejection(acks, sources, key, ts)).where(F.col("reason").isNotNull())
 
 
-def source_bit(sources: Sequence[str], source: str = "source") -> Column:
-    bit = F.lit(None).cast("bigint")
-    for i, name in reversed(list(enumerate(sources))):
-        bit = F.when(F.col(source) == name, F.lit(1 << i).cast("bigint")).otherwise(bit)
-    return bit
+def progress_columns(sources: Sequence[str], firsts: Sequence[str]) -> dict[str, Column]:
+    """What the first times of all sources say of a key, for any number of sources: ``seen`` (names), ``first`` (the earliest
+    time), ``complete``, ``last`` and ``by`` (the time and the source that completed it; of several at that time the one declared first)."""
+    times = F.array(*firsts)
+    names = F.array(*[F.lit(n) for n in sources])
+    last = F.array_max(times)
+    return {
+        "seen": F.array_compact(F.array(*[F.when(F.col(t).isNotNull(), F.lit(n)) for t, n in zip(firsts, sources)])),
+        "first": F.array_min(times),
+        "complete": ~F.exists(times, lambda t: t.isNull()),
+        "last": last,
+        "by": F.element_at(names, F.array_position(times, last).cast("int")),
+    }
 
 
 def source_progress(
@@ -54,69 +60,23 @@ def source_progress(
     """Per key: number of arrivals, sources seen and the first time of each.
 
     Result columns: key, arrivals, seen (array of names), first_ts, completed_ts, completed_by;
-    the last two are null while a source is missing. Counts, masks and minima are all combined
+    the last two are null while a source is missing. Counts and minima are all combined
     before the one shuffle, so a hot key costs a few rows per input task.
     """
     acks = usable_acks(acks, sources, key, ts)
-    if len(sources) > MAX_MASK_SOURCES:
-        return _progress_many_sources(acks, sources, key, ts)
     firsts = [f"_t{i}" for i in range(len(sources))]
-    full = (1 << len(sources)) - 1
-    progress = (
-        acks.withColumn("_bit", source_bit(sources))
-        .groupBy(key)
-        .agg(
-            F.bit_or("_bit").alias("_mask"),
-            F.count(F.lit(1)).alias("arrivals"),
-            *[
-                F.min(F.when(F.col("source") == name, F.col(ts))).alias(firsts[i])
-                for i, name in enumerate(sources)
-            ],
-        )
-    )
-    complete = F.col("_mask") == full
-    last = F.greatest(*firsts) if len(firsts) > 1 else F.col(firsts[0])
-    first = F.least(*firsts) if len(firsts) > 1 else F.col(firsts[0])
-    by = F.lit(None).cast("string")
-    for i, name in reversed(list(enumerate(sources))):
-        by = F.when(F.col(firsts[i]) == last, name).otherwise(by)
-    seen = F.array_compact(
-        F.array(*[F.when(F.col(firsts[i]).isNotNull(), F.lit(n)) for i, n in enumerate(sources)])
+    progress = acks.groupBy(key).agg(
+        F.count(F.lit(1)).alias("arrivals"),
+        *[F.min(F.when(F.col("source") == name, F.col(ts))).alias(t) for t, name in zip(firsts, sources)],
     )
+    found = progress_columns(sources, firsts)
     return progress.select(
         key,
         "arrivals",
-        seen.alias("seen"),
-        first.alias("first_ts"),
-        F.when(complete, last).alias("completed_ts"),
-        F.when(complete, by).alias("completed_by"),
-    )
-
-
-def _progress_many_sources(acks: DataFrame, sources: Sequence[str], key: str, ts: str) -> DataFrame:
-    """More sources than mask bits: first time per (key, source), then one row per key."""
-    firsts = acks.groupBy(key, "source").agg(F.min(ts).alias("_t"), F.count(F.lit(1)).alias("_n"))
-    # Sources rank as declared, as they do in the mask.
-    firsts = firsts.withColumn("_rank", F.array_position(F.array(*[F.lit(s) for s in sources]), F.col("source")))
-    complete = F.col("_sources") == len(sources)
-    return (
-        firsts.groupBy(key)
-        .agg(
-            F.sum("_n").alias("arrivals"),
-            F.count(F.lit(1)).alias("_sources"),
-            F.array_sort(F.collect_list(F.struct("_rank", "source")))["source"].alias("seen"),  # one entry per source
-            F.min("_t").alias("first_ts"),
-            F.max("_t").alias("_last"),
-            F.max_by("source", F.struct("_t", -F.col("_rank"))).alias("_by"),
-        )
-        .select(
-            key,
-            "arrivals",
-            "seen",
-            "first_ts",
-            F.when(complete, F.col("_last")).alias("completed_ts"),
-            F.when(complete, F.col("_by")).alias("completed_by"),
-        )
+        found["seen"].alias("seen"),
+        found["first"].alias("first_ts"),
+        F.when(found["complete"], found["last"]).alias("completed_ts"),
+        F.when(found["complete"], found["by"]).alias("completed_by"),
     )
 
 

@@ -53,15 +53,15 @@ def quarantine_bad(spark, sf_dir):
     return quarantined_rows(split_delimited(order_lines(spark, sf_dir), ORDER_HEADER), ["source"])
 
 
-@query(
-    """
+SQL_INGEST_COUNTS = """
     SELECT o_orderstatus AS source,
            COUNT(*) FILTER (WHERE o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW') AS good,
            COUNT(*) FILTER (WHERE o_orderstatus = 'P' OR o_orderpriority = '5-LOW') AS malformed
     FROM orders GROUP BY 1
-    """,
-    name="ingest_counts",
-)
+"""
+
+
+@query(SQL_INGEST_COUNTS, name="ingest_counts")
 def ingest_counts_query(spark, sf_dir):
     return ingest_counts(split_delimited(order_lines(spark, sf_dir), ORDER_HEADER))
 

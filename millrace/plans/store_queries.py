@@ -21,8 +21,9 @@ SQL_LINES = """
 """
 
 
-def _stored_lines(spark, sf_dir) -> Store:
-    """Lines written in three batches, by return flag; the source is the line status."""
+def _stored_lines(spark, sf_dir, refreshed=0) -> Store:
+    """Lines written in three batches, by return flag; the source is the line status. The current documents are refreshed after
+    each of the first ``refreshed`` batches."""
     lines = table(spark, sf_dir, "lineitem").select(
         F.when(F.col("l_quantity") != 50, F.col("l_orderkey")).alias("l_orderkey"),
         *LINE_VERSION,
@@ -32,6 +33,8 @@ def _stored_lines(spark, sf_dir) -> Store:
     store = Store(shared_dir(spark, "store"), "l_orderkey", LINE_VERSION)
     for batch_id, flag in enumerate(BATCH_FLAGS):
         store.write_batch(lines.where(F.col("l_returnflag") == flag).drop("l_returnflag"), batch_id)
+        if batch_id < refreshed:
+            store.refresh(spark)
     return store
 
 
@@ -47,6 +50,35 @@ def upsert_sink_current(spark, sf_dir):
     return _stored_lines(spark, sf_dir).current(spark)
 
 
+@query(
+    f"""
+    SELECT source, l_orderkey, l_shipdate, l_linenumber, l_partkey, l_suppkey, l_quantity
+    FROM ({SQL_LINES}) WHERE l_orderkey IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY source, l_orderkey ORDER BY {SQL_VERSION} DESC) = 1
+    """
+)
+def store_current_refreshed(spark, sf_dir):
+    """The same from the store's current documents: refreshed after each of two batches, the third merged as it is read, and the
+    history of the first two removed."""
+    store = _stored_lines(spark, sf_dir, refreshed=2)
+    store.prune(spark, older_than_seconds=0)
+    return store.current(spark).drop("batch_id")
+
+
+@query(
+    f"""
+    SELECT source, l_orderkey, l_shipdate, l_linenumber, l_partkey, l_suppkey, l_quantity
+    FROM ({SQL_LINES}) WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')
+    QUALIFY row_number() OVER (PARTITION BY source, l_orderkey ORDER BY {SQL_VERSION} DESC) = 1
+    """
+)
+def store_fetch_by_keys(spark, sf_dir):
+    """Current lines of urgent orders, fetched by key from the store."""
+    store = _stored_lines(spark, sf_dir, refreshed=2)
+    urgent = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select("o_orderkey")
+    return store.fetch(spark, urgent).drop("batch_id")
+
+
 @query(
     f"""
     SELECT CAST(batch_id AS BIGINT) AS batch_id, source, l_orderkey AS key,

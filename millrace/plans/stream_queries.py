@@ -18,18 +18,23 @@ from millrace.plans.data import (
     LINE_FIELDS,
     LINE_VERSION,
     ORDER_FIELDS,
+    ORDER_HEADER,
     SQL_KEY,
     SQL_VERSION,
+    order_lines,
 )
 from millrace.plans.gate_queries import SQL_PROGRESS
+from millrace.plans.ingest_queries import SQL_INGEST_COUNTS
 from millrace.plans.join_queries import LINE_OUT, SQL_ENRICHED, SQL_ORDER_CUSTOMER
 from millrace.plans.store_queries import SQL_LINES
 from millrace.session import shared_dir, stream_session
 from millrace.sinks.store import Store
 from millrace.sources.streams import union_sources
-from millrace.streaming.batching import chunk_stream
+from millrace.sources.delimited import split_delimited
+from millrace.streaming.batching import chunk_stream, session_counts_stream
 from millrace.streaming.enrich import expired_keys, start_enriching
 from millrace.streaming.gate import count_gate_stream, expiring_gate_stream, gate_stream, running_count_stream
+from millrace.streaming.ingest import ingest_totals, start_ingest
 from millrace.streaming.jobs import commit_acks, run_available, start_index, write_batch
 
 
@@ -284,6 +289,39 @@ def stream_count_or_timeout(spark, sf_dir):
     )
 
 
+@query(
+    """
+    SELECT user_id, MIN(ts) AS session_start, MAX(ts) AS last_ts, COUNT(*) AS n
+    FROM (SELECT user_id, ts, SUM(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session
+          FROM (SELECT user_id, ts, event_id,
+                       CASE WHEN ts - LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL '6 hours'
+                            THEN 0 ELSE 1 END AS fresh
+                FROM events))
+    GROUP BY user_id, session
+    """
+)
+def stream_session_counts(spark, sf_dir):
+    """Sessions of users over four micro-batches, with rows up to six hours late that join sessions; the end of the input closes the last."""
+    spark = streaming(spark, sf_dir, "events")
+    rows = table(spark, sf_dir, "events").select("user_id", _instant("ts"), F.col("event_id").alias("seq"))
+    events = arriving_in_order(rows, "events", "ts", late_hours=6, end=True)
+    sessions = session_counts_stream(events, "ts", 6 * 3600, ["user_id"], delay="6 hours")
+    return _plain_time(run_available(sessions, "sessions").drop("batch_id").where("user_id IS NOT NULL"))
+
+
+@query(SQL_INGEST_COUNTS)
+def stream_ingest_counts(spark, sf_dir):
+    """Delimited lines in four micro-batches, counted while they are written."""
+    spark = streaming(spark, sf_dir, "orders")
+    lines = order_lines(spark, sf_dir)
+    split = split_delimited(arriving_in_steps(lines, "lines"), ORDER_HEADER)
+    out = shared_dir(spark, "ingest")
+    # One source is not declared; its rows are kept and counted all the same.
+    start_ingest(split, ["F", "O"], out, f"{out}-checkpoint", once=True).awaitTermination()
+    totals = ingest_totals(spark, out)
+    return totals.withColumn("source", F.coalesce("source", F.lit("P")))
+
+
 def _indexed_lines(spark, sf_dir):
     """Lines that arrive in four micro-batches, put into a store."""
     lines = arriving_in_steps(

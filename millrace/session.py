@@ -64,5 +64,6 @@ def stream_session(spark: SparkSession, state_partitions: int) -> SparkSession:
     session = spark.newSession()
     session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    session.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     use_rocksdb(session)
     return session

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -100,6 +100,22 @@ class _Chunks(StatefulProcessor):
         pass
 
 
+def session_counts_stream(
+    df: DataFrame, ts: str, gap_seconds: int, groups: Sequence[str], delay: str
+) -> DataFrame:
+    """Rows per session, a session ending when nothing comes for ``gap_seconds`` (append mode): out when the watermark,
+    ``delay`` behind the latest time, has passed its end.
+
+    Sessions are merged in each input task before the shuffle (``stream_session`` sees to that), then with those of the state; a late
+    row may join two of them. A row that is later than ``delay`` and would begin a session of its own is dropped by
+    Spark; the query's progress counts these (``numRowsDroppedByWatermark``).
+    """
+    # Rows exactly a gap apart share a session, as in ``session_counts``; Spark's windows end before their last instant.
+    window = F.session_window(ts, f"{gap_seconds} seconds 1 microsecond")
+    counted = df.withWatermark(ts, delay).groupBy(*groups, window.alias("_w"))
+    return counted.agg(F.min(ts).alias("session_start"), F.max(ts).alias("last_ts"), F.count(F.lit(1)).alias("n")).drop("_w")
+
+
 def measured_shards(history: DataFrame, timeout: str = "20 seconds", documents: int = SHARD_DOCUMENTS) -> dict[str, int]:
     """How many shards each source needs, so that none takes more than about ``documents`` in one window: from the
     source and the time (``ts``) of documents that came before. One row per source comes back."""

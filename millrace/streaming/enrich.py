@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.sinks.store import Store
 from millrace.streaming.gate import gate_stream
-from millrace.streaming.jobs import commit_acks, make_folder, start, write_batch
+from millrace.streaming.jobs import Clock, commit_acks, make_folder, start, write_batch
 
 
 def start_enriching(
@@ -36,7 +36,7 @@ def start_enriching(
     The state holds keys and which sources have committed, never a part. Completed keys are written to
     ``out/completed``, then ``use`` gets their parts as ``Store.parts`` gives them (``fields`` of the newest document of each source
     at that moment) and the number of the micro-batch, if it completed any; only the buckets of these keys are read, and what was
-    stored since the store's last refresh. A replayed micro-batch calls it again.
+    stored since the store's last refresh. A replayed micro-batch calls it again. No key is completed twice, whatever the clock does.
 
     With ``wait`` a key that stays incomplete for so long after its first commit goes to ``out/expired`` with what is missing, and
     leaves the state ``memory`` after that; see ``expiring_gate_stream``. Rows of the log that cannot count (refused documents, other
@@ -44,6 +44,7 @@ def start_enriching(
     """
     acks = commit_acks(spark, store, key_type, **options)
     gated = gate_stream(acks, sources, wait=wait, delay=delay, memory=memory)
+    clock = Clock(spark, checkpoint)
     for name in ("completed", "expired"):
         make_folder(spark, f"{out}/{name}")
 
@@ -55,6 +56,10 @@ def start_enriching(
         if wait is not None:
             write_batch(found.where("status = 'expired'").drop("status"), f"{out}/expired", batch_id)
             found = found.where("status = 'complete'")
+        elif clock.behind(batch_id):
+            # Only then may the gate name a key again that it has named before.
+            earlier = spark.read.schema(f"key {key_type}, batch_id BIGINT").parquet(f"{out}/completed").where(F.col("batch_id") < batch_id)
+            found = found.join(earlier.select(F.col("key").cast("string").alias("_before")), F.col("key").cast("string") == F.col("_before"), "left_anti")
         keys = found.select(F.col("key").cast(key_type).alias("key"))
         write_batch(keys, f"{out}/completed", batch_id)
         done = spark.read.schema(keys.schema).parquet(f"{out}/completed/batch_id={batch_id}")

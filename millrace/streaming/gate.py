@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from millrace.operators.gate import rejection, usable, usable_acks
+from millrace.operators.gate import progress_columns, rejection, usable, usable_acks
 from millrace.session import use_rocksdb
 from millrace.streaming.combine import earliest, first_seen
 
@@ -50,16 +50,10 @@ def gate_stream(
     )
     times = [f"_t{i}" for i in range(len(sources))]
     batches = [f"_b{i}" for i in range(len(sources))]
-    complete = F.lit(True)
-    for b in batches:
-        complete = complete & F.col(b).isNotNull()
-    last = F.greatest(*times) if len(times) > 1 else F.col(times[0])
-    done = F.greatest(*batches) if len(batches) > 1 else F.col(batches[0])
-    by = F.lit(None).cast("string")
-    for i, name in reversed(list(enumerate(sources))):
-        by = F.when(F.col(times[i]) == last, name).otherwise(by)
-    return state.where(complete & (done == F.col("_now"))).select(
-        key, "arrivals", last.alias("completed_ts"), by.alias("completed_by")
+    found = progress_columns(sources, times)
+    done = F.array_max(F.array(*batches))
+    return state.where(found["complete"] & (done == F.col("_now"))).select(
+        key, "arrivals", found["last"].alias("completed_ts"), found["by"].alias("completed_by")
     )
 
 

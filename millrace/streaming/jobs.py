@@ -77,11 +77,31 @@ def start_index(
     return start(messages.writeStream.foreachBatch(write), checkpoint, once, interval)
 
 
+def _planned_ms(files: Files, checkpoint: str, batch_id: int) -> int:
+    log = files.read(f"{checkpoint.rstrip('/')}/offsets/{batch_id}")
+    return next(json.loads(line)["batchTimestampMs"] for line in log.splitlines() if "batchTimestampMs" in line)
+
+
 def batch_time(spark: SparkSession, checkpoint: str, batch_id: int) -> Column:
     """When a micro-batch was planned, by the query's own log; the same for a replay."""
-    log = Files(spark, checkpoint).read(f"{checkpoint.rstrip('/')}/offsets/{batch_id}")
-    millis = next(json.loads(line)["batchTimestampMs"] for line in log.splitlines() if "batchTimestampMs" in line)
-    return F.timestamp_millis(F.lit(millis))
+    return F.timestamp_millis(F.lit(_planned_ms(Files(spark, checkpoint), checkpoint, batch_id)))
+
+
+class Clock:
+    """Whether the clock of a query was set back: a micro-batch that is no later than one before it, by the query's log."""
+
+    def __init__(self, spark: SparkSession, checkpoint: str):
+        self.spark, self.checkpoint = spark, checkpoint
+        self.latest: tuple[int, int] | None = None  # number of a micro-batch, and the latest time up to it
+
+    def behind(self, batch_id: int) -> bool:
+        files = Files(self.spark, self.checkpoint)
+        if self.latest is None or self.latest[0] >= batch_id:
+            names = [n for n, _ in files.children(f"{self.checkpoint.rstrip('/')}/offsets") if n.isdigit() and int(n) < batch_id]
+            self.latest = (batch_id - 1, max((_planned_ms(files, self.checkpoint, int(n)) for n in names), default=-1))
+        now, before = _planned_ms(files, self.checkpoint, batch_id), self.latest[1]
+        self.latest = (batch_id, max(now, before))
+        return now <= before
 
 
 def start(writer: DataStreamWriter, checkpoint: str, once: bool, interval: str) -> StreamingQuery:

@@ -16,7 +16,7 @@ from millrace.sinks.store import PUSHED_KEYS, Store
 from millrace.streaming.batching import chunk_stream, measured_shards
 from millrace.streaming.enrich import expired_keys, start_enriching
 from millrace.streaming.gate import gate_stream
-from millrace.streaming.jobs import run_available, start_batches, start_index, write_batch
+from millrace.streaming.jobs import Clock, run_available, start_batches, start_index, write_batch
 from test_streams import ACK, Feed, acks
 
 T0 = datetime(2024, 1, 1)
@@ -291,6 +291,31 @@ def test_waiting_keys_expire_and_leave_the_state(spark, folder):
     assert max(sizes) >= 6 and sizes[-1] <= max(sizes) / 2
 
 
+def test_a_clock_set_back_completes_no_key_twice(spark, folder, monkeypatch):
+    feed, cp, out = Feed(spark, folder("docs"), DOC), folder("cp"), folder("out")
+    s = Store(folder("store"), "pcn", ["v"])
+    feed.add([("a", "k", 1, "a1"), ("b", "k", 1, "b1")])
+    start_index(feed.stream(), s, f"{cp}-index", once=True).awaitTermination()
+    enriched(spark, s, out, cp)
+    # As if the first micro-batch had run an hour from now.
+    path = f"{cp}/offsets/0"
+    files = Files(spark, cp)
+    text = files.read(path)
+    now = int(re.search(r'"batchTimestampMs":(\d+)', text)[1])
+    files.delete(path)
+    files.delete(f"{cp}/offsets/.0.crc")
+    assert files.create(path, text.replace(str(now), str(now + 3_600_000)))
+    assert Clock(spark, cp).behind(0) is False
+    feed.add([("a", "k", 2, "a2"), ("b", "k", 2, "b2"), ("a", "j", 1, "ja"), ("b", "j", 1, "jb")])
+    start_index(feed.stream(), s, f"{cp}-index", once=True).awaitTermination()
+    seen = []
+    behind = Clock.behind
+    monkeypatch.setattr(Clock, "behind", lambda self, batch_id: seen.append(behind(self, batch_id)) or seen[-1])
+    enriched(spark, s, out, cp)
+    assert seen == [True]
+    assert joined(spark, out) == [("j", "ja", "jb"), ("k", "a1", "b1")]
+
+
 def test_gate_stream_with_a_wait(spark, folder):
     feed = Feed(spark, folder("acks"), ACK)
     hour = 3600

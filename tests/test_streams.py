@@ -8,13 +8,17 @@ import pytest
 from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
+from millrace.operators.batching import session_counts
 from millrace.operators.gate import gate_distinct
 from millrace.operators.ingest import ingest_counts
 from millrace.sources import read_delimited, read_file_streams
-from millrace.streaming.batching import chunk_stream
+from millrace.sources.delimited import good_rows, quarantined_rows, split_delimited
+from millrace.streaming.batching import chunk_stream, session_counts_stream
 from millrace.streaming.enrich import enrich_stream
 from millrace.streaming.gate import count_gate_stream, expiring_gate_stream, gate_stream
+from millrace.streaming.ingest import ingest_totals, ingested_rows, start_ingest
 from millrace.streaming.jobs import commit_acks, run_available, start, start_batches, start_index
+from millrace.sinks.current import Files
 from millrace.sinks.store import Store
 
 T0 = datetime(2024, 1, 1)
@@ -310,3 +314,46 @@ def test_the_end_of_input_closes_the_last_chunk(spark, folder):
     chunks = chunk_stream(feed.stream(), shards=1, rows=5, timeout="20 seconds", delay="0 seconds")
     rows = run_available(chunks, "chunks").collect()
     assert sorted((r["source"], r["n"], r["reason"]) for r in rows) == [("s", 2, "timeout"), ("s", 5, "count")]
+
+
+def test_late_rows_join_two_sessions(spark, folder):
+    schema = "g STRING, ts TIMESTAMP, x INT"
+    feed = Feed(spark, folder("events"), schema)
+
+    def at(*seconds, g="a"):
+        return [(g, T0 + timedelta(seconds=s), s) for s in seconds]
+
+    feed.add(at(0, 10, 40) + at(0, g="b"))
+    feed.add(at(60, 100))
+    feed.add(at(25, 50))  # 10, 25, 40, 50, 60 now follow each other within 15 seconds
+    feed.add(at(75 + 40) + at(15, g="b"))
+    feed.add([(None, T0 + timedelta(days=1), None)])
+    sessions = session_counts_stream(feed.stream(), "ts", 15, ["g"], delay="2 minutes")
+    got = run_available(sessions, "sessions").where("g IS NOT NULL").collect()
+    rows = sorted((r["g"], (r["session_start"] - T0).seconds, (r["last_ts"] - T0).seconds, r["n"]) for r in got)
+    assert rows == [("a", 0, 60, 6), ("a", 100, 115, 2), ("b", 0, 15, 2)]
+    table = spark.read.schema(schema).parquet(feed.path).where("g IS NOT NULL")
+    batch = session_counts(table, "ts", 15, ["g"]).collect()
+    assert sorted((r["g"], (r["session_start"] - T0).seconds, (r["last_ts"] - T0).seconds, r["n"]) for r in batch) == rows
+
+
+def test_ingest_counts_survive_a_replay(spark, folder):
+    feed, out, cp = Feed(spark, folder("lines"), "source STRING, value STRING"), folder("out"), folder("cp")
+
+    def run():
+        split = split_delimited(feed.stream(), ["a", "b"])
+        start_ingest(split, ["s", "t"], out, cp, once=True).awaitTermination()
+        return split
+
+    feed.add([("s", "1\t2"), ("s", "bad"), ("t", "1\t2"), ("u", "1\t2"), (None, "bad")])
+    feed.add([("s", "3\t4"), ("t", "")])
+    run()
+    Files(spark, cp).delete(f"{cp}/commits/1")
+    Files(spark, cp).delete(f"{cp}/commits/.1.crc")
+    split = run()  # the last micro-batch once more
+    assert {tuple(r) for r in ingest_totals(spark, out).collect()} == {("s", 2, 1), ("t", 1, 1), (None, 1, 1)}
+    rows = ingested_rows(spark, out, split)
+    assert rows.count() == 7 and quarantined_rows(rows).count() == 3
+    assert sorted((r["source"], r["a"], r["b"]) for r in good_rows(rows).collect()) == [
+        ("s", "1", "2"), ("s", "3", "4"), ("t", "1", "2"), ("u", "1", "2"),
+    ]
