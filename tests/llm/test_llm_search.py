@@ -453,6 +453,98 @@ def test_text_beside_the_body_is_kept(source, text):
     assert Page(source.format(LONG)).extract(None) == text.format(LONG)
 
 
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        # A comment that ends at once.
+        ("<p>a</p><!--><p>b</p><!---><p>c</p><!-- <p>no</p> --!><p>d</p><!-- x", "a\n\nb\n\nc\n\nd"),
+        # Inline elements are judged like others, and end with the block they stand in.
+        ("<article><p>a <a style='display:none' href=x>no</a>b <ins class='ad'>no</ins>c <a class='sponsored' href=y>no</a>d</p></article>", "a b c d"),
+        ("<article><p>a <ins class=ad>no<p>b</p><p>c <span hidden>no <b>no</b></span> d</p></article>", "a\n\nb\n\nc d"),
+        ("<article><p>a <a name=top>b</a> c</p></article>", "a b c"),
+        # What stands within a block does not tear it.
+        ("<article><p>a <script>no</script>b <svg><text>no</text></svg>c <button>no</button> d <input value=no>e</p></article>", "a b c d e"),
+        ("<article><p>a <noscript><div>no</div></noscript>b <picture><source><img></picture>c <my-tip>d</my-tip> e</p></article>", "a b c d e"),
+        ("<article><p>a <ruby>b<rp>(</rp><rt>c</rt><rp>)</rp></ruby> <math><mi>x</mi><mo>=</mo><mn>1</mn></math> d<wbr>e</p></article>", "a b(c) x=1 de"),
+        ("<article><p>a <select><option>no</select> b <textarea>no</textarea> c<hr>d</article>", "a b c\n\nd"),
+        # Tables that lay out the page.
+        ("<body><table><tr><td><ul><li>menu<li>more</ul></td><td><p>{}</p><p>end</p></td><td>side</td></tr></table>", "{}\n\nend"),
+        ("<table><tr><td colspan=3>top</td></tr><tr><td>menu</td><td><h1>T</h1><p>{}</p></td><td>side side</td></tr></table>", "T\n\n{}"),
+        ("<div><p>{}</p><table><tr><td>1</td><td>2</td></tr></table><p>b</p></div>", "{}\n\n1\n\n2\n\nb"),
+    ],
+)
+def test_ordinary_pages(source, text):
+    assert Page(source.replace("{}", LONG)).extract(None) == text.replace("{}", LONG)
+
+
+@pytest.mark.parametrize(
+    "name",
+    "related-posts post-comments user-comments ad-slot google-ads main-nav primary-menu cookie-message share-this newsletter-form "
+    "relatedPosts article-sidebar social-share-buttons entry-comments-list adUnit promo-module".split(),
+)
+@pytest.mark.parametrize("kind", ["class", "id"])
+def test_names_are_judged_by_their_head(name, kind):
+    source = f"<body><div class='post'><p>{LONG}</p><div {kind}='{name}'><p>no such text</p></div><p>end of it</p></div></body>"
+    assert Page(source).extract(None) == f"{LONG}\n\nend of it"
+
+
+@pytest.mark.parametrize("name", "has-sidebar menu-closed comments-open social-history related-work no-ads adventure advice commentary".split())
+def test_other_names_pass(name):
+    source = f"<body><div class='post'><p>{LONG}</p><div class='{name}'><p>some more text</p></div></div></body>"
+    assert Page(source).extract(None) == f"{LONG}\n\nsome more text"
+
+
+def test_links_under_a_doubtful_name_go():
+    links = "".join(f"<li><a href='/{i}'>another story {i}</a></li>" for i in range(5))
+    for name, left in (("promo-cards-grid", ""), ("cards-grid", "1")):
+        source = f"<body><div class='post'><p>{LONG}</p><div class='{name}'><ul>{links}</ul></div><p>end</p></div></body>"
+        assert ("another story" in Page(source).extract(None)) == bool(left)
+
+
+@pytest.mark.parametrize("kind", ["div", "div class=col"])
+def test_the_winning_path_takes_one_element(spark, kind):
+    """All parts of a page have the same path; the article alone is taken, on pages that vote and on one that differs."""
+    from millrace.llm.html_text import extract_pages
+
+    end = kind.split()[0]
+    page = f"<body><div><{kind}>menu of it</{end}><{kind}><p>{{}}</p><p>second</p></{end}><{kind}>teasers and so on</{end}></div></body>"
+    rows = [(i, "http://a.example/x", page.format(f"{LONG} {i}")) for i in range(4)]
+    rows.append((9, "http://a.example/y", f"<body><div><{kind}><p>{LONG}</p></{end}></div></body>"))
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in extract_pages(df).collect()}
+    assert got == {i: f"{LONG} {i}\n\nsecond" for i in range(4)} | {9: LONG}
+
+
+DEEP = {
+    "nested": lambda n: "<div>" * n + "text" + "</div>" * n,
+    "text at each level": lambda n: "".join(f"<div class='c{i % 7}'>word {i} " for i in range(n)),
+    "stray ends": lambda n: "<div>" * n + "x" + "</p>" * n + "</li>" * n + "</span>" * n,
+    "cells": lambda n: "<div>" * n + "<td>y" * n,
+    "lists": lambda n: "<ul><li>z" * n,
+    "suspects": lambda n: "<span class=ad>" * n + "q",
+    "beside the text": lambda n: "<div>" + "<div>w" * n + "</div>" * n + "<div><p>" + LONG + "</p></div></div>",
+}
+
+
+@pytest.mark.parametrize("kind", DEEP)
+def test_deep_pages_cost_in_proportion(kind):
+    """200,000 nested tags, in a process of its own."""
+    import inspect
+    import os
+    import subprocess
+    import sys
+
+    body = inspect.getsource(DEEP[kind]).split("lambda n: ", 1)[1].rstrip().rstrip(",")
+    code = (
+        "import resource\nfrom millrace.llm.html_text import Page\n"
+        f"LONG = {LONG!r}\nn = 200_000\npage = Page({body})\nbest = page.best()\npage.extract(best.path())\n"
+        "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=60, cwd=root, check=True)
+    assert int(done.stdout) < 500
+
+
 def test_hosts_vote_for_the_whole_text(spark):
     from millrace.llm.html_text import extract_pages
 
