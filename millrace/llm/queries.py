@@ -15,7 +15,8 @@ from millrace.plans.catalog import table
 SEQUENCE_TOKENS = 1024
 END_ID = 2
 TOKEN_LIMIT = 2048
-SHARD_BYTES = 64 << 20
+# Below the longest documents, so that shards split unevenly and some at a second level of bits, whatever the table's size.
+SHARD_BYTES = 32 << 10
 
 
 @query()
@@ -82,32 +83,35 @@ def op8_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 WARC_SQL = """
 WITH page AS (
-  SELECT page_id, url, html, md5(html) AS digest, strlen(html) AS n_bytes,
-         regexp_replace(regexp_replace(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '#.*$', '') AS rest FROM pages
+  SELECT page_id, html, md5(html) AS digest, strlen(html) AS n_bytes,
+         CASE WHEN page_id % 3 = 0 THEN 'http://www.hot.example/front' ELSE regexp_extract(url, '^[^?#]*//[^/?#]*/?[^/?#]*') || coalesce(nullif(regexp_extract(url, '[?][^#]*'), '') , '') END AS url
+  FROM pages
+), rested AS (
+  SELECT page_id, html, digest, n_bytes, regexp_replace(regexp_replace(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '#.*$', '') AS rest FROM page
 ), parts AS (
   SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^[^/?]*')), '^www[0-9]*[.]', ''), ':(80|443)$', '') AS host,
          regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
          list_sort(list_filter(string_split(regexp_extract(rest, '^[^?]*[?](.*)$', 1), '&'),
            lambda p: p <> '' AND NOT list_contains([TRACKING], lower(split_part(p, '=', 1))))) AS params
-  FROM page
+  FROM rested
 ), canon AS (
   SELECT *, host || path || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS canonical FROM parts
 ), response AS (
-  SELECT 2 * page_id AS record_id, canonical AS url, 100 * page_id AS captured_at, digest, n_bytes, page_id,
-         '"' || substr(digest, 1, 16) || '"' AS etag FROM canon
+  SELECT 2 * page_id AS record_id, canonical AS url, page_id * 7919 % 10007 AS captured_at, digest, n_bytes,
+         '"v' || page_id % 5 % 2 || '"' AS etag, 'day ' || page_id % 2 AS modified FROM canon
 ), revisit AS (
-  SELECT 2 * page_id + 1 AS record_id, canonical AS url, 100 * page_id + 50 AS captured_at, page_id,
-         CASE page_id % 4 WHEN 0 THEN 'W/"' || substr(digest, 1, 16) || '"' WHEN 2 THEN '"other"' END AS etag,
-         CASE page_id % 4 WHEN 1 THEN 'day ' || page_id END AS modified FROM canon
+  SELECT 2 * page_id + 1 AS record_id, canonical AS url, page_id * 4729 % 10007 AS captured_at,
+         CASE page_id % 4 WHEN 0 THEN 'W/"v0"' WHEN 2 THEN '"v1"' END AS etag,
+         CASE page_id % 4 WHEN 1 THEN 'day ' || page_id % 8 // 4 END AS modified FROM canon
 ), found AS (
-  SELECT revisit.*, max_by({'r': response.record_id, 'd': response.digest, 'n': response.n_bytes, 'e': response.etag, 'p': response.page_id},
+  SELECT revisit.*, max_by({'r': response.record_id, 'd': response.digest, 'n': response.n_bytes, 'e': response.etag, 'm': response.modified},
                            {'a': response.captured_at, 'r': response.record_id}) AS old
   FROM revisit LEFT JOIN response ON response.url = revisit.url AND response.captured_at < revisit.captured_at
   GROUP BY ALL
 ), judged AS (
-  SELECT *, CASE WHEN old IS NULL THEN 'no_earlier_response'
+  SELECT *, CASE WHEN old.r IS NULL THEN 'no_earlier_response'
                  WHEN etag IS NOT NULL THEN CASE WHEN replace(etag, 'W/', '') = old.e THEN 'resolved' ELSE 'validator_mismatch' END
-                 WHEN modified IS NOT NULL THEN CASE WHEN modified = 'day ' || old.p THEN 'resolved' ELSE 'validator_mismatch' END
+                 WHEN modified IS NOT NULL THEN CASE WHEN modified = old.m THEN 'resolved' ELSE 'validator_mismatch' END
                  ELSE 'no_validator' END AS outcome
   FROM found
 )
@@ -125,37 +129,43 @@ FROM judged
 
 
 def captures(pages: DataFrame) -> DataFrame:
-    """Each page as a full response and, half a step later, as a revisit: by turns with the right tag, the right
-    date, another tag, or no validator."""
-    tag = F.substring(F.md5("html"), 1, 16)
-    turn, day = F.col("page_id") % 4, F.concat(F.lit("day "), F.col("page_id"))
+    """Each page as a full response of its host and first part of its path (with its parameters), and as a revisit of that. A third of all
+    records are of one URL. Responses and revisits come at times of their own, so a revisit stands before, between or long after the
+    responses of its URL; it has a tag that may agree with the latest of these, a date that may, or no validator."""
+    page = F.col("page_id")
+    own = F.concat(F.regexp_extract("url", "^[^?#]*//[^/?#]*/?[^/?#]*", 0), F.regexp_extract("url", "[?][^#]*", 0))
+    url = F.when(page % 3 == 0, "http://www.hot.example/front").otherwise(own).alias("url")
 
     def headers(**values: Column) -> Column:
         return F.map_from_arrays(F.array(*[F.lit(k.replace("_", "-")) for k in values]), F.array(*values.values()))
 
-    quoted = F.concat(F.lit('"'), tag, F.lit('"'))
+    def text(*parts: Column | str) -> Column:
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+    at, again = page * 7919 % 10007, page * 4729 % 10007
     responses = pages.select(
-        (2 * F.col("page_id")).alias("record_id"),
+        (2 * page).alias("record_id"),
         F.lit("response").alias("kind"),
-        "url",
-        (100 * F.col("page_id")).alias("captured_at"),
+        url,
+        at.alias("captured_at"),
         F.lit(200).alias("status"),
         headers(
-            ETag=quoted, Last_Modified=day, Content_Type=F.lit("text/html"), Date=F.concat(F.lit("d"), 100 * F.col("page_id")),
+            ETag=text('"v', page % 5 % 2, '"'), Last_Modified=text("day ", page % 2), Content_Type=F.lit("text/html"), Date=text("d", at),
             Content_Length=F.octet_length("html").cast("string"),
         ).alias("headers"),
         F.col("html").alias("payload"),
     )
+    turn = page % 4
     revisits = pages.select(
-        (2 * F.col("page_id") + 1).alias("record_id"),
+        (2 * page + 1).alias("record_id"),
         F.lit("revisit").alias("kind"),
-        "url",
-        (100 * F.col("page_id") + 50).alias("captured_at"),
+        url,
+        again.alias("captured_at"),
         F.lit(304).alias("status"),
         headers(
-            etag=F.when(turn == 0, F.concat(F.lit("W/"), quoted)).when(turn == 2, F.lit('"other"')),
-            last_modified=F.when(turn == 1, day),
-            date=F.concat(F.lit("d"), 100 * F.col("page_id") + 50),
+            etag=F.when(turn == 0, 'W/"v0"').when(turn == 2, '"v1"'),
+            last_modified=F.when(turn == 1, text("day ", F.expr("page_id % 8 div 4"))),
+            date=text("d", again),
             content_length=F.lit("0"),
         ).alias("headers"),
         F.lit(None).cast("string").alias("payload"),

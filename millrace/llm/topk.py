@@ -1,8 +1,9 @@
 """Exact top-k search by inner product, in tiles.
 
-Vectors are packed into shards (candidates) and tiles (queries), one binary row each. Every shard meets
-every tile once; a product of matrices scores a part of both, a partial selection keeps the k best per
-query, and the short lists of all shards are merged in a tree, ``FAN_IN`` lists at a time.
+Vectors are packed into shards (candidates) and tiles (queries), one binary row each, in the smallest whole numbers that hold
+them. Queries are gathered first, so their tiles are as few as their number allows, whatever the table's partitions. Only tiles are
+copied: each is sent to every shard, and a shard stays in one place. A product of matrices scores a part of both, a partial selection
+keeps the k best per query, and the short lists of all shards are merged in a tree, ``FAN_IN`` lists at a time.
 
 Components are whole numbers, so scores are exact: products run in double precision while all sums stay
 below 2^53, and in whole numbers of any size beyond that (scores outside the range of bigint are cut to it).
@@ -23,11 +24,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.skew import fits_broadcast
 from millrace.session import materialize
 
 QUERY_TILE = 4096
-SHARD_ROWS = 8192
-LANES = 64
+SHARD_ROWS = 32_768
 FAN_IN = 16
 # Parts of a tile and a shard that are scored at once.
 ROWS, COLUMNS = 512, 4096
@@ -48,30 +49,59 @@ PACKED_ARROW = pa.schema([("dim", pa.int32()), ("part", pa.int64()), ("n", pa.in
 
 
 def packed(vectors: DataFrame, most: int) -> DataFrame:
-    """At most ``most`` vectors of one dimension per row, as matrices."""
+    """At most ``most`` vectors of one dimension per row, as matrices: as few rows as each partition allows."""
+
+    def line(dim: int, part: int, pieces: list[list[np.ndarray]]) -> pa.RecordBatch:
+        ids, rows, flat = (np.concatenate(c) for c in zip(*pieces))
+        order = np.lexsort((rows, ids))
+        matrix = flat.reshape(len(ids), dim)[order]
+        values = [dim, part, len(ids), ids[order].tobytes(), rows[order].tobytes(), _smallest(matrix).tobytes()]
+        return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(values, PACKED_ARROW)], schema=PACKED_ARROW)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId() << 32
+        waiting: dict[int, list[list[np.ndarray]]] = {}
+        held: dict[int, int] = {}
         for batch in batches:
             ids, rows = batch["id"].to_numpy(), batch["row"].to_numpy()
-            v = batch["v"]
-            ends = v.offsets.to_numpy()
-            flat, dims = v.values.to_numpy(zero_copy_only=False), np.diff(ends)
+            ends = batch["v"].offsets.to_numpy()
+            flat, dims = batch["v"].values.to_numpy(zero_copy_only=False), np.diff(ends)
             for dim in np.unique(dims).tolist():
                 which = np.flatnonzero(dims == dim)
-                for low in range(0, len(which), most):
-                    some = which[low : low + most]
-                    some = some[np.lexsort((rows[some], ids[some]))]
-                    matrix = flat[ends[some][:, None] + np.arange(dim)] if dim else np.empty((len(some), 0), np.int64)
-                    line = [dim, part, len(some), ids[some].tobytes(), rows[some].tobytes(), matrix.astype("<i8").tobytes()]
+                while len(which):
+                    some, which = np.split(which, [most - held.get(dim, 0)])
+                    numbers = flat[ends[some][:, None] + np.arange(dim)].ravel() if dim else np.empty(0, np.int64)
+                    waiting.setdefault(dim, []).append([ids[some], rows[some], numbers])
+                    held[dim] = held.get(dim, 0) + len(some)
+                    if held[dim] == most:
+                        yield line(dim, part, waiting.pop(dim))
+                        part += 1
+                        held[dim] = 0
+            # Few rows of many dimensions are not kept waiting either.
+            if sum(held.values()) > 2 * most:
+                for dim in list(waiting):
+                    yield line(dim, part, waiting.pop(dim))
                     part += 1
-                    yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(line, PACKED_ARROW)], schema=PACKED_ARROW)
+                held = {}
+        for dim, pieces in waiting.items():
+            yield line(dim, part, pieces)
+            part += 1
 
     return vectors.mapInArrow(pack, PACKED)
 
 
+def _smallest(matrix: np.ndarray) -> np.ndarray:
+    """The same numbers in as few bytes as the largest of them takes."""
+    peak = _peak(matrix)
+    for kind, limit in (("<i1", 2**7), ("<i2", 2**15), ("<i4", 2**31)):
+        if peak < limit:
+            return matrix.astype(kind)
+    return matrix.astype("<i8")
+
+
 def _matrix(n: int, dim: int, data: bytes) -> np.ndarray:
-    return np.frombuffer(data, dtype="<i8").reshape(n, dim)
+    width = len(data) // (n * dim) if n * dim else 8
+    return np.frombuffer(data, dtype=f"<i{width}").reshape(n, dim).astype(np.int64)
 
 
 def _peak(a: np.ndarray) -> int:
@@ -148,28 +178,19 @@ def top_k(
 ) -> DataFrame:
     """query_id, rank, vec_id, score of the ``k`` best candidates of each query row.
 
-    ``is_query`` may use the column ``id``. Whatever the sizes, a task holds one tile and one shard.
+    ``is_query`` may use the column ``id``. Whatever the sizes, a task holds one tile and one shard at a time.
     """
     vectors = materialize(whole_vectors(df, id_col, vector_col, scale), "vectors")
     shards = materialize(packed(vectors, shard_rows), "shards")
-    tiles = materialize(packed(vectors.where(is_query), query_tile), "tiles")
-    number = Window.orderBy("dim", "part")
-    # One row per tile; only their names pass through one task.
-    names = tiles.select("dim", "part").withColumn("tile", F.row_number().over(number) - 1)
-    names = materialize(names.withColumnsRenamed({"dim": "d", "part": "p"}), "names")
-    count = names.count()
-    lanes = min(LANES, max(1, shards.select("part").count()))
-    q = tiles.join(names, (tiles["dim"] == names["d"]) & (tiles["part"] == names["p"]))
-    q = q.select(
-        "tile", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"), F.col("dim").alias("q_dim"),
-        *[F.col(c).alias(f"q_{c}") for c in ("n", "ids", "rows", "vectors")],
-    )
-    if not count:
-        tile_numbers = F.array().cast("array<int>")
-    else:
-        tile_numbers = F.sequence(F.lit(0), F.lit(count - 1))
-    c = shards.withColumn("tile", F.explode(tile_numbers)).withColumn("lane", F.pmod(F.xxhash64("part"), F.lit(lanes)).cast("int"))
-    pairs = c.join(q, ["tile", "lane"]).where(F.col("dim") == F.col("q_dim")).drop("q_dim", "tile", "lane")
+    queries = vectors.where(is_query)
+    gathered = queries.repartition(max(1, -(-queries.count() // query_tile)), F.xxhash64("row"))
+    tiles = materialize(packed(gathered, query_tile), "tiles")
+    # Which tile meets which shard is settled by their names; then tiles are sent there.
+    names = shards.select("dim", "part")
+    names = F.broadcast(names) if fits_broadcast(names) else names
+    q = tiles.select(F.col("part").alias("tile"), F.col("dim").alias("q_dim"), *[F.col(c).alias(f"q_{c}") for c in ("n", "ids", "rows", "vectors")])
+    sent = q.join(names, F.col("q_dim") == F.col("dim")).drop("dim", "q_dim", "tile")
+    pairs = sent.join(shards, "part")
     lists = materialize(pairs.mapInArrow(_score(k), LISTS), "lists")
     best = [F.col("score").desc(), "vec_id", "row"]
     nodes = max(1, shards.count())

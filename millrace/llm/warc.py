@@ -22,10 +22,12 @@ from pyspark.sql import functions as F
 from millrace.session import materialize
 
 SLICE_ROWS = 16_384
+# Beyond so many slices they get longer instead; a slice is sorted and read through, never held.
+MAX_SLICES = 20_000
 # The headers that a not-modified reply carries for the stored response, by the HTTP standard.
 PERMITTED = ["cache-control", "content-location", "date", "etag", "expires", "vary"]
 # Query parameters that do not select content.
-TRACKING = "utm_source utm_medium utm_campaign utm_term utm_content gclid fbclid ref".split()
+TRACKING = "utm_source utm_medium utm_campaign utm_term utm_content gclid fbclid".split()
 
 
 def canonical_url(url: Column) -> Column:
@@ -79,7 +81,7 @@ def resolve_revisits(records: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFr
         F.octet_length("payload").cast("bigint").alias("payload_bytes"),
     )
     rows = materialize(slim, "captures")
-    slices = max(1, -(-rows.count() // slice_rows))
+    slices = min(MAX_SLICES, max(1, -(-rows.count() // slice_rows)))
     order = ["url", "captured_at", F.col("revisit").desc(), "record_id"]
     ranged = rows.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id())
     ranged = materialize(ranged, "ranges")

@@ -150,15 +150,28 @@ def test_sequences_hold_the_tokens(odd):
     assert max(len(r.ids) for r in whole) <= 64
 
 
-def test_sum_of_squares_places_by_its_rule():
-    lengths = np.array([6, 5, 5, 4, 3, 2, 1])
-    sequence, offset = packing.place(lengths, 10)
-    assert len(set(sequence.tolist())) == 3
-    used = defaultdict(int)
-    for s, o, n in zip(sequence.tolist(), offset.tolist(), lengths.tolist()):
-        assert o == used[s]
-        used[s] += n
-    assert max(used.values()) <= 10
+@pytest.mark.parametrize("seed", range(6))
+def test_sum_of_squares_places_by_its_rule(seed):
+    """Every piece goes where the sum of the squared numbers of open sequences per gap becomes smallest, by trying them all."""
+    rng, capacity = random.Random(seed), (10, 17, 40)[seed % 3]
+    lengths = [6, 5, 5, 4, 3, 2, 1] if not seed else [rng.randint(1, capacity) for _ in range(120)]
+    lengths = sorted(lengths, reverse=True) if seed % 2 else lengths
+    sequence, offset = packing.place(np.array(lengths), capacity)
+    used = {}
+
+    def squares(filled):
+        gaps = Counter(capacity - n for n in filled.values() if n < capacity)
+        return sum(n * n for n in gaps.values())
+
+    for s, o, n in zip(sequence.tolist(), offset.tolist(), lengths):
+        rooms = [t for t, filled in used.items() if filled + n <= capacity]
+        if not rooms:
+            assert s not in used and o == 0
+        else:
+            assert s in rooms and o == used[s]
+            assert squares({**used, s: o + n}) == min(squares({**used, t: used[t] + n}) for t in rooms)
+        used[s] = o + n
+    assert max(used.values()) <= capacity
 
 
 def targets_by_hand(sizes, mix):
