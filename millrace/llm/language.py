@@ -5,7 +5,7 @@ word, the word's borders counting as a character. Each subword has a bucket by h
 vector; the mean of a text's vectors goes through one linear layer and a softmax. Vectors and layer are
 learned together by stochastic gradient descent in numpy, text by text, on a bounded sample: at most
 ``TRAIN_ROWS`` rows are expected in it, the same number from each language that has that many, chosen by hash over the whole
-table. A fifth of the sample is kept from training; on it a temperature is fitted, so that a score is a
+table, and from each a fragment of a few words besides. A fifth of the sample is kept from training; on it a temperature is fitted, so that a score is a
 probability, and the least score is looked for above which at most ``MAX_ERROR`` of the texts are wrong. Answers with
 a lower score are marked ``rejected``.
 
@@ -35,8 +35,11 @@ MAX_GRAM = 4
 BUCKETS = 1 << 15
 DIMENSIONS = 16
 TRAIN_ROWS = 4096
+# Passes over the sample; more, if these are not so many steps in all.
 EPOCHS = 10
-RATE = 4.0
+LEAST_STEPS = 4000
+FRAGMENT_WORDS = 12
+RATE = 0.5
 SEED = 11
 MAX_ERROR = 0.01
 MAX_LANGUAGES = 1000
@@ -167,8 +170,9 @@ def train(samples: list[tuple[np.ndarray, np.ndarray]], answers: np.ndarray, lan
     rng = np.random.default_rng(SEED)
     vectors = rng.uniform(-1, 1, (buckets, DIMENSIONS)) / DIMENSIONS
     layer, bias = np.zeros((len(languages), DIMENSIONS)), np.zeros(len(languages))
-    steps, step = EPOCHS * len(samples), 0
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-LEAST_STEPS // len(samples)))
+    steps, step = epochs * len(samples), 0
+    for _ in range(epochs):
         for i in rng.permutation(len(samples)):
             at, share = samples[i]
             rate = RATE * (1 - step / steps)
@@ -194,9 +198,13 @@ def calibrate(model: Model, samples: list[tuple[np.ndarray, np.ndarray]], answer
     target[rows, answers] = (n + 1) / (n + 2)
 
     def loss(t: float) -> float:
-        return -(target * np.log(np.maximum(softmax(logits / t), 1e-300))).sum(axis=1).mean()
+        z = logits / t
+        z = z - z.max(axis=1, keepdims=True)
+        return -(target * (z - np.log(np.exp(z).sum(axis=1, keepdims=True)))).sum(axis=1).mean()
 
-    model.temperature = float(min(np.geomspace(0.01, 10, 151), key=loss))
+    # The loss is smooth in the temperature; the scale of the logits says where to look.
+    scale = max(float(np.abs(logits - logits.mean(axis=1, keepdims=True)).mean()), 1e-9)
+    model.temperature = float(min(scale * np.geomspace(0.01, 10, 151), key=loss))
     p = softmax(logits / model.temperature)
     score, wrong = p.max(axis=1), p.argmax(axis=1) != answers
     order = np.argsort(-score, kind="stable")
@@ -211,6 +219,14 @@ def held_out(id_col: str, folds: int = 4, fold: int = 2) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds == fold, F.lit(False))
 
 
+def fragment(text: str, pick: int) -> str:
+    """A few words from somewhere in a text, so that short texts are learned, too."""
+    rng = np.random.default_rng(pick & (2**63 - 1))
+    many = int(rng.integers(1, FRAGMENT_WORDS + 1))
+    at = int(rng.integers(0, len(text)))
+    return " ".join(text[at : at + 32 * (many + 1)].split()[1 : many + 1])
+
+
 SAMPLE = "lang string, pick bigint, buckets array<int>, shares array<float>"
 
 
@@ -232,15 +248,20 @@ def training_sample(docs: DataFrame, rows: int, id_col: str, text_col: str, lang
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines = [bucket_weights(t, buckets) for t in batch["text"].to_pylist()]
-            columns = [batch["lang"], batch["pick"], pa.array([a for a, _ in lines], pa.list_(pa.int32())), pa.array([s for _, s in lines], pa.list_(pa.float32()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "pick", "buckets", "shares"])
+            for lang, pick, text in zip(batch["lang"].to_pylist(), batch["pick"].to_pylist(), batch["text"].to_pylist()):
+                lines = [bucket_weights(t, buckets) for t in (text, fragment(text, pick))]
+                lines = [line for line in lines if len(line[0])]
+                columns = [
+                    pa.array([lang] * len(lines)), pa.array([pick] * len(lines), pa.int64()),
+                    pa.array([a for a, _ in lines], pa.list_(pa.int32())), pa.array([s for _, s in lines], pa.list_(pa.float32())),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "pick", "buckets", "shares"])
 
     return chosen.mapInArrow(weigh, SAMPLE)
 
 
 def fit(docs: DataFrame, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", buckets: int = BUCKETS) -> Model:
-    """The model of the sample, trained on the driver: ``rows`` lists of at most ``buckets`` numbers."""
+    """The model of the sample, trained on the driver: some ``2 * rows`` lists of at most ``buckets`` numbers."""
     sample = materialize(training_sample(docs, rows, id_col, text_col, lang_col, buckets), "sample").toArrow()
     lines = sorted(zip(sample["pick"].to_pylist(), sample["lang"].to_pylist(), range(sample.num_rows)))
     languages = sorted({lang for _, lang, _ in lines})
