@@ -163,8 +163,11 @@ def lookup_join(
     ``on`` may be a path such as ``billing_cost.patientID``. Repeated lookup keys are resolved to
     one row: the newest by ``version``, or the greatest by value when there is no version;
     ``unique`` says that there are none, as in a table of ``load_lookup``. Limits are those of ``join_unique``.
+    For a stream the lookup is resolved once, not again in every micro-batch.
     """
     one = lookup if unique else latest_per_key(lookup, [lookup_key], version)
+    if df.isStreaming and not unique:
+        one = lookup = materialize(one, "lookup")
     right = one.select(F.col(lookup_key).alias("_lookup_key"), F.struct(*lookup.columns).alias(out))
     return join_unique(
         df.withColumn("_on", F.col(on)),

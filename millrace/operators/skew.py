@@ -51,7 +51,10 @@ def same_values(left: DataFrame, right: DataFrame, names: dict[str, str]) -> Col
 def hot_groups(
     df: DataFrame, groups: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS
 ) -> HotGroups | None:
-    """Find the large groups in one column-pruned pass; counts are combined before the shuffle."""
+    """Find the large groups in one column-pruned pass; counts are combined before the shuffle. A table with no more rows
+    than one group may have has none; for Parquet the footers tell."""
+    if df.count() <= max_group_rows:
+        return None
     seen = Observation()
     sizes = (
         df.groupBy(*[F.col(g).alias(f"_hot_{g}") for g in groups])
