@@ -13,12 +13,13 @@ Ids span all languages, so an id tells its language. Lists of ids are sent to th
 
 Null and empty texts have no words; a null language counts as ``und``. Texts are taken whole; repeated rows count
 as often as they occur. Ties are settled by the phrase. An empty table gives no rows. Only the text and the
-language are read. Counts are whole numbers; scores are worked out in whole numbers of 38 digits, hence exact while
+language are read, long texts in slices. Counts are whole numbers; scores are worked out in whole numbers of 38 digits, hence exact while
 ``scale * a * n`` has no more.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
@@ -27,18 +28,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import MAX_GROUP_ROWS, ordered_position
+from millrace.operators.skew import MAX_GROUP_ROWS, first_rows, ordered_position
 from millrace.session import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAKS = ".,;:!?\n\x0b\x0c\r"
-WORD_GAP = r"[.,;:!?\x0A-\x0D\x20\x09]+"
 # Ids that a task holds at once, side of a tile, and pairs that are counted together.
 SLICE = 1_000_000
 TILE = 1024
 BUFFER_PAIRS = 2_000_000
 # A tile is counted densely if it holds one pair for this many cells.
 CELLS_PER_PAIR = 16
+# Different words that a task counts at once.
+COUNTED_WORDS = 500_000
 # Ids in one row of a sequence table.
 ROW_IDS = 1_000_000
 GAP, OPEN = -1, -2
@@ -47,12 +49,57 @@ SEQUENCES = "ids binary, open binary"
 SEQUENCES_ARROW = pa.schema([("ids", pa.binary()), ("open", pa.binary())])
 
 
-def word_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """lang, word, f of every word, combined before the shuffle."""
-    lower = F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, LOWER)
+_BYTES = bytes.maketrans((UPPER + BREAKS + "\t").encode(), (LOWER + "\n" * len(BREAKS) + " ").encode())
+
+
+def words_of(text: bytes, most: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of a text in order, with a line end between pieces; long texts in slices that end with a word."""
+    text = text.translate(_BYTES)
+    low = 0
+    while low < len(text):
+        ends = [e for e in (text.find(b" ", low + most), text.find(b"\n", low + most)) if e >= 0] if len(text) - low > most else []
+        high = min(ends, default=len(text))
+        yield [w for w in text[low:high].replace(b"\n", b" \n ").split(b" ") if w]
+        low = high
+
+
+COUNTS_ARROW = pa.schema([("lang", pa.string()), ("word", pa.string()), ("f", pa.int64())])
+
+
+def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
-    words = docs.select(lang.alias("lang"), F.explode(F.split(lower, WORD_GAP)).alias("word"))
-    return words.where(F.col("word") != "").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("f"))
+    return docs.select(lang.alias("lang"), F.col(text_col).alias("text")).where(F.length("text") > 0)
+
+
+def word_counts(docs: DataFrame, text_col: str, lang_col: str, most: int = COUNTED_WORDS) -> DataFrame:
+    """lang, word, f of every word. A task counts up to ``most`` different words before it hands them on."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, Counter] = {}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, counts in found.items():
+                counts.pop(b"\n", None)
+                words = pa.array(list(counts), pa.binary()).cast(pa.string())
+                columns = [pa.array([lang] * len(words), pa.string()), words, pa.array(list(counts.values()), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, schema=COUNTS_ARROW)
+
+        for batch in batches:
+            for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
+                counts = found.setdefault(lang, Counter())
+                for words in words_of(text.as_buffer().to_pybytes()):
+                    counts.update(words)
+                    if len(counts) > most:
+                        yield from flush()
+                        found = {lang: Counter()}
+                        counts = found[lang]
+            if sum(map(len, found.values())) > most:
+                yield from flush()
+                found = {}
+        yield from flush()
+
+    partial = _texts(docs, text_col, lang_col).mapInArrow(count, "lang string, word string, f bigint")
+    return partial.groupBy("lang", "word").agg(F.sum("f").alias("f"))
 
 
 def ranked(counts: DataFrame, tie: list[str], label: str, most: int = MAX_GROUP_ROWS) -> DataFrame:
@@ -73,9 +120,6 @@ def _slices(table: DataFrame, names: list[str], most: int):
         yield part.toArrow(), low + most >= count
 
 
-_BYTES = bytes.maketrans((UPPER + BREAKS + "\t").encode(), (LOWER + "\n" * len(BREAKS) + " ").encode())
-
-
 def _rows(ids: list[np.ndarray], rest: list[bytes] | None = None) -> Iterator[pa.RecordBatch]:
     """Sequences one after the other in rows of bounded size, with a gap between them."""
     line, left, size = [], [], 0
@@ -115,8 +159,7 @@ def _ids_by_lang(table: pa.Table) -> dict[str, dict[bytes, int]]:
 def word_sequences(docs: DataFrame, vocabulary: DataFrame, text_col: str, lang_col: str, most: int = SLICE) -> DataFrame:
     """Texts as ids of frequent words."""
     spark = docs.sparkSession
-    texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    texts = texts.where(F.length("text") > 0)
+    texts = _texts(docs, text_col, lang_col)
     done = None
     for table, last in _slices(vocabulary, ["lang", "word"], most):
         if done is None:
@@ -138,21 +181,24 @@ def _first_pass(known, last: bool):
         for batch in batches:
             ids, rest, size = [], [], 0
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
-                words = text.as_buffer().to_pybytes().translate(_BYTES).replace(b"\n", b" \n ").split(b" ")
-                words = [w for w in words if w]
                 ids_of = by_lang.get(lang, {})
-                if last:
-                    line = np.fromiter((ids_of.get(w, GAP) for w in words), np.int64, len(words))
-                    line = closed(np.r_[line, GAP])
-                else:
-                    line = np.fromiter((GAP if w == b"\n" else ids_of.get(w, OPEN) for w in words), np.int64, len(words))
-                    rest.append(b" ".join([_named(lang, words[i]) for i in np.flatnonzero(line == OPEN)]))
-                    line = np.r_[line, GAP]
-                ids.append(line)
-                size += len(line)
+                for words in words_of(text.as_buffer().to_pybytes()):
+                    if last:
+                        line = np.fromiter((ids_of.get(w, GAP) for w in words), np.int64, len(words))
+                    else:
+                        line = np.fromiter((GAP if w == b"\n" else ids_of.get(w, OPEN) for w in words), np.int64, len(words))
+                        rest.append(b" ".join([_named(lang, words[i]) for i in np.flatnonzero(line == OPEN)]))
+                    ids.append(line)
+                    size += len(line)
+                # A gap after each text; what cannot be part of a pair goes once the whole text is there.
+                ids.append(np.array([GAP]))
+                if not last:
+                    rest.append(b"")
                 if size >= ROW_IDS:
-                    yield from _rows(ids, rest if not last else None)
+                    yield from _rows([closed(np.concatenate(ids))] if last else ids, rest if not last else None)
                     ids, rest, size = [], [], 0
+            if last and ids:
+                ids = [closed(np.concatenate(ids))]
             yield from _rows(ids, rest if not last else None)
 
     return encode
@@ -355,6 +401,7 @@ def collocations(
         "n",
         F.col("_cut.score").cast("bigint").alias("score"),
     )
-    window = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    best = scored.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= top)
+    # Candidates of one language are cut in salted pieces first, so that no task sorts them all.
+    falling = scored.withColumns({"_score": -F.col("score"), "_a": -F.col("a")})
+    best = first_rows(materialize(falling, "scored"), ["lang"], ["_score", "_a", "phrase"], top, "rank")
     return best.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")

@@ -77,6 +77,22 @@ def test_collocations_of_nothing(spark):
     assert collocations.collocations(df, min_count=1).where("phrase = 'a b c'").count() == 1
 
 
+@pytest.mark.parametrize("most", [1, 7, 100])
+def test_long_texts_are_read_in_slices(most):
+    for _, text in phrase_rows():
+        data = (text or "").encode()
+        (whole,) = list(collocations.words_of(data)) or [[]]
+        slices = list(collocations.words_of(data, most))
+        assert [w for part in slices for w in part] == whole
+        assert all(len(b" ".join(part)) <= 4 * most + 60 for part in slices)
+
+
+def test_words_are_counted_with_little_memory(spark):
+    df = spark.createDataFrame(phrase_rows(), "lang string, text string").repartition(3)
+    few = collocations.word_counts(df, "text", "lang", most=4)
+    assert Counter(few.collect()) == Counter(collocations.word_counts(df, "text", "lang").collect())
+
+
 def test_tiles_are_counted_either_way():
     rng = np.random.default_rng(1)
     first, second = rng.zipf(1.3, 20_000) % 300, rng.zipf(1.3, 20_000) % 500
