@@ -11,9 +11,10 @@ All numbers come from hashes of (seed, source rank, position), so reruns agree.
 Streams are laid out in lanes: documents are dealt over lanes by hash, positions are summed up within a
 lane and lanes are summed up per source, so a source with a third of all rows is no single sort.
 
-Sources are one small row each and are ranked in one task. Null is a source of its own, ranked last. Null and
-empty texts have size 0 and are never taken. Repeated rows are separate documents: positions break
-ties in any order, as equal rows are interchangeable. An empty table gives no rows.
+Sources are one small row each and are ranked in one task, so they should be some thousands, not one per host. Null is a source of
+its own, ranked last. Null and empty texts have size 0 and are never taken; long ones count whole. Repeated rows are separate
+documents: positions break ties in any order, as equal rows are interchangeable. An empty table gives no rows. Other columns are
+carried in a struct of their own and cannot clash.
 """
 
 from __future__ import annotations

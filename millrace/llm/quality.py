@@ -4,8 +4,8 @@ Every rule bounds a ratio of two measures of a text. ``measures`` computes the m
 functions, ``compile_rules`` turns the table into one boolean column per rule, and ``apply_rules``
 returns both. Nothing is shuffled and no Python runs on the executors.
 
-Null text counts as empty: all measures are 0 and the base rule rejects it. Ties and repeated rows do
-not interact, since each row is judged by itself. Other columns of the input are not read and cannot
+Null text counts as empty: all measures are 0 and the base rule rejects it. Texts are measured whole, however long. Ties and
+repeated rows do not interact, since each row is judged by itself. An empty table gives no rows. Other columns of the input are not read and cannot
 clash: the result has only the columns named below.
 """
 

@@ -13,7 +13,7 @@ Every bucket hands on a spanning set of its links instead of all pairs, and the
 alternating star operations on a written table. No list of documents or links reaches the driver.
 
 Null, empty and blank texts have fingerprint zero, which links like any other. Texts shorter than a
-shingle are one shingle. Repeated rows and ties share a fingerprint and so a component. A null id belongs to its
+shingle are one shingle, long texts are hashed whole. Repeated rows and ties share a fingerprint and so a component. A null id belongs to its
 component but never names it; a component without any id has a null name. An empty table gives no rows. Only id and text are read.
 """
 

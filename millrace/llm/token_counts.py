@@ -10,7 +10,8 @@ characters, and whose added tokens hold no white space; ``WholeTokenCounter`` tr
 otherwise counts each text whole.
 
 Null and empty texts have no tokens. Texts are counted whole, however long. Repeated rows and ties do
-not matter: every row is counted by itself. Only the id and the text column are read.
+not matter: every row is counted by itself. An empty table gives no rows. Only the id and the text column are read, so other
+columns cannot clash.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ Defined cases: a record without URL is ``no_url``; a revisit without earlier ful
 ``no_validator``. Only responses that are strictly earlier count; of several at the same time the greatest
 record id wins. A response with null payload is no full response (``no_payload``). Null time sorts first and
 finds nothing. Header names compare without case, the last of equal names counts, a null map is empty. Repeated records
-resolve each for themselves. Columns other than those named are not read. Built-in functions only.
+resolve each for themselves. Payloads of any length are hashed whole and not carried on. An empty table gives no rows. Columns other
+than those named are not read. Built-in functions only.
 """
 
 from __future__ import annotations
