@@ -2,8 +2,9 @@
 
     lookup    --file patients.txt --schema patient_info --key patientID --out DIR
     publish   --source billing_cost=billing.txt --source ... --out DIR [--rows N]
-    index     --messages DIR | --servers HOST:PORT --topics a,b   --store DIR --checkpoint DIR [--once]
-    converge  --store DIR --lookup DIR --out DIR --checkpoint DIR [--registry TEXT] [--once]
+    index     --messages DIR | --servers HOST:PORT --topics a,b   --store DIR --checkpoint DIR [--refresh-every N] [--once]
+    converge  --store DIR --lookup DIR --out DIR --checkpoint DIR [--registry TEXT] [--wait "2 days"] [--once]
+    maintain  --store DIR [--older-than SECONDS]
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.jsonio import typed_value
-from millrace.plans.convergence import message_files, publish, start_converging, start_indexing
+from millrace.plans.convergence import document_store, message_files, publish, start_converging, start_indexing
 from millrace.schemas import RECORD_FIELDS, SCHEMAS, health_registry
 from millrace.sinks.lookup import load_lookup
 from millrace.sources.delimited import good_rows, read_delimited
@@ -47,6 +48,12 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         sub.add_argument("--lookup-source", default=RunConfig().lookup_source)
         sub.add_argument("--lookup-key", default=RunConfig().lookup_key)
         sub.add_argument("--registry", help="source|schema~source|schema")
+        sub.add_argument("--refresh-every", type=int, default=10, help="micro-batches between refreshes of the current documents")
+        sub.add_argument("--wait", help="report keys that stay incomplete for so long, and forget them")
+        sub.add_argument("--delay", default="0 seconds", help="how late commits may come, with --wait")
+        sub.add_argument("--memory", default="7 days", help="how long keys are remembered after their wait")
+    sub = command("maintain", "store")
+    sub.add_argument("--older-than", type=float, help="remove what current documents replaced so many seconds ago")
     return parser.parse_args(argv)
 
 
@@ -68,7 +75,14 @@ def main(argv: list[str] | None = None) -> None:
             messages = read_topics(spark, args.servers, list(topics), sources=topics)
         config = RunConfig().override(chunk_timeout=args.interval)
         sources = Registry.parse(args.registry, SCHEMAS).names if args.registry else None
-        start_indexing(messages, args.store, args.checkpoint, config, args.once, sources).awaitTermination()
+        start_indexing(
+            messages, args.store, args.checkpoint, config, args.once, sources, args.refresh_every
+        ).awaitTermination()
+    elif args.command == "maintain":
+        store = document_store(args.store)
+        store.refresh(spark)
+        if args.older_than is not None:
+            store.prune(spark, args.older_than)
     else:
         options = {"date_format": args.date_format}
         registry = Registry.parse(args.registry, SCHEMAS, **options) if args.registry else health_registry(**options)
@@ -77,8 +91,9 @@ def main(argv: list[str] | None = None) -> None:
         )
         fields = {s: RECORD_FIELDS.get(s, s) for s in ["patient_info", *registry.names]}
         start_converging(
-            spark, args.store, registry, args.lookup, fields, args.out, args.checkpoint, config, args.once
-        ).awaitTermination()
+            spark, args.store, registry, args.lookup, fields, args.out, args.checkpoint, config, args.once,
+            args.wait, args.delay, args.memory,
+        ).awaitTermination()
 
 
 if __name__ == "__main__":

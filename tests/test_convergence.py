@@ -1,6 +1,7 @@
 """The whole way from delimited files to enriched JSON lines, with restarts."""
 
 import json
+import time
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -17,6 +18,7 @@ from millrace.schemas import RECORD_FIELDS, SCHEMAS, health_registry
 from millrace.sinks.lookup import load_lookup
 from millrace.sources.delimited import good_rows, read_delimited
 from millrace.functions.jsonio import typed_value
+from millrace.streaming import expired_keys
 
 N = 12
 FILES = {
@@ -136,11 +138,37 @@ def test_the_same_by_command(spark, tmp_path):
     )
     found = [json.loads(r["value"]) for r in spark.read.text(at("enriched/records")).collect()]
     assert sorted(r["pcn"] for r in found) == ["0", "1", "2", "3", "4"]
+    main(["maintain", "--store", at("store"), "--older-than", "0"])
+    assert document_store(at("store")).current(spark).count() == 10 and document_store(at("store")).documents(spark).count() == 0
     for r in found:
         assert r["patientInfo"]["patientname"][1:] == r["billingCost"]["patientID"][1:]
         assert r["care"]["visitDate"] in ("2014/12/30", "2014/12/31")
 
 
+def test_keys_that_wait_too_long_are_reported(spark, published):
+    """The key of the malformed line expires, with what it misses; commit times move the clock."""
+    tmp_path, _ = published
+    out, store, enriched = str(tmp_path / "out"), str(tmp_path / "store"), str(tmp_path / "enriched")
+
+    def run():
+        start_indexing(message_files(spark, out, maxFilesPerTrigger="1"), store, str(tmp_path / "cp-index"), once=True, refresh_every=2).awaitTermination()
+        start_converging(
+            spark, store, health_registry(), _lookup(spark, tmp_path), RECORD_FIELDS, enriched, str(tmp_path / "cp"), once=True,
+            wait="2 seconds", delay="0 seconds",
+        ).awaitTermination()
+
+    run()
+    time.sleep(3)
+    for i in range(2):
+        later = json.dumps({"pcn": f"later{i}", "totalCost": "1"})
+        spark.createDataFrame([(later,)], "value STRING").write.mode("append").text(f"{out}/messages/source=billing_cost")
+        run()
+    found = [json.loads(r["value"]) for r in spark.read.text(f"{enriched}/records").collect()]
+    assert len(found) == N - 1
+    lost = {r["missing"] for r in expired_keys(spark, enriched).where("key NOT LIKE 'later%'").collect()}
+    assert lost == {"medicine_orders"}
+
+
 def test_jobs_start_in_any_order(spark, published):
     """The converging job may come first; it finds nothing and later goes on."""
     tmp_path, _ = published
