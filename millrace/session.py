@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,13 +45,45 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+# Folders of the intermediate tables that this application has written and not removed.
+_written: list[str] = []
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
     path = shared_dir(df.sparkSession, label)
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def only_results(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Gives a ``materialize`` whose tables stay; all other intermediate tables written within the block are removed at its end.
+
+    For work that is done when its results are written. Tables made in the block must not be read after it.
+    """
+    before, kept = len(_written), set()
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        table = materialize(df, label)
+        kept.add(_written[-1])
+        return table
+
+    try:
+        yield keep
+    finally:
+        for path in [p for p in _written[before:] if p not in kept]:
+            remove_table(spark, path)
+
+
+def remove_table(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    if path in _written:
+        _written.remove(path)
+
+
 def use_rocksdb(spark: SparkSession) -> None:
     """``transformWithState`` needs the RocksDB provider."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)

@@ -250,7 +250,7 @@ class Store:
             buckets = sorted(r[0] for r in wanted.select(bucket_of(F.col("_wanted"), switch.buckets)).distinct().collect())
             parts = [p for p in (self.view.rows(spark, switch, buckets), self._news(spark, switch)) if p is not None]
             if not parts:
-                parts = [self._batch_documents(spark, self._batches(spark, "data")).limit(0)]
+                parts = [self.view.rows(spark, switch, list(switch.places)).limit(0)]
 
         def chosen(docs: DataFrame) -> DataFrame:
             if many:
@@ -286,7 +286,8 @@ class Store:
             folder = f"{self.root}/data/job={job}"
             for name, changed in files.children(folder):
                 if name.startswith("batch_id=") and int(name.removeprefix("batch_id=")) <= upto and changed <= now - 1000 * older_than_seconds:
-                    files.delete(f"{folder}/{name}/status=ok")
+                    refused = any(n == "status=failed" for n, _ in files.children(f"{folder}/{name}"))
+                    files.delete(f"{folder}/{name}/status=ok" if refused else f"{folder}/{name}")
         self.view.prune(spark, older_than_seconds, now)
 
     def log(self, spark: SparkSession) -> DataFrame:

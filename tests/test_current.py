@@ -154,6 +154,8 @@ def test_pruning_serves_a_running_store(spark, folder):
     assert s.documents(spark).count() == 121  # only the batch that came after the last refresh
     assert current_rows(s, spark) == expected
     assert s.rejected(spark).count() == 4 and s.log(spark).count() == log
+    nobody = spark.createDataFrame([(f"no{i}",) for i in range(3)], "key STRING")
+    assert s.fetch(spark, nobody).count() == 0 and s.parts(spark, nobody, ["a"], ["x"]).count() == 0
     s.write_batch(batches(spark, 4), 4)
     s.refresh(spark)
     assert len(current_rows(s, spark)) >= len(expected)
@@ -175,6 +177,19 @@ def test_fetching_by_key(spark, folder, refreshed, number):
     assert all(r["c"] is None for r in parts)
 
 
+def test_a_pruned_store_knows_that_a_key_is_not_there(spark, folder):
+    s = Store(folder("store"), "pcn", ["v"], buckets=64)
+    s.write_batch(spark.createDataFrame([("a", "k", 1, "x")], DOC), 0)
+    s.refresh(spark)
+    s.prune(spark, 0)
+    assert Files(spark, s.root).children(f"{s.root}/data/job=main") == []  # nothing was refused, so nothing is left of the batch
+    keys = spark.createDataFrame([(f"other{i}",) for i in range(2)], "key STRING")
+    assert s.fetch(spark, keys).count() == 0
+    assert [r["x"] for r in s.fetch(spark, spark.createDataFrame([("k",)], "key STRING")).collect()] == ["x"]
+    s.write_batch(spark.createDataFrame([("a", "k", 2, "y")], DOC), 1)
+    assert [r["x"] for r in s.current(spark).collect()] == ["y"]
+
+
 def test_few_keys_leave_files_unread(spark, folder):
     s = Store(folder("store"), "pcn", ["v"], buckets=8)
     for n in range(6):
