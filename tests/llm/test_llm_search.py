@@ -707,6 +707,16 @@ def test_pipeline_stages_by_hand(spark):
         assert end <= 1024
 
 
+def test_pipeline_leaves_its_result_alone(spark):
+    import os
+
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(os.listdir(folder))
+    packed = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    (left,) = set(os.listdir(folder)) - before
+    assert left.startswith("best_fit_packing") and packed.count() > 100
+
+
 def test_pipeline_of_odd_and_empty_tables(spark):
     text = "the cat of the house and a dog was on it for this with from that are in to be by as is " * 2
     rows = [(1, text, "en", None, 5), (1, text, "en", None, 5), (None, text.upper(), None, "a", None), (2, None, "x", "a", 1), (3, "", None, None, 0)]
