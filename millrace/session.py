@@ -77,6 +77,12 @@ def only_results(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], Dat
             remove_table(spark, path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of work that is done. It does so when the driver's garbage collector finds the work
+    gone, which with a large heap may come long after the disks are full."""
+    spark._jvm.System.gc()
+
+
 def remove_table(spark: SparkSession, path: str) -> None:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
