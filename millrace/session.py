@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -75,11 +76,15 @@ def only_results(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], Dat
     finally:
         for path in [p for p in _written[before:] if p not in kept]:
             remove_table(spark, path)
+        free_shuffles(spark)
 
 
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of work that is done. It does so when the driver's garbage collector finds the work
-    gone, which with a large heap may come long after the disks are full."""
+    gone, which with a large heap may come long after the disks are full. What the first collection lets go of holds the rest, hence
+    two with a moment between."""
+    spark._jvm.System.gc()
+    time.sleep(0.2)
     spark._jvm.System.gc()
 
 
