@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.bytelevel import leading_run, spell
+from millrace.llm.memory import forget_others, remembers
 from millrace.session import materialize
 
 # Pieces that one task packs in sequence.
@@ -71,10 +72,13 @@ class UnitEncoder(dict):
     def ids(self, text: str) -> bytes:
         return little_endian(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def merged(self, run: str) -> bytes:
+        return little_endian([t.id for t in self.tokenizer.model.tokenize(spell(run))])
+
     def merge(self, run: str) -> bytes:
         found = self.letters.get(run)
         if found is None:
-            found = little_endian([t.id for t in self.tokenizer.model.tokenize(spell(run))])
+            found = self.merged(run)
             if len(self.letters) >= MEMORY_UNITS:
                 self.letters.clear()
             self.letters[run] = found
@@ -85,7 +89,8 @@ class UnitEncoder(dict):
         if run is None or len(text) > MEMORY_CHARS:
             return self.ids(text)
         rest = text[run.end() :]
-        return self.merge(run[0]) + (self.ids(rest) if rest else b"")
+        # Words of letters alone are remembered whole, and so need no second place.
+        return self.merge(run[0]) + self.ids(rest) if rest else self.merged(run[0])
 
     def remember(self, cache: dict, key: str, text: str) -> bytes:
         ids = self.unit(text)
@@ -128,6 +133,9 @@ def unit_encoder(path: str) -> UnitEncoder:
     return UnitEncoder(path)
 
 
+remembers("packing", unit_encoder.cache_clear)
+
+
 def tokenize(
     docs: DataFrame, tokenizer: str, end_id: int, length: int, id_col: str = "doc_id", text_col: str = "text",
     with_ids: bool = False,
@@ -143,6 +151,7 @@ def tokenize(
     schema = pa.schema(fields)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others("packing")
         encoder = unit_encoder(tokenizer)
         for batch in batches:
             columns = [[] for _ in fields]

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.bytelevel import leading_run, spell
+from millrace.llm.memory import remembers
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LETTERS = leading_run()
@@ -104,6 +105,9 @@ def whole_token_counter(path: str, proved: frozenset[str]) -> WholeTokenCounter:
     return WholeTokenCounter(path, proved)
 
 
+remembers("token_counts", whole_token_counter.cache_clear)
+
+
 def count_tokens(
     docs: DataFrame, tokenizer: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
