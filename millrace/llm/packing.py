@@ -33,7 +33,8 @@ from millrace.session import materialize
 
 # Pieces that one task packs in sequence.
 GROUP_PIECES = 8192
-MEMORY_UNITS = 1_000_000
+# What a worker remembers in all; when it is full, all is forgotten, and frequent words are soon back.
+MEMORY_UNITS = 300_000
 MEMORY_CHARS = 64
 
 # A word and the space before it, and a lone line end between two words, end a pre-token unless white space meets
@@ -72,6 +73,11 @@ class UnitEncoder(dict):
     def ids(self, text: str) -> bytes:
         return little_endian(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def make_room(self) -> None:
+        if len(self) + len(self.starts) + len(self.letters) >= MEMORY_UNITS:
+            for known in (self, self.starts, self.letters):
+                known.clear()
+
     def merged(self, run: str) -> bytes:
         return little_endian([t.id for t in self.tokenizer.model.tokenize(spell(run))])
 
@@ -79,8 +85,7 @@ class UnitEncoder(dict):
         found = self.letters.get(run)
         if found is None:
             found = self.merged(run)
-            if len(self.letters) >= MEMORY_UNITS:
-                self.letters.clear()
+            self.make_room()
             self.letters[run] = found
         return found
 
@@ -95,8 +100,7 @@ class UnitEncoder(dict):
     def remember(self, cache: dict, key: str, text: str) -> bytes:
         ids = self.unit(text)
         if len(text) <= MEMORY_CHARS:
-            if len(cache) >= MEMORY_UNITS:
-                cache.clear()
+            self.make_room()
             cache[key] = ids
         return ids
 
