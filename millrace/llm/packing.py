@@ -34,7 +34,7 @@ from millrace.session import materialize
 # Pieces that one task packs in sequence.
 GROUP_PIECES = 8192
 # What a worker remembers in all; when it is full, all is forgotten, and frequent words are soon back.
-MEMORY_UNITS = 300_000
+MEMORY_UNITS = 3_000_000
 MEMORY_CHARS = 64
 
 # A word and the space before it, and a lone line end between two words, end a pre-token unless white space meets
@@ -59,10 +59,11 @@ class UnitEncoder(dict):
     tokenizer's merges; the rest goes through the whole tokenizer.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = MEMORY_UNITS):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.memory = memory
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -74,7 +75,7 @@ class UnitEncoder(dict):
         return little_endian(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def make_room(self) -> None:
-        if len(self) + len(self.starts) + len(self.letters) >= MEMORY_UNITS:
+        if len(self) + len(self.starts) + len(self.letters) >= self.memory:
             for known in (self, self.starts, self.letters):
                 known.clear()
 
@@ -132,9 +133,9 @@ class UnitEncoder(dict):
 
 
 @lru_cache(maxsize=1)
-def unit_encoder(path: str) -> UnitEncoder:
+def unit_encoder(path: str, memory: int) -> UnitEncoder:
     """One per Python worker, which keeps its memory from task to task."""
-    return UnitEncoder(path)
+    return UnitEncoder(path, memory)
 
 
 remembers("packing", unit_encoder.cache_clear)
@@ -142,7 +143,7 @@ remembers("packing", unit_encoder.cache_clear)
 
 def tokenize(
     docs: DataFrame, tokenizer: str, end_id: int, length: int, id_col: str = "doc_id", text_col: str = "text",
-    with_ids: bool = False,
+    with_ids: bool = False, memory: int = MEMORY_UNITS,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32 and, if asked for, ids.
 
@@ -156,7 +157,7 @@ def tokenize(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_others("packing")
-        encoder = unit_encoder(tokenizer)
+        encoder = unit_encoder(tokenizer, memory)
         for batch in batches:
             columns = [[] for _ in fields]
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
@@ -225,10 +226,10 @@ def pack(pieces: DataFrame, length: int, group_pieces: int = GROUP_PIECES) -> Da
 
 def pack_documents(
     docs: DataFrame, tokenizer: str, end_id: int, length: int, id_col: str = "doc_id", text_col: str = "text",
-    group_pieces: int = GROUP_PIECES,
+    group_pieces: int = GROUP_PIECES, memory: int = MEMORY_UNITS,
 ) -> DataFrame:
-    """Tokenize, write the pieces without their ids, and pack them."""
-    pieces = materialize(tokenize(docs, tokenizer, end_id, length, id_col, text_col), "pieces")
+    """Tokenize, write the pieces without their ids, and pack them. ``memory`` is how many words a worker remembers."""
+    pieces = materialize(tokenize(docs, tokenizer, end_id, length, id_col, text_col, memory=memory), "pieces")
     return pack(pieces, length, group_pieces)
 
 
