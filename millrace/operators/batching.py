@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from millrace.operators.skew import MAX_GROUP_ROWS, fits_broadcast, hot_groups, ordered_position, same_values
+from millrace.operators.skew import MAX_GROUP_ROWS, fits_broadcast, hot_groups, ordered_position, same_values, slices_of
 from millrace.session import materialize
 
 
@@ -93,7 +92,7 @@ def session_counts(
         same = hot.condition(df)
         few = _buckets(df.join(hot.keys, same, "left_anti"), ts, gap, groups)
         many = _buckets(df.join(hot.keys, same, "left_semi"), ts, gap, groups)
-        slices = max(2, math.ceil(2 * hot.rows / max_group_rows))
+        slices = slices_of(hot.rows, max_group_rows)
         sessions = _numbered_sessions(few, gap, groups).unionByName(_sessions_by_ranges(many, gap, groups, slices))
     return sessions.groupBy(*groups, "session").agg(
         F.min("_first").alias("session_start"),

@@ -21,6 +21,10 @@ from millrace.session import materialize
 
 # A group of this many rows is still a comfortable sort for one task.
 MAX_GROUP_ROWS = 4_000_000
+# Large groups are cut in so many slices however low the limit, beyond that only where each has so many rows: a task for
+# a few rows costs more than sorting them, and the sample that finds the borders grows with the number of slices.
+MIN_SLICES = 64
+MIN_SLICE_ROWS = 250_000
 # Input tasks that a very large table is read by, and pieces a group is cut in.
 MAX_TASKS = 100_000
 MAX_SALTS = 1_000
@@ -97,6 +101,12 @@ def ordered_position(
     return few.unionByName(many)
 
 
+def slices_of(rows: int, max_group_rows: int) -> int:
+    """In how many ranges to cut groups that have ``rows`` in all: about half of ``max_group_rows`` in each, or MIN_SLICE_ROWS
+    if that is more and there are MIN_SLICES of them."""
+    return max(2, min(math.ceil(2 * rows / max_group_rows), max(MIN_SLICES, math.ceil(rows / MIN_SLICE_ROWS))))
+
+
 def first_rows(
     df: DataFrame, groups: Sequence[str], order: Sequence[str], n: int, name: str, max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
@@ -128,7 +138,7 @@ def _position_by_ranges(
     The ranged rows are written first, so that slice numbers cannot change between their two uses.
     """
     groups = hot.groups
-    slices = max(2, math.ceil(2 * hot.rows / max_group_rows))
+    slices = slices_of(hot.rows, max_group_rows)
     ranged = (
         df.repartitionByRange(slices, *groups, *order)
         .sortWithinPartitions(*groups, *order)

@@ -130,6 +130,14 @@ def test_chunks_of_fifty(spark, limit):
     assert rows[2]["fire_ts"] == datetime(2024, 1, 1, 0, 0, 20)
 
 
+def test_a_low_limit_does_not_cut_windows_into_countless_slices(spark):
+    rows = _docs(spark, 3000)
+    split = chunk_summary(rows, "ts", ["ts", "id"], max_group_rows=5)
+    assert 2 <= len([f for f in split.inputFiles() if "/ranges-" in f]) <= 64
+    plain = chunk_summary(rows, "ts", ["ts", "id"])
+    assert sorted(map(repr, split.collect())) == sorted(map(repr, plain.collect()))
+
+
 def test_window_border_splits_a_chunk(spark):
     both = _docs(spark, 30, 19).unionByName(_docs(spark, 30, 20))
     rows = chunk_summary(both, "ts", ["ts", "id"]).collect()
