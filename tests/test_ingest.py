@@ -153,6 +153,13 @@ def test_surrogate_keys_are_dense_repeatable_and_mixed(spark):
         assert keys != sorted(keys)
 
 
+def test_surrogate_keys_under_a_low_limit_sample_few_slices(spark):
+    df = spark.range(2000).selectExpr("id", "IF(id % 3 = 0, 'a', 'b') AS source")
+    split = surrogate_keys(df, ["id"], max_group_rows=10)
+    assert 2 <= len([f for f in split.inputFiles() if "/ranges-" in f]) <= 64
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, surrogate_keys(df, ["id"]).collect()))
+
+
 def test_registry_text_and_config():
     reg = Registry.parse("t|treatment~b|billing_cost", SCHEMAS)
     assert reg.names == ["t", "b"] and reg["b"].schema == SCHEMAS["billing_cost"]
