@@ -4,15 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.operators.gate import progress_columns, rejection, usable, usable_acks
 from millrace.session import use_rocksdb
+from millrace.sinks.current import bucket_of
 from millrace.streaming.combine import earliest, first_seen
 
+# Keys are dealt over so many buckets that share a state. A micro-batch writes those anew that it touches.
+KEY_BUCKETS = 1024
+
+
+class KeyTable:
+    """The keys of a bucket and what is known of each, as one state value: columns in Arrow's stream format."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str):
+        self.state = handle.getValueState(name, "table BINARY")
+
+    def get(self) -> dict[str, pd.Index | np.ndarray] | None:
+        """Copies that may be written to; column ``key`` is an index."""
+        now = self.state.get()
+        if now is None:
+            return None
+        with pa.ipc.open_stream(pa.py_buffer(bytes(now[0]))) as reader:
+            columns = reader.read_all()
+        found = {n: columns[n].to_numpy().copy() for n in columns.column_names}
+        return found | {"key": pd.Index(found["key"], dtype=object)}
+
+    def put(self, columns: dict[str, pd.Index | np.ndarray]) -> None:
+        table = pa.table({n: pa.array(_plain(v), pa.string()) if n == "key" else pa.array(v) for n, v in columns.items()})
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as writer:
+            writer.write_table(table)
+        self.state.update((sink.getvalue().to_pybytes(),))
+
+    def clear(self) -> None:
+        self.state.clear()
+
 
 def gate_stream(
     acks: DataFrame,
@@ -70,41 +103,63 @@ def running_count_stream(acks: DataFrame, key: str = "key") -> DataFrame:
 
 
 class _CountGate(StatefulProcessor):
-    """Emits the n-th arrival of a key. The count stops at n."""
+    """Emits the n-th arrival of each key of a bucket. Counts stop at n."""
 
     def __init__(self, n: int):
         self.n = n
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "n INT")
+        self.counts = KeyTable(handle, "counts")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        before = self.count.get()
-        have = before[0] if before else 0
-        if have >= self.n:
-            return
+        counts = self.counts.get()
+        keys, have = (pd.Index([], dtype=object), np.zeros(0, "int64")) if counts is None else (counts["key"], counts["n"])
         wanted = None
         for batch in rows:
             both = batch if wanted is None else pd.concat([wanted, batch])
-            wanted = both.sort_values(["commit_ts", "seq"]).head(self.n - have)
-        if have + len(wanted) == self.n:
-            yield wanted.tail(1)[["key", "source", "commit_ts", "seq"]]
-        self.count.update((have + len(wanted),))
+            both = both.sort_values(["commit_ts", "seq"])
+            wanted = both[_rank(both["key"]) + _value_of(both["key"], keys, have) < self.n]
+        new = pd.Index(wanted["key"].unique()).difference(keys, sort=False)
+        keys, have = keys.append(new), np.r_[have, np.zeros(len(new), "int64")]
+        last = wanted[_rank(wanted["key"]) + _value_of(wanted["key"], keys, have) == self.n - 1]
+        if len(last):
+            yield last[["key", "source", "commit_ts", "seq"]].assign(key=_plain(last["key"]), source=_plain(last["source"]))
+        np.add.at(have, keys.get_indexer(wanted["key"]), 1)
+        if len(wanted):
+            self.counts.put({"key": keys, "n": have})
 
     def close(self) -> None:
         pass
 
 
-def count_gate_stream(acks: DataFrame, n: int) -> DataFrame:
+def _plain(strings: pd.Index | pd.Series) -> np.ndarray:
+    """As Python strings; what comes in several pieces cannot go out as one Arrow array."""
+    return strings.to_numpy(dtype=object, na_value=None)
+
+
+def _rank(keys: pd.Series) -> np.ndarray:
+    """How many rows before each have its key."""
+    return keys.groupby(keys, dropna=False).cumcount().to_numpy()
+
+
+def _value_of(wanted: pd.Series, keys: pd.Index, values: np.ndarray) -> np.ndarray:
+    """The value of each wanted key, 0 where it is not known."""
+    places = keys.get_indexer(wanted)
+    return np.where(places >= 0, values[places], 0) if len(values) else np.zeros(len(wanted), "int64")
+
+
+def count_gate_stream(acks: DataFrame, n: int, buckets: int = KEY_BUCKETS) -> DataFrame:
     """Each key once, with the arrival that brought its count to ``n``; sources are not told apart.
 
-    Input columns: key, source, commit_ts (timestamp), seq (bigint).
+    Input columns: key, source, commit_ts (timestamp), seq (bigint). Keys share the state of one of ``buckets``, so Python is
+    called per bucket and not per key; the number cannot change while a query's state lives.
     """
     use_rocksdb(acks.sparkSession)
     acks = acks.select(F.col("key").cast("string").alias("key"), "source", "commit_ts", "seq")
     return (
         acks.mapInArrow(earliest(n), acks.schema)
-        .groupBy("key")
+        .withColumn("bucket", bucket_of(F.col("key"), buckets))
+        .groupBy("bucket")
         .transformWithStateInPandas(
             statefulProcessor=_CountGate(n),
             outputStructType=acks.schema,
@@ -115,54 +170,80 @@ def count_gate_stream(acks: DataFrame, n: int) -> DataFrame:
 
 
 class _ExpiringGate(StatefulProcessor):
-    """Waits for all sources, but not beyond ``wait_ms`` after the first arrival of the key.
+    """Waits for all sources of each key of a bucket, but not beyond ``wait_ms`` after the first arrival of the key.
 
     A completed or expired key stays known for another ``memory_ms``, so that redeliveries stay silent and a
-    key that completes late is reported; then all of its state goes.
+    key that completes late is reported; then it leaves the state. One timer stands for the bucket, at the first time that
+    one of its keys is due.
     """
 
     def __init__(self, sources: Sequence[str], wait_ms: int, memory_ms: int):
         self.sources = list(sources)
-        self.places = {s: i for i, s in enumerate(self.sources)}
         self.wait_ms = wait_ms
         self.memory_ms = memory_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("seen", "seen ARRAY<INT>, first_ms BIGINT, end_ms BIGINT, expired BOOLEAN")
-
-    def _report(self, key, status: str, missing: str, first: int) -> pd.DataFrame:
-        return pd.DataFrame({"key": [key[0]], "status": [status], "missing": [missing], "first_ms": [first]})
+        self.keys = KeyTable(handle, "keys")
+        self.alarm = handle.getValueState("alarm", "ms BIGINT")
+
+    def _load(self) -> tuple[pd.Index, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Keys, and for each which sources were seen, its first time, the end of its wait, and whether that has passed."""
+        now = self.keys.get()
+        if now is None:
+            none = np.zeros(0, "int64")
+            return pd.Index([], dtype=object), np.zeros((0, len(self.sources)), bool), none, none, np.zeros(0, bool)
+        seen = np.stack([now[f"seen{i}"] for i in range(len(self.sources))], axis=1)
+        return now["key"], seen, now["first_ms"], now["end_ms"], now["expired"]
+
+    def _store(self, keys, seen, first, end, expired, fired: int | None = None) -> None:
+        """``fired`` is the time of the timer that has just gone off."""
+        before = self.alarm.get()
+        if not len(keys):
+            self.keys.clear()
+            self.alarm.clear()
+            return
+        table = {"key": keys, "first_ms": first, "end_ms": end, "expired": expired}
+        self.keys.put(table | {f"seen{i}": seen[:, i] for i in range(len(self.sources))})
+        due = int(np.where(expired, end + self.memory_ms, end).min())
+        if before is None or before[0] != due or fired is not None:
+            if before is not None and before[0] != fired:
+                self.handle.deleteTimer(before[0])
+            self.handle.registerTimer(due)
+            self.alarm.update((due,))
+
+    def _report(self, status: str, keys, seen, first) -> Iterator[pd.DataFrame]:
+        if len(keys):
+            missing = [",".join(s for s, there in zip(self.sources, row) if not there) for row in seen]
+            yield pd.DataFrame({"key": _plain(keys), "status": status, "missing": missing, "first_ms": first})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        before = self.state.get()
-        seen, first, end, expired = before if before else ((), None, None, False)
-        seen = set(seen)
-        done = len(seen) == len(self.sources)
-        for batch in rows:
-            seen.update(self.places[s] for s in batch["source"].unique())
-            earliest_ms = int(batch["first_ms"].min())
-            first = earliest_ms if first is None else min(first, earliest_ms)
-        if not before:
-            end = first + self.wait_ms
-            self.handle.registerTimer(end)
-        self.state.update((sorted(seen), first, end, expired))
-        if len(seen) == len(self.sources) and not done:
-            yield self._report(key, "complete", "", first)
+        keys, seen, first, end, expired = self._load()
+        news = pd.concat([b.groupby(["key", "source"], as_index=False)["first_ms"].min() for b in rows])
+        new = pd.Index(news["key"].unique()).difference(keys, sort=False)
+        old, added = len(keys), len(new)
+        keys, expired = keys.append(new), np.r_[expired, np.zeros(added, bool)]
+        seen = np.r_[seen, np.zeros((added, len(self.sources)), bool)]
+        first = np.r_[first, np.full(added, np.iinfo("int64").max)]
+        done = seen.all(axis=1)
+        at = keys.get_indexer(news["key"])
+        seen[at, pd.Index(self.sources).get_indexer(news["source"])] = True
+        np.minimum.at(first, at, news["first_ms"].to_numpy("int64"))
+        end = np.r_[end, first[old:] + self.wait_ms]
+        complete = seen.all(axis=1) & ~done
+        self._store(keys, seen, first, end, expired)
+        yield from self._report("complete", keys[complete], seen[complete], first[complete])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = self.state.get()
-        if not now:
-            return
-        seen, first, end, expired = now
-        missing = [s for i, s in enumerate(self.sources) if i not in set(seen)]
-        if missing and not expired:
-            yield self._report(key, "expired", ",".join(missing), first)
-        if expiredTimerInfo.getExpiryTimeInMs() >= end + self.memory_ms:
-            self.state.clear()
-        else:
-            self.state.update((seen, first, end, True))
-            self.handle.registerTimer(end + self.memory_ms)
+        fired = expiredTimerInfo.getExpiryTimeInMs()
+        now = max(fired, timerValues.getCurrentWatermarkInMs() - 1)
+        keys, seen, first, end, expired = self._load()
+        forgotten = expired & (end + self.memory_ms <= now)
+        over = ~expired & (end <= now)
+        lost = over & ~seen.all(axis=1)
+        kept = ~forgotten
+        self._store(keys[kept], seen[kept], first[kept], end[kept], (expired | over)[kept], fired)
+        yield from self._report("expired", keys[lost], seen[lost], first[lost])
 
     def close(self) -> None:
         pass
@@ -174,6 +255,7 @@ def expiring_gate_stream(
     wait: str = "2 days",
     delay: str = "0 seconds",
     memory: str = "7 days",
+    buckets: int = KEY_BUCKETS,
 ) -> DataFrame:
     """The gate with a limit: keys that stay incomplete for ``wait`` of event time are reported
     once as ``expired``, with what is missing.
@@ -182,7 +264,8 @@ def expiring_gate_stream(
     watermark only moves the timers: late acknowledgements still count, none is dropped. For ``memory``
     beyond the wait a key is remembered: repeats stay silent, and one that completes after all is reported
     ``complete``. Acknowledgements redelivered still later open the key anew. A row with a time but neither
-    key nor source moves the clock and does nothing else: one far in the future ends the input.
+    key nor source moves the clock and does nothing else: one far in the future ends the input. Keys share the state of one of
+    ``buckets``, so Python is called per bucket and not per key; the number cannot change while a query's state lives.
     """
     spark = acks.sparkSession
     use_rocksdb(spark)
@@ -197,7 +280,8 @@ def expiring_gate_stream(
         .where(F.col("key").isNotNull() | F.col("last_ts").isNull())
         # Without the watermarked column Spark has nothing to filter late rows by.
         .select("key", "source", F.unix_millis("first_ts").alias("first_ms"))
-        .groupBy("key")
+        .withColumn("bucket", bucket_of(F.col("key"), buckets))
+        .groupBy("bucket")
         .transformWithStateInPandas(
             statefulProcessor=_ExpiringGate(sources, _millis(spark, wait), _millis(spark, memory)),
             outputStructType="key STRING, status STRING, missing STRING, first_ms BIGINT",

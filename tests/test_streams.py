@@ -1,6 +1,7 @@
 """Streams over several micro-batches, with repeats, lateness and restarts."""
 
 import time
+from glob import glob
 from datetime import datetime, timedelta
 from itertools import permutations
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from millrace.operators.batching import session_counts
 from millrace.operators.gate import gate_distinct
 from millrace.operators.ingest import ingest_counts
+from millrace.plans import stream_queries
 from millrace.sources import read_delimited, read_file_streams
 from millrace.sources.delimited import good_rows, quarantined_rows, split_delimited
 from millrace.streaming.batching import chunk_stream, session_counts_stream
@@ -357,3 +359,35 @@ def test_ingest_counts_survive_a_replay(spark, folder):
     assert sorted((r["source"], r["a"], r["b"]) for r in good_rows(rows).collect()) == [
         ("s", "1", "2"), ("s", "3", "4"), ("t", "1", "2"), ("u", "1", "2"),
     ]
+
+
+def test_gates_keep_one_state_for_many_keys(spark, folder):
+    feed = Feed(spark, folder("acks"), ACK)
+    first, second = " ".join(f"k{i}:a" for i in range(300)), " ".join(f"k{i}:b k{i}:b" for i in range(0, 400, 2))
+    feed.add(acks(first))
+    feed.add(acks(second, 1000))
+    feed.add([(None, None, T0 + timedelta(days=9), None)])
+
+    def run(gated):
+        out = folder("out")
+        query = start_batches(gated, out, folder("cp"))
+        query.awaitTermination()
+        assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) <= 3 * 8
+        return spark.read.parquet(out).collect()
+
+    counted = {r["key"]: r["seq"] for r in run(count_gate_stream(feed.stream().where("key IS NOT NULL"), 2, buckets=8))}
+    assert counted == {f"k{i}": 1000 + i + (i >= 300) for i in range(0, 400, 2)}
+    rows = [(r["key"], r["status"], r["missing"]) for r in run(expiring_gate_stream(feed.stream(), ["a", "b"], "2 hours", buckets=8))]
+    expected = [(f"k{i}", "complete", "") for i in range(0, 300, 2)] + [(f"k{i}", "expired", "b") for i in range(1, 300, 2)]
+    assert sorted(rows) == sorted(expected + [(f"k{i}", "expired", "a") for i in range(300, 400, 2)])
+
+
+def test_micro_batches_of_large_tables_have_several_files(spark, monkeypatch):
+    monkeypatch.setattr(stream_queries, "ROWS_PER_FILE", 25)
+    for label, stream in (
+        ("steps", stream_queries.arriving_in_steps(spark.range(400), "steps")),
+        ("pieces", stream_queries.arriving_one_by_one([spark.range(i, i + 100) for i in range(0, 400, 100)], "pieces", 400)),
+    ):
+        rows = run_available(stream, "read").collect()
+        assert sorted(r["id"] for r in rows) == list(range(400)) and {r["batch_id"] for r in rows} == set(range(4))
+        assert len(glob(f"{spark.conf.get('spark.checkpoint.dir')}/{label}-*/part-*")) == 16
