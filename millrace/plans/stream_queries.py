@@ -39,6 +39,8 @@ from millrace.streaming.jobs import commit_acks, run_available, start_index, wri
 
 
 ROWS_PER_STATE_PARTITION = 1_000_000
+# A micro-batch of a large table has several files, each read, sorted and written again by a task of its own.
+ROWS_PER_FILE = 500_000
 
 
 def streaming(spark, sf_dir, *names):
@@ -51,11 +53,16 @@ def streaming(spark, sf_dir, *names):
 def arriving_in_steps(df, label, steps=4):
     """A table as a stream of ``steps`` micro-batches, in no order."""
     path = shared_dir(df.sparkSession, label)
-    df.repartition(steps).write.parquet(path)
-    reader = df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", "1")
+    files = files_per_step(df.count(), steps)
+    df.repartition(steps * files).write.parquet(path)
+    reader = df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", str(files))
     return reader.parquet(path)
 
 
+def files_per_step(rows, steps):
+    return max(1, -(-rows // (steps * ROWS_PER_FILE)))
+
+
 def arriving_in_order(df, label, time, late_hours=0, end=False, steps=4):
     """A table as a stream of ``steps`` micro-batches by time; a row in twenty comes ``late_hours`` late.
 
@@ -77,7 +84,7 @@ def arriving_one_by_one(pieces, label, rows):
     """Tables of one schema, ``rows`` in all, as a stream with one micro-batch for each."""
     spark, schema = pieces[0].sparkSession, pieces[0].schema
     path = shared_dir(spark, label)
-    files = max(1, rows // (len(pieces) * ROWS_PER_STATE_PARTITION))
+    files = files_per_step(rows, len(pieces))
     for piece in pieces:
         piece.repartition(files).write.mode("append").parquet(path)
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files)).parquet(path)

@@ -17,7 +17,7 @@ from millrace.sinks.current import bucket_of
 from millrace.streaming.combine import earliest, first_seen
 
 # Keys are dealt over so many buckets that share a state. A micro-batch writes those anew that it touches.
-KEY_BUCKETS = 1024
+KEY_BUCKETS = 256
 
 
 class KeyTable:
