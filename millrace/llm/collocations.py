@@ -37,6 +37,8 @@ BREAKS = ".,;:!?\n\x0b\x0c\r"
 SLICE = 1_000_000
 TILE = 1024
 BUFFER_PAIRS = 2_000_000
+# Counted pairs that a task hands on at once.
+PAIR_ROWS = 100_000
 # A tile is counted densely if it holds one pair for this many cells.
 CELLS_PER_PAIR = 16
 # Different words that a task counts at once.
@@ -76,6 +78,7 @@ def word_counts(docs: DataFrame, text_col: str, lang_col: str, most: int = COUNT
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, Counter] = {}
+        size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, counts in found.items():
@@ -88,14 +91,13 @@ def word_counts(docs: DataFrame, text_col: str, lang_col: str, most: int = COUNT
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
                 counts = found.setdefault(lang, Counter())
                 for words in words_of(text.as_buffer().to_pybytes()):
+                    before = len(counts)
                     counts.update(words)
-                    if len(counts) > most:
+                    size += len(counts) - before
+                    if size > most:
                         yield from flush()
-                        found = {lang: Counter()}
+                        found, size = {lang: Counter()}, 0
                         counts = found[lang]
-            if sum(map(len, found.values())) > most:
-                yield from flush()
-                found = {}
         yield from flush()
 
     partial = _texts(docs, text_col, lang_col).mapInArrow(count, "lang string, word string, f bigint")
@@ -222,12 +224,21 @@ def _next_pass(known, last: bool):
 
 
 def count_tiles(first: np.ndarray, second: np.ndarray, tile: int = TILE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pairs and how often each occurs: dense tiles by direct address, sparse ones by sorted coordinates."""
+    """Distinct pairs and how often each occurs: dense tiles by direct address, sparse ones by sorted coordinates. Arrays are
+    of 32 bits where the numbers allow, and dropped as soon as the next step has what it needs."""
     columns = int(second.max()) // tile + 1
-    place = (first // tile) * columns + second // tile
-    cell = (first % tile) * tile + second % tile
-    order = np.argsort(place, kind="stable")
-    place, cell = place[order], cell[order]
+    tiles = (int(first.max()) // tile + 1) * columns
+    kind = np.int32 if max(tiles, tile * tile, int(first.max()), int(second.max())) < 1 << 31 else np.int64
+    place, cell = (first // tile).astype(kind), (first % tile).astype(kind)
+    place *= columns
+    place += second // tile
+    cell *= tile
+    cell += second % tile
+    del first, second
+    order = np.argsort(place)
+    place = place[order]
+    cell = cell[order]
+    del order
     starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
     ends = np.r_[starts[1:], len(place)]
     dense = (ends - starts) * CELLS_PER_PAIR >= tile * tile
@@ -235,13 +246,25 @@ def count_tiles(first: np.ndarray, second: np.ndarray, tile: int = TILE) -> tupl
     for low, high in zip(starts[dense].tolist(), ends[dense].tolist()):
         table = np.bincount(cell[low:high], minlength=tile * tile)
         hit = np.flatnonzero(table)
-        found.append((np.full(len(hit), place[low]), hit, table[hit]))
+        found.append((np.full(len(hit), place[low]), hit.astype(kind), table[hit].astype(kind)))
     if not dense.all():
         # All sparse tiles together as one sorted list of coordinates.
         rest = np.repeat(~dense, ends - starts)
-        code, n = np.unique(place[rest] * (tile * tile) + cell[rest], return_counts=True)
-        found.append((code // (tile * tile), code % (tile * tile), n))
-    place, cell, n = (np.concatenate(x) for x in zip(*found))
+        code = place[rest].astype(np.int64)
+        code *= tile * tile
+        code += cell[rest]
+        del place, cell, rest
+        code.sort()
+        at = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+        n = np.empty(len(at), kind)
+        n[:-1] = at[1:] - at[:-1]
+        n[-1] = len(code) - at[-1]
+        code = code[at]
+        del at
+        found.append(((code // (tile * tile)).astype(kind), (code % (tile * tile)).astype(kind), n))
+        del code, n
+    place, cell, n = found[0] if len(found) == 1 else (np.concatenate(x) for x in zip(*found))
+    del found
     return (place // columns) * tile + cell // tile, (place % columns) * tile + cell % tile, n
 
 
@@ -251,34 +274,43 @@ PAIRS_ARROW = pa.schema([(c, pa.int64()) for c in ("first", "second", "f")])
 
 def pair_counts(sequences: DataFrame, min_count: int, tile: int = TILE, buffer: int = BUFFER_PAIRS) -> DataFrame:
     """first, second, f of all neighbours that occur often enough."""
+    partial = sequences.select("ids").mapInArrow(_count_pairs(tile, buffer), PAIRS)
+    return partial.groupBy("first", "second").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
+
+
+def _count_pairs(tile: int, buffer: int):
+    """Counts of the pairs of ``buffer`` ids at a time, in batches of at most ``PAIR_ROWS``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[np.ndarray] = []
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            ids = np.concatenate([*waiting, [GAP]])
+            ids = np.concatenate([*waiting, np.array([GAP], np.int32)])
+            waiting.clear()
             near = (ids[:-1] >= 0) & (ids[1:] >= 0)
             if near.any():
                 columns = count_tiles(ids[:-1][near], ids[1:][near], tile)
-                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], schema=PAIRS_ARROW)
+                del ids, near
+                for low in range(0, len(columns[0]), PAIR_ROWS):
+                    part = [pa.array(c[low : low + PAIR_ROWS].astype(np.int64)) for c in columns]
+                    yield pa.RecordBatch.from_arrays(part, schema=PAIRS_ARROW)
 
         for batch in batches:
             for data in batch["ids"]:
-                ids = np.frombuffer(data.as_buffer(), "<i4").astype(np.int64)
+                ids = np.frombuffer(data.as_buffer(), "<i4")
                 for low in range(0, len(ids), buffer):
-                    # One id more, so that the pair across the cut is not lost.
-                    part = ids[low : low + buffer + 1]
-                    waiting += [part, np.array([GAP])]
+                    # One id more, so that the pair across the cut is not lost. A copy, so that the batch can go.
+                    part = ids[low : low + buffer + 1].astype(np.int32)
+                    waiting += [part, np.array([GAP], np.int32)]
                     size += len(part)
                     if size >= buffer:
                         yield from flush()
-                        waiting, size = [], 0
+                        size = 0
         if waiting:
             yield from flush()
 
-    partial = sequences.select("ids").mapInArrow(count, PAIRS)
-    return partial.groupBy("first", "second").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
+    return count
 
 
 def _recode(known, last: bool):

@@ -2,10 +2,12 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
@@ -102,6 +104,37 @@ def test_tiles_are_counted_either_way():
         assert {(a, b): n for a, b, n in zip(*(c.tolist() for c in got))} == expected
 
 
+@pytest.mark.parametrize("most", [50, 60_000, 2**31 - 1])
+def test_tiles_take_little_memory(most):
+    rng = np.random.default_rng(2)
+    first, second = (rng.integers(0, most, 300_000).astype(np.int32) for _ in range(2))
+    tracemalloc.start()
+    try:
+        got = collocations.count_tiles(first, second)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # Tables of a tile come on top; numbers of 64 bits are needed where there are many tiles.
+    assert peak < 16_000_000 + 40 * len(first)
+    expected, n = np.unique(first.astype(np.int64) << 32 | second, return_counts=True)
+    assert dict(zip((got[0].astype(np.int64) << 32 | got[1]).tolist(), got[2].tolist())) == dict(zip(expected.tolist(), n.tolist()))
+
+
+def test_pairs_are_handed_on_in_small_batches(monkeypatch):
+    monkeypatch.setattr(collocations, "PAIR_ROWS", 70)
+    rng = np.random.default_rng(3)
+    rows = [rng.integers(-1, 40, size).astype("<i4") for size in (1000, 1, 0, 2500)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([r.tobytes()], pa.binary())], names=["ids"]) for r in rows]
+    got, expected = Counter(), Counter()
+    for batch in collocations._count_pairs(16, 600)(iter(batches)):
+        assert 0 < batch.num_rows <= 70 and batch.schema == collocations.PAIRS_ARROW
+        for a, b, n in zip(*(c.to_pylist() for c in batch.columns)):
+            got[a, b] += n
+    for r in rows:
+        expected.update((a, b) for a, b in zip(r[:-1].tolist(), r[1:].tolist()) if a >= 0 and b >= 0)
+    assert got == expected
+
+
 def test_words_are_ranked_alike_in_one_sort_and_in_ranges(spark):
     rng = random.Random(3)
     counts = spark.createDataFrame([(str(i), rng.randint(1, 40)) for i in range(500)], "word string, f bigint")
