@@ -43,8 +43,8 @@ PAIR_ROWS = 100_000
 CELLS_PER_PAIR = 16
 # Different words that a task counts at once.
 COUNTED_WORDS = 500_000
-# Ids in one row of a sequence table.
-ROW_IDS = 1_000_000
+# Ids in one row of a sequence table, but for longer texts: few enough that a heap of ordinary size has no trouble with a row.
+ROW_IDS = 100_000
 GAP, OPEN = -1, -2
 
 SEQUENCES = "ids binary, open binary"
@@ -184,18 +184,18 @@ def _first_pass(known, last: bool):
             ids, rest, size = [], [], 0
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
                 ids_of = by_lang.get(lang, {})
+                whole, left = [], []
                 for words in words_of(text.as_buffer().to_pybytes()):
                     if last:
                         line = np.fromiter((ids_of.get(w, GAP) for w in words), np.int64, len(words))
                     else:
                         line = np.fromiter((GAP if w == b"\n" else ids_of.get(w, OPEN) for w in words), np.int64, len(words))
-                        rest.append(b" ".join([_named(lang, words[i]) for i in np.flatnonzero(line == OPEN)]))
-                    ids.append(line)
-                    size += len(line)
-                # A gap after each text; what cannot be part of a pair goes once the whole text is there.
-                ids.append(np.array([GAP]))
-                if not last:
-                    rest.append(b"")
+                        left += [_named(lang, words[i]) for i in np.flatnonzero(line == OPEN)]
+                    whole.append(line)
+                # A text stays in one row, with a gap after it; what cannot be part of a pair goes once the whole text is there.
+                ids.append(np.concatenate([*whole, [GAP]]))
+                rest.append(b" ".join(left))
+                size += len(ids[-1])
                 if size >= ROW_IDS:
                     yield from _rows([closed(np.concatenate(ids))] if last else ids, rest if not last else None)
                     ids, rest, size = [], [], 0

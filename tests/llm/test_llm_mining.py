@@ -5,6 +5,7 @@ import re
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -135,6 +136,19 @@ def test_pairs_are_handed_on_in_small_batches(monkeypatch):
     assert got == expected
 
 
+def test_long_texts_are_not_cut_between_slices_of_the_vocabulary(monkeypatch):
+    monkeypatch.setattr(collocations, "ROW_IDS", 1000)
+    texts = ["b a", "a b " * 300_000, "b a " * 10]  # the second one is read in two slices
+    docs = pa.RecordBatch.from_arrays([pa.array(["en"] * 3), pa.array(texts)], names=["lang", "text"])
+    named = SimpleNamespace(value={collocations._named("en", b"b"): 1})
+    first = collocations._first_pass(SimpleNamespace(value={"en": {b"a": 0}}), last=False)(iter([docs]))
+    pairs = Counter()
+    for batch in collocations._count_pairs(16, 5000)(collocations._next_pass(named, last=True)(first)):
+        for a, b, n in zip(*(c.to_pylist() for c in batch.columns)):
+            pairs[a, b] += n
+    assert pairs == {(0, 1): 300_000 + 9, (1, 0): 1 + 299_999 + 10}
+
+
 def test_words_are_ranked_alike_in_one_sort_and_in_ranges(spark):
     rng = random.Random(3)
     counts = spark.createDataFrame([(str(i), rng.randint(1, 40)) for i in range(500)], "word string, f bigint")
