@@ -229,7 +229,7 @@ def pack_documents(
     group_pieces: int = GROUP_PIECES, memory: int = MEMORY_UNITS,
 ) -> DataFrame:
     """Tokenize, write the pieces without their ids, and pack them. ``memory`` is how many words a worker remembers."""
-    pieces = materialize(tokenize(docs, tokenizer, end_id, length, id_col, text_col, memory=memory), "pieces")
+    pieces = materialize(tokenize(docs, tokenizer, end_id, length, id_col, text_col, memory=memory), "packing-pieces")
     return pack(pieces, length, group_pieces)
 
 
