@@ -132,6 +132,35 @@ def test_copies_do_not_make_an_anchor_hot():
     assert block.loads(place, len(hashes)).tolist() == [0] * len(hashes)
 
 
+@pytest.mark.parametrize("segments", [1, 64])
+def test_an_anchor_of_many_blocks_is_hot_by_its_bytes_alone(segments):
+    """1500 blocks with one segment of an anchor each send 121 KB for it; only with 64 each they fill more than a bucket."""
+    import pyarrow as pa
+
+    n, load = 1500, bytes([segments.bit_length() - 1])
+    tag = np.array([5 << 1], dtype=np.uint32).tobytes()
+    table = pa.table({"bucket": [0] * n, "block": list(range(n)), "tags": [tag] * n, "loads": [load] * n})
+    told = suffix_dedup._shared_anchors(50, suffix_dedup.HOT_BLOCKS, suffix_dedup.BUCKET_BYTES)(table).to_pylist()
+    assert [r["block"] for r in told] == list(range(n)) and {r["shared"] for r in told} == {b"\x80"}
+    assert {r["hot"] for r in told} == {b"\x80" if segments == 64 else b"\x00"}
+
+
+def test_answers_of_many_lists_are_those_of_each_list(monkeypatch):
+    rng = np.random.default_rng(3)
+    windows = rng.integers(1, 5, 40)
+    begins = np.cumsum(windows) - windows
+    first = rng.integers(0, 3, int(windows.sum()))
+    lists = [rng.integers(0, 40, int(k)) for k in rng.integers(1, 30, 50)]
+    for together in (1, 37, 1 << 14):
+        monkeypatch.setattr(suffix_dedup, "ANSWER_SEGMENTS", together)
+        ids, runs = suffix_dedup._answers(lists, windows, begins, first)
+        assert len(ids) == len(runs) == 50
+        for mine, values, times in zip(lists, ids, runs):
+            expected = np.concatenate([first[begins[i] : begins[i] + windows[i]] for i in mine])
+            values = np.frombuffer(values, np.int64)
+            assert np.array_equal(np.repeat(values, np.frombuffer(times, np.int32)), expected) and (np.diff(values) != 0).all()
+
+
 def test_run_index_finds_every_context():
     rng = random.Random(1)
     pieces = list({"".join(rng.choices("abc", k=rng.randint(8, 20))).encode() for _ in range(200)})
