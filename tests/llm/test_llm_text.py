@@ -89,6 +89,36 @@ def test_token_counts(odd, none):
     assert token_counts.count_tokens(none, WORD_BPE).count() == 0
 
 
+def test_batches_of_texts_agree_with_the_tokenizer():
+    """New words of a batch are merged together; memory that is too small, or full of long words, changes nothing."""
+    rng = random.Random(5)
+    letters = "abcdeghilnorstu" * 3 + "éèñüßÀÿ×÷ćжλ中🙂'’.,-0189\t\r\x1c\x85\xa0\u2003\u2028"
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 12))) for _ in range(400)] + ["a" * 63, "a" * 300, "x" * 64 + ".", "<|endoftext|>"]
+    words += ["aaaa", "aaaaaaa", "ababab", "lalalala", "the", "The", "don't", "'s", "it's,"]
+    texts = ["".join(rng.choice(words) + rng.choice(4 * [" "] + [*"\n\t", "  ", " \n", "\n\n"]) for _ in range(rng.randint(1, 60))) for _ in range(200)]
+    texts += [" ".join(rng.choices(words, k=40)) for _ in range(50)] + ["", " ", "\n", "\n\n", " a", "a ", "\na", "a\n", "a\n b", "é\né", "\xa0a", "a\xa0 b"]
+    tokenizer = Tokenizer.from_file(BYTE_BPE)
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for memory in (20, 1_000_000):
+        encoder = packing.UnitEncoder(BYTE_BPE, memory)
+        assert encoder.merges.exact
+        for size in (1, 7, len(texts)):
+            found = [ids.tolist() for low in range(0, len(texts), size) for ids in encoder.encode_all(texts[low : low + size])]
+            for text, got, ids in zip(texts, found, expected):
+                assert got == ids, repr(text)
+
+
+def test_new_words_are_not_merged_one_by_one(monkeypatch):
+    """Words of letters take no call of the tokenizer each, whatever follows them."""
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choices("abcdefghijé", k=9)) + rng.choice(["", ",", "."]) for _ in range(500)) for _ in range(4)]
+    encoder, calls = packing.UnitEncoder(BYTE_BPE), []
+    one = encoder.tokens
+    monkeypatch.setattr(encoder, "tokens", lambda text: calls.append(text) or one(text))
+    encoder.encode_all(texts)
+    assert len(encoder.numbers) > 1900 and len(calls) <= 2
+
+
 def test_encoders_agree_with_the_tokenizers():
     rng = random.Random(4)
     letters = ["a", "B", "é", " ", "  ", "\n", "'", "s", "t", "ll", ".", ",", "1", "ł", "́", "<|endoftext|>", "日", "\xa0", "_", "İ", "\x1c"]
